@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.llm import simhash
+from weftline.llm import langid, packing, simhash
 
-_MODULES = (simhash,)
+_MODULES = (langid, packing, simhash)
 
 
 def queries() -> dict:
