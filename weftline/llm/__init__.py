@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.llm import langid, packing, simhash
+from weftline.llm import langid, packing, secrets, simhash
 
-_MODULES = (langid, packing, simhash)
+_MODULES = (langid, packing, secrets, simhash)
 
 
 def queries() -> dict:
