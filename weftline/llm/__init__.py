@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.llm import langid, packing, secrets, simhash
+from weftline.llm import langid, licenses, packing, secrets, simhash
 
-_MODULES = (langid, packing, secrets, simhash)
+_MODULES = (langid, licenses, packing, secrets, simhash)
 
 
 def queries() -> dict:
