@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.llm import chunks, langid, licenses, packing, secrets, simhash
+from weftline.llm import chunks, langid, lattice, licenses, packing, secrets, simhash
 
-_MODULES = (chunks, langid, licenses, packing, secrets, simhash)
+_MODULES = (chunks, langid, lattice, licenses, packing, secrets, simhash)
 
 
 def queries() -> dict:
