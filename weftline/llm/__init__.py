@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.llm import chunks, langid, lattice, licenses, mainhtml, packing, secrets, simhash
+from weftline.llm import chunks, langid, lattice, licenses, mainhtml, packing, secrets, shards, simhash
 
-_MODULES = (chunks, langid, lattice, licenses, mainhtml, packing, secrets, simhash)
+_MODULES = (chunks, langid, lattice, licenses, mainhtml, packing, secrets, shards, simhash)
 
 
 def queries() -> dict:
