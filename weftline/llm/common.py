@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -126,3 +127,10 @@ def batched(fn: Callable, batches: Iterator[pa.RecordBatch], most: int) -> Itera
         step = max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield fn(batch.slice(at, step))
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df as a table of its own in the shared folder."""
+    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
