@@ -1 +1,12 @@
-"""See the modules."""
+"""Operators, each module registering the queries that apply them."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ("text", "relational", "aggregates", "windows")
+
+
+def load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"weftline.operators.{name}")

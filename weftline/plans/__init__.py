@@ -4,8 +4,15 @@ from __future__ import annotations
 
 
 def queries() -> dict:
-    return {}
+    from weftline import operators
+    from weftline.plans import registry
+
+    operators.load()
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from weftline.plans import registry
+
+    queries()
+    return dict(registry.ORACLES)
