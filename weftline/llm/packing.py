@@ -12,18 +12,17 @@ i, a monotone queue keeps its minimum over the sliding range; lengths that are p
 Each task packs its own rows, in blocks of a bounded number of tokens, so nothing is shuffled, memory is bounded and a
 task that is run again on the same rows gives the same pieces. A sequence's id holds its partition in the upper bits.
 
-Tokens: units of a text that the tokenizer never joins (white space and what follows it) are told apart by their bytes;
-each distinct unit is encoded once per worker by the tokenizer and the text's ids are gathered from those.
-
 Defined cases: null text is empty and gives one end id; repeated and null ids are documents of their own, row by row;
 strings of special tokens in a text are read as the tokenizer reads them by default; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,73 +35,48 @@ from weftline.llm.common import table
 WINDOW, END_ID, VOCABULARY = 2048, 1, "byte_bpe_50k.json"
 #: Costs, in tokens of padding: a cut at a sentence's end, one inside a sentence, each sequence.
 SENTENCE_CUT, HARD_CUT, PER_SEQUENCE = 4, 24, 2
-#: Tokens packed together, bytes of text tokenized together, distinct units a worker remembers.
-BLOCK, TEXT_BYTES, UNITS = 1 << 20, 8 << 20, 400_000
+#: Tokens packed together.
+BLOCK = 1 << 20
+#: The tokenizer's pattern; a fixed value of byte-level vocabularies.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-class Units:
-    """Ids of texts, by their units."""
+def _byte_letters() -> dict[str, int]:
+    """The letter of each byte in a byte-level vocabulary: printable bytes are their own, others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(own)))}
 
-    def __init__(self, path: str, most: int = UNITS):
-        from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.clear()
-        size = self.tokenizer.get_vocab_size()
-        self.sentence_end = np.zeros(max(size, 2) + 1, bool)
-        for piece, i in self.tokenizer.get_vocab().items():
-            if piece and (piece[-1] in ".!?" or "Ċ" in piece):
-                self.sentence_end[i] = True
+class Coder:
+    """Ids of texts under a byte-level BPE of the tokenizers library.
 
-    def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.first, self.count = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def add(self, units: list[bytes]) -> None:
-        made = [e.ids for e in self.tokenizer.encode_batch_fast([u.decode("utf-8") for u in units], add_special_tokens=False)]
-        count = np.fromiter(map(len, made), np.int64, len(made))
-        ids = np.fromiter((i for m in made for i in m), np.uint32, int(count.sum()))
-        start = len(self.flat) + np.cumsum(count) - count
-        self.known.update(zip(units, range(len(self.count), len(self.count) + len(units)), strict=True))
-        self.flat = np.concatenate([self.flat.astype(np.uint32, copy=False), ids])
-        self.first, self.count = np.concatenate([self.first, start]), np.concatenate([self.count, count])
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of texts that lie in data (UTF-8 bytes) between offsets, and how many each has."""
-        cuts = unit_starts(data, offsets)
-        bounds = np.append(cuts, offsets[-1] if len(offsets) else 0)
-        units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
-        distinct = units.dictionary.to_pylist()
-        if len(self.known) > self.most:
-            self.clear()
-        if new := [u for u in distinct if u not in self.known]:
-            self.add(new)
-        which = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[units.indices.to_numpy()] if distinct else np.zeros(0, np.int64)
-        count = self.count[which]
-        total = np.cumsum(count)
-        n = int(total[-1]) if len(total) else 0
-        at = np.arange(n) + np.repeat(self.first[which] - (total - count), count)
-        reached = np.append(0, total)[np.searchsorted(cuts, offsets)]
-        return self.flat[at], np.diff(reached)
-
-
-def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Where units start: at each non-empty text and before a space or line feed that follows no white space.
-
-    The tokenizer's pattern starts a new piece there whatever surrounds it. Before a space after a character that may be
-    white space of several bytes none starts, which keeps more together and changes no id.
+    The vocabulary of the library's own file, whose ids rise with the order of the merges, is given as ranks to a coder
+    that works much faster on long texts; the ids are those of the library (tests compare the two).
     """
-    n = len(data)
-    start = np.zeros(n + 1, bool)
-    if n:
-        blank = (data == 32) | (data == 10)
-        before = np.zeros(n, bool)
-        before[1:] = (data[:-1] == 32) | ((data[:-1] >= 9) & (data[:-1] <= 13)) | ((data[:-1] >= 28) & (data[:-1] <= 31))
-        before[2:] |= (data[:-2] == 0xC2) & ((data[1:-1] == 0x85) | (data[1:-1] == 0xA0))
-        before[3:] |= (data[:-3] >= 0xE1) & (data[:-3] <= 0xE3) & (data[1:-2] >= 0x80)
-        start[:n] = blank & ~before
-        start[offsets[:-1]] = True
-    return np.flatnonzero(start[:n])
+
+    def __init__(self, path: str):
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            kept = json.load(f)
+        special = {t["content"]: t["id"] for t in kept["added_tokens"]}
+        letters = _byte_letters()
+        ranks = {bytes(letters[c] for c in piece): i for piece, i in kept["model"]["vocab"].items() if piece not in special}
+        self.special = set(special)
+        self.coder = tiktoken.Encoding("weftline", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.sentence_end = np.zeros(max(self.coder.n_vocab, 2) + 1, bool)
+        for piece, i in ranks.items():
+            if piece[-1:] in (b".", b"!", b"?") or b"\n" in piece:
+                self.sentence_end[i] = True
+
+    def __call__(self, text: str) -> np.ndarray:
+        return self.coder.encode_to_numpy(text, allowed_special=self.special)
+
+
+@lru_cache(1)
+def coder_of(path: str) -> Coder:
+    """A worker's coder, kept from task to task."""
+    return Coder(path)
 
 
 def best_cuts(boundary: np.ndarray, penalty: np.ndarray, window: int, per_sequence: float = PER_SEQUENCE) -> list[int]:
@@ -173,7 +147,8 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
     schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, context = Units(tokenizer_path), TaskContext.get()
+        coder, context = coder_of(tokenizer_path), TaskContext.get()
+        end = np.array([end_id], np.uint32)
         sequence = (context.partitionId() if context else 0) << 36
         names: list = []
         held: list[np.ndarray] = []
@@ -183,7 +158,7 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
         def out() -> pa.RecordBatch:
             nonlocal sequence, waiting
             ids, sizes = np.concatenate(held), np.array(lengths, np.int64)
-            rows = pack(ids, sizes, units.sentence_end, window)
+            rows = pack(ids, sizes, coder.sentence_end, window)
             first = np.cumsum(sizes) - sizes
             doc, start, length, number, offset = (np.array(c, np.int64) for c in zip(*rows, strict=True))
             raw = ids.astype("<u4")
@@ -199,25 +174,16 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
 
         columns = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
         kinds = None
-        for whole in batches:
-            kinds = whole.schema.field(0).type
-            step = max(1, int(whole.num_rows * TEXT_BYTES / max(1, whole.nbytes)))
-            for at in range(0, whole.num_rows, step):
-                b = whole.slice(at, step)
-                text = pa.concat_arrays([b.column(1).cast(pa.large_binary()).fill_null(b"")])
-                _, offsets, data = text.buffers()
-                offsets = np.frombuffer(offsets, np.int64)[text.offset : text.offset + len(text) + 1]
-                data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-                ids, count = units.encode(data, offsets - offsets[0])
-                ends = np.cumsum(count)
-                for k, (e, n) in enumerate(zip(ends.tolist(), count.tolist(), strict=True)):
-                    names.append(b.column(0)[k].as_py())
-                    held.append(ids[e - n : e])
-                    held.append(np.array([end_id], np.uint32))
-                    lengths.append(n + 1)
-                    waiting += n + 1
-                    if waiting >= BLOCK:
-                        yield out()
+        for batch in batches:
+            kinds = batch.schema.field(0).type
+            for name, text in zip(batch.column(0), batch.column(1), strict=True):
+                ids = coder(text.as_py() or "")
+                names.append(name.as_py())
+                held += [ids, end]
+                lengths.append(len(ids) + 1)
+                waiting += len(ids) + 1
+                if waiting >= BLOCK:
+                    yield out()
         if names:
             yield out()
 
