@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "relational", "aggregates", "windows")
+MODULES = ("text", "relational", "aggregates", "windows", "vectors")
 
 
 def load() -> None:
