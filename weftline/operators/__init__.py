@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "relational", "aggregates", "windows", "vectors")
+MODULES = ("text", "relational", "aggregates", "windows", "vectors", "audit", "constraints", "documents", "streams")
 
 
 def load() -> None:
