@@ -1,0 +1,573 @@
+"""The operators of weftline.llm against brute force, round trips and held-out labels, and their defined cases."""
+
+import hashlib
+import html
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from weftline import llm
+from weftline.llm import chunks, common, langid, lattice, licenses, mainhtml, packing, pieces, secrets, shards, simhash
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, fp string, __note string"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and long texts, repeated rows, columns that clash with common names."""
+    long_text = " ".join(random.Random(3).choice(["the", "and", "of", "tion", "und", "der"]) for _ in range(40_000))
+    rows = [
+        (1, "the and of with this", "en", "a", 20, "k", "f", "n"), (1, "the and of with this", "en", "a", 20, "k", "f", "n"), (2, None, None, None, None, None, None, None),
+        (None, "the and of with this", "en", "a", 20, None, None, None), (3, "", "de", "b", 0, "k", "f", "n"), (4, long_text, "en", "b", len(long_text), "k", "f", "n"),
+        (5, "   \n\t ", "fr", "c", 6, "k", "f", "n"), (6, "a" * 50_000, "en", "c", 50_000, "k", "f", "n"), (7, "Mit License apache license é😀", "de", "d", 5, "k", "f", "n"),
+        (None, None, None, None, None, None, None, None),
+    ]
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf_dir):
+    return common.table(spark, sf_dir, "documents")
+
+
+def test_every_operator_is_registered_once():
+    numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in llm.queries())
+    assert numbers == list(range(1, 11))
+
+
+# ---- 1 language identification
+
+
+def test_langid_held_out_accuracy_and_labels(spark, sf_dir, docs):
+    got = llm.queries()["op1_compression_langid"](spark, sf_dir).toPandas().set_index("doc_id")
+    want = docs.toPandas().set_index("doc_id")
+    assert len(got) == len(want)
+    assert all(held == (zlib.crc32(str(i).encode()) % 3 == 1) for i, held in got.held_out.items())
+    held = got.index[got.held_out]
+    assert (got.lang_pred[held] == want.lang[held]).mean() > 0.95
+    assert got.score.between(0, 1).all()
+
+
+def test_langid_defined_cases(spark, odd):
+    model = langid.learn(odd)
+    assert 0 < len(model) <= 3 and all(len(d) <= langid.DICTIONARY for d in model.values())
+    rows = langid.classify(odd, model, ["doc_id", "key", "fp"]).collect()
+    assert len(rows) == odd.count() and all(r["key"] in ("k", None) for r in rows)
+    for r in rows:
+        assert (r["__lang"] == "und") == (r.doc_id in (2, 3, 5) or r.doc_id is None and r["__score"] == 0)
+    assert langid.classify(odd.limit(0), {}, ["doc_id"]).count() == 0
+    assert {r["__lang"] for r in langid.classify(odd, {}, ["doc_id"]).collect()} == {"und"}
+    kept = langid.keep_identified(odd)
+    assert kept.columns == odd.columns
+
+
+# ---- 2 sharding
+
+
+def test_lookup_table_is_even_and_stable():
+    names = shards.shard_names(16)
+    table = shards.lookup_table(names, 2039)
+    sizes = [table.count(k) for k in range(16)]
+    assert max(sizes) - min(sizes) <= 1
+    fewer = shards.lookup_table(names[:-1], 2039)
+    moved = sum(a != b for a, b in zip(table, fewer, strict=True) if a != 15)
+    assert moved < 0.2 * 2039
+    with pytest.raises(ValueError):
+        shards.lookup_table(names, 2040)
+    with pytest.raises(ValueError):
+        shards.lookup_table(["a", "a"], 7)
+
+
+def test_placement_brute_force(spark, odd):
+    table = shards.lookup_table(shards.shard_names(4), 101)
+    rows = shards.place(odd, F.col("doc_id"), shards.shard_names(4), 101).collect()
+    assert len(rows) == odd.count()
+    for r in rows:
+        slot = int(hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest()[:15], 16) % 101
+        assert (r["__slot"], r["__shard"]) == (slot, table[slot])
+
+
+def test_sharding_sql_twin_on_a_small_table(spark):
+    import duckdb
+
+    sql = shards.ORACLE["op2_permutation_table_sharding"]
+    small = sql.replace(str(shards.SLOTS - 1), "100").replace(str(shards.SLOTS), "101").replace(f"range({shards.SHARDS})", "range(4)").replace(f"% {shards.SHARDS}", "% 4")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT range AS doc_id FROM range(300)")
+    table = shards.lookup_table(shards.shard_names(4), 101)
+    assert all(table[slot] == shard for _, slot, shard in con.execute(small).fetchall())
+
+
+# ---- 3 packing
+
+
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(packing.tokenizer_file())
+
+
+ODD_TEXTS = ["a   b  \n c", "", "\n", "a\x1c b\x1d  c", "é　 　ü 'll  don't", "<|endoftext|> x<|endoftext|>", "a \t b\r\n c", "x\u0085 y\u0085\n z", "日本 語。 次", "I'LL can't 12³ ½ 😀"]
+
+
+def test_coder_gives_the_tokenizers_ids(docs):
+    coder, tk = packing.coder_of(packing.tokenizer_file()), tokenizer()
+    texts = ODD_TEXTS + [r.text for r in docs.collect()]
+    assert all(coder(t).tolist() == tk.encode(t, add_special_tokens=False).ids for t in texts)
+
+
+def check_pieces(rows, texts):
+    tk = tokenizer()
+    by_doc, by_sequence = {}, {}
+    for r in rows:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert set(by_doc) == set(texts)
+    for i, text in texts.items():
+        ids = tk.encode(text or "", add_special_tokens=False).ids + [packing.END_ID]
+        at = 0
+        for r in sorted(by_doc[i], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            part = np.array(ids[at : at + r.length], "<u4")
+            assert r.ids_crc32 == zlib.crc32(part.tobytes())
+            at += r.length
+        assert at == len(ids)
+    padding = total = 0
+    for parts in by_sequence.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= packing.WINDOW
+        total += at
+        padding += 0 if at & (at - 1) == 0 else packing.WINDOW - at
+    return padding / total
+
+
+def test_packing_round_trip(spark, sf_dir, docs):
+    rows = llm.queries()["op3_monotone_queue_packing"](spark, sf_dir).collect()
+    assert check_pieces(rows, {r.doc_id: r.text for r in docs.collect()}) < 0.02
+
+
+def test_packing_defined_cases(spark, odd):
+    once = odd.where("doc_id > 1").select("doc_id", "text")
+    rows = packing.packed(once, packing.tokenizer_file()).collect()
+    check_pieces(rows, {r.doc_id: r.text for r in once.collect()})
+    assert packing.packed(odd.select("doc_id", "text"), packing.tokenizer_file()).where("start = 0").count() == odd.count()
+    assert packing.packed(once.limit(0), packing.tokenizer_file()).count() == 0
+
+
+def brute_cost(boundary, penalty, window):
+    best = {0: 0.0}
+    for i in range(1, len(boundary)):
+        options = []
+        for j in best:
+            u = boundary[i] - boundary[j]
+            if 0 < u <= window:
+                options.append(best[j] + (0 if u & (u - 1) == 0 else window - u))
+        best[i] = min(options) + penalty[i] + packing.PER_SEQUENCE
+    return best[len(boundary) - 1]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_cuts_cost_as_little_as_brute_force(seed):
+    rng = np.random.default_rng(seed)
+    boundary = np.append(0, np.cumsum(rng.integers(1, 13, 60)))
+    penalty = rng.choice([0.0, 4.0, 24.0], len(boundary))
+    cuts = packing.best_cuts(boundary, penalty, 32)
+    cost = 0.0
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        u = int(boundary[b] - boundary[a])
+        assert 0 < u <= 32
+        cost += (0 if u & (u - 1) == 0 else 32 - u) + penalty[b] + packing.PER_SEQUENCE
+    assert cost == pytest.approx(brute_cost(boundary.tolist(), penalty, 32))
+
+
+# ---- 4 pieces
+
+
+def test_encoding_gives_the_librarys_ids_and_decodes(spark, docs):
+    import sentencepiece
+
+    m = sentencepiece.SentencePieceProcessor(model_file=pieces.model_file())
+    texts = {k: t for k, t in enumerate(["  hello\n world x　y", "", "a", "\n", "      ", "x\n\n\n  y   z ", "日本語 テキスト 😀", "é" * 70 + " tail", "<0x0A> <s> </s> <unk> x", "ab" * 80, None])}
+    texts |= {100 + r.doc_id: r.text for r in docs.where("doc_id < 60").collect()}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    encoded = pieces.encode(rows, frequent=50).cache()
+    got = {r.doc_id: r.ids for r in pieces.by_document(encoded).collect()}
+    back = {r.doc_id: r.text for r in pieces.decode(encoded).collect()}
+    for i, t in texts.items():
+        assert got.get(i, []) == m.encode(t or "")
+        assert back.get(i, "") == (t or "")
+
+
+def test_pieces_defined_cases(spark, odd):
+    found = pieces.encode(odd)
+    assert found.where("doc_id = 1").count() == 2 * found.where("doc_id IS NULL").count() == 10
+    assert pieces.encode(odd.limit(0)).count() == 0
+
+
+def viterbi_brute(word, scores, unknown):
+    best = [(0.0, [])]
+    for e in range(1, len(word) + 1):
+        options = [(best[s][0] + scores[word[s:e]], best[s][1] + [word[s:e]]) for s in range(e) if word[s:e] in scores]
+        if word[e - 1 : e] not in scores:
+            options.append((best[e - 1][0] + unknown, best[e - 1][1] + [word[e - 1 : e]]))
+        best.append(max(options, key=lambda o: o[0]))
+    return best[-1]
+
+
+def test_viterbi_fold(spark):
+    rng = random.Random(5)
+    names = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 4))) for _ in range(30)} | {"a", "b"})
+    table = [(p, k, -rng.random() * 9) for k, p in enumerate(names)]
+    scores = {p: s for p, _, s in table}
+    worst = min(scores.values())
+    pieces_df = spark.createDataFrame([(*r, False) for r in pieces.ranked(table)], "piece string, id int, score double, rank int, odd boolean")
+    all_words = sorted({"".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(60)})
+    distinct = spark.createDataFrame([(w,) for w in all_words], "word string")
+    graph = pieces.edges(distinct, pieces_df, 4, [], F.expr(pieces.SCORED)).withColumn("__worst", F.lit(worst))
+    for r in pieces.with_ids(graph, 1000, "unigram").collect():
+        total, _ = viterbi_brute(r.word, scores, worst - pieces.UNKNOWN_PENALTY)
+        mine = sum(table[i][2] if i < 1000 else worst - pieces.UNKNOWN_PENALTY for i in r.ids)
+        assert mine == pytest.approx(total)
+        assert "".join(table[i][0] if i < 1000 else bytes([i - 1000]).decode() for i in r.ids) == r.word
+
+
+# ---- 5 licenses
+
+
+def license_brute(text):
+    seen = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    starts, labels = [], set()
+    for phrase, label in licenses.PHRASES:
+        p = phrase.split()
+        at = [i for i in range(len(seen) - len(p) + 1) if seen[i : i + len(p)] == p]
+        starts += at
+        labels |= {label} if at else set()
+    return len(seen), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+def test_license_base_columns(spark, sf_dir, docs, odd):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in llm.queries()["op5_suffix_automaton_licenses"](spark, sf_dir).collect():
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == license_brute(texts[r.doc_id])
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+    assert licenses.scan(odd).count() == odd.count() and licenses.scan(odd.limit(0)).count() == 0
+
+
+def test_overlapping_phrases_and_templates():
+    scanner = licenses.Scanner()
+    assert scanner.scan("MIT mit license apache-license; General Public License général")[:5] == (9, 3, 1, 5, "apache,gpl,mit")
+    whole = "x " + dict(licenses.TEMPLATES)["mit"].replace("free of charge", "free of any charge") + " y"
+    found = scanner.scan(whole)
+    assert found[5] == "mit" and found[1] == 0 and found[6] > 0.9
+    assert found[7][0]["first"] == 1
+    assert scanner.scan("Permission to be here")[5] == ""
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_matching_statistics(seed):
+    rng = random.Random(seed)
+    sequences = [[rng.choice([b"a", b"b", b"c"]) for _ in range(12)] for _ in range(4)]
+    a = licenses.Automaton.of(sequences)
+    ends = lambda x: {(k, i + len(x) - 1) for k, q in enumerate(sequences) for i in range(len(q) - len(x) + 1) if q[i : i + len(x)] == x}
+    seen = [rng.choice([b"a", b"b", b"c", b"d"]) for _ in range(40)]
+    longest = [max((n for n in range(1, i + 2) if ends(seen[i - n + 1 : i + 1])), default=0) for i in range(len(seen))]
+    want = [(i, n) for i, n in enumerate(longest) if n >= 3 and (i + 1 == len(seen) or longest[i + 1] != n + 1)]
+    got = list(a.matches(seen, 3))
+    assert [g[:2] for g in got] == want
+    assert all(a.ends[s] == ends(seen[i - n + 1 : i + 1]) for i, n, s in got)
+
+
+# ---- 6 main text
+
+
+def article(source):
+    inner = source[source.index("<article>") + 9 : source.index("</article>")]
+    parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in re.split(r"</?(?:p|h1)>", inner)]
+    return "\n".join(p for p in parts if p)
+
+
+def test_main_text(spark, sf_dir):
+    pages = {r.page_id: r.html for r in common.table(spark, sf_dir, "pages").collect()}
+    rows = llm.queries()["op6_consensus_html_extraction"](spark, sf_dir).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert r.text == article(pages[r.page_id]) and r.n_chars == len(r.text)
+
+
+def test_main_text_defined_cases(spark, monkeypatch):
+    wrap = lambda body: f'<html><body><div class="top-7"><header><h1>Site</h1></header><nav>menu</nav><div class="post p12">{body}<form>f</form><div id="comments"><p>reader comment that is long enough to matter</p></div></div><aside>side</aside></div><footer>f</footer></body>'
+    pages = [(1, "http://h/a", wrap("<h2>T &amp; U</h2><p>long text of the article &lt;here&gt;<p>two<br>lines&nbsp;<script>x</script><ul><li>a<li>b</ul>"), "x"), (2, "http://h/b", wrap("<p>other text <a href=x>link</a>"), "x"), (3, None, None, None), (4, "http://h/c", "", "x"), (5, "nonsense", "plain < text", "x"), (6, "http://h/d", "<p>" + "w " * 50_000, "x"), (1, "http://h/a", wrap("<p>again</p>"), "x")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string, n string")
+    want = {(1, "T & U\nlong text of the article <here>\ntwo lines\na\nb"), (2, "other text link"), (3, ""), (4, ""), (5, "plain < text"), (6, " ".join(["w"] * 50_000)), (1, "again")}
+    assert {(r.page_id, r["__text"]) for r in mainhtml.extract(frame, ["page_id", "n"]).collect()} == want
+    monkeypatch.setattr(mainhtml, "BROADCAST", -1)
+    assert {(r.page_id, r["__text"]) for r in mainhtml.extract(frame, ["page_id", "n"]).collect()} == want
+    assert mainhtml.extract(frame.limit(0), ["page_id"]).count() == 0
+
+
+# ---- 7 fingerprints
+
+
+def test_fingerprints(spark, sf_dir, docs):
+    order = sorted(docs.collect(), key=lambda r: -r.doc_id)
+    got = {r.doc_id: r for r in llm.queries()["op7_chunk_fingerprints"](spark, sf_dir).collect()}
+    assert len(got) == len(order)
+    for k, r in enumerate(order):
+        following = order[(k + 1) % len(order)].text
+        half = len(r.text) // 2
+        new = r.text[: len(r.text) - half] + following[:half]
+        g = got[r.doc_id]
+        assert g.n_chars == len(r.text) and g.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
+        assert g.fingerprint == chunks.fingerprint(chunks.chunk_set(r.text)) and g.edited_fingerprint == chunks.fingerprint(chunks.chunk_set(new))
+        assert g.near_next == pytest.approx(chunks.containment(chunks.chunk_set(r.text), chunks.chunk_set(following)))
+    assert np.mean([g.near_edited for g in got.values() if g.n_chars > 600]) > 0.4
+
+
+def test_chunks_resist_shifts_and_cover():
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(3000))
+    a, b = chunks.chunk_set(text), chunks.chunk_set("inserted " + text)
+    assert sum(a.values()) == len(text)
+    assert chunks.containment(a, b) > 0.95 and chunks.containment(a, chunks.chunk_set(text[::-1])) < 0.05
+    data = text.encode()
+    ends = chunks.chunk_ends(data)
+    assert ends[-1] == len(data) and all(0 < y - x <= chunks.MOST for x, y in zip([0, *ends], ends, strict=False))
+    slow = [sum(int(chunks.GEAR[data[i - k]]) << k for k in range(min(32, i + 1))) & 0xFFFFFFFF for i in range(200)]
+    assert chunks.gear(data[:200]).tolist() == slow
+
+
+def test_fingerprints_defined_cases(spark, odd):
+    rows = chunks.fingerprints(odd).collect()
+    assert len(rows) == odd.count() and sum(r.doc_id is None for r in rows) == 2
+    assert {r.fingerprint for r in rows if r.doc_id in (2, 3)} == {""}
+    one = chunks.fingerprints(odd.where("doc_id = 7")).collect()
+    assert len(one) == 1 and one[0].near_next == 1
+    assert chunks.fingerprints(odd.limit(0)).count() == 0
+
+
+# ---- 8 secrets
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secrets.train(secrets.labelled_findings(spark))
+
+
+def test_forest_tells_findings_that_it_was_not_trained_on(spark, forest):
+    held = secrets.labelled_findings(spark, 6000).subtract(secrets.labelled_findings(spark))
+    f = secrets.features(F.col("left"), F.col("value"), F.col("right"))
+    scored = held.select("label", F.struct(*[c.alias(k) for k, c in f.items()]).alias("f")).select("label", F.expr(secrets.forest_sql(forest, "f")).alias("s"))
+    n, right = scored.agg(F.count("s"), F.sum(((F.col("s") >= 0.5) == (F.col("label") == 1)).cast("int"))).first()
+    assert right / n > 0.97
+
+
+def test_secrets_in_documents(spark, sf_dir, docs):
+    rows = {r.doc_id: r for r in llm.queries()["op8_forest_secret_scan"](spark, sf_dir).collect()}
+    assert len(rows) == docs.count()
+    for r in docs.collect():
+        want = len(re.findall(r'token = "[0-9a-f]{40}"', r.text))
+        assert rows[r.doc_id].n_secrets >= want
+        if not want and not re.search(r"\d", r.text):
+            assert rows[r.doc_id].n_candidates == 0
+
+
+def test_redaction_and_defined_cases(spark, odd, forest):
+    key = hashlib.sha1(b"x").hexdigest()
+    text = f'start token = "{key}" and 4111111111111111 then token = "{key}"'
+    extra = spark.createDataFrame([(9, text, "en", "a", len(text), "k", "f", "n")], DOCS)
+    clean = secrets.redact(odd.union(extra))
+    assert clean.columns == odd.columns and clean.count() == odd.count() + 1
+    row = clean.where("doc_id = 9").first()
+    assert row.text == f'start token = "{secrets.REPLACEMENT}" and 4111111111111111 then token = "{secrets.REPLACEMENT}"' and row.n_chars == len(row.text)
+    assert clean.where("doc_id = 2").first().text is None
+    assert secrets.scan(odd.limit(0), forest).count() == 0
+
+
+def test_scan_runs_without_python(spark, docs, forest):
+    plan = secrets.scan(docs, forest).select("doc_id", secrets.redacted())._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|ArrowEval|MapIn", plan)
+
+
+# ---- 9 simhash
+
+
+def simhash_brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))]
+    counts = [0] * 64
+    for g in grams:
+        h = xxhash.xxh64_intdigest(g.encode(), 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(grams))
+
+
+def roots(values, near):
+    labels = np.arange(len(values))
+    for k in range(len(values)):
+        labels = common.joined_labels(labels, np.full(len(values), k)[near(k)], np.flatnonzero(near(k)))
+    return labels
+
+
+def test_simhash_components(spark, sf_dir, docs):
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = {r.doc_id: r for r in llm.queries()["op9_simhash_anchor_dedup"](spark, sf_dir).collect()}
+    ids = sorted(texts)
+    fps = np.array([simhash_brute(texts[i]) for i in ids], np.uint64)
+    assert [got[i].fingerprint for i in ids] == [f"{int(f):016x}" for f in fps]
+    labels = roots(fps, lambda k: np.bitwise_count(fps ^ fps[k]) <= 4)
+    assert [got[i].component_id for i in ids] == [ids[x] for x in labels]
+
+
+def test_anchor_links_are_those_of_brute_force(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 150, dtype=np.uint64)
+    flips = [base]
+    for n in (1, 2, 3, 4, 5, 6):
+        x = base.copy()
+        for k in range(len(x)):
+            for b in rng.choice(64, n, replace=False):
+                x[k] ^= np.uint64(1) << np.uint64(b)
+        flips.append(x)
+    fps = np.unique(np.concatenate(flips))
+    frame = spark.createDataFrame([(int(v),) for v in fps.view(np.int64)], "__fp long")
+    want = roots(fps, lambda k: np.bitwise_count(fps ^ fps[k]) <= 4)
+    for homes in (50_000, 1):  # whole keys, and each home in a part of its own
+        found = {r.node: r.root for r in common.components(simhash.fingerprint_edges(frame, homes=homes)).collect()}
+        mine = [found.get(int(v), int(v)) for v in fps.view(np.int64)]
+        for k, w in enumerate(want):
+            assert (mine[k] == mine[w]) and (w == k or want[k] == want[w])
+        assert len(set(mine)) == len(set(want.tolist()))
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    rng = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + k) for k in range(1, 80)] + [(5, 5), (2000, 2001), (2001, 2000)]
+    rng.shuffle(edges)
+    got = {r.node: r.root for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert len({got[i] for i in range(201)}) == 1 and len({got[1000 + k] for k in range(80)}) == 1 and got[2000] == got[2001]
+    assert len(set(got.values())) == 3
+
+
+def test_simhash_defined_cases(spark, odd):
+    rows = simhash.near_duplicates(odd).collect()
+    assert len(rows) == odd.count()
+    by = {r.doc_id: r for r in rows if r.doc_id is not None}
+    assert by[2]["__fp"] == 0 and by[2]["__component"] == by[3]["__component"] == by[5]["__component"] == 2
+    assert all(r["__component"] is not None for r in rows)
+    kept = simhash.keep_first(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4, 6, 7]
+    assert simhash.near_duplicates(odd.limit(0)).count() == 0
+
+
+# ---- 10 embeddings
+
+
+def e8_brute(x):
+    best = None
+    for half in (0.0, 0.5):
+        r = np.floor(x - half)
+        for bits in range(256):
+            p = r + np.array([bits >> k & 1 for k in range(8)]) + half
+            if (p.sum() * 1) % 2 == 0:
+                d = ((x - p) ** 2).sum()
+                if best is None or d < best[0] - 1e-12:
+                    best = (d, p)
+    return best
+
+
+def test_e8_decoding_finds_the_nearest_point():
+    x = np.random.default_rng(1).normal(size=(40, 8)) * 2
+    got = lattice.e8(x) / 2
+    for k in range(len(x)):
+        d, _ = e8_brute(x[k])
+        assert ((x[k] - got[k]) ** 2).sum() == pytest.approx(d)
+        assert got[k].sum() % 2 == 0
+    assert len(lattice.ROOTS) == 240 and set((lattice.ROOTS**2).sum(axis=1).tolist()) == {8}
+
+
+def brute_links(x):
+    n = len(x)
+    fine = [v is not None and len(v) > 0 and all(c is not None and np.isfinite(c) for c in v) and any(v) for v in x]
+    links = np.zeros((n, n), bool)
+    for i in range(n):
+        for j in range(n):
+            if i != j and fine[i] and fine[j] and len(x[i]) == len(x[j]):
+                a, b = lattice.normal(np.array([x[i], x[j]], np.float64))
+                links[i, j] = a @ b >= lattice.COSINE
+    return links
+
+
+def test_embedding_links(spark):
+    rng = np.random.default_rng(8)
+    base = lattice.normal(rng.standard_normal((80, 64)))
+    noise = lattice.normal(rng.standard_normal((120, 64)))
+    mixed = np.linspace(0.05, 0.4, 120)[:, None]
+    near = lattice.normal(base[np.arange(120) % 80] + mixed * noise)
+    x = np.concatenate([base, near, base[:10], 3 * base[:5]]).astype(np.float32).tolist()
+    x += [None, [0.0] * 64, [None] + [1.0] * 63, [float("nan")] * 64, [float("inf")] + [0.0] * 63, [], [1.0, 2.0], [2.0, 4.0]]
+    rows = spark.createDataFrame([(i, v, "x") for i, v in enumerate(x)] + [(None, x[0], "x")], "vec_id long, embedding array<float>, n_links string")
+    got = {r.vec_id: r for r in lattice.near_duplicates(rows).collect()}
+    x = x + [x[0]]
+    links = brute_links(x)
+    count = links.sum(axis=1)
+    mine = np.array([got[i].n_links for i in range(len(x) - 1)])
+    assert (mine <= count[:-1]).all() and mine.sum() / count[:-1].sum() > 0.97
+    for i in range(len(x) - 1):
+        assert got[i].kept == (got[i].component_id == i) and got[i].component_id <= i
+        if x[i] is None or not count[i]:
+            assert got[i].n_links == 0 and got[i].component_id == i
+    assert got[None].component_id == got[0].component_id and not got[None].kept
+    assert lattice.near_duplicates(rows.limit(0)).count() == 0
+
+
+def test_embedding_counts_do_not_depend_on_parts(spark):
+    rng = np.random.default_rng(3)
+    centre = lattice.normal(rng.standard_normal((3, 64)))
+    x = lattice.normal(centre[np.arange(150) % 3] + 0.02 * rng.standard_normal((150, 64)))
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    one = sorted(map(tuple, lattice.near_duplicates(rows).collect()))
+    assert one == sorted(map(tuple, lattice.near_duplicates(rows, homes=7).collect()))
+    assert [r[1] for r in one] == [49] * 150
+
+
+def test_recall_on_the_table(spark, sf_dir):
+    rows = common.table(spark, sf_dir, "embeddings")
+    found = rows.toPandas()
+    y = lattice.normal(np.array(found.embedding.tolist(), np.float64))
+    want = int((y @ y.T >= lattice.COSINE).sum()) - len(y)
+    assert llm.queries()["op10_e8_lattice_dedup"](spark, sf_dir).agg(F.sum("n_links")).first()[0] >= 0.9 * want
+
+
+# ---- pipeline
+
+
+def test_pipeline_is_its_stages(spark, sf_dir, docs, tmp_path):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "secret_scan", "packing"]
+    kept, before = docs, docs
+    for n, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, kept, sf_dir).write.parquet(str(tmp_path / n))
+        kept = spark.read.parquet(str(tmp_path / n))
+        assert kept.columns == docs.columns
+        if n == "simhash_dedup":
+            texts = {r.doc_id: r.text for r in before.collect()}
+            ids = sorted(texts)
+            fps = np.array([simhash_brute(texts[i]) for i in ids], np.uint64)
+            labels = roots(fps, lambda k: np.bitwise_count(fps ^ fps[k]) <= 4)
+            assert sorted(r.doc_id for r in kept.collect()) == sorted({ids[x] for x in labels})
+        before = kept
+    assert not kept.where(F.col("text").rlike('token = "[0-9a-f]{40}"')).count()
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    assert check_pieces(rows, {r.doc_id: r.text for r in kept.collect()}) < 0.03

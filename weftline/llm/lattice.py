@@ -197,8 +197,9 @@ def links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, visi
                 continue
             exact = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
             i, j = i[exact], j[exact]
-            # A visitor's own home may hold the other as a visitor: the pair counts where the smaller node is at home.
-            mutual = (j >= n_home) & (c[i, t, :1] != c[j, t, :1]).any(axis=1) & (c[j, t, :1] == c[i, t]).any(axis=1)
+            # A visitor's own home (or part of this one) may hold the other as a visitor: the pair counts where the
+            # smaller node is at home.
+            mutual = (j >= n_home) & (c[j, t, :1] == c[i, t]).any(axis=1)
             own = ~mutual | (node[i] < node[j])
             for s in range(t):
                 own &= ~meets(c, c, i, j, s)
