@@ -3,6 +3,8 @@
 import math
 
 import duckdb
+import numpy as np
+import pandas as pd
 import pytest
 
 from weftline import plans
@@ -20,8 +22,10 @@ def duck(sf_dir):
 
 
 def cell(v):
-    if v is None or isinstance(v, float) and math.isnan(v):
+    if v is None or v is pd.NA or v is pd.NaT or isinstance(v, float) and math.isnan(v):
         return "null"
+    if isinstance(v, (int, np.integer)) and not isinstance(v, (bool, np.bool_)):
+        return f"{float(v):.5f}" if abs(v) < 2**53 else str(v)
     if isinstance(v, float):
         return f"{v:.5f}".replace("-0.00000", "0.00000")
     return str(v)

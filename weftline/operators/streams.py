@@ -26,7 +26,7 @@ sql_query(
 
 @query(
     "X4_rate_limit_slots",
-    "WITH k AS (SELECT event_id, event_type, epoch_us(ts) AS at, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM $events) SELECT event_id, max(at - 30000000 * k) OVER (PARTITION BY event_type ORDER BY k ROWS UNBOUNDED PRECEDING) + 30000000 * k AS slot_us FROM k",
+    "WITH k AS (SELECT event_id, event_type, epoch_us(ts) AS us, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM $events) SELECT event_id, max(us - 30000000 * k) OVER (PARTITION BY event_type ORDER BY k ROWS UNBOUNDED PRECEDING) + 30000000 * k AS slot_us FROM k",
 )
 def rate_limit(spark, sf_dir):
     return ledger.slots(table(spark, sf_dir, "events"), "event_type", "ts", 30).select("event_id", "slot_us")
