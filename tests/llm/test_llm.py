@@ -62,6 +62,7 @@ def test_langid_defined_cases(spark, odd):
         assert (r["__lang"] == "und") == (r.doc_id in (2, 3, 5) or r.doc_id is None and r["__score"] == 0)
     assert langid.classify(odd.limit(0), {}, ["doc_id"]).count() == 0
     assert {r["__lang"] for r in langid.classify(odd, {}, ["doc_id"]).collect()} == {"und"}
+    assert all(langid.letters(t) == b"" for t in ("", "12 ½ ² _ !", "\u0301"))
     kept = langid.keep_identified(odd)
     assert kept.columns == odd.columns
 

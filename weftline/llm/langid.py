@@ -34,7 +34,9 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def letters(text: str) -> bytes:
-    """A text's words in lower case, all else as single spaces."""
+    """A text's words in lower case, all else as single spaces; nothing where no character is a letter."""
+    if not any(map(str.isalpha, text)):
+        return b""
     return _NOT_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "surrogatepass")
 
 
