@@ -50,10 +50,10 @@ def components(edges: DataFrame) -> DataFrame:
     Each round hooks every node to its smallest neighbour and contracts the edges, which keeps joins between narrow
     tables, never gathers a component in one task and ends after about log n rounds, as node order is random.
     """
-    one = edges.where("a <> b").select(mixed(F.col("a")).alias("a"), mixed(F.col("b")).alias("b"))
-    named = one.select("a", "b")
+    edges = cut(edges.where("a <> b").select("a", "b"))
+    named = edges.select(mixed(F.col("a")).alias("a"), mixed(F.col("b")).alias("b"))
     live = cut(named.union(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    back = cut(edges.where("a <> b").select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", mixed(F.col("node"))))
+    back = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", mixed(F.col("node"))))
     while not live.isEmpty():
         hooks = cut(live.groupBy("a").agg(F.min("b").alias("to")).select(F.col("a").alias("from"), F.least("a", "to").alias("to")))
         back = cut(back.join(hooks, back["root"] == hooks["from"], "left").select("node", F.coalesce("to", "root").alias("root")))
