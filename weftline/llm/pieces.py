@@ -5,7 +5,7 @@ Each distinct word's lattice is made once: its substrings of at most the longest
 equi-joined with the piece table (broadcast; as many rows as the vocabulary), edges are grouped by word, and a Spark
 higher-order aggregate folds them to ids. Two folds are given. For unigram models it is Viterbi: the best score up to
 each position. For BPE models, whose scores are merge ranks, the path of the best sum isn't what the model means; there
-the fold applies the best-ranked merge of two neighbouring edges until none is left, which gives the library's ids.
+the fold merges neighbouring edges in the order of their ranks, which gives the library's ids.
 Characters outside the vocabulary become their UTF-8 bytes' pieces.
 
 Ids return to the documents' words by two joins: the FREQUENT most frequent words are broadcast, which is a bounded
@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 
 from weftline.llm.common import kept, table
 
-MODEL, FREQUENT, LONGEST, SPACE = "piece_bpe_32k.model", 200_000, 60, "▁"
+MODEL, FREQUENT, LONGEST, SPACE = "piece_bpe_32k.model", 500_000, 60, "▁"
+#: Words that a task groups by hash before it sorts.
+GROUPS = 150_000
 #: What a unigram model charges for an unknown character below its worst piece; a fixed value.
 UNKNOWN_PENALTY = 10.0
 
@@ -69,16 +71,53 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(id_col, F.posexplode(words(text)).alias("position", "word"))
 
 
-def edges(distinct: DataFrame, pieces: DataFrame, longest_piece: int, extra: list[str]) -> DataFrame:
-    """(word, extra, edges): the lattice of each word, as structs (rank, first, end, id, score)."""
+def edges(distinct: DataFrame, pieces: DataFrame, longest_piece: int, extra: list[str], edge: Column, shortest: int = 1) -> DataFrame:
+    """(word, extra, edges, odd): the lattice of each word; edge is made of rank, first, end, id and score.
+
+    Edges of fewer than `shortest` characters are left out (a BPE fold starts from all single characters anyway).
+    """
     n = F.length("word")
     starts = distinct.select("word", *extra, F.explode(F.sequence(F.lit(0), n - 1)).alias("first"))
-    spans = starts.select("word", *extra, "first", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest_piece), n - F.col("first")))).alias("size"))
+    room = F.least(F.lit(longest_piece), n - F.col("first"))
+    sizes = F.when(room >= shortest, F.sequence(F.lit(shortest), room)).otherwise(F.when(F.col("first") == 0, F.array(F.lit(1))))
+    spans = starts.select("word", *extra, "first", F.explode(sizes).alias("size"))
     cut_out = spans.select("word", *extra, "first", (F.col("first") + F.col("size")).alias("end"), F.col("word").substr(F.col("first") + 1, F.col("size")).alias("piece"))
     # A left join keeps the words of which no substring is a piece.
-    met = cut_out.join(F.broadcast(pieces), "piece", "left").where("id IS NOT NULL OR first = 0 AND end = 1")
-    edge = F.when(F.col("id").isNotNull(), F.struct("rank", "first", "end", "id", "score"))
-    return met.groupBy("word", *extra).agg(F.collect_list(edge).alias("edges"))
+    pieces = pieces.where(F.length("piece") >= shortest)
+    met = cut_out.join(F.broadcast(pieces), "piece", "left").where(f"id IS NOT NULL OR first = 0 AND (end = {shortest} OR end = 1)")
+    return met.groupBy("word", *extra).agg(F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges"), F.coalesce(F.bool_or("odd"), F.lit(False)).alias("odd"))
+
+
+#: An edge of a BPE lattice in a long: rank, first and end; and one for Viterbi.
+PACKED = "shiftleft(cast(rank AS BIGINT), 12) | shiftleft(cast(first AS BIGINT), 6) | cast(end AS BIGINT)"
+SCORED = "struct(rank, first, end, id, score)"
+
+
+def out_of_order(rows: list[tuple[str, int, float, int]]) -> set[str]:
+    """Pieces that merging their own characters in one pass over ranks doesn't give.
+
+    Inside a segment all earlier merges are those of the segment's text alone. So where every piece of a word comes out
+    of one pass in the order of ranks, each edge is met when it may be merged, and one pass gives what taking the best
+    merge again and again does.
+    """
+    rank = {r[0]: r[3] for r in rows}
+    odd = set()
+    for piece in rank:
+        n = len(piece)
+        if n < 2:
+            continue
+        found = sorted((rank[piece[i:j]], i, j) for i in range(n) for j in range(i + 2, n + 1) if piece[i:j] in rank)
+        starts = set(range(n + 1))
+        for _, i, j in found:
+            inside = [k for k in range(i + 1, j) if k in starts]
+            if i in starts and j in starts and len(inside) == 1:
+                starts.remove(inside[0])
+        if len(starts) > 2:
+            odd.add(piece)
+    by_score: dict[float, list[str]] = {}
+    for r in rows:
+        by_score.setdefault(r[2], []).append(r[0])
+    return odd | {p for same in by_score.values() if len(same) > 1 for p in same if len(p) > 1}
 
 
 def _bit(at: Column) -> Column:
@@ -91,58 +130,86 @@ def byte_ids(character: Column, first_byte: int) -> Column:
     return F.transform(F.sequence(F.lit(0), (F.length(code) / 2).cast("int") - 1), lambda k: F.conv(F.substring(code, k * 2 + 1, F.lit(2)), 16, 10).cast("int") + first_byte)
 
 
-def merges() -> tuple[Column, Column]:
-    """(edges as longs, the fold over them, called __packed): the segments of a word under a BPE model.
+def _first(x: Column) -> Column:
+    return F.call_function("shiftright", x, F.lit(6)).bitwiseAND(F.lit(63))
+
+
+def _end(x: Column) -> Column:
+    return x.bitwiseAND(F.lit(63))
+
 
-    A long holds the positions where segments start. Each step takes, of the edges that span two neighbouring segments,
-    that of the best rank, then the leftmost, and clears the start between them.
+def _inside(x: Column, b: Column) -> Column:
+    """The starts strictly inside an edge."""
+    return b.bitwiseAND(_bit(_end(x)) - _bit(_first(x) + 1))
+
+
+def _stands(x: Column, b: Column) -> Column:
+    """Whether both ends of an edge are starts."""
+    ends = _bit(_first(x)).bitwiseOR(_bit(_end(x)))
+    return b.bitwiseAND(ends) == ends
+
+
+def merges() -> Column:
+    """The starts of a word's segments under a BPE model, as bits of a long; its end counts as one.
+
+    Edges are met once in the order of their ranks, then from the left: an edge of two neighbouring segments clears the
+    start between them. Words with a piece for which one pass might not do take the best merge again and again.
     """
     n = F.length("word")
-    packed = F.transform(F.filter("edges", lambda x: x["end"] - x["first"] > 1), lambda x: F.call_function("shiftleft", x["rank"].cast("long"), F.lit(12)).bitwiseOR(F.call_function("shiftleft", x["first"].cast("long"), F.lit(6))).bitwiseOR(x["end"].cast("long")))
-    first = lambda x: F.call_function("shiftright", x, F.lit(6)).bitwiseAND(F.lit(63))
-    end = lambda x: x.bitwiseAND(F.lit(63))
-    inside = lambda x, b: b.bitwiseAND(_bit(end(x)) - _bit(first(x) + 1))
-    stands = lambda x, b: (b.bitwiseAND(_bit(first(x))) != 0) & (b.bitwiseAND(_bit(end(x))) != 0)
+    begun = _bit(n + 1) - F.lit(1).cast("long")
+    once = F.aggregate(F.sort_array("edges"), begun, lambda b, x: F.when(_stands(x, b) & (F.bit_count(_inside(x, b)) == 1), b.bitwiseXOR(_inside(x, b))).otherwise(b))
 
     def step(b: Column, _: Column) -> Column:
-        best = F.array_min(F.filter("__packed", lambda x: stands(x, b) & (F.bit_count(inside(x, b)) == 1)))
-        return F.when(best.isNull(), b).otherwise(b.bitwiseXOR(inside(best, b)))
+        best = F.array_min(F.filter("edges", lambda x: _stands(x, b) & (F.bit_count(_inside(x, b)) == 1)))
+        return F.when(best.isNull(), b).otherwise(b.bitwiseXOR(_inside(best, b)))
 
-    # The word's end counts as a start, so that an edge's end is tested like its first.
-    begun = _bit(n + 1) - F.lit(1).cast("long")
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), begun, step)
-    return packed, folded
+    again = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), begun, step)
+    return F.when(F.col("odd"), again).otherwise(once)
+
+
+def _constant(values: list[int]) -> Column:
+    """A constant array, folded once."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
 
 
-def with_ids(lattice: DataFrame, first_byte: int, model: str = "bpe") -> DataFrame:
-    """(word, ids, and what else lattice has)."""
-    others = [c for c in lattice.columns if c not in ("word", "edges")]
+def with_ids(lattice: DataFrame, first_byte: int, model: str = "bpe", by_rank: list[int] | None = None, by_character: list[int] | None = None) -> DataFrame:
+    """(word, ids, and what else lattice has).
+
+    by_rank holds a BPE model's ids by their rank, by_character those of single characters by code point (-1: none).
+    """
+    others = [c for c in lattice.columns if c not in ("word", "edges", "odd")]
     n = F.length("word")
     if model == "bpe":
-        packed, folded = merges()
-        state = lattice.withColumn("__packed", packed).withColumn("__starts", folded)
-        has = lambda at: F.col("__starts").bitwiseAND(_bit(at)) != 0
-        inner = lambda x: F.col("__starts").bitwiseAND(_bit(x["end"]) - _bit(x["first"] + 1))
-        path = F.filter("edges", lambda x: has(x["first"]) & has(x["end"]) & (inner(x) == 0))
-        state = state.withColumn("__path", F.map_from_entries(F.transform(path, lambda x: F.struct(x["first"], x["id"]))))
-        begins = F.filter(F.sequence(F.lit(0), n - 1), has)
-    else:
-        worst = F.coalesce(F.array_min(F.transform("edges", lambda x: x["score"])), F.lit(0.0))
-
-        def reach(best: Column, e: Column) -> Column:
-            known = F.transform(F.filter("edges", lambda x: x["end"] == e), lambda x: F.struct((F.get(best, x["first"])["score"] + x["score"]).alias("score"), (-x["first"]).alias("back"), x["id"].alias("id")))
-            other = F.struct((F.get(best, e - 1)["score"] + F.col("__unknown")).alias("score"), (F.lit(1) - e).alias("back"), F.lit(-1).alias("id"))
-            covered = F.exists("edges", lambda x: (x["end"] == e) & (x["first"] == e - 1))
-            return F.concat(best, F.array(F.array_max(F.when(covered, known).otherwise(F.concat(known, F.array(other))))))
-
-        start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-1).alias("id")))
-        state = lattice.withColumn("__unknown", F.col("__worst") - UNKNOWN_PENALTY if "__worst" in lattice.columns else worst - UNKNOWN_PENALTY)
-        state = state.withColumn("__best", F.aggregate(F.sequence(F.lit(1), n), start, reach))
-        # Backwards along the best edges: (where the walk stands, starts met).
-        walk = F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<struct<first:int,id:int>>").alias("met")), lambda s, _: F.when(s["at"] <= 0, s).otherwise(F.struct((-F.get("__best", s["at"])["back"]).alias("at"), F.concat(F.array(F.struct((-F.get("__best", s["at"])["back"]).alias("first"), F.get("__best", s["at"])["id"].alias("id"))), s["met"]).alias("met"))))
-        state = state.withColumn("__met", walk["met"])
-        state = state.withColumn("__path", F.map_from_entries(F.filter("__met", lambda x: x["id"] >= 0)))
-        begins = F.transform("__met", lambda x: x["first"])
+        low = F.lit((1 << 32) - 1)
+        state = lattice.withColumn("__starts", merges())
+        path = F.filter("edges", lambda x: _stands(x, F.col("__starts")) & (_inside(x, F.col("__starts")) == 0))
+        placed = lambda first, i: F.call_function("shiftleft", first.cast("long"), F.lit(32)).bitwiseOR(i.cast("long"))
+        longer = F.transform(path, lambda x: placed(_first(x), F.get(_constant(by_rank), F.call_function("shiftright", x, F.lit(12)).cast("int"))))
+        alone = F.filter(F.sequence(F.lit(0), n - 1), lambda at: F.call_function("shiftrightunsigned", F.col("__starts"), at).bitwiseAND(F.lit(3)) == 3)
+        character = lambda at: F.col("word").substr(at + 1, F.lit(1))
+        # An unknown character has all low bits set.
+        single = F.transform(alone, lambda at: placed(at, F.coalesce(F.nullif(F.get(_constant(by_character), F.ascii(character(at))), F.lit(-1)).cast("long"), low)))
+        state = state.withColumn("__path", F.sort_array(F.concat(longer, single)))
+        plain = F.transform("__path", lambda p: p.bitwiseAND(low).cast("int"))
+        with_bytes = F.flatten(F.transform("__path", lambda p: F.when(p.bitwiseAND(low) == low, byte_ids(character(F.call_function("shiftright", p, F.lit(32)).cast("int")), first_byte)).otherwise(F.array(p.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")))))
+        ids = F.when(F.exists("__path", lambda p: p.bitwiseAND(low) == low), with_bytes).otherwise(plain)
+        return state.select("word", ids.alias("ids"), *others)
+    worst = F.coalesce(F.array_min(F.transform("edges", lambda x: x["score"])), F.lit(0.0))
+
+    def reach(best: Column, e: Column) -> Column:
+        known = F.transform(F.filter("edges", lambda x: x["end"] == e), lambda x: F.struct((F.get(best, x["first"])["score"] + x["score"]).alias("score"), (-x["first"]).alias("back"), x["id"].alias("id")))
+        other = F.struct((F.get(best, e - 1)["score"] + F.col("__unknown")).alias("score"), (F.lit(1) - e).alias("back"), F.lit(-1).alias("id"))
+        covered = F.exists("edges", lambda x: (x["end"] == e) & (x["first"] == e - 1))
+        return F.concat(best, F.array(F.array_max(F.when(covered, known).otherwise(F.concat(known, F.array(other))))))
+
+    start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-1).alias("id")))
+    state = lattice.withColumn("__unknown", F.col("__worst") - UNKNOWN_PENALTY if "__worst" in lattice.columns else worst - UNKNOWN_PENALTY)
+    state = state.withColumn("__best", F.aggregate(F.sequence(F.lit(1), n), start, reach))
+    # Backwards along the best edges: (where the walk stands, starts met).
+    walk = F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<struct<first:int,id:int>>").alias("met")), lambda s, _: F.when(s["at"] <= 0, s).otherwise(F.struct((-F.get("__best", s["at"])["back"]).alias("at"), F.concat(F.array(F.struct((-F.get("__best", s["at"])["back"]).alias("first"), F.get("__best", s["at"])["id"].alias("id"))), s["met"]).alias("met"))))
+    state = state.withColumn("__met", walk["met"])
+    state = state.withColumn("__path", F.map_from_entries(F.filter("__met", lambda x: x["id"] >= 0)))
+    begins = F.transform("__met", lambda x: x["first"])
     ids = F.flatten(F.transform(begins, lambda at: F.when(F.map_contains_key("__path", at), F.array(F.element_at("__path", at))).otherwise(byte_ids(F.col("word").substr(at + 1, F.lit(1)), first_byte))))
     return state.select("word", ids.alias("ids"), *others)
 
@@ -174,11 +241,23 @@ def word_codes(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFr
     spark = docs.sparkSession
     first_byte = sentencepiece.SentencePieceProcessor(model_file=path).piece_to_id("<0x00>")
     rows = ranked(piece_rows(path))
-    pieces = spark.createDataFrame(rows, "piece string, id int, score double, rank int")
-    distinct = occurrences(docs, id_col, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    odd = out_of_order(rows)
+    pieces = spark.createDataFrame([(*r, r[0] in odd) for r in rows], "piece string, id int, score double, rank int, odd boolean")
+    by_rank = [i for _, i in sorted((r[3], r[1]) for r in rows)]
+    characters = {ord(r[0]): r[1] for r in rows if len(r[0]) == 1}
+    by_character = [characters.get(c, -1) for c in range(max(characters, default=0) + 1)]
+    # The length is an aggregate, so that both uses read one shuffle.
+    distinct = occurrences(docs, id_col, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("word")).alias("size"))
     # Grouped by word already, so that neither the lattice nor its grouping is shuffled.
-    lattice = edges(distinct.where(F.length("word") <= LONGEST), pieces, max(len(r[0]) for r in rows), ["n"])
-    return kept(with_ids(lattice, first_byte).union(by_library(distinct.where(F.length("word") > LONGEST), path).select("word", "ids", "n")))
+    lattice = edges(distinct.where(F.col("size") <= LONGEST).drop("size"), pieces, max(len(r[0]) for r in rows), ["n"], F.expr(PACKED), 2)
+    coded = with_ids(lattice, first_byte, "bpe", by_rank, by_character).union(by_library(distinct.where(F.col("size") > LONGEST), path).select("word", "ids", "n"))
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(GROUPS))
+    try:
+        return kept(coded)
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
@@ -195,8 +274,9 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     common = codes.where(F.col("n") >= F.lit(least if least is not None else 2**62)).select("word", "ids")
     others = codes.where(F.col("n") < F.lit(least if least is not None else 2**62)).select("word", "ids")
     placed = occurrences(docs, id_col, text_col)
-    direct = placed.join(F.broadcast(common), "word").select(id_col, "position", "ids")
-    rare = placed.join(F.broadcast(common.select("word")), "word", "left_anti").join(others.hint("merge"), "word").select(id_col, "position", "ids")
+    known = placed.join(F.broadcast(common), "word", "left")
+    direct = known.where("ids IS NOT NULL").select(id_col, "position", "ids")
+    rare = known.where("ids IS NULL").select(id_col, "position", "word").join(others.hint("merge"), "word").select(id_col, "position", "ids")
     return direct.union(rare)
 
 
