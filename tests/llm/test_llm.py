@@ -471,6 +471,16 @@ def test_simhash_defined_cases(spark, odd):
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_keep_first_keeps_unrelated_texts_under_one_id(spark):
+    text = lambda seed: " ".join(random.Random(seed).choices("abcdefghijklmnop", k=60))
+    rows = [(None, text(1), "x"), (None, text(2), "x"), (None, text(3), "x"), (None, text(3), "x"), (7, text(4), "x"), (7, text(5), "x"), (7, text(5), "y"), (3, text(5), "x"), (9, text(1), "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    want = sorted([(9, text(1), "x"), (None, text(2), "x"), (None, text(3), "x"), (7, text(4), "x"), (3, text(5), "x")], key=str)
+    for part in (frame, frame.orderBy(F.desc("text")).repartition(3)):
+        assert sorted(map(tuple, simhash.keep_first(part).collect()), key=str) == want
+    assert simhash.keep_first(frame.limit(0)).count() == 0
+
+
 # ---- 10 embeddings
 
 

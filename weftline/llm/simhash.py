@@ -159,16 +159,21 @@ def fingerprint_edges(distinct: DataFrame, threshold: int = THRESHOLD, homes: in
     return dealt.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, __fp, __component) for each row of docs."""
-    own = cut(fingerprints(docs, shingle, id_col, text_col))
+def classes(own: DataFrame, id_col: str, threshold: int = THRESHOLD) -> DataFrame:
+    """(__of, __component) for each distinct fingerprint of own (id_col, __fp): the smallest id of its component."""
     distinct = cut(own.groupBy("__fp").agg(F.min(id_col).alias("__least")))
     linked = components(fingerprint_edges(distinct, threshold))
     named = distinct.join(linked, distinct["__fp"] == linked["node"], "left").select("__fp", "__least", F.coalesce("root", F.lit(None).cast("long")).alias("__root"))
     groups = named.where("__root IS NOT NULL").groupBy("__root").agg(F.min("__least").alias("__first"))
-    classes = named.join(groups, "__root", "left").select(F.col("__fp").alias("__of"), F.coalesce("__first", "__least").alias("__component"))
+    return named.join(groups, "__root", "left").select(F.col("__fp").alias("__of"), F.coalesce("__first", "__least").alias("__component"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, __fp, __component) for each row of docs."""
+    own = cut(fingerprints(docs, shingle, id_col, text_col))
+    named = classes(own, id_col, threshold)
     # AQE splits the partition of a fingerprint that many rows share.
-    return own.join(classes, own["__fp"] == classes["__of"]).select(id_col, "__fp", "__component")
+    return own.join(named, own["__fp"] == named["__of"]).select(id_col, "__fp", "__component")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,12 +181,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("__fp")), 16, "0").alias("fingerprint"), F.col("__component").alias("component_id"))
 
 
+def with_rows(docs: DataFrame) -> DataFrame:
+    """docs plus __row, what tells its rows apart in the order in which they are preferred: rows with an id first, by id,
+    then by hash of the text, then of all columns. Rows with equal __row are equal."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), text.alias("text"), whole.alias("whole")))
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without near-duplicates: of each component the row whose id is the component's stays, once."""
-    own = near_duplicates(docs).where("doc_id <=> __component").select(F.col("doc_id").alias("__id"), F.col("__fp")).distinct()
-    first = own.groupBy("__id").agg(F.min("__fp").alias("__fp"))
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """docs without near-duplicates: of each component the row that comes first in the order of with_rows() stays, once."""
+    rows = with_rows(docs)
+    own = cut(fingerprints(rows, id_col="__row"))
+    first = classes(own, "__row").select(F.col("__component.text").alias("__t"), F.col("__component.whole").alias("__w")).distinct()
+    marked = rows.withColumns({"__text": F.col("__row.text"), "__whole": F.col("__row.whole")})
+    kept = marked.join(first, (marked["__text"] == first["__t"]) & (marked["__whole"] == first["__w"]), "left_semi")
+    return kept.dropDuplicates(["__text", "__whole"]).select(*[f"`{c}`" for c in docs.columns])
 
 
 QUERIES = {"op9_simhash_anchor_dedup": op9}
