@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from weftline import llm
-from weftline.llm import chunks, common, langid, lattice, licenses, mainhtml, packing, pieces, secrets, shards, simhash
+from weftline.llm import chunks, common, jaccard, langid, lattice, licenses, mainhtml, packing, pieces, secrets, shards, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, fp string, __note string"
 
@@ -481,6 +481,34 @@ def test_keep_first_keeps_unrelated_texts_under_one_id(spark):
     assert simhash.keep_first(frame.limit(0)).count() == 0
 
 
+def shingles_brute(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset(" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def near_copies():
+    """Texts and copies of them with one to six words changed, and many near copies of one text."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 220))) for _ in range(60)]
+    for k in range(240):
+        words = texts[k % 60 if k < 120 else 7].split()
+        for _ in range(rng.randint(1, 6)):
+            words[rng.randrange(len(words))] = rng.choice("abcdefghijklmnopqrstuvwxyz")
+        texts.append(" ".join(words))
+    return [*texts, None, "", texts[5].upper()]
+
+
+@pytest.mark.parametrize("rounds", [0, 3])
+def test_keep_first_joins_all_texts_with_shingle_similarity(spark, monkeypatch, rounds):
+    monkeypatch.setattr(jaccard.edges, "__defaults__", (rounds,))
+    texts = near_copies()
+    sets = [shingles_brute(t) for t in texts]
+    near = lambda k: np.array([s == sets[k] or 5 * len(s & sets[k]) >= 4 * len(s | sets[k]) for s in sets])
+    want = sorted(set(roots(sets, near).tolist()))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_first(frame).collect()) == want
+
+
 # ---- 10 embeddings
 
 

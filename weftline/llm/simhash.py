@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weftline.llm import jaccard
 from weftline.llm.common import components, cut, hot_split, joined_labels, runs, table, width
 
 SHINGLE, THRESHOLD, SEED = 4, 4, 42
@@ -159,21 +160,16 @@ def fingerprint_edges(distinct: DataFrame, threshold: int = THRESHOLD, homes: in
     return dealt.repartition(n, "key", "part").sortWithinPartitions("key", "part").mapInArrow(compare, "a long, b long").distinct()
 
 
-def classes(own: DataFrame, id_col: str, threshold: int = THRESHOLD) -> DataFrame:
-    """(__of, __component) for each distinct fingerprint of own (id_col, __fp): the smallest id of its component."""
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_col, __fp, __component) for each row of docs."""
+    own = cut(fingerprints(docs, shingle, id_col, text_col))
     distinct = cut(own.groupBy("__fp").agg(F.min(id_col).alias("__least")))
     linked = components(fingerprint_edges(distinct, threshold))
     named = distinct.join(linked, distinct["__fp"] == linked["node"], "left").select("__fp", "__least", F.coalesce("root", F.lit(None).cast("long")).alias("__root"))
     groups = named.where("__root IS NOT NULL").groupBy("__root").agg(F.min("__least").alias("__first"))
-    return named.join(groups, "__root", "left").select(F.col("__fp").alias("__of"), F.coalesce("__first", "__least").alias("__component"))
-
-
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, __fp, __component) for each row of docs."""
-    own = cut(fingerprints(docs, shingle, id_col, text_col))
-    named = classes(own, id_col, threshold)
+    classes = named.join(groups, "__root", "left").select(F.col("__fp").alias("__of"), F.coalesce("__first", "__least").alias("__component"))
     # AQE splits the partition of a fingerprint that many rows share.
-    return own.join(named, own["__fp"] == named["__of"]).select(id_col, "__fp", "__component")
+    return own.join(classes, own["__fp"] == classes["__of"]).select(id_col, "__fp", "__component")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,10 +187,10 @@ def with_rows(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """docs without near-duplicates: of each component the row that comes first in the order of with_rows() stays, once."""
+    """docs without near-duplicates, texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8: of
+    each component the row that comes first in the order of with_rows() stays, once."""
     rows = with_rows(docs)
-    own = cut(fingerprints(rows, id_col="__row"))
-    first = classes(own, "__row").select(F.col("__component.text").alias("__t"), F.col("__component.whole").alias("__w")).distinct()
+    first = jaccard.first_rows(rows, "__row").select(F.col("__first.text").alias("__t"), F.col("__first.whole").alias("__w")).distinct()
     marked = rows.withColumns({"__text": F.col("__row.text"), "__whole": F.col("__row.whole")})
     kept = marked.join(first, (marked["__text"] == first["__t"]) & (marked["__whole"] == first["__w"]), "left_semi")
     return kept.dropDuplicates(["__text", "__whole"]).select(*[f"`{c}`" for c in docs.columns])
