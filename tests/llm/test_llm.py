@@ -610,3 +610,17 @@ def test_pipeline_is_its_stages(spark, sf_dir, docs, tmp_path):
     assert not kept.where(F.col("text").rlike('token = "[0-9a-f]{40}"')).count()
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert check_pieces(rows, {r.doc_id: r.text for r in kept.collect()}) < 0.03
+
+
+def test_pipeline_writes_and_rereads_each_stage(spark, sf_dir, monkeypatch):
+    import corpus_pipeline
+
+    read = []
+
+    def stage(spark, docs, sf_dir):
+        read.append(set(docs.inputFiles()))
+        return docs.limit(20)
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, stage) for n in "abc"])
+    assert corpus_pipeline.run(spark, sf_dir).count() == 20
+    assert len(read) == 3 and not read[0] & read[1] and not read[1] & read[2]
