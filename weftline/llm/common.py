@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -16,11 +17,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, taken) -> str:
+    """name, with as many underscores after it as make it differ from all names taken, whatever their case."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """The columns of df, whatever signs are in their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def beside(df: DataFrame, *more: Column) -> DataFrame:
+    """The struct `row` of all of df's columns, and more; select("row.*") gives the columns back, whatever their names."""
+    return df.select(F.struct(*columns(df)).alias("row"), *more)
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts: the cluster's spark.checkpoint.dir, or one of our own where that is unset."""
+    """The shared folder for lineage cuts: the cluster's spark.checkpoint.dir. Only in one process, where it is unset, is
+    it a temporary folder of our own."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="weftline-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="weftline-")
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -47,16 +72,19 @@ def mixed(x):
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the undirected edges (a, b); equal roots mean the same component.
 
-    Each round hooks every node to its smallest neighbour and contracts the edges, which keeps joins between narrow
-    tables, never gathers a component in one task and ends after about log n rounds, as node order is random.
+    Each round hooks every node to the smallest neighbour of its smallest neighbour and contracts the edges, which keeps
+    joins between narrow tables, never gathers a component in one task and ends after about log n rounds, as node order
+    is random.
     """
-    edges = cut(edges.where("a <> b").select("a", "b"))
-    named = edges.select(mixed(F.col("a")).alias("a"), mixed(F.col("b")).alias("b"))
-    live = cut(named.union(named.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    back = cut(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", mixed(F.col("node"))))
+    edges = edges.where("a <> b").select(mixed(F.col("a")).alias("a"), mixed(F.col("b")).alias("b"), F.col("a").alias("x"), F.col("b").alias("y"))
+    edges = cut(edges)
+    live = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    back = edges.select(F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("a").alias("root")), F.struct(F.col("y").alias("node"), F.col("b").alias("root")))).alias("e")).select("e.*").distinct()
     while not live.isEmpty():
-        hooks = cut(live.groupBy("a").agg(F.min("b").alias("to")).select(F.col("a").alias("from"), F.least("a", "to").alias("to")))
-        back = cut(back.join(hooks, back["root"] == hooks["from"], "left").select("node", F.coalesce("to", "root").alias("root")))
+        one = live.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("b"))
+        two = one.select(F.col("a").alias("b"), F.col("b").alias("to"))
+        hooks = cut(one.join(two, "b").select(F.col("a").alias("from"), "to"))
+        back = back.join(hooks, back["root"] == hooks["from"], "left").select("node", F.coalesce("to", "root").alias("root"))
         left = live.join(hooks, live["a"] == hooks["from"]).select(F.col("to").alias("a"), "b")
         both = left.join(hooks, left["b"] == hooks["from"]).select("a", F.col("to").alias("b"))
         live = cut(both.where("a <> b").distinct())
@@ -108,16 +136,16 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
 def hot_split(rows: DataFrame, key: str, node: str, limit: int) -> DataFrame:
     """rows plus a column part. The homes of a key with more than limit of them are dealt into parts by node, and all its
     other rows go to each part, so that no task gathers a hot key; home and visitor still meet exactly once."""
-    hot = cut(rows.where("home").groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(F.col(key).alias("__key"), F.ceil(F.col("n") / limit).cast("int").alias("__parts")))
+    hot = cut(rows.where("home").groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select(F.col(key).alias("hot_key"), F.ceil(F.col("n") / limit).cast("int").alias("parts")))
     if hot.isEmpty():
         return rows.withColumn("part", F.lit(0))
-    parts = F.coalesce("__parts", F.lit(1))
-    dealt = rows.join(hot, rows[key] == hot["__key"], "left")
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = rows.join(hot, rows[key] == hot["hot_key"], "left")
     own = F.array(F.pmod(F.xxhash64(node), parts).cast("int"))
     to = F.when(F.col("home"), own).otherwise(F.sequence(F.lit(0), parts - 1))
     # A home also visits the other parts of its own key.
     here = dealt.select(*rows.columns, F.explode(to).alias("part"))
-    away = dealt.where("home AND __parts > 1").select(*[F.lit(False).alias("home") if c == "home" else F.col(c) for c in rows.columns], F.explode(F.array_except(F.sequence(F.lit(0), parts - 1), own)).alias("part"))
+    away = dealt.where("home AND parts > 1").select(*[F.lit(False).alias("home") if c == "home" else F.col(c) for c in rows.columns], F.explode(F.array_except(F.sequence(F.lit(0), parts - 1), own)).alias("part"))
     return here.unionByName(away)
 
 
@@ -130,7 +158,10 @@ def batched(fn: Callable, batches: Iterator[pa.RecordBatch], most: int) -> Itera
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """df as a table of its own in the shared folder."""
-    path = f"{checkpoint_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    """df as a table of its own in the shared folder, which goes when the application ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.parquet(path)

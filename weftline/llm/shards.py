@@ -6,7 +6,8 @@ slots as any other, give or take one, and when a shard comes or goes few other s
 hash modulo the slots, so that placing a row is one lookup in the broadcast table, whose size is the parameter `slots`.
 
 Defined cases: a null key is the empty string; repeated keys share a shard; equal shard names are refused; an empty
-table gives no rows.
+table gives no rows; columns of rows keep their names, whatever these are, and where one is called like a result column,
+that column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import table
+from weftline.llm.common import beside, free, table
 
 SHARDS, SLOTS = 64, 8191
 
@@ -50,11 +51,11 @@ def slot_of(key: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long"), F.lit(slots))
 
 
-def place(rows: DataFrame, key: Column, names: list[str], slots: int = SLOTS) -> DataFrame:
-    """rows plus __slot long and __shard int."""
-    held = rows.sparkSession.createDataFrame(list(enumerate(lookup_table(names, slots))), "__at long, __shard int")
-    placed = rows.withColumn("__slot", slot_of(key, slots))
-    return placed.join(F.broadcast(held), placed["__slot"] == held["__at"]).drop("__at")
+def place(rows: DataFrame, key: Column, names: list[str], slots: int = SLOTS, slot_col: str = "slot", shard_col: str = "shard") -> DataFrame:
+    """rows plus slot_col long and shard_col int."""
+    held = rows.sparkSession.createDataFrame(list(enumerate(lookup_table(names, slots))), "at long, held int")
+    placed = beside(rows, slot_of(key, slots).alias("s")).join(F.broadcast(held), F.col("s") == F.col("at"))
+    return placed.select("row.*", F.col("s").alias(free(slot_col, rows.columns)), F.col("held").alias(free(shard_col, rows.columns)))
 
 
 def shard_names(n: int = SHARDS) -> list[str]:
@@ -63,7 +64,7 @@ def shard_names(n: int = SHARDS) -> list[str]:
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id")
-    return place(docs, F.col("doc_id"), shard_names()).select("doc_id", F.col("__slot").alias("slot"), F.col("__shard").cast("long").alias("shard"))
+    return place(docs, F.col("doc_id"), shard_names()).select("doc_id", "slot", F.col("shard").cast("long").alias("shard"))
 
 
 QUERIES = {"op2_permutation_table_sharding": op2}
