@@ -13,7 +13,9 @@ Each task packs its own rows, in blocks of a bounded number of tokens, so nothin
 task that is run again on the same rows gives the same pieces. A sequence's id holds its partition in the upper bits.
 
 Defined cases: null text is empty and gives one end id; repeated and null ids are documents of their own, row by row;
-strings of special tokens in a text are read as the tokenizer reads them by default; an empty table gives no rows.
+strings of special tokens in a text are read as the tokenizer reads them by default; texts on whose long runs of one kind
+of sign the faster coder gives up are coded by the library itself; an empty table gives no rows; other columns of docs are
+left out, and where id_col is the name of a result column, that column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import table
+from weftline.llm.common import free, table
 
 WINDOW, END_ID, VOCABULARY = 2048, 1, "byte_bpe_50k.json"
 #: Costs, in tokens of padding: a cut at a sentence's end, one inside a sentence, each sequence.
@@ -57,6 +59,7 @@ class Coder:
     def __init__(self, path: str):
         import tiktoken
 
+        self.path, self.library = path, None
         with open(path, encoding="utf-8") as f:
             kept = json.load(f)
         special = {t["content"]: t["id"] for t in kept["added_tokens"]}
@@ -70,7 +73,17 @@ class Coder:
                 self.sentence_end[i] = True
 
     def __call__(self, text: str) -> np.ndarray:
-        return self.coder.encode_to_numpy(text, allowed_special=self.special)
+        try:
+            return self.coder.encode_to_numpy(text, allowed_special=self.special)
+        except ValueError:  # its pattern engine's stack is bounded
+            return self.by_library(text)
+
+    def by_library(self, text: str) -> np.ndarray:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
 @lru_cache(1)
@@ -143,8 +156,10 @@ def pack(ids: np.ndarray, lengths: np.ndarray, sentence_end: np.ndarray, window:
 
 def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """One row per piece: id_col, start, length, ids (if with_ids), ids_crc32, doc_tokens, sequence_id, offset."""
-    kind = docs.select(id_col).schema[0].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+    columns = [id_col, *(free(n, [id_col]) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids))]
+    schema = ", ".join(f"`{n}` {k}" for n, k in zip(columns, [kind, *["long"] * 6, "array<int>"], strict=False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, context = coder_of(tokenizer_path), TaskContext.get()
@@ -172,12 +187,11 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
             waiting = 0
             return pa.RecordBatch.from_arrays(arrays, columns)
 
-        columns = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
         kinds = None
         for batch in batches:
             kinds = batch.schema.field(0).type
             for name, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = coder(text.as_py() or "")
+                ids = coder(text.as_py())
                 names.append(name.as_py())
                 held += [ids, end]
                 lengths.append(len(ids) + 1)
@@ -187,7 +201,7 @@ def packed(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: i
         if names:
             yield out()
 
-    return docs.select(id_col, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def tokenizer_file() -> str:
