@@ -7,16 +7,20 @@ of the chunks' digests, each with the bytes its chunks hold; the containment of
 bytes whose digests the other has too.
 
 Neighbours in the descending order of ids meet in one range: rows are dealt to ranges of ids, the head of each range is
-copied to the range before it, and each range is streamed in order. Text is shuffled once.
+copied to the range before it, and each range is streamed in order. An id that many rows have, as null, is dealt to ranges
+of its texts' hashes, and equal rows that a batch has several of travel as one with their number. Text is shuffled once.
 
 Defined cases: null text is empty; an empty text has the fingerprint of no chunks, is contained fully in every empty
-text and not at all in others; rows with equal ids follow in order of their text's hash and text, and null ids come
-last; the last row's next is the first; a single row is its own next; an empty table gives no rows.
+text and not at all in others; rows with equal ids follow in descending order of their text's hash and text, and null ids
+come last; the last row's next is the first; a single row is its own next; an empty table gives no rows; ids are whole
+numbers (others are refused, as their order would be lost); other columns of docs are left out, and where id_col is the
+name of a result column, that column's name gets a trailing underscore.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +28,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from weftline.llm.common import table, width
+from weftline.llm.common import free, table, width
 
 LEAST, NORMAL, MOST = 32, 64, 192
 STRICT, LOOSE = np.uint32(0b1111111 << 25), np.uint32(0b11111 << 27)
@@ -106,14 +111,33 @@ def edited(text: str, following: str) -> str:
 _NULL = -(2**63)
 
 
-def ranges_of(docs: DataFrame, id_col: str, rows: int) -> np.ndarray:
-    """Ascending ids, between which lie ranges of about so many rows."""
-    n = docs.count()
-    ranges = min(max(-(-n // rows), 4 * width(docs.sparkSession)), -(-n // 32), MOST_RANGES)
-    if ranges < 2:
-        return np.zeros(0, np.int64)
-    found = docs.agg(F.percentile_approx(F.col(id_col), [k / ranges for k in range(1, ranges)], 20 * ranges).alias("c")).first()["c"]
-    return np.unique(np.array(found or [], np.int64))
+class Ranges:
+    """Numbers of ranges of about so many rows, ascending with (whether there is an id, the id, the hash)."""
+
+    def __init__(self, docs: DataFrame, rows: int):
+        n, known = docs.agg(F.count(F.lit(1)), F.count("id")).first()
+        ranges = min(max(-(-n // rows), 4 * width(docs.sparkSession)), -(-n // 32), MOST_RANGES)
+        size = max(1, -(-n // max(1, ranges)))
+        found: list[int] = []
+        if known > size:
+            steps = -(-known // size)
+            found = docs.agg(F.percentile_approx("id", [k / steps for k in range(1, steps)], 20 * steps).alias("c")).first()["c"] or []
+        held = Counter(found)
+        # An id that ends several ranges has them all for itself.
+        hot = {c: m for c, m in held.items() if m > 1}
+        self.cuts = np.array(sorted({*held, *(c - 1 for c in hot if c > _NULL)}), np.int64)
+        parts = [max(1, -(-(n - known) // size))] + [1] * (len(self.cuts) + 1)
+        for c, m in hot.items():
+            parts[1 + int(np.searchsorted(self.cuts, c))] = m
+        self.parts = np.array(parts, np.int64)
+        self.first = np.cumsum(self.parts) - self.parts
+
+    def of(self, ids: pa.Array, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The range of each row, and the ids with null as the least."""
+        filled = ids.fill_null(_NULL).to_numpy(zero_copy_only=False)
+        span = np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, 1 + np.searchsorted(self.cuts, filled, side="left"))
+        share = (hashes.astype(np.float64) / 2.0**64 + 0.5).clip(0, 1 - 1e-12)
+        return (self.first[span] + (share * self.parts[span]).astype(np.int64)).astype(np.int32), filled
 
 
 def with_next(docs: DataFrame, made, schema: str, id_col: str = "doc_id", text_col: str = "text", rows: int = RANGE_ROWS) -> DataFrame:
@@ -121,21 +145,16 @@ def with_next(docs: DataFrame, made, schema: str, id_col: str = "doc_id", text_c
 
     made is a function from an iterator of those to an iterator of record batches of the given schema.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    cuts = ranges_of(own, "id", rows)
-
-    def ranged(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        """The range of each row, descending with the id, and the id with null as the least."""
-        ids = b.column(b.schema.get_field_index("id"))
-        filled = ids.fill_null(_NULL).to_numpy(zero_copy_only=False)
-        number = len(cuts) - np.searchsorted(cuts, filled, side="left")
-        return np.where(ids.is_null().to_numpy(zero_copy_only=False), len(cuts) + 1, number).astype(np.int32), filled
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError("ids must be whole numbers")
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    ranges = Ranges(own, rows)
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, tuple[int, int]] = {}
         for b in batches:
-            number, ids = ranged(b)
             hashes = b.column(1).to_numpy(zero_copy_only=False)
+            number, ids = ranges.of(b.column(0), hashes)
             order = np.lexsort((hashes, ids, number))
             last = np.flatnonzero(np.append(np.diff(number[order]) != 0, True)) if len(order) else []
             for at in order[last].tolist() if len(order) else []:
@@ -143,36 +162,52 @@ def with_next(docs: DataFrame, made, schema: str, id_col: str = "doc_id", text_c
                 best[int(number[at])] = max(key, best.get(int(number[at]), key))
         yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array([k[0] for k in best.values()], pa.int64()), pa.array([k[1] for k in best.values()], pa.int64())], ["range", "id", "hash"])
 
-    # One row per range reaches the driver; there are MOST_RANGES at most.
+    # One row per range reaches the driver; there are a few times MOST_RANGES at most.
     heads = own.select("id", "hash").mapInArrow(tops, "range int, id long, hash long").groupBy("range").agg(F.max(F.struct("id", "hash")).alias("top")).collect()
     numbers = sorted(r["range"] for r in heads)
-    before = {r: numbers[k - 1] for k, r in enumerate(numbers)}
+    # Descending, a range is followed by the next lower one, and the lowest by the highest.
+    before = {r: numbers[(k + 1) % len(numbers)] for k, r in enumerate(numbers)}
     head_of = {r["range"]: (r["top"]["id"], r["top"]["hash"]) for r in heads}
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            number, ids = ranged(b)
             hashes = b.column(2).to_numpy(zero_copy_only=False)
-            copies = [k for k, key in enumerate(zip(number.tolist(), ids.tolist(), hashes.tolist(), strict=True)) if head_of[key[0]] == key[1:]]
-            plain = pa.RecordBatch.from_arrays([pa.array(number), pa.array(np.zeros(len(number), bool)), *b.columns], ["range", "head", "id", "text", "hash"])
-            yield plain
-            if copies:
-                moved = plain.take(pa.array(copies))
-                to = pa.array([before[int(number[k])] for k in copies], pa.int32())
-                yield pa.RecordBatch.from_arrays([to, pa.array(np.ones(len(copies), bool)), *moved.columns[2:]], plain.schema.names)
+            number, ids = ranges.of(b.column(0), hashes)
+            seen: dict[tuple, list[int]] = {}
+            for k, key in enumerate(zip(number.tolist(), ids.tolist(), hashes.tolist(), strict=True)):
+                seen.setdefault(key, []).append(k)
+            first, copies, moved = [], [], []
+            for key, at in seen.items():
+                texts = Counter(b.column(1)[k].as_py() for k in at) if len(at) > 1 else {None: 1}
+                if len(texts) == 1:
+                    first.append(at[0]), copies.append(len(at))
+                else:
+                    first.extend(at), copies.extend([1] * len(at))
+                if head_of[key[0]] == key[1:]:
+                    moved.extend(at if len(texts) > 1 else at[:1])
+            names = ["range", "head", "copies", "id", "text", "hash"]
+            rows = b.take(pa.array(first, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(number[first]), pa.array(np.zeros(len(first), bool)), pa.array(copies, pa.int64()), *rows.columns], names)
+            if moved:
+                rows = b.take(pa.array(moved, pa.int64()))
+                to = pa.array([before[int(number[k])] for k in moved], pa.int32())
+                yield pa.RecordBatch.from_arrays([to, pa.array(np.ones(len(moved), bool)), pa.array(np.ones(len(moved)), pa.int64()), *rows.columns], names)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         held, done = None, None
         for b in batches:
-            for number, head, i, text in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
+            for number, head, copies, i, text in zip(*(b.column(k).to_pylist() for k in range(5)), strict=True):
                 if held is not None and held[0] == number and done != number:
                     yield held[1], held[2], text
                 if head:
                     done, held = number, None
                 else:
+                    # Of equal rows each but the last is followed by its like.
+                    for _ in range(copies - 1):
+                        yield i, text, text
                     held = (number, i, text)
 
-    dealt = own.select("id", "text", "hash").mapInArrow(deal, "range int, head boolean, id long, text string, hash long")
+    dealt = own.select("id", "text", "hash").mapInArrow(deal, "range int, head boolean, copies long, id long, text string, hash long")
     sorted_rows = dealt.repartition(width(docs.sparkSession), "range").sortWithinPartitions("range", "head", F.desc_nulls_last("id"), F.desc("hash"), F.desc("text"))
     return sorted_rows.mapInArrow(lambda batches: made(stream(batches)), schema)
 
@@ -180,7 +215,7 @@ def with_next(docs: DataFrame, made, schema: str, id_col: str = "doc_id", text_c
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch: int = 512) -> DataFrame:
     """One row per row of docs: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-    names = (id_col, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    names = (id_col, *(free(n, [id_col]) for n in ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")))
 
     def made(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
         known, chunks = None, {}
@@ -197,7 +232,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    schema = f"`{id_col}` long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = ", ".join(f"`{n}` {k}" for n, k in zip(names, ("long", "long", "string", "string", "string", "double", "double"), strict=True))
     return with_next(docs, made, schema, id_col, text_col)
 
 
