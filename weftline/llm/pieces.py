@@ -4,35 +4,53 @@ A text is normalised as the model says (a space in front, spaces as U+2581) and
 Each distinct word's lattice is made once: its substrings of at most the longest piece's length are exploded and
 equi-joined with the piece table (broadcast; as many rows as the vocabulary), edges are grouped by word, and a Spark
 higher-order aggregate folds them to ids. Two folds are given. For unigram models it is Viterbi: the best score up to
-each position. For BPE models, whose scores are merge ranks, the path of the best sum isn't what the model means; there
-the fold merges neighbouring edges in the order of their ranks, which gives the library's ids.
+each position (viterbi_words()). For BPE models, whose scores are merge ranks, the path of the best sum isn't what the
+model means; there the fold merges neighbouring edges in the order of their ranks, which gives the library's ids.
 Characters outside the vocabulary become their UTF-8 bytes' pieces.
 
-Ids return to the documents' words by two joins: the FREQUENT most frequent words are broadcast, which is a bounded
-table, and only the occurrences of the others are shuffled. The result has a row per word of a document, in the order of
-`position`; by_document() gathers them where arrays are wanted. Words longer than LONGEST characters, for which a mask
-of positions doesn't fit a long, are encoded by the library itself.
-
-Defined cases: null and empty text has no words and no rows; repeated rows are encoded alike, each for itself; null ids
-keep their words; an empty table gives no rows.
+Ids return to the documents in two ways. The words that are most frequent in a sample of SAMPLE_DOCS documents, FREQUENT
+of at most SHORT characters each, go through the lattice first and are broadcast: that bounds the table's size, and leaves
+no frequent word out; which words are in it changes no result. A pass over the documents then gives runs of such words. All
+other words are shuffled once, with their places; their lattices are folded where they land and joined to the places there.
+The result has a row for each run and each other word: `position` is the place of its first word in the document, and rows
+in the order of `position` make the document (by_document() gathers them). `text_key` tells the texts of one id apart. Words
+of more than LONGEST characters, whose positions don't fit the bits of a long, are folded by the same merges over a heap.
+
+Defined cases: null and empty text is one row without ids; repeated rows are encoded alike, each for itself, and gathered
+and decoded as often as they came; null ids are an id of their own; texts are cut into parts of SEGMENT characters
+between words, so a long one takes no more memory than a short one; an empty table gives no rows; other columns of docs are
+left out, and where id_col is the name of a result column, that column's name gets a trailing underscore. Decoding takes
+unknown ids as the library does, and control ids as nothing; bytes that aren't UTF-8 become U+FFFD.
 """
 
 from __future__ import annotations
 
+import heapq
+import re
+import uuid
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm.common import kept, table
+from weftline.llm.common import batched, free, table, width
 
-MODEL, FREQUENT, LONGEST, SPACE = "piece_bpe_32k.model", 500_000, 60, "▁"
-#: Words that a task groups by hash before it sorts.
-GROUPS = 150_000
+MODEL, LONGEST, SPACE = "piece_bpe_32k.model", 60, "▁"
+#: Words that are broadcast, characters of each at most, and documents from which they are taken.
+FREQUENT, SHORT, SAMPLE_DOCS = 200_000, 24, 8_000
+#: Characters of a text that are split at once, and bytes of a batch.
+SEGMENT, BATCH = 1 << 20, 4 << 20
 #: What a unigram model charges for an unknown character below its worst piece; a fixed value.
 UNKNOWN_PENALTY = 10.0
 
+_WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+_BETWEEN = re.compile(f"(?<=[^{SPACE}]){SPACE}")
+
 
 def model_file() -> str:
     import public_tokenizers
@@ -59,33 +77,39 @@ def ranked(rows: list[tuple[str, int, float]]) -> list[tuple[str, int, float, in
     return [(*row, place[k]) for k, row in enumerate(rows)]
 
 
-def words(text: Column) -> Column:
-    """The words of a text, U+2581 for spaces."""
-    spaced = F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(spaced, F.lit(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n"), F.lit(0))).otherwise(F.array().cast("array<string>"))
+def segments(text: str, most: int = SEGMENT) -> Iterator[str]:
+    """The text, U+2581 for spaces and in front, in parts of about so many characters that end between words."""
+    if not text:
+        return
+    text = SPACE + text.replace(" ", SPACE)
+    at = 0
+    while cut := _BETWEEN.search(text, at + most):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id_col, position, word) of each word of each document."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(id_col, F.posexplode(words(text)).alias("position", "word"))
+def words(text: str | None) -> list[str]:
+    return [w for part in segments(text or "") for w in _WORD.findall(part)]
 
 
-def edges(distinct: DataFrame, pieces: DataFrame, longest_piece: int, extra: list[str], edge: Column, shortest: int = 1) -> DataFrame:
-    """(word, extra, edges, odd): the lattice of each word; edge is made of rank, first, end, id and score.
+def edges(distinct: DataFrame, pieces: DataFrame, longest_piece: int, edge: Column, shortest: int = 1) -> DataFrame:
+    """(at, word, edges, odd): the lattice of each word; edge is made of rank, first, end, id and score.
 
-    Edges of fewer than `shortest` characters are left out (a BPE fold starts from all single characters anyway).
+    Edges of fewer than `shortest` characters are left out (a BPE fold starts from all single characters anyway). Words
+    are numbered, so that grouping a word's edges, which follow each other, sorts numbers that are in order already.
     """
     n = F.length("word")
-    starts = distinct.select("word", *extra, F.explode(F.sequence(F.lit(0), n - 1)).alias("first"))
+    numbered = distinct.select("word", F.monotonically_increasing_id().alias("at"))
+    starts = numbered.select("at", "word", F.explode(F.sequence(F.lit(0), n - 1)).alias("first"))
     room = F.least(F.lit(longest_piece), n - F.col("first"))
     sizes = F.when(room >= shortest, F.sequence(F.lit(shortest), room)).otherwise(F.when(F.col("first") == 0, F.array(F.lit(1))))
-    spans = starts.select("word", *extra, "first", F.explode(sizes).alias("size"))
-    cut_out = spans.select("word", *extra, "first", (F.col("first") + F.col("size")).alias("end"), F.col("word").substr(F.col("first") + 1, F.col("size")).alias("piece"))
+    spans = starts.select("at", "word", "first", F.explode(sizes).alias("size"))
+    cut_out = spans.select("at", "word", "first", (F.col("first") + F.col("size")).alias("end"), F.col("word").substr(F.col("first") + 1, F.col("size")).alias("piece"))
     # A left join keeps the words of which no substring is a piece.
     pieces = pieces.where(F.length("piece") >= shortest)
     met = cut_out.join(F.broadcast(pieces), "piece", "left").where(f"id IS NOT NULL OR first = 0 AND (end = {shortest} OR end = 1)")
-    return met.groupBy("word", *extra).agg(F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges"), F.coalesce(F.bool_or("odd"), F.lit(False)).alias("odd"))
+    return met.groupBy("at", "word").agg(F.collect_list(F.when(F.col("id").isNotNull(), edge)).alias("edges"), F.coalesce(F.bool_or("odd"), F.lit(False)).alias("odd"))
 
 
 #: An edge of a BPE lattice in a long: rank, first and end; and one for Viterbi.
@@ -167,141 +191,289 @@ def merges() -> Column:
     return F.when(F.col("odd"), again).otherwise(once)
 
 
-def _constant(values: list[int]) -> Column:
+def _constant(values: list, kind: str) -> Column:
     """A constant array, folded once."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<int>")
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
 
-def with_ids(lattice: DataFrame, first_byte: int, model: str = "bpe", by_rank: list[int] | None = None, by_character: list[int] | None = None) -> DataFrame:
-    """(word, ids, and what else lattice has).
-
-    by_rank holds a BPE model's ids by their rank, by_character those of single characters by code point (-1: none).
-    """
-    others = [c for c in lattice.columns if c not in ("word", "edges", "odd")]
+def by_ranks(lattice: DataFrame, first_byte: int, by_rank: list[int], by_character: list[int]) -> DataFrame:
+    """(word, ids) under a BPE model, whose ids are given by rank, and those of single characters by code point (-1: none)."""
     n = F.length("word")
-    if model == "bpe":
-        low = F.lit((1 << 32) - 1)
-        state = lattice.withColumn("__starts", merges())
-        path = F.filter("edges", lambda x: _stands(x, F.col("__starts")) & (_inside(x, F.col("__starts")) == 0))
-        placed = lambda first, i: F.call_function("shiftleft", first.cast("long"), F.lit(32)).bitwiseOR(i.cast("long"))
-        longer = F.transform(path, lambda x: placed(_first(x), F.get(_constant(by_rank), F.call_function("shiftright", x, F.lit(12)).cast("int"))))
-        alone = F.filter(F.sequence(F.lit(0), n - 1), lambda at: F.call_function("shiftrightunsigned", F.col("__starts"), at).bitwiseAND(F.lit(3)) == 3)
-        character = lambda at: F.col("word").substr(at + 1, F.lit(1))
-        # An unknown character has all low bits set.
-        single = F.transform(alone, lambda at: placed(at, F.coalesce(F.nullif(F.get(_constant(by_character), F.ascii(character(at))), F.lit(-1)).cast("long"), low)))
-        state = state.withColumn("__path", F.sort_array(F.concat(longer, single)))
-        plain = F.transform("__path", lambda p: p.bitwiseAND(low).cast("int"))
-        with_bytes = F.flatten(F.transform("__path", lambda p: F.when(p.bitwiseAND(low) == low, byte_ids(character(F.call_function("shiftright", p, F.lit(32)).cast("int")), first_byte)).otherwise(F.array(p.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")))))
-        ids = F.when(F.exists("__path", lambda p: p.bitwiseAND(low) == low), with_bytes).otherwise(plain)
-        return state.select("word", ids.alias("ids"), *others)
-    worst = F.coalesce(F.array_min(F.transform("edges", lambda x: x["score"])), F.lit(0.0))
+    low = F.lit((1 << 32) - 1)
+    state = lattice.withColumn("starts", merges())
+    path = F.filter("edges", lambda x: _stands(x, F.col("starts")) & (_inside(x, F.col("starts")) == 0))
+    placed = lambda first, i: F.call_function("shiftleft", first.cast("long"), F.lit(32)).bitwiseOR(i.cast("long"))
+    longer = F.transform(path, lambda x: placed(_first(x), F.get(_constant(by_rank, "int"), F.call_function("shiftright", x, F.lit(12)).cast("int"))))
+    alone = F.filter(F.sequence(F.lit(0), n - 1), lambda at: F.call_function("shiftrightunsigned", F.col("starts"), at).bitwiseAND(F.lit(3)) == 3)
+    character = lambda at: F.col("word").substr(at + 1, F.lit(1))
+    # An unknown character has all low bits set.
+    single = F.transform(alone, lambda at: placed(at, F.coalesce(F.nullif(F.get(_constant(by_character, "int"), F.ascii(character(at))), F.lit(-1)).cast("long"), low)))
+    state = state.withColumn("path", F.sort_array(F.concat(longer, single)))
+    plain = F.transform("path", lambda p: p.bitwiseAND(low).cast("int"))
+    with_bytes = F.flatten(F.transform("path", lambda p: F.when(p.bitwiseAND(low) == low, byte_ids(character(F.call_function("shiftright", p, F.lit(32)).cast("int")), first_byte)).otherwise(F.array(p.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")))))
+    return state.select("word", F.when(F.exists("path", lambda p: p.bitwiseAND(low) == low), with_bytes).otherwise(plain).alias("ids"))
+
+
+def by_scores(lattice: DataFrame, first_byte: int, worst: float) -> DataFrame:
+    """(word, ids, score) by Viterbi under a unigram model, whose worst score is given."""
+    n, unknown = F.length("word"), F.lit(worst - UNKNOWN_PENALTY)
 
     def reach(best: Column, e: Column) -> Column:
         known = F.transform(F.filter("edges", lambda x: x["end"] == e), lambda x: F.struct((F.get(best, x["first"])["score"] + x["score"]).alias("score"), (-x["first"]).alias("back"), x["id"].alias("id")))
-        other = F.struct((F.get(best, e - 1)["score"] + F.col("__unknown")).alias("score"), (F.lit(1) - e).alias("back"), F.lit(-1).alias("id"))
+        other = F.struct((F.get(best, e - 1)["score"] + unknown).alias("score"), (F.lit(1) - e).alias("back"), F.lit(-1).alias("id"))
         covered = F.exists("edges", lambda x: (x["end"] == e) & (x["first"] == e - 1))
         return F.concat(best, F.array(F.array_max(F.when(covered, known).otherwise(F.concat(known, F.array(other))))))
 
     start = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"), F.lit(-1).alias("id")))
-    state = lattice.withColumn("__unknown", F.col("__worst") - UNKNOWN_PENALTY if "__worst" in lattice.columns else worst - UNKNOWN_PENALTY)
-    state = state.withColumn("__best", F.aggregate(F.sequence(F.lit(1), n), start, reach))
+    state = lattice.withColumn("best", F.aggregate(F.sequence(F.lit(1), n), start, reach))
     # Backwards along the best edges: (where the walk stands, starts met).
-    walk = F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<struct<first:int,id:int>>").alias("met")), lambda s, _: F.when(s["at"] <= 0, s).otherwise(F.struct((-F.get("__best", s["at"])["back"]).alias("at"), F.concat(F.array(F.struct((-F.get("__best", s["at"])["back"]).alias("first"), F.get("__best", s["at"])["id"].alias("id"))), s["met"]).alias("met"))))
-    state = state.withColumn("__met", walk["met"])
-    state = state.withColumn("__path", F.map_from_entries(F.filter("__met", lambda x: x["id"] >= 0)))
-    begins = F.transform("__met", lambda x: x["first"])
-    ids = F.flatten(F.transform(begins, lambda at: F.when(F.map_contains_key("__path", at), F.array(F.element_at("__path", at))).otherwise(byte_ids(F.col("word").substr(at + 1, F.lit(1)), first_byte))))
-    return state.select("word", ids.alias("ids"), *others)
+    walk = F.aggregate(F.sequence(F.lit(1), n), F.struct(n.alias("at"), F.array().cast("array<struct<first:int,id:int>>").alias("met")), lambda s, _: F.when(s["at"] <= 0, s).otherwise(F.struct((-F.get("best", s["at"])["back"]).alias("at"), F.concat(F.array(F.struct((-F.get("best", s["at"])["back"]).alias("first"), F.get("best", s["at"])["id"].alias("id"))), s["met"]).alias("met"))))
+    state = state.withColumn("met", walk["met"])
+    ids = F.flatten(F.transform("met", lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(byte_ids(F.col("word").substr(x["first"] + 1, F.lit(1)), first_byte))))
+    return state.select("word", ids.alias("ids"), F.get("best", n)["score"].alias("score"))
 
 
-def by_library(long_words: DataFrame, path: str) -> DataFrame:
-    """(word, n, ids) of words too long for a mask."""
+class Pieces:
+    """A model's piece table, and what the folds take from it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, path: str):
         import sentencepiece
 
-        m = sentencepiece.SentencePieceProcessor(model_file=path, add_bos=False)
-        dummy = None
-        for b in batches:
-            out = []
-            for w in b.column(0).to_pylist():
-                # The library puts a space in front of a text of its own; a line feed between keeps it apart.
-                ids = m.encode("\n" + w.replace(SPACE, " "))
-                dummy = dummy or m.encode("\n")
-                out.append(ids[len(dummy) :])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32())), b.column(1)], ["word", "ids", "n"])
+        self.first_byte = sentencepiece.SentencePieceProcessor(model_file=path).piece_to_id("<0x00>")
+        self.rows = ranked(piece_rows(path))
+        self.longest = max(len(r[0]) for r in self.rows)
+        self.worst = min(r[2] for r in self.rows)
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        odd = out_of_order(self.rows)
+        return spark.createDataFrame([(*r, r[0] in odd) for r in self.rows], "piece string, id int, score double, rank int, odd boolean")
+
+    def codes(self, distinct: DataFrame) -> DataFrame:
+        """(word, ids) of distinct words of at most LONGEST characters."""
+        by_rank = [i for _, i in sorted((r[3], r[1]) for r in self.rows)]
+        characters = {ord(r[0]): r[1] for r in self.rows if len(r[0]) == 1}
+        by_character = [characters.get(c, -1) for c in range(max(characters, default=0) + 1)]
+        return by_ranks(edges(distinct, self.frame(distinct.sparkSession), self.longest, F.expr(PACKED), 2), self.first_byte, by_rank, by_character)
+
+
+def merged(word: str, rank: dict[str, int], ids: dict[str, int], first_byte: int) -> list[int]:
+    """The ids of a word of any length: the best merge again and again, the leftmost of equals, from a heap."""
+    n = len(word)
+    end = list(range(1, n + 1))  # of the segment that starts here
+    before = list(range(-1, n - 1))
+    alive = [True] * n
+    heap = [(rank[word[i : i + 2]], i, i + 2) for i in range(n - 1) if word[i : i + 2] in rank]
+    heapq.heapify(heap)
+    while heap:
+        _, i, stop = heapq.heappop(heap)
+        middle = end[i]
+        if not alive[i] or middle >= n or end[middle] != stop or middle >= stop:
+            continue
+        end[i], alive[middle] = stop, False
+        if stop < n:
+            before[stop] = i
+            if (r := rank.get(word[i : end[stop]])) is not None:
+                heapq.heappush(heap, (r, i, end[stop]))
+        if (p := before[i]) >= 0 and (r := rank.get(word[p:stop])) is not None:
+            heapq.heappush(heap, (r, p, stop))
+    out, at = [], 0
+    while at < n:
+        piece = word[at : end[at]]
+        out += [ids[piece]] if piece in ids else [first_byte + b for b in piece.encode("utf-8", "surrogatepass")]
+        at = end[at]
+    return out
 
-    return long_words.select("word", "n").mapInArrow(run, "word string, ids array<int>, n long")
 
+class Known:
+    """The words whose ids are broadcast, and the pieces for words that are too long for a lattice."""
 
-def word_codes(docs: DataFrame, path: str, id_col: str, text_col: str) -> DataFrame:
-    """(word, ids, n): each distinct word's ids and how often it stands in docs; kept as a table."""
-    import sentencepiece
+    def __init__(self, found: list[str], ends: np.ndarray, ids: np.ndarray, pieces: list[tuple[str, int, float, int]], first_byte: int):
+        self.places = {w: k for k, w in enumerate(found)}
+        self.ends, self.ids, self.first_byte = ends, ids, first_byte
+        self.starts = np.append(0, ends[:-1]).astype(np.int64) if len(ends) else ends
+        self.rank, self.piece_ids = {r[0]: r[3] for r in pieces}, {r[0]: r[1] for r in pieces}
+
+    def look_up(self, seen: list[str]) -> np.ndarray:
+        """Each word's place in the table; -1 for those outside."""
+        return np.fromiter(map(self.places.get, seen, repeat(-1)), np.int32, len(seen))
+
+    def long(self, word: str) -> np.ndarray:
+        return np.array(merged(word, self.rank, self.piece_ids, self.first_byte), np.int32)
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids of the words at these places, how many each has)."""
+        sizes = self.ends[places] - self.starts[places]
+        shift = self.starts[places] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
+_TABLES: dict[str, Known] = {}
+
+
+def _known(name: str, shared) -> Known:
+    """A worker's table, made once from the broadcast and kept from task to task."""
+    if name not in _TABLES:
+        _TABLES.clear()
+        _TABLES[name] = Known(*shared.value)
+    return _TABLES[name]
 
-    spark = docs.sparkSession
-    first_byte = sentencepiece.SentencePieceProcessor(model_file=path).piece_to_id("<0x00>")
-    rows = ranked(piece_rows(path))
-    odd = out_of_order(rows)
-    pieces = spark.createDataFrame([(*r, r[0] in odd) for r in rows], "piece string, id int, score double, rank int, odd boolean")
-    by_rank = [i for _, i in sorted((r[3], r[1]) for r in rows)]
-    characters = {ord(r[0]): r[1] for r in rows if len(r[0]) == 1}
-    by_character = [characters.get(c, -1) for c in range(max(characters, default=0) + 1)]
-    # The length is an aggregate, so that both uses read one shuffle.
-    distinct = occurrences(docs, id_col, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("word")).alias("size"))
-    # Grouped by word already, so that neither the lattice nor its grouping is shuffled.
-    lattice = edges(distinct.where(F.col("size") <= LONGEST).drop("size"), pieces, max(len(r[0]) for r in rows), ["n"], F.expr(PACKED), 2)
-    coded = with_ids(lattice, first_byte, "bpe", by_rank, by_character).union(by_library(distinct.where(F.col("size") > LONGEST), path).select("word", "ids", "n"))
-    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(GROUPS))
-    try:
-        return kept(coded)
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+def frequent_words(docs: DataFrame, id_col: str, text_col: str, most: int = FREQUENT, sample: int = SAMPLE_DOCS) -> DataFrame:
+    """(word): the most frequent of at most SHORT characters in about `sample` documents."""
+    share = max(1, docs.count() // sample)
+    rows = docs.where(F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")), F.lit(share)) == 0)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: Counter[str] = Counter()
+            for text in batch.column(0):
+                for part in segments(text.as_py() or ""):
+                    seen.update(_WORD.findall(part))
+            short = [w for w in seen if len(w) <= SHORT]
+            yield pa.RecordBatch.from_arrays([pa.array(short, pa.string()), pa.array([seen[w] for w in short], pa.int64())], ["word", "n"])
+
+    counted = rows.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.orderBy(F.desc("n"), "word").limit(most).select("word").repartition(width(docs.sparkSession), "word")
 
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
-    """(id_col, position, ids): a row per word of each document."""
-    codes = word_codes(docs, path or model_file(), id_col, text_col)
-    # The least count that leaves at most `frequent` words.
-    by_count = sorted(codes.groupBy("n").agg(F.count(F.lit(1)).alias("w")).collect(), key=lambda r: -r["n"])
-    least, total = None, 0
-    for r in by_count:
-        total += r["w"]
-        if total > frequent:
-            break
-        least = r["n"]
-    common = codes.where(F.col("n") >= F.lit(least if least is not None else 2**62)).select("word", "ids")
-    others = codes.where(F.col("n") < F.lit(least if least is not None else 2**62)).select("word", "ids")
-    placed = occurrences(docs, id_col, text_col)
-    known = placed.join(F.broadcast(common), "word", "left")
-    direct = known.where("ids IS NOT NULL").select(id_col, "position", "ids")
-    rare = known.where("ids IS NULL").select(id_col, "position", "word").join(others.hint("merge"), "word").select(id_col, "position", "ids")
-    return direct.union(rare)
+    """(id_col, text_key, position, ids): the runs of frequent words and the other words of each document."""
+    spark, pieces = docs.sparkSession, Pieces(path or model_file())
+    found = pieces.codes(frequent_words(docs, id_col, text_col, frequent)).toArrow().combine_chunks()
+    ids = found.column("ids").combine_chunks()
+    sizes = pa.compute.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+    shared = spark.sparkContext.broadcast((found.column("word").to_pylist(), np.cumsum(sizes), ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), pieces.rows, pieces.first_byte))
+    name = uuid.uuid4().hex
+    key, position, codes = (free(n, [id_col]) for n in ("text_key", "position", "ids"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def split(batch: pa.RecordBatch, table: Known) -> Iterator[tuple[int, int, list[str], np.ndarray]]:
+        """(row, place of the first word, words, their places in the table) of each part of each text."""
+        for row, text in enumerate(batch.column(2)):
+            at = 0
+            for part in segments(text.as_py()):
+                seen = _WORD.findall(part)
+                yield row, at, seen, table.look_up(seen)
+                at += len(seen)
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _known(name, shared)
+
+        def direct(batch: pa.RecordBatch) -> pa.RecordBatch:
+            of_row, places, all_ids, all_sizes = [], [], [], []
+            for row, begin, seen, at in split(batch, table):
+                fine = np.flatnonzero(at >= 0)
+                if len(fine):
+                    first = np.flatnonzero(np.diff(fine, prepend=-2) > 1)
+                    ids, sizes = table.of(at[fine])
+                    of_row.append(np.full(len(first), row))
+                    places.append(fine[first] + begin)
+                    all_ids.append(ids)
+                    all_sizes.append(np.add.reduceat(sizes, first))
+                for k in np.flatnonzero(at < 0).tolist():
+                    if len(seen[k]) > LONGEST:
+                        ids = table.long(seen[k])
+                        of_row.append([row]), places.append([k + begin]), all_ids.append(ids), all_sizes.append([len(ids)])
+            empty = np.flatnonzero([not len(t.as_py()) for t in batch.column(2)])
+            of_row.append(empty), places.append(np.zeros(len(empty))), all_sizes.append(np.zeros(len(empty)))
+            of_row = pa.array(np.concatenate(of_row).astype(np.int64))
+            ends = np.append(0, np.cumsum(np.concatenate(all_sizes))).astype(np.int32)
+            values = pa.array(np.concatenate([np.zeros(0, np.int32), *all_ids]), pa.int32())
+            return pa.RecordBatch.from_arrays([batch.column(0).take(of_row), batch.column(1).take(of_row), pa.array(np.concatenate(places).astype(np.int64)), pa.ListArray.from_arrays(pa.array(ends), values)], ["id", "key", "position", "ids"])
+
+        return batched(direct, batches, BATCH)
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = _known(name, shared)
+
+        def rare(batch: pa.RecordBatch) -> pa.RecordBatch:
+            of_row, names, places = [], [], []
+            for row, begin, seen, at in split(batch, table):
+                mine: dict[str, list[int]] = {}
+                for k in np.flatnonzero(at < 0).tolist():
+                    if len(seen[k]) <= LONGEST:
+                        mine.setdefault(seen[k], []).append(k + begin)
+                of_row += [row] * len(mine)
+                names += mine
+                places += mine.values()
+            of_row = pa.array(of_row, pa.int64())
+            return pa.RecordBatch.from_arrays([batch.column(0).take(of_row), batch.column(1).take(of_row), pa.array(names, pa.string()), pa.array(places, pa.list_(pa.int64()))], ["id", "key", "word", "places"])
+
+        return batched(rare, batches, BATCH)
+
+    direct = rows.mapInArrow(runs, f"id {kind}, key long, position long, ids array<int>")
+    # What the join and the explosion below would filter is filtered before the shuffle, and all columns are read by the
+    # grouping, so that both uses of the other words read one shuffle and split the texts once.
+    full = F.col("word").isNotNull() & (F.size("places") > 0) & F.col("places").isNotNull()
+    rare = rows.mapInArrow(others, f"id {kind}, key long, word string, places array<long>").where(full).repartition(width(spark), "word")
+    seen = F.xxhash64("id", "key", "places")
+    distinct = rare.groupBy("word").agg(F.min(seen).alias("least"), F.max(seen).alias("most")).where("least <= most").select("word")
+    joined = rare.join(pieces.codes(distinct).hint("merge"), "word").select("id", "key", F.explode("places").alias("position"), "ids")
+    return direct.union(joined).select(F.col("id").alias(id_col), F.col("key").alias(key), F.col("position").alias(position), F.col("ids").alias(codes))
+
+
+def gathered(encoded: DataFrame, value: Column, id_col: str, out: str, whole: Column) -> DataFrame:
+    """(id_col, out) of each document: whole is made of the array `parts`, the values of the document's rows in order."""
+    key, position = (free(n, [id_col]) for n in ("text_key", "position"))
+    rows = encoded.select(F.col(f"`{id_col}`").alias("id"), F.col(key).alias("key"), F.col(position).alias("place"), value.alias("value"))
+    # Rows of copies are equal: one of each stays, before the shuffle already.
+    once = rows.groupBy("id", "key", "place", "value").agg(F.count(F.lit(1)).alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
+    each = once.groupBy("id", "key").agg(F.transform(ordered, lambda x: x["value"]).alias("parts"), F.max(F.when(F.col("place") == 0, F.col("n"))).alias("copies"))
+    return each.select("id", whole.alias("whole"), F.explode(F.sequence(F.lit(1), F.col("copies")))).select(F.col("id").alias(id_col), F.col("whole").alias(out))
 
 
 def by_document(encoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, ids) of whole documents with distinct ids."""
-    ordered = F.array_sort(F.collect_list(F.struct("position", "ids")))
-    return encoded.groupBy(id_col).agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))
+    """(id_col, ids) of each document."""
+    codes = free("ids", [id_col])
+    return gathered(encoded, F.col(codes), id_col, codes, F.flatten("parts"))
 
 
 def decode(encoded: DataFrame, path: str | None = None, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, text) of documents given as rows (id_col, position, ids)."""
+    """(id_col, text) of each document that encode() gave."""
     import sentencepiece
 
     m = sentencepiece.SentencePieceProcessor(model_file=path or model_file())
-    rows = [(i, bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(SPACE, " ").encode()) for i in range(m.get_piece_size()) if not (m.is_control(i) or m.is_unknown(i))]
-    pieces = encoded.sparkSession.createDataFrame(rows, "id int, bytes binary")
-    each = encoded.select(id_col, "position", F.posexplode("ids").alias("k", "id")).join(F.broadcast(pieces), "id")
-    whole = each.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("position", "k", F.hex("bytes").alias("h")))).alias("parts"))
-    text = F.decode(F.unhex(F.array_join(F.transform("parts", lambda p: p["h"]), "")), "UTF-8")
-    return whole.select(id_col, F.substring(text, F.lit(2), F.length(text)).alias("text"))
+    text = lambda i: b"" if m.is_control(i) else m.decode([i]).encode() if m.is_unknown(i) else bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(SPACE, " ").encode()
+    table = _constant([text(i).hex() for i in range(m.get_piece_size())], "string")
+    part = F.array_join(F.transform(free("ids", [id_col]), lambda i: F.get(table, i)), "")
+    joined = F.make_valid_utf8(F.unhex(F.array_join("parts", "")).cast("string"))
+    # The space that encoding puts in front goes.
+    return gathered(encoded, part, id_col, free("text", [id_col]), F.regexp_replace(joined, "^ ", ""))
+
+
+def viterbi_words(docs: DataFrame, path: str | None = None, text_col: str = "text") -> DataFrame:
+    """(word, ids, score): the best path by sum of scores of each distinct word of at most LONGEST characters in docs, for
+    models whose scores add up."""
+    pieces = Pieces(path or model_file())
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = {w for text in batch.column(0) for part in segments(text.as_py() or "") for w in _WORD.findall(part) if len(w) <= LONGEST}
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["word"])
+
+    distinct = docs.select(F.col(f"`{text_col}`").cast("string")).mapInArrow(split, "word string").distinct()
+    return by_scores(edges(distinct, pieces.frame(docs.sparkSession), pieces.longest, F.expr(SCORED)), pieces.first_byte, pieces.worst)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = encode(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.col("position").cast("long").alias("position"), "ids")
+    return encode(table(spark, sf_dir, "documents"))
+
+
+def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    back = decode(encode(table(spark, sf_dir, "documents")))
+    return back.select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+def viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = viterbi_words(table(spark, sf_dir, "documents"))
+    return found.select("word", F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").alias("ids"), "score")
+
 
+QUERIES = {"op4_lattice_sentencepiece": op4, "pieces_round_trip": round_trip, "pieces_viterbi_words": viterbi}
 
-QUERIES = {"op4_lattice_sentencepiece": op4}
+#: What a lossless round trip gives.
+ORACLE = {"pieces_round_trip": "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents"}
