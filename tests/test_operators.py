@@ -12,13 +12,41 @@ from weftline.sources.html import html_blocks
 from weftline.streaming import ledger
 
 
-@pytest.mark.parametrize("body", ["see https://a.b/c?d=1, pages 12-14 and XIV.\n\nEnd 3.5", "", "no markers", "⟦A·B⟧ 7"])
+@pytest.mark.parametrize("body", ["see https://a.b/c?d=1, pages 12-14 and XIV.\n\nEnd 3.5", "", "no markers", "⟦A·B⟧ 7", "V and I, 1 000 km, x² \n \t\n 12XIV"])
 def test_protect_restores(body):
     marked, kept = text.protected(body)
     assert not any(c.isdigit() for c in marked)
     assert text.restored(marked, kept) == body
 
 
+def test_single_numerals_and_spaced_thousands_are_protected():
+    marked, kept = text.protected("Part V of I: 10 000 men, 3–4 days,\n \nXIVa 2XIV x²")
+    assert list(kept.values()) == ["V", "I", "10 000", "3–4", "\n \n", "2", "²"]
+    with pytest.raises(ValueError):
+        text.restored(marked + " 7", kept, digits=False)
+
+
+def test_letters_count_like_columns_of_a_sheet():
+    names = [text.letters(n) for n in range(20_000)]
+    assert names[:3] == ["A", "B", "C"] and names[25:28] == ["Z", "AA", "AB"] and names[701:703] == ["ZZ", "AAA"]
+    assert len(set(names)) == len(names) and sorted(names, key=lambda n: (len(n), n)) == names
+
+
+def test_folding_is_pythons(spark):
+    texts = ["Straße ẞ", "ΣΊΣΥΦΟΣ ς", "İstanbul ﬁne", "ŉ ǰ ſ", "ꭰ Ꭰ", "plain ASCII", "ᾳ ﬗ"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.expr(text.folded_sql("t")).alias("f"))
+    assert all(r.f == r.t.casefold() for r in rows.collect())
+
+
+def test_keys_with_and_without_ascii(spark):
+    texts = ["  A b\tC ", "ＡＢ ﬁ  ß", "", None, "x²—Ünï"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.normalized_key("t").alias("n"), text.compact("t").alias("c"), text.strip_diacritics("t").alias("d"), text.unescaped("t").alias("u")).collect()
+    for r in rows:
+        assert r.c == (None if r.t is None else text.compact_key(r.t))
+    assert [r.n for r in rows] == ["a b c", "ab fi ss", "", None, "x2—ünï"]
+    assert rows[4].d == "x2—Uni"
+
+
 def test_restore_refuses_missing_and_repeated_markers():
     marked, kept = text.protected("1 and 2")
     name = next(iter(kept))
@@ -33,10 +61,12 @@ def test_title_similarity():
     assert text.matching_ratio("B i e g", "bieg") == 1
     assert text.matching_ratio("the long run", "long") == pytest.approx(4 / 10)
     assert text.matching_ratio("Treasure hunt", "Treasvre hunt") > 0.8
+    assert text.matching_ratio("Treasure hunt", "## 12. **Treasure hunt** |") == 1
 
 
 def test_markdown_plain_text():
     assert text.plain_text("![a](b) [label](u) **bold** &amp; <i>x</i> | y") == "label bold & x y"
+    assert text.plain_text("a*b<br>c![x](y)d [](z)") == "a b c d [](z)"
 
 
 def test_tfidf_of_equal_and_disjoint_documents(spark):
@@ -75,9 +105,100 @@ def test_hull_drops_inner_and_collinear_points():
     assert vectors.hull([(1, 1), (1, 1)]) == [(1, 1)]
 
 
-def test_greedy_chunks(spark):
-    rows = spark.createDataFrame([([4, 4, 4, 9, 1],)], "s array<int>")
-    assert rows.select(windows.greedy_chunks(F.col("s"), 10)).first()[0] == [0, 0, 1, 2, 3]
+def test_greedy_chunks():
+    assert windows.greedy_chunks([4, 4, 4, 9, 1], 10) == [0, 0, 1, 2, 3]
+    assert windows.greedy_chunks([], 10) == [] and windows.greedy_chunks([20, 1], 10) == [0, 1]
+
+
+def test_numbers_of_a_hot_group_by_buckets(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 10 < 9, "hot").when(F.col("id") % 20 < 10, "cold").alias("g"), "id")
+    made = windows.numbered(rows, "g", [F.floor(F.col("id") / 64)], [F.asc("id")], "k", "n").collect()
+    assert len(made) == 5000
+    for g in ("hot", "cold", None):
+        mine = sorted((r.id, r.k) for r in made if r.g == g)
+        assert [k for _, k in mine] == list(range(1, len(mine) + 1)) and {r.n for r in made if r.g == g} == {len(mine)}
+
+
+def test_first_of_takes_the_first_of_all_salts(spark):
+    rows = spark.range(1000).select(F.lit(1).alias("g"), "id")
+    assert sorted(r.id for r in windows.first_of(rows, ["g"], [F.desc("id")], 7, "r").collect()) == list(range(993, 1000))
+
+
+def test_similar_pairs_are_those_of_brute_force(spark):
+    import random
+
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(40)]
+    texts = [" ".join(rng.choices(words, weights=range(1, 41), k=30)) for _ in range(60)]
+    texts += [" ".join(w if rng.random() > 0.1 else "x" for w in t.split()) for t in texts[:20]]
+    docs = spark.createDataFrame([(k, f"s{k % 3}", t) for k, t in enumerate(texts)], "doc_id long, source string, text string")
+    v = vectors.tfidf(docs).cache()
+    held = {i: dict(zip(g.term, g.w, strict=True)) for i, g in v.toPandas().groupby("id")}
+    for least in (0.8, 0.4, 0.2):
+        want = {(i, j) for i in held for j in held if i < j and i % 3 != j % 3 and sum(w * held[j].get(t, 0) for t, w in held[i].items()) >= least}
+        assert {(r.left_id, r.right_id) for r in vectors.similar_pairs(v, least).collect()} == want
+
+
+def test_title_counts_in_tfidf(spark):
+    docs = spark.createDataFrame([(1, "a", "fox", "red hen\n\n---\nfoot"), (2, "b", "owl", "red hen")], "doc_id long, source string, title string, text string")
+    terms = {r.term for r in vectors.tfidf(docs, title_col="title").where("id = 1").collect()}
+    assert {"fox", "fox fox", "fox red", "red hen"} <= terms and "foot" not in terms
+
+
+def test_ranks_of_pairs_are_full_ranks(spark, sf_dir):
+    rows = vectors.unit_rows(vectors.table(spark, sf_dir, "embeddings"))
+    n = rows.count()
+    near = {(r.src, r.dst): r["rank"] for r in vectors.neighbours(rows, n - 1).where("src < 3").collect()}
+    pairs = spark.createDataFrame(list(near), "src long, dst long")
+    assert {(r.src, r.dst): r["rank"] for r in vectors.ranks_of(rows, pairs).collect()} == near and max(near.values()) == n - 1
+
+
+def test_lloyd_is_no_worse_than_one_plain_start(spark):
+    rng = np.random.default_rng(2)
+    centre = rng.normal(size=(4, 6)) * 5
+    x = centre[np.arange(200) % 4] + rng.normal(size=(200, 6))
+    rows = spark.createDataFrame([(k, r) for k, r in enumerate(x.tolist())], "id long, v array<double>")
+    found = vectors.kmeans(rows, 4, starts=6).toPandas().sort_values("id")
+    assert all(len(set(found.cluster[k::4])) == 1 for k in range(4)) and found.cluster.nunique() == 4
+
+
+def test_best_line_of_all_lines(spark):
+    entries = spark.createDataFrame([(1, "The Long Run"), (2, "Quiet lake"), (3, "")], "entry_id long, title string")
+    bodies = ["nothing here", "## 3. The lang run", "quiet lakes", "the long run", "Quiet Lake", "the long run"]
+    lines = spark.createDataFrame([(k, t) for k, t in enumerate(bodies)], "line_no long, line string").repartition(3)
+    found = {r.entry_id: (r.line_no, r.score) for r in relational.best_lines(entries, lines, ["line_no"]).collect()}
+    assert found == {1: (3, 1.0), 2: (4, 1.0), 3: (0, 0.0)}
+    for entry, title in ((1, "The Long Run"), (2, "Quiet lake")):
+        assert found[entry][1] == max(text.matching_ratio(title, t) for t in bodies)
+
+
+def test_located_items_follow_each_other():
+    lines = [(1, 0, "first game"), (1, 1, "second game"), (1, 2, "first game"), (2, 3, "third"), (2, 4, "no")]
+    items = [(1, 1, "Second game"), (2, 1, "First game"), (3, 2, "absent title"), (4, 2, "Third")]
+    assert relational.located(items, lines) == [(1, 1, 1.0), (2, 2, 1.0), (4, 3, 1.0)]
+
+
+def test_retry_after(spark):
+    now = "TIMESTAMP_NTZ '2026-09-03 00:00:00'"
+    cases = [("120", "2026-09-03 00:02:00"), ("-5", "2026-09-03 00:00:00"), (None, "2026-09-03 01:00:00"), ("soon", "2026-09-03 01:00:00"), ("Fri, 04 Sep 2026 00:00:00 GMT", "2026-09-04 00:00:00"), ("Wed, 02 Sep 2026 00:00:00 GMT", "2026-09-03 00:00:00")]
+    rows = spark.createDataFrame([(h,) for h, _ in cases], "h string").select(ledger.retry_at(F.col("h"), F.expr(now)).cast("string").alias("r"))
+    assert [r.r for r in rows.collect()] == [w for _, w in cases]
+
+
+def test_pages_of_a_repository_without_pruned_folders(spark, tmp_path):
+    for name, body in (("a/x.txt", "one\ntwo"), ("a/.git/y.txt", "no"), ("node_modules/z.txt", "no"), ("b/c/w.txt", "three")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(body)
+    assert sorted(r.value for r in files.repository_lines(spark, str(tmp_path), ("node_modules", ".git")).collect()) == ["one", "three", "two"]
+
+
+def test_json_arrays_are_whole_files(spark, tmp_path):
+    import json
+
+    rows = spark.createDataFrame([(k, "ab"[k % 2], f"t{k}") for k in range(9)], "id int, lang string, body string").repartition(2)
+    files.write_json_arrays(rows, str(tmp_path / "out"), "lang")
+    found = [r["id"] for f in (tmp_path / "out").rglob("*.txt") for r in json.loads(f.read_text())]
+    assert sorted(found) == list(range(9))
 
 
 def test_faceted_search_is_and_of_ors(spark):
@@ -88,15 +209,21 @@ def test_faceted_search_is_and_of_ors(spark):
 
 
 def test_monotone_match_rises(spark, sf_dir):
-    for r in relational.monotone_match(spark, sf_dir).collect():
-        turns = [int(x) for x in r.matches.split(",") if x]
-        assert turns == sorted(set(turns))
+    found = relational.monotone_match(spark, sf_dir).toPandas()
+    assert len(found) and (found.score >= 0.52).all()
+    for _, g in found.sort_values("number").groupby("conv_id"):
+        assert g.position.is_monotonic_increasing and g.position.is_unique
 
 
 def test_html_blocks_keep_pages_and_skip_figures():
-    source = '<span class="pageno" id="Page_3"></span><h3>Title</h3><figure><p>no</p></figure><p>one<br>two &amp; three<p>next<span class="pageno" id="Page_4"></span></p><li>item</li>'
-    assert html_blocks(source) == [("h3", "Title", 3), ("p", "one two & three", 3), ("p", "next", 3), ("li", "item", 4)]
-    assert html_blocks(None) == []
+    source = '<span class="pageno" id="Page_3"></span><h3>Title</h3><div class="figcenter"><p>no</p></div><p>one<br>two &amp; three<p>next<span class="pageno" id="Page_4">[4]</span> page</p><li>item</li>'
+    assert html_blocks(source) == [("h3", "Title", 3, 3, None), ("p", "one two & three", 3, 3, None), ("p", "next page", 3, 4, None), ("li", "item", 4, 4, None)]
+    assert html_blocks(None) == [] and html_blocks("<p>unpaged</p>", paged=True) == []
+
+
+def test_text_after_footnotes_stays():
+    source = '<p>a</p><div class="footnote"><p>note</p><div>deep<br></div></div><p>after</p><h3>H</h3><div class="line"><span class="sc">Small</span> x</div>'
+    assert [(b.kind, b.text, b.small_caps) for b in html_blocks(source)] == [("p", "a", None), ("p", "after", None), ("h3", "H", None), ("line", "Small x", "Small")]
 
 
 def test_front_matter_files(spark, tmp_path):

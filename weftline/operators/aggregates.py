@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from weftline.plans.registry import sql_query
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from weftline.plans.registry import query, sql_query, table
+
+#: Members of a block of ordered_digest().
+BLOCK = 1000
+
+
+def ordered_digest(rows: DataFrame, group: list[str], order: str, member: Column, sep: str) -> DataFrame:
+    """(group, block, digest): SHA-256 of the members of each block of BLOCK numbers, in order. The blocks of a group in
+    order make its digest; no task takes a group whole."""
+    block = F.floor(F.col(order) / BLOCK).alias("block")
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order), member.alias("m")))), lambda x: x["m"]), sep)
+    return rows.groupBy(*group, block).agg(F.sha2(joined, 256).alias("digest"))
 
 sql_query("A1_group_counts", "SELECT source, lang, count(*) AS n FROM $documents GROUP BY source, lang UNION ALL SELECT kind, 'kind', count(*) FROM (SELECT explode(array(lang, substring(source, 1, 4))) AS kind FROM $documents) GROUP BY kind", "SELECT source, lang, count(*) AS n FROM $documents GROUP BY source, lang UNION ALL SELECT kind, 'kind', count(*) FROM (SELECT unnest([lang, substring(source, 1, 4)]) AS kind FROM $documents) t GROUP BY kind")
 sql_query("A2_document_frequency", "SELECT term, count(*) AS df FROM (SELECT doc_id, explode(array_distinct(regexp_extract_all(lower(text), '[a-z0-9]+', 0))) AS term FROM $documents) GROUP BY term", "SELECT term, count(*) AS df FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z0-9]+'))) AS term FROM $documents) t GROUP BY term")
@@ -30,11 +44,26 @@ sql_query("A10_keep_first", "SELECT doc_id, key FROM (SELECT doc_id, sha2(lower(
 sql_query("A11_mode", "WITH n AS (SELECT source, lang, count(*) AS n FROM $documents GROUP BY source, lang) SELECT source, lang AS label FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lower(lang), lang) AS r FROM n) WHERE r = 1", "WITH n AS (SELECT source, lang, count(*) AS n FROM $documents GROUP BY source, lang) SELECT source, lang AS label FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lower(lang), lang) AS r FROM n) t WHERE r = 1")
 sql_query("A12_quantiles_iqr", "WITH q AS (SELECT lang, percentile(n_chars, 0.25) AS q1, percentile(n_chars, 0.75) AS q3 FROM $documents GROUP BY lang) SELECT lang, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS fence FROM q", "WITH q AS (SELECT lang, quantile_cont(n_chars::DOUBLE, 0.25) AS q1, quantile_cont(n_chars::DOUBLE, 0.75) AS q3 FROM $documents GROUP BY lang) SELECT lang, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS fence FROM q")
 sql_query("A13_centroid", "SELECT label, pos, round(avg(cast(x AS DOUBLE)), 6) AS mean, count(*) AS n FROM (SELECT label, posexplode(embedding) AS (pos, x) FROM $embeddings) GROUP BY label, pos", "SELECT label, pos - 1 AS pos, round(avg(x::DOUBLE), 6) AS mean, count(*) AS n FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM $embeddings) t GROUP BY label, pos")
-sql_query("A14_ordered_digest", "SELECT source, sha2(array_join(transform(array_sort(collect_list(struct(doc_id, sha2(text, 256) AS h))), x -> concat(x.doc_id, ':', x.h)), ';'), 256) AS digest FROM $documents GROUP BY source", "SELECT source, sha256(string_agg(doc_id || ':' || sha256(text), ';' ORDER BY doc_id)) AS digest FROM $documents GROUP BY source")
+
+
+@query(
+    "A14_ordered_digest",
+    "WITH b AS (SELECT source, doc_id // 1000 AS b, sha256(string_agg(doc_id || ':' || sha256(text), ';' ORDER BY doc_id)) AS digest FROM $documents GROUP BY source, doc_id // 1000) SELECT source, sha256(string_agg(digest, ';' ORDER BY b)) AS digest FROM b GROUP BY source",
+)
+def corpus_digest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    blocks = ordered_digest(docs, ["source"], "doc_id", F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.sha2("text", 256)), ";")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "digest"))), lambda x: x["digest"]), ";")
+    return blocks.groupBy("source").agg(F.sha2(whole, 256).alias("digest"))
+
+
 sql_query("A15_cluster_sizes", "SELECT median(n) AS middle, min(n) AS least, max(n) AS most FROM (SELECT label, count(*) AS n FROM $embeddings GROUP BY label)", "SELECT median(n) AS middle, min(n) AS least, max(n) AS most FROM (SELECT label, count(*) AS n FROM $embeddings GROUP BY label) t")
 sql_query("A16_option_lists", "SELECT facet, value FROM (SELECT DISTINCT 'lang' AS facet, lang AS value FROM $documents UNION SELECT 'source', source FROM $documents) ORDER BY facet, value", "SELECT facet, value FROM (SELECT DISTINCT 'lang' AS facet, lang AS value FROM $documents UNION SELECT 'source', source FROM $documents) t ORDER BY facet, value")
 sql_query("A17_completion_status", "SELECT d.source, CASE WHEN count(l.doc_id) = 0 THEN 'not-started' WHEN count(l.doc_id) < count(*) THEN 'in-progress' ELSE 'complete' END AS status, count(l.doc_id) AS done FROM $documents d LEFT JOIN $labels l ON l.doc_id = d.doc_id GROUP BY d.source")
 sql_query("A18_confidence_fallback", "SELECT conv_id, round(coalesce(max(CASE WHEN turn > 90 THEN 1D END), avg(length(text)) / 1000), 6) AS confidence FROM $conversations GROUP BY conv_id", "SELECT conv_id, round(coalesce(max(CASE WHEN turn > 90 THEN 1::DOUBLE END), avg(length(text)) / 1000), 6) AS confidence FROM $conversations GROUP BY conv_id")
 sql_query("A19_cost_with_reserved", "SELECT user_id, round(sum(coalesce(CASE WHEN event_type <> 'error' THEN value END, 0) + coalesce(CASE WHEN event_type = 'error' THEN 1D END, 0)), 4) AS cost FROM $events GROUP BY user_id", "SELECT user_id, round(sum(coalesce(CASE WHEN event_type <> 'error' THEN value END, 0) + coalesce(CASE WHEN event_type = 'error' THEN 1::DOUBLE END, 0)), 4) AS cost FROM $events GROUP BY user_id")
 sql_query("A20_combine_if_keys_agree", "SELECT l_orderkey, round(sum(l_quantity), 4) AS qty, max(l_shipdate) AS last FROM $lineitem GROUP BY l_orderkey HAVING count(DISTINCT struct(l_returnflag, l_linestatus)) = 1", "SELECT l_orderkey, round(sum(l_quantity), 4) AS qty, max(l_shipdate) AS last FROM $lineitem GROUP BY l_orderkey HAVING count(DISTINCT l_returnflag || l_linestatus) = 1")
-sql_query("A21_bounding_box", "SELECT label, round(min(embedding[0]) - 0.4, 6) AS x0, round(max(embedding[0]) + 0.4, 6) AS x1, round(min(embedding[1]) - 0.4, 6) AS y0, round(max(embedding[1]) + 0.4, 6) AS y1 FROM (SELECT label, transform(embedding, x -> cast(x AS DOUBLE)) AS embedding FROM $embeddings) GROUP BY label", "SELECT label, round(min(embedding[1]::DOUBLE) - 0.4::DOUBLE, 6) AS x0, round(max(embedding[1]::DOUBLE) + 0.4::DOUBLE, 6) AS x1, round(min(embedding[2]::DOUBLE) - 0.4::DOUBLE, 6) AS y0, round(max(embedding[2]::DOUBLE) + 0.4::DOUBLE, 6) AS y1 FROM $embeddings GROUP BY label")
+_X, _Y = ("aggregate(transform(embedding, (x, i) -> cast(x AS DOUBLE) * {}(i + 1)), 0D, (s, x) -> s + x)".format(f) for f in ("cos", "sin"))
+_DUCK_X, _DUCK_Y = ("list_sum(list_transform(embedding, lambda x, i: x::DOUBLE * {}(i)))".format(f) for f in ("cos", "sin"))
+_BOX = "SELECT label, round(min(x) - 0.4{0}, 6) AS x0, round(max(x) + 0.4{0}, 6) AS x1, round(min(y) - 0.4{0}, 6) AS y0, round(max(y) + 0.4{0}, 6) AS y1 FROM (SELECT label, {1} AS x, {2} AS y FROM $embeddings) t GROUP BY label"
+sql_query("A21_bounding_box", _BOX.format("D", _X, _Y), _BOX.format("::DOUBLE", _DUCK_X, _DUCK_Y))

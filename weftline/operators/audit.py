@@ -5,44 +5,133 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.windows import first_of
 from weftline.plans.registry import query, sql_query, table
 
-#: (dimension, value, locale, pattern): this library's own pack for the invented prose of the test tables.
-PATTERNS = (
-    ("place", "inside", "en", "the in"), ("place", "outside", "en", "of the"), ("place", "inside", "de", "die ein"), ("place", "outside", "de", "der"),
-    ("tempo", "calm", "en", "and"), ("tempo", "lively", "en", "tion"), ("tempo", "calm", "de", "und"), ("tempo", "calm", "es", "que"),
-    ("tempo", "lively", "es", "ción"),
-)
-_VALUES = ", ".join(str(p) for p in PATTERNS)
-_HITS = f"WITH p(dimension, value, locale, pattern) AS (VALUES {_VALUES}), h AS (SELECT DISTINCT d.doc_id, d.source, d.lang, p.dimension, p.value FROM $documents d JOIN p ON p.locale = d.lang AND contains(lower(d.text), p.pattern))"
+def between(*words: str) -> str:
+    """A pattern of any of these words, in small letters, with no letter on either side."""
+    return rf"(?<!\p{{L}})({'|'.join(words)})(?!\p{{L}})"
+
+
+#: Words of the invented prose of the test tables that patterns are made of, by locale; French has none, as its texts are
+#: to be reported as unpatterned.
+_WORDS = {"en": "the and of to in that it for was on".split(), "de": "der die und das ein von mit ist den sch".split(), "es": "de la que el en los se por con una".split()}
+
+
+def pack(dimensions: dict[str, tuple[str, ...]]) -> list[tuple[str, str, str, str, str]]:
+    """(dimension, value, locale, id, pattern): two patterns for each value and locale, by turns of the locale's words."""
+    rows, turn = [], 0
+    for dimension, values in dimensions.items():
+        for value in values:
+            for locale, words in _WORDS.items():
+                pick = [words[(turn * k + 3 * k) % len(words)] for k in (1, 2, 3, 7)]
+                rows += [(dimension, value, locale, f"{locale}-{value}-pair", between(f"{pick[0]} +{pick[1]}", f"{pick[2]} +{pick[0]}")), (dimension, value, locale, f"{locale}-{value}-ending", f"{pick[3]}[,.] ")]
+            turn += 1
+    return rows
+
+
+#: This library's own packs: twelve dimensions of a text's facets, and the scales of those who take part.
+FACETS = pack({
+    "place": ("inside", "outside", "water"), "tempo": ("calm", "lively"), "mode": ("together", "against"), "means": ("none", "ball", "rope"), "season": ("summer", "winter"), "light": ("day", "night"),
+    "length": ("short", "long"), "sense": ("sight", "hearing"), "rules": ("few", "many"), "voice": ("song", "silence"), "skill": ("memory", "aim"), "risk": ("low", "high"),
+})
+SCALES = pack({"scale": ("individual", "pair", "small-group", "group", "team", "two-teams", "crowd", "everyone")})
+#: Counts of those who take part: digits or words before a word.
+NUMERIC = [("numeric", "count", locale, f"{locale}-{kind}", pattern) for locale, words in _WORDS.items() for kind, pattern in (("digits", rf"(?<!\p{{L}})[1-9][0-9]* +({'|'.join(words)})(?!\p{{L}})"), ("words", between(f"{words[0]} +{words[1]} +({'|'.join(words)})")))]
+
+
+def signals(docs: DataFrame, patterns: list[tuple]) -> DataFrame:
+    """(doc_id, source, lang, dimension, value, pattern): the patterns of each document's own locale that its text has.
+
+    Patterns are constants of the plan: each is compiled once, and only those of a row's locale are tried.
+    """
+    hit = lambda p: F.when((F.col("lang") == p[2]) & F.col("low").rlike(p[4]), F.struct(F.lit(p[0]).alias("dimension"), F.lit(p[1]).alias("value"), F.lit(p[3]).alias("pattern")))
+    # Not explode(): it would have Spark filter by all patterns before trying them.
+    found = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", F.explode_outer(F.array_compact(F.array(*map(hit, patterns)))).alias("p"))
+    return found.where("p IS NOT NULL").select("doc_id", "source", "lang", "p.*")
+
+
+def _twin(patterns: list[tuple]) -> str:
+    plain = lambda p: p.replace(r"(?<!\p{L})", r"(^|[^\p{L}])").replace(r"(?!\p{L})", r"([^\p{L}]|$)").replace("'", "''")  # noqa: E731  an engine without lookaround
+    values = ", ".join("(" + ", ".join(f"'{plain(x)}'" for x in p) + ")" for p in patterns)
+    return f"WITH p(dimension, value, locale, pattern, regex) AS (VALUES {values}), g AS (SELECT d.doc_id, d.source, d.lang, p.dimension, p.value, p.pattern FROM $documents d JOIN p ON p.locale = d.lang AND regexp_matches(d.text, '(?i)' || p.regex)), h AS (SELECT DISTINCT doc_id, source, lang, dimension, value FROM g), v AS (SELECT DISTINCT dimension, value FROM p), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE lang NOT IN (SELECT locale FROM p)) AS u FROM $documents)"
+
+
+_FACETS, _SCALES = _twin(FACETS), _twin([*SCALES, *NUMERIC])
+
+
+def covered(docs: DataFrame, patterns: list[tuple]) -> DataFrame:
+    """(dimension, value, hits, sources, share, unpatterned) of all values, those without a hit too."""
+    known = sorted({p[2] for p in patterns})
+    totals = docs.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("lang").isin(known)).alias("unpatterned"))
+    found = signals(docs, patterns).dropDuplicates(["doc_id", "dimension", "value"]).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("source").alias("sources"))
+    values = docs.sparkSession.createDataFrame(sorted({p[:2] for p in patterns}), "dimension string, value string")
+    whole = values.join(found, ["dimension", "value"], "left").crossJoin(F.broadcast(totals))
+    return whole.select("dimension", "value", F.coalesce("hits", F.lit(0)).alias("hits"), F.coalesce("sources", F.lit(0)).alias("sources"), F.round(F.coalesce("hits", F.lit(0)) / F.col("n"), 6).alias("share"), "unpatterned")
 
 
-def signals(docs: DataFrame, patterns=PATTERNS) -> DataFrame:
-    """(doc_id, source, lang, dimension, value): what the patterns of each document's own locale find. The pack is broadcast."""
-    pack = docs.sparkSession.createDataFrame(list(patterns), "dimension string, value string, locale string, pattern string")
-    hit = docs.join(F.broadcast(pack), (docs["lang"] == pack["locale"]) & F.contains(F.lower(docs["text"]), pack["pattern"]))
-    return hit.select("doc_id", "source", "lang", "dimension", "value").distinct()
+_COVERED = "SELECT v.dimension, v.value, count(h.doc_id) AS hits, count(DISTINCT h.source) AS sources, round(count(h.doc_id) / any_value(n.n)::DOUBLE, 6) AS share, any_value(n.u) AS unpatterned FROM v CROSS JOIN n LEFT JOIN h ON h.dimension = v.dimension AND h.value = v.value GROUP BY v.dimension, v.value"
 
 
-@query("C1_facet_coverage", f"{_HITS}, n AS (SELECT count(*) AS n FROM $documents) SELECT dimension, value, count(*) AS hits, count(DISTINCT source) AS sources, round(count(*) / any_value(n.n)::DOUBLE, 6) AS share, (SELECT count(*) FROM $documents d WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.locale = d.lang)) AS unpatterned FROM h, n GROUP BY dimension, value")
+@query("C1_facet_coverage", f"{_FACETS} {_COVERED}")
 def coverage(spark, sf_dir):
+    return covered(table(spark, sf_dir, "documents"), FACETS)
+
+
+@query(
+    "C1_dimension_balance",
+    f"""{_FACETS}, m AS (SELECT dimension, doc_id, count(*) AS v FROM h GROUP BY dimension, doc_id), c AS (SELECT dimension, value, count(*) AS k FROM h GROUP BY dimension, value),
+    q AS (SELECT v.dimension, count(*) AS values, sum(coalesce(c.k, 0)) AS t FROM v LEFT JOIN c ON c.dimension = v.dimension AND c.value = v.value GROUP BY v.dimension),
+    e AS (SELECT c.dimension, abs(-sum(c.k / q.t::DOUBLE * ln(c.k / q.t::DOUBLE))) / any_value(ln(q.values)) AS entropy, max(c.k) / any_value(q.t)::DOUBLE AS dominance FROM c JOIN q ON q.dimension = c.dimension GROUP BY c.dimension)
+    SELECT q.dimension, round(coalesce(any_value(e.entropy), 0), 6) AS entropy, round(coalesce(any_value(e.dominance), 0), 6) AS dominance, count(m.doc_id) AS any_signal, count(*) FILTER (WHERE m.v > 1) AS multi_value, any_value(n.n) - count(m.doc_id) AS no_signal FROM q CROSS JOIN n LEFT JOIN e ON e.dimension = q.dimension LEFT JOIN m ON m.dimension = q.dimension GROUP BY q.dimension""",
+)
+def balance(spark, sf_dir):
+    """Per dimension the normalised entropy of its values, the largest value's share, and documents with one, several or no
+    values."""
     docs = table(spark, sf_dir, "documents")
-    known = sorted({p[2] for p in PATTERNS})
-    totals = docs.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(~F.col("lang").isin(known), 1)).alias("unpatterned"))
-    found = signals(docs).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("source").alias("sources"))
-    return found.crossJoin(F.broadcast(totals)).select("dimension", "value", "hits", "sources", F.round(F.col("hits") / F.col("n"), 6).alias("share"), "unpatterned")
+    hits = signals(docs, FACETS).groupBy("dimension", "doc_id").agg(F.collect_set("value").alias("values"))
+    by_doc = hits.groupBy("dimension").agg(F.count(F.lit(1)).alias("any_signal"), F.count_if(F.size("values") > 1).alias("multi_value"))
+    n = hits.select("dimension", F.explode("values").alias("value")).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n"))
+    sums = n.groupBy("dimension").agg(F.sum("n").alias("t"), F.max("n").alias("most"), F.sum(F.col("n") * F.log("n")).alias("s"))
+    sizes = docs.sparkSession.createDataFrame([(d, len({p[1] for p in FACETS if p[0] == d})) for d in sorted({p[0] for p in FACETS})], "dimension string, k int")
+    total = docs.agg(F.count(F.lit(1)).alias("all"))
+    entropy = F.abs(F.log("t") - F.col("s") / F.col("t")) / F.log("k")
+    whole = sizes.join(sums, "dimension", "left").join(by_doc, "dimension", "left").crossJoin(F.broadcast(total)).na.fill(0, ["any_signal", "multi_value"])
+    return whole.select("dimension", F.round(F.coalesce(entropy, F.lit(0.0)), 6).alias("entropy"), F.round(F.coalesce(F.col("most") / F.col("t"), F.lit(0.0)), 6).alias("dominance"), "any_signal", "multi_value", (F.col("all") - F.col("any_signal")).alias("no_signal"))
 
 
-_DIMENSIONS = f"""{_HITS}, m AS (SELECT doc_id, dimension, count(DISTINCT value) AS v FROM h GROUP BY doc_id, dimension), c AS (SELECT dimension, value, count(*) AS n FROM h GROUP BY dimension, value),
-e AS (SELECT dimension, CASE WHEN count(*) > 1 THEN abs(-sum(n / cast(t AS DOUBLE) * ln(n / cast(t AS DOUBLE))) / ln(2)) ELSE 0 END AS entropy, max(n) / cast(sum(n) AS DOUBLE) AS dominance FROM (SELECT *, sum(n) OVER (PARTITION BY dimension) AS t FROM c) q GROUP BY dimension)
-SELECT e.dimension, round(e.entropy, 6) AS entropy, round(e.dominance, 6) AS dominance, count(m.doc_id) AS any_signal, count(*) FILTER (WHERE m.v > 1) AS multi_value FROM e LEFT JOIN m ON m.dimension = e.dimension GROUP BY e.dimension, e.entropy, e.dominance"""
-sql_query("C1_dimension_balance", _DIMENSIONS)
-sql_query("C1_pattern_samples", f"{_HITS} SELECT dimension, value, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value ORDER BY sha2(concat('audit', chr(0), doc_id), 256), doc_id) AS r FROM h) WHERE r <= 3", f"{_HITS} SELECT dimension, value, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value ORDER BY sha256('audit' || chr(0) || doc_id), doc_id) AS r FROM h) t WHERE r <= 3")
-sql_query(
+@query("C1_pattern_counts", f"{_FACETS} SELECT dimension, value, pattern, lang, source, count(*) AS docs FROM g GROUP BY dimension, value, pattern, lang, source")
+def pattern_counts(spark, sf_dir):
+    """Documents by pattern, language and source."""
+    return signals(table(spark, sf_dir, "documents"), FACETS).groupBy("dimension", "value", "pattern", "lang", "source").agg(F.count(F.lit(1)).alias("docs"))
+
+
+_SAMPLED = "SELECT dimension, value, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value ORDER BY sha256(dimension || ':' || value || chr(0) || doc_id), doc_id) AS r FROM {0}) t WHERE r <= {1}"
+
+
+@query("C1_pattern_samples", f"{_FACETS}, d AS (SELECT DISTINCT dimension FROM p), z AS (SELECT d.dimension, '(none)' AS value, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('h', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
+def pattern_samples(spark, sf_dir):
+    """Documents to look at, drawn by hash: three of each value, and six of each dimension that have none of its values."""
+    docs = table(spark, sf_dir, "documents")
+    hits = signals(docs, FACETS).select("doc_id", "dimension", "value").distinct()
+    dimensions = sorted({p[0] for p in FACETS})
+    none = docs.join(hits.groupBy("doc_id").agg(F.collect_set("dimension").alias("have")), "doc_id", "left").select("doc_id", F.explode(F.array_except(F.array(*map(F.lit, dimensions)), F.coalesce("have", F.array().cast("array<string>")))).alias("dimension"))
+    drawn = lambda rows, most: first_of(rows.withColumn("drawn", F.sha2(F.concat("dimension", F.lit(":"), "value", F.lit("\0"), F.col("doc_id").cast("string")), 256)), ["dimension", "value"], [F.asc("drawn"), F.asc("doc_id")], most, "r").select("dimension", "value", "doc_id")
+    return drawn(hits, 3).union(drawn(none.withColumn("value", F.lit("(none)")).select("doc_id", "dimension", "value"), 6))
+
+
+@query(
     "C2_participant_scales",
-    r"""SELECT d.lang, scale, count(*) AS docs, sum(mentions) AS mentions FROM (SELECT doc_id, lang, CASE WHEN n_chars < 500 THEN 'solo' WHEN n_chars < 2000 THEN 'pair' WHEN n_chars < 6000 THEN 'group' ELSE 'crowd' END AS scale, regexp_count(text, '\\d+') AS mentions FROM $documents) d GROUP BY d.lang, scale""",
-    r"""SELECT d.lang, scale, count(*) AS docs, sum(mentions)::BIGINT AS mentions FROM (SELECT doc_id, lang, CASE WHEN n_chars < 500 THEN 'solo' WHEN n_chars < 2000 THEN 'pair' WHEN n_chars < 6000 THEN 'group' ELSE 'crowd' END AS scale, len(regexp_extract_all(text, '\d+')) AS mentions FROM $documents) d GROUP BY d.lang, scale""",
+    f"{_SCALES}, c AS ({_COVERED}), m AS (SELECT doc_id, count(*) FILTER (WHERE dimension = 'scale') AS v FROM h GROUP BY doc_id), s AS (SELECT count(*) FILTER (WHERE v > 0) AS some, count(*) FILTER (WHERE v > 1) AS several FROM m) SELECT c.dimension, c.value, c.hits, c.sources, c.share, c.unpatterned, s.some AS any_signal, s.several AS multiple_signals, n.n - s.some AS no_signal FROM c CROSS JOIN s CROSS JOIN n",
 )
+def scales(spark, sf_dir):
+    """Coverage of the eight scales and of counts of those who take part, and documents with one, several or no scales."""
+    docs = table(spark, sf_dir, "documents")
+    by_doc = signals(docs, SCALES).groupBy("doc_id").agg(F.count_distinct("value").alias("v")).agg(F.count(F.lit(1)).alias("any_signal"), F.count_if(F.col("v") > 1).alias("multiple_signals"))
+    totals = by_doc.crossJoin(docs.agg(F.count(F.lit(1)).alias("n")))
+    return covered(docs, [*SCALES, *NUMERIC]).crossJoin(F.broadcast(totals)).withColumn("no_signal", F.col("n") - F.col("any_signal")).drop("n")
+
+
 _RULES = "WITH section(source, category) AS (VALUES ('src1', 'a'), ('src1', 'b'), ('src4', 'c')), legacy(trait, category) AS (VALUES ('en', 'b'), ('de', 'd'))"
 _MAPPED = f"{_RULES}, m AS (SELECT d.doc_id, s.category, 'section' AS basis FROM $documents d JOIN section s ON s.source = d.source UNION SELECT d.doc_id, l.category, 'legacy' FROM $documents d JOIN legacy l ON l.trait = d.lang)"
 sql_query(
@@ -84,9 +173,5 @@ sql_query("C18_review_scaffold", "WITH dims(dimension) AS (VALUES ('clarity'), (
 
 @query("C19_comparison_payload", "SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS x, label AS a, (vec_id % 7)::BIGINT AS b FROM $embeddings")
 def payload(spark, sf_dir):
-    """Points with their assignment in each variant, pivoted."""
-    e = table(spark, sf_dir, "embeddings")
-    variants = e.select("vec_id", F.explode(F.map_from_arrays(F.array(F.lit("a"), F.lit("b")), F.array(F.col("label").cast("long"), F.col("vec_id") % 7))).alias("variant", "cluster"))
-    wide = variants.groupBy("vec_id").pivot("variant", ["a", "b"]).agg(F.first("cluster"))
-    return e.select("vec_id", F.round(F.col("embedding")[0].cast("double"), 6).alias("x")).join(wide, "vec_id").select("vec_id", "x", F.col("a").cast("int").alias("a"), "b")
-
+    """Points with their assignment in each variant."""
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.col("embedding")[0].cast("double"), 6).alias("x"), F.col("label").alias("a"), (F.col("vec_id") % 7).alias("b"))

@@ -7,9 +7,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import functions as F
 
+from weftline.operators.aggregates import ordered_digest
+from weftline.operators.windows import BUCKET, numbered
 from weftline.plans.registry import query, sql_query, table
 from weftline.sources import files
 from weftline.sources.html import html_blocks
+from weftline.streaming import ledger
 
 
 @query("S1_front_matter", "SELECT doc_id, source, regexp_replace(text, '^[\\s\\x{A0}]+|[\\s\\x{A0}]+$', '', 'g') AS body FROM $documents")
@@ -20,25 +23,70 @@ def front_matter(spark, sf_dir):
 
 
 sql_query("S2_json_scan", "SELECT event_id, from_json(props, 'k BIGINT').k AS k FROM $events", "SELECT event_id, (props ->> 'k')::BIGINT AS k FROM $events")
-sql_query("S3_S4_json_export", "SELECT lang, to_json(named_struct('doc_id', doc_id, 'source', source, 'text', text)) AS line FROM $documents", "SELECT lang, to_json({'doc_id': doc_id, 'source': source, 'text': text})::VARCHAR AS line FROM $documents")
-sql_query(
+
+
+@query("S3_S4_json_export", "SELECT kind, lang, doc_id, source, sha256(text) AS text_sha256 FROM $documents, (VALUES ('array'), ('lines')) k(kind)")
+def json_export(spark, sf_dir):
+    """Both exports of each language, a JSON array per file and JSON lines, written without internal columns and read again."""
+    base = ledger.shared_path(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", "lang", F.lit("hidden").alias("internal"))
+    files.write_exports(docs, f"{base}/lines", "lang", ("internal",))
+    files.write_json_arrays(docs, f"{base}/array", "lang", ("internal",))
+    schema = "doc_id long, source string, text string, internal string"
+    back = [spark.read.schema(f"{schema}, lang string").json(f"{base}/{kind}", multiLine=kind == "array").withColumn("kind", F.lit(kind)) for kind in ("array", "lines")]
+    return back[0].union(back[1]).where("internal IS NULL").select("kind", "lang", "doc_id", "source", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query(
     "S5_bilingual_corpus",
-    r"WITH r AS (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM $documents WHERE lang IN ('de', 'fr')) SELECT a.k, sha2(concat_ws('\n\n', a.text, b.text), 256) AS block_hash FROM r a JOIN r b ON a.k = b.k AND a.lang = 'de' AND b.lang = 'fr'",
     "WITH r AS (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS k FROM $documents WHERE lang IN ('de', 'fr')) SELECT a.k, sha256(a.text || chr(10) || chr(10) || b.text) AS block_hash FROM r a JOIN r b ON a.k = b.k AND a.lang = 'de' AND b.lang = 'fr'",
 )
-sql_query("S6_cluster_texts", "SELECT source, sum(octet_length(text)) AS bytes, count(*) AS members, sha2(array_join(transform(array_sort(collect_list(struct(lower(lang) AS t, doc_id, sha2(text, 256) AS h))), x -> x.h), ''), 256) AS digest FROM $documents GROUP BY source", "SELECT source, sum(strlen(text))::BIGINT AS bytes, count(*) AS members, sha256(string_agg(sha256(text), '' ORDER BY lower(lang), doc_id)) AS digest FROM $documents GROUP BY source")
-
-
-@query("S7_html_blocks")
+def bilingual(spark, sf_dir):
+    """The k-th text of one language beside the k-th of another."""
+    docs = table(spark, sf_dir, "documents").where("lang IN ('de', 'fr')").select("doc_id", "lang", "text")
+    k = numbered(docs.select("doc_id", "lang"), "lang", [F.floor(F.col("doc_id") / BUCKET)], [F.asc("doc_id")], "k")
+    rows = docs.join(k, ["doc_id", "lang"])
+    a, b = (rows.where(F.col("lang") == lang).select("k", F.col("text").alias(lang)) for lang in ("de", "fr"))
+    return a.join(b, "k").select("k", F.sha2(F.concat_ws("\n\n", "de", "fr"), 256).alias("block_hash"))
+
+
+@query(
+    "S6_cluster_texts",
+    """WITH b AS (SELECT source, lower(lang) AS t, doc_id // 1000 AS b, sum(strlen(text))::BIGINT AS bytes, count(*) AS n, sha256(string_agg(sha256(text), '' ORDER BY doc_id)) AS digest FROM $documents GROUP BY source, lower(lang), doc_id // 1000)
+    SELECT source, sum(bytes)::BIGINT AS bytes, sum(n)::BIGINT AS members, sha256(string_agg(digest, '' ORDER BY t, b)) AS digest FROM b GROUP BY source""",
+)
+def cluster_texts(spark, sf_dir):
+    """A text partition per source, written and read again; members in order of language and id. Digests are taken of
+    blocks of members and then of the blocks' digests, so that no task takes a source whole."""
+    path = f"{ledger.shared_path(spark)}/clusters"
+    docs = table(spark, sf_dir, "documents").withColumn("line", F.to_json(F.struct("doc_id", "lang", "text")))
+    files.write_cluster_texts(docs, path, "source", "line")
+    back = spark.read.schema("value string, source string").text(path).select("source", F.from_json("value", "doc_id long, lang string, text string").alias("d")).select("source", "d.*")
+    blocks = ordered_digest(back.withColumn("t", F.lower("lang")), ["source", "t"], "doc_id", F.sha2("text", 256), "")
+    sums = back.groupBy("source").agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("members"))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("t", "block", "digest"))), lambda x: x["digest"]), "")
+    return sums.join(blocks.groupBy("source").agg(F.sha2(whole, 256).alias("digest")), "source")
+
+
+_PAGED = r"""concat('<span class="pageno" id="Page_7"></span><p>lead ', regexp_replace(regexp_extract(html, '<h1>([^<]*)', 1), '\\s+', ' '), '<span class="pageno" id="Page_8">[8]</span> tail</p><div class="footnote"><p>note</p><div>deep</div></div><ul><li>', page_id, '</li></ul><div class="figcenter"><p>figure</p></div><table><tr><td>a</td><td><span class="sc">B</span> c</td></tr></table>')"""
+
+
+@query(
+    "S7_html_blocks",
+    r"""WITH p AS (SELECT page_id, trim(regexp_replace('lead ' || replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<h1>([^<]*)', 1), '\s+', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') || ' tail', '\s+', ' ', 'g')) AS lead FROM $pages)
+    SELECT page_id, 0 AS pos, 'p' AS kind, lead AS text, 7 AS page_start, 8 AS page_end, NULL AS small_caps FROM p
+    UNION ALL SELECT page_id, 1, 'li', page_id::VARCHAR, 8, 8, NULL FROM p UNION ALL SELECT page_id, 2, 'tr', 'a B c', 8, 8, 'B' FROM p""",
+)
 def blocks(spark, sf_dir):
-    """Typed blocks of each page in order, with the page marker they follow."""
+    """Typed blocks of each page in order, with the pages that they stand on: each page's title in a page of known make."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_PAGED).alias("html"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, k, *block) for i, source in zip(b["page_id"], b["html"], strict=True) for k, block in enumerate(html_blocks(source))]
-            yield pd.DataFrame(rows, columns=["page_id", "pos", "kind", "text", "page"]).astype({"page": "Int64"})
+            rows = [(i, k, *block) for i, source in zip(b["page_id"], b["html"], strict=True) for k, block in enumerate(html_blocks(source, paged=True))]
+            yield pd.DataFrame(rows, columns=["page_id", "pos", "kind", "text", "page_start", "page_end", "small_caps"]).astype({"page_start": "Int64", "page_end": "Int64"})
 
-    return table(spark, sf_dir, "pages").select("page_id", "html").mapInPandas(run, "page_id long, pos long, kind string, text string, page long")
+    return pages.mapInPandas(run, "page_id long, pos long, kind string, text string, page_start long, page_end long, small_caps string")
 
 
 sql_query(
@@ -65,11 +113,23 @@ sql_query(
     SELECT conv_id, bool_and(sha2(p.markdown, 256) = p.sha256) AS verified, sha2(array_join(transform(array_sort(collect_list(struct(p.view, p.markdown))), x -> x.markdown), '\n'), 256) AS whole FROM p GROUP BY conv_id""",
     "SELECT conv_id, true AS verified, sha256(string_agg(text, chr(10) ORDER BY turn)) AS whole FROM $conversations GROUP BY conv_id",
 )
-sql_query(
+
+
+@query(
     "S11_logical_lines",
-    r"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS line, length(value) AS size FROM (SELECT doc_id, posexplode(split(text, '\n')) AS (pos, value) FROM $documents) WHERE trim(value) <> ''",
-    "SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS line, length(value) AS size FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS value, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM $documents) t WHERE trim(value) <> ''",
+    r"""SELECT conv_id, page, row_number() OVER (PARTITION BY conv_id, page ORDER BY pos) AS line, 'p' || lpad(page::VARCHAR, 4, '0') || '-l' || lpad((row_number() OVER (PARTITION BY conv_id, page ORDER BY pos))::VARCHAR, 4, '0') AS line_id, trim(regexp_replace(value, '[\s\x{A0}]+', ' ', 'g')) AS text
+    FROM (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS page, unnest(string_split(text, chr(10))) AS value, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM $conversations) t WHERE regexp_replace(value, '[\s\x{A0}]+', '', 'g') <> ''""",
 )
+def logical_lines(spark, sf_dir):
+    """The non-blank lines of each page of a text whose pages are parted by form feeds, numbered by page."""
+    pages = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\f")
+    books = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(pages.alias("book"))
+    each = books.select("conv_id", F.posexplode(F.split("book", "\f")).alias("page", "body"))
+    lines = F.filter(F.transform(F.split("body", "\n"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))), lambda x: x != "")
+    found = each.select("conv_id", (F.col("page") + 1).cast("long").alias("page"), F.posexplode(lines).alias("line", "text")).withColumn("line", (F.col("line") + 1).cast("long"))
+    return found.select("conv_id", "page", "line", F.format_string("p%04d-l%04d", "page", "line").alias("line_id"), "text")
+
+
 sql_query(
     "S12_text_classification",
     r"SELECT doc_id, str_to_map(concat('Title: ', source, '\nPages: ', doc_id % 9 + 1), '\n', ': ')['Pages'] AS pages, CASE WHEN length(regexp_replace(text, '(?U)\\s', '')) >= greatest(1000, 20 * (doc_id % 9 + 1)) THEN 'text' ELSE 'ocr-needed' END AS kind FROM $documents",
@@ -77,8 +137,45 @@ sql_query(
 )
 sql_query("S14_index_import", "SELECT d.doc_id, concat('rec-', lpad(cast(d.doc_id AS STRING), 6, '0')) AS id, l.quality, sha2(trim(d.text), 256) AS body_hash FROM $documents d JOIN $labels l ON l.doc_id = d.doc_id", "SELECT d.doc_id, 'rec-' || lpad(d.doc_id::VARCHAR, 6, '0') AS id, l.quality, sha256(trim(d.text)) AS body_hash FROM $documents d JOIN $labels l ON l.doc_id = d.doc_id")
 sql_query("S15_manifest_selection", r"WITH m AS (SELECT conv_id, min(turn) AS first, max(turn) AS end_before FROM $conversations GROUP BY conv_id) SELECT m.conv_id, count(*) AS blocks, sha2(array_join(transform(array_sort(collect_list(struct(c.turn, c.text))), x -> x.text), '\n'), 256) AS body FROM m JOIN $conversations c ON c.conv_id = m.conv_id AND c.turn >= m.first AND c.turn < m.end_before GROUP BY m.conv_id", "WITH m AS (SELECT conv_id, min(turn) AS first, max(turn) AS end_before FROM $conversations GROUP BY conv_id) SELECT m.conv_id, count(*) AS blocks, sha256(string_agg(c.text, chr(10) ORDER BY c.turn)) AS body FROM m JOIN $conversations c ON c.conv_id = m.conv_id AND c.turn >= m.first AND c.turn < m.end_before GROUP BY m.conv_id")
-sql_query("S16_artifact_conflicts", "SELECT source AS path, count(DISTINCT sha2(text, 256)) AS hashes, count(*) AS files, sum(octet_length(text)) AS bytes, count(DISTINCT sha2(text, 256)) > 1 AS conflicting FROM $documents GROUP BY source", "SELECT source AS path, count(DISTINCT sha256(text)) AS hashes, count(*) AS files, sum(strlen(text))::BIGINT AS bytes, count(DISTINCT sha256(text)) > 1 AS conflicting FROM $documents GROUP BY source")
-sql_query("S17_secret_grep", "SELECT doc_id FROM $documents WHERE text RLIKE 'token = \"[0-9a-f]{40}\"|BEGIN [A-Z ]*PRIVATE KEY'", "SELECT doc_id FROM $documents WHERE regexp_matches(text, 'token = \"[0-9a-f]{40}\"|BEGIN [A-Z ]*PRIVATE KEY')")
+
+
+@query(
+    "S16_artifact_conflicts",
+    """WITH a AS (SELECT source || '/' || (doc_id % 50) AS path, CASE WHEN doc_id % 17 = 0 THEN sha256('x') ELSE sha256(text) END AS stated, sha256(text) AS found, strlen(text) AS bytes FROM $documents)
+    SELECT path, count(DISTINCT stated) AS hashes, count(*) AS records, count(*) FILTER (WHERE stated = found) AS verified, sum(bytes)::BIGINT AS bytes, count(DISTINCT stated) > 1 AS conflicting FROM a GROUP BY path""",
+)
+def artifact_conflicts(spark, sf_dir):
+    """Records with a path and a digest anywhere in nested JSON, checked against the contents and each other."""
+    stated = F.when(F.col("doc_id") % 17 == 0, F.sha2(F.lit("x"), 256)).otherwise(F.sha2("text", 256))
+    record = F.struct(F.concat("source", F.lit("/"), (F.col("doc_id") % 50).cast("string")).alias("path"), stated.alias("sha256"), F.octet_length("text").alias("bytes"))
+    page = F.struct(F.struct(record.alias("result"), F.lit(1).alias("n")).alias("page"), F.array(F.array(F.lit(3))).alias("odd"))
+    nested = F.to_json(F.struct(F.struct(F.array(page).alias("pages"), F.struct(F.lit("none").alias("path")).alias("note")).alias("run")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("found"), nested.alias("json"))
+    each = docs.select("found", F.explode(files.hashed_records("json")).alias("r")).select("found", "r.*")
+    return each.groupBy("path").agg(F.count_distinct("sha256").alias("hashes"), F.count(F.lit(1)).alias("records"), F.count_if(F.col("sha256") == F.col("found")).alias("verified"), F.sum("bytes").alias("bytes"), (F.count_distinct("sha256") > 1).alias("conflicting"))
+
+
+#: Folders that a scan of a repository leaves out, and endings that mustn't be in one.
+PRUNED, FORBIDDEN = ("node_modules", ".git", "dist"), (".pem", ".key")
+_AREAS = "CASE doc_id % 6 WHEN 0 THEN 'src' WHEN 1 THEN 'docs' WHEN 2 THEN 'node_modules' WHEN 3 THEN 'dist' WHEN 4 THEN 'keys.pem' ELSE 'lib' END"
+
+
+@query(
+    "S17_secret_grep",
+    f"""WITH a AS (SELECT {_AREAS} AS area, text FROM $documents)
+    SELECT area, count(*) AS lines, count(*) FILTER (WHERE regexp_matches(text, 'token = "[0-9a-f]{{40}}"|BEGIN [A-Z ]*PRIVATE KEY')) AS secrets, area LIKE '%.pem' AS forbidden FROM a WHERE area NOT IN ('node_modules', 'dist') GROUP BY area""",
+)
+def secret_grep(spark, sf_dir):
+    """All files of a tree but those below pruned folders, their lines with secrets, and endings that aren't allowed."""
+    path = f"{ledger.shared_path(spark)}/tree"
+    docs = table(spark, sf_dir, "documents").select(F.expr(_AREAS).alias("area"), F.regexp_replace("text", "\n", " ").alias("value"))
+    docs.write.partitionBy("area").text(path)
+    found = files.repository_lines(spark, path, PRUNED)
+    area = F.regexp_extract("path", r"area=([^/]+)", 1)
+    secret = F.col("value").rlike('token = "[0-9a-f]{40}"|BEGIN [A-Z ]*PRIVATE KEY')
+    return found.groupBy(area.alias("area")).agg(F.count(F.lit(1)).alias("lines"), F.count_if(secret).alias("secrets")).withColumn("forbidden", F.col("area").rlike("(" + "|".join(e.replace(".", "[.]") for e in FORBIDDEN) + ")$"))
+
+
 sql_query(
     "S18_links_and_dangling",
     r"""WITH l AS (SELECT page_id, explode(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target FROM $pages), known AS (SELECT DISTINCT concat('/', split(parse_url(url, 'PATH'), '/')[1]) AS path FROM $pages)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from urllib.parse import parse_qs
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as udfs
+from weftline.operators.windows import BUCKET, numbered
 from weftline.plans.registry import query, sql_query, table
 
 # ---- filters
@@ -47,20 +51,83 @@ sql_query(
 )
 sql_query("F6_score_threshold", "SELECT l_orderkey, l_linenumber, round(l_discount, 6) AS score FROM $lineitem WHERE l_discount >= 0.05")
 sql_query("F7_life_plus_70", "SELECT o_custkey, max(o_orderdate) AS last, CAST(make_date(year(max(o_orderdate)) + 71, 1, 1) AS STRING) AS free_from, make_date(year(max(o_orderdate)) + 71, 1, 1) <= DATE '2068-06-01' AS is_free FROM $orders GROUP BY o_custkey")
-sql_query(
+#: (signal, pattern) of texts whose rights need a look: this library's own pack. Signs that aren't letters stand around.
+RISKS = (
+    ("attribution", r"according to|taken from|told by|described by|licen[sc]ed? "),
+    ("named-source", r"after (miller|baker|weaver)"),
+    ("verse", r"songs?|verses?|melod(y|ies)|refrain"),
+    ("figure", r"(fig|ill|pl)[.] *[0-9]+"),
+)
+_RISK = r"(?i)(^|[^\p{L}\p{N}])("
+
+
+def risk_signals(text: Column) -> Column:
+    """The signals of a text, and that of two or more quotation marks."""
+    tests = [F.when(text.rlike(f"{_RISK}{p})"), name) for name, p in RISKS]
+    return F.array_compact(F.array(*tests, F.when(F.regexp_count(text, F.lit('["„]')) >= 2, "quotation")))
+
+
+_DUCK_RISKS = ", ".join(f"CASE WHEN regexp_matches(t, '{_RISK}{p})') THEN '{name}' END" for name, p in RISKS)
+
+
+@query(
     "F8_risk_signals",
-    r"""SELECT doc_id, array_join(array_compact(array(CASE WHEN text RLIKE '(?iuU)licen[sc]e' THEN 'attribution' END, CASE WHEN text RLIKE '\\d{16}' THEN 'number' END, CASE WHEN regexp_count(text, '["„”“«»]') >= 2 THEN 'quotation' END)), ',') AS signals FROM $documents""",
-    r"""SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'attribution' END, CASE WHEN regexp_matches(text, '\d{16}') THEN 'number' END, CASE WHEN len(regexp_extract_all(text, '["„”“«»]')) >= 2 THEN 'quotation' END], lambda x: x IS NOT NULL), ',') AS signals FROM $documents""",
+    f"""SELECT doc_id, array_to_string(list_filter([{_DUCK_RISKS}, CASE WHEN len(regexp_extract_all(t, '["„]')) >= 2 THEN 'quotation' END], lambda x: x IS NOT NULL), ',') AS signals
+    FROM (SELECT doc_id, text || CASE doc_id % 6 WHEN 0 THEN ' as told by many' WHEN 1 THEN ' After Miller.' WHEN 2 THEN ' a song, see Fig. 3 ' WHEN 3 THEN ' „one word"' ELSE '' END AS t FROM $documents) d""",
 )
-sql_query(
+def risks(spark, sf_dir):
+    ends = F.when(F.col("k") == 0, " as told by many").when(F.col("k") == 1, " After Miller.").when(F.col("k") == 2, " a song, see Fig. 3 ").when(F.col("k") == 3, ' „one word"').otherwise("")
+    docs = table(spark, sf_dir, "documents").withColumn("k", F.col("doc_id") % 6).select("doc_id", F.concat("text", ends).alias("t"))
+    return docs.select("doc_id", F.array_join(risk_signals(F.col("t")), ",").alias("signals"))
+
+
+_URL, _BREAK = r"https?://[^\s)]+", r"\n\s*\n"
+_EXPANDED, _FEMALE = r"(?i)(^|[^\p{L}])(he or she|his or her|she or he)", r"(?i)(^|[^\p{L}])girls?([^\p{L}]|$)"
+
+
+def fidelity(src: Column, dst: Column, src_traits: Column, dst_traits: Column, title: Column, target: Column) -> dict[str, Column]:
+    """Predicates that a translation keeps what its source states, by name."""
+    count = lambda t, p: F.regexp_count(t, F.lit(p))
+    found = lambda t, p: F.array_sort(F.regexp_extract_all(t, F.lit(p), F.lit(0)))
+    share = F.length(F.trim(dst)) / F.greatest(F.lit(1), F.length(F.trim(src)))
+    return {
+        "non_empty": (F.trim(title) != "") & (F.trim(dst) != ""),
+        "traits": F.size(src_traits) == F.size(dst_traits),
+        "urls": (found(src, _URL) == found(dst, _URL)) & (count(src, _URL) == count(dst, "https?://")),
+        "numbers": udfs.numbers(F.regexp_replace(src, _URL, "")) == udfs.numbers(F.regexp_replace(dst, _URL, "")),
+        "breaks": count(src, _BREAK) == count(dst, _BREAK),
+        "no_markers": ~(dst.contains("⏎") | dst.contains("↵") | dst.contains("\\n")),
+        "no_expansion": ~dst.rlike(_EXPANDED),
+        "no_invented_female": (target != "en") | src.rlike(_FEMALE) | ~dst.rlike(_FEMALE),
+        "ratio": share.between(0.55, 1.8),
+    }
+
+
+_DUCK_NUMBERS = r"""list_sort(flatten(list_transform(regexp_extract_all(regexp_replace({0}, 'https?://[^\s)]+', '', 'g'), '[⁰¹²³⁴⁵⁶⁷⁸⁹]+|\d{{1,3}}(?:[ \x{{A0}}]\d{{3}})+|\d+(?:[.,/—–-]\d+)*'), lambda x: CASE WHEN regexp_matches(x, '[—–-]') THEN list_filter(regexp_split_to_array(regexp_replace(x, '[ \x{{A0}}]', '', 'g'), '[—–-]'), lambda y: y <> '') WHEN regexp_full_match(regexp_replace(x, '[ \x{{A0}}]', '', 'g'), '\d{{1,3}}([.,]\d{{3}})+') THEN [regexp_replace(regexp_replace(x, '[ \x{{A0}}]', '', 'g'), '[.,]', '', 'g')] ELSE [replace(regexp_replace(x, '[ \x{{A0}}]', '', 'g'), ',', '.')] END)))"""
+
+
+@query(
     "F9_fidelity_predicates",
-    r"""WITH v AS (SELECT a.conv_id, a.turn, a.text AS src, b.text AS dst FROM $conversations a JOIN $conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
-    p AS (SELECT conv_id, turn, length(trim(dst)) > 0 AS non_empty, array_sort(regexp_extract_all(src, '\\d+', 0)) = array_sort(regexp_extract_all(dst, '\\d+', 0)) AS numbers, regexp_count(src, '\n') = regexp_count(dst, '\n') AS breaks, length(dst) BETWEEN 0.55 * length(src) AND 1.8 * length(src) AS ratio FROM v)
-    SELECT *, non_empty AND numbers AND breaks AND ratio AS faithful FROM p""",
-    r"""WITH v AS (SELECT a.conv_id, a.turn, a.text AS src, b.text AS dst FROM $conversations a JOIN $conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
-    p AS (SELECT conv_id, turn, length(trim(dst)) > 0 AS non_empty, list_sort(regexp_extract_all(src, '\d+')) = list_sort(regexp_extract_all(dst, '\d+')) AS numbers, len(regexp_extract_all(src, '\n')) = len(regexp_extract_all(dst, '\n')) AS breaks, length(dst) BETWEEN 0.55 * length(src) AND 1.8 * length(src) AS ratio FROM v)
-    SELECT *, non_empty AND numbers AND breaks AND ratio AS faithful FROM p""",
+    rf"""WITH v AS (SELECT conv_id, turn, role, text || CASE turn % 4 WHEN 0 THEN ' 1,5 and 3-4 ' WHEN 1 THEN ' https://a.b/c 12 345' ELSE '' END AS src,
+      CASE (conv_id + turn) % 7 WHEN 0 THEN text || ' 1.5 3 and 4' WHEN 1 THEN text || ' https://a.b/c 12345' WHEN 2 THEN text || ' he or she ⏎' WHEN 3 THEN text || ' girls' WHEN 4 THEN substr(text, 1, length(text) // 3) WHEN 5 THEN text || chr(10) || ' ' || chr(10) ELSE text END AS dst FROM $conversations),
+    p AS (SELECT conv_id, turn, trim(role) <> '' AND trim(dst) <> '' AS non_empty, true AS traits,
+      list_sort(regexp_extract_all(src, 'https?://[^\s)]+')) = list_sort(regexp_extract_all(dst, 'https?://[^\s)]+')) AND len(regexp_extract_all(src, 'https?://[^\s)]+')) = len(regexp_extract_all(dst, 'https?://')) AS urls,
+      {_DUCK_NUMBERS.format("src")} = {_DUCK_NUMBERS.format("dst")} AS numbers, len(regexp_extract_all(src, '\n\s*\n')) = len(regexp_extract_all(dst, '\n\s*\n')) AS breaks,
+      NOT regexp_matches(dst, '⏎|↵|\\n') AS no_markers, NOT regexp_matches(dst, '(?i)(^|[^\p{{L}}])(he or she|his or her|she or he)') AS no_expansion,
+      regexp_matches(src, '(?i)(^|[^\p{{L}}])girls?([^\p{{L}}]|$)') OR NOT regexp_matches(dst, '(?i)(^|[^\p{{L}}])girls?([^\p{{L}}]|$)') AS no_invented_female,
+      length(trim(dst)) / greatest(1, length(trim(src)))::DOUBLE BETWEEN 0.55 AND 1.8 AS ratio FROM v)
+    SELECT *, non_empty AND traits AND urls AND numbers AND breaks AND no_markers AND no_expansion AND no_invented_female AND ratio AS faithful FROM p""",
 )
+def fidelity_predicates(spark, sf_dir):
+    """Each turn and what a translator of known faults makes of it."""
+    made = "CASE (conv_id + turn) % 7 WHEN 0 THEN concat(text, ' 1.5 3 and 4') WHEN 1 THEN concat(text, ' https://a.b/c 12345') WHEN 2 THEN concat(text, ' he or she ⏎') WHEN 3 THEN concat(text, ' girls') WHEN 4 THEN substr(text, 1, length(text) div 3) WHEN 5 THEN concat(text, '\\n \\n') ELSE text END"
+    source = "concat(text, CASE turn % 4 WHEN 0 THEN ' 1,5 and 3-4 ' WHEN 1 THEN ' https://a.b/c 12 345' ELSE '' END)"
+    v = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.expr(source).alias("src"), F.expr(made).alias("dst"))
+    tests = fidelity(F.col("src"), F.col("dst"), F.array("role"), F.array("role"), F.col("role"), F.lit("en"))
+    p = v.select("conv_id", "turn", *[c.alias(n) for n, c in tests.items()])
+    return p.withColumn("faithful", F.forall(F.array(*tests), lambda x: x))
+
+
 sql_query(
     "F10_signatures",
     "SELECT doc_id, CASE WHEN startswith(b, X'FFD8') THEN 'jpeg' WHEN startswith(b, X'89504E47') THEN 'png' WHEN startswith(b, X'255044462D') THEN 'pdf' ELSE 'other' END AS kind, octet_length(b) <= 20000 AS in_cap FROM (SELECT doc_id, concat(CASE doc_id % 4 WHEN 0 THEN X'FFD8' WHEN 1 THEN X'89504E47' WHEN 2 THEN X'255044462D' ELSE X'00' END, cast(text AS BINARY)) AS b FROM $documents)",
@@ -109,22 +176,50 @@ sql_query(
 )
 
 
+def located(items: list[tuple], lines: list[tuple], least: float = 0.52) -> list[tuple]:
+    """(number, position, score) of items (number, page, title) in order among lines (page, position, text): of the lines
+    of its page after the last match the most similar one, the first of equals; below `least` an item isn't found and the
+    search goes on from where it was."""
+    keys: dict[int, list[tuple[int, str]]] = {}
+    for page, position, text in sorted(lines):
+        keys.setdefault(page, []).append((position, udfs.compact_key(udfs.heading(text))))
+    last, found = -1, []
+    for number, page, title in sorted(items):
+        key = udfs.compact_key(title)
+        scored = [(udfs.key_ratio(key, other), -position) for position, other in keys.get(page, []) if position > last]
+        score, position = max(scored, default=(0.0, 0))
+        if scored and score >= least:
+            last = -position
+            found.append((number, last, round(score, 6)))
+    return found
+
+
+def locate(items: DataFrame, lines: DataFrame, by: str, least: float = 0.52) -> DataFrame:
+    """(by, number, position, score) for each group of items (by, number, page, title) and lines (by, page, position, text).
+    A match depends on the one before, so each group is one pass."""
+
+    def run(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = located(list(a[["number", "page", "title"]].itertuples(index=False, name=None)), list(b[["page", "position", "text"]].itertuples(index=False, name=None)), least)
+        return pd.DataFrame({by: key[0], "number": [f[0] for f in found], "position": [f[1] for f in found], "score": [f[2] for f in found]})
+
+    return items.groupBy(by).cogroup(lines.groupBy(by)).applyInPandas(run, f"{by} {dict(items.dtypes)[by]}, number long, position long, score double")
+
+
+def sentences(turns: DataFrame) -> DataFrame:
+    """(conv_id, page, position, text): the sentences of a conversation's turns, numbered through it."""
+    each = turns.select("conv_id", F.col("turn").alias("page"), F.posexplode(F.split("text", r"(?<=[.!?])\s+")).alias("pos", "text")).where("trim(text) <> ''")
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("page", "pos")) - 1
+    return each.select("conv_id", F.col("page").cast("long").alias("page"), place.cast("long").alias("position"), "text")
+
+
 @query("J10_monotone_match")
 def monotone_match(spark, sf_dir):
-    """Per conversation, headings matched to later turns only: each match must stand after the one before (a fold over
-    the ordered candidates, inside the row of its conversation)."""
+    """Per conversation, each turn's first words as a heading, found among the sentences of its turn after the last match."""
     turns = table(spark, sf_dir, "conversations")
-    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.length("text").alias("size")))).alias("t"))
-    wanted = F.transform("t", lambda x: x["size"] % 7)
-    start = F.struct(F.lit(-1).cast("long").alias("last"), F.array().cast("array<long>").alias("found"))
-
-    def step(s, want):
-        later = F.filter("t", lambda x: (x["turn"] > s["last"]) & (x["size"] % 7 == want))
-        hit = F.get(later, F.lit(0))["turn"]
-        return F.when(hit.isNull(), s).otherwise(F.struct(hit.alias("last"), F.concat(s["found"], F.array(hit)).alias("found")))
-
-    found = F.aggregate(wanted, start, step)
-    return rows.select("conv_id", F.array_join(F.transform(found["found"], lambda x: x.cast("string")), ",").alias("matches"))
+    lines = sentences(turns)
+    first = F.col("turn").cast("long")
+    items = turns.select("conv_id", first.alias("number"), first.alias("page"), F.lower(F.regexp_extract("text", r"^\s*((?:\S+\s+){0,5}\S+)", 1)).alias("title"))
+    return locate(items, lines, "conv_id")
 
 
 sql_query(
@@ -154,22 +249,70 @@ sql_query(
 )
 
 
+#: Entries that are compared together with a batch of lines.
+ENTRIES = 256
+
+
+def _signs(key: str) -> np.ndarray:
+    """How often each sign stands in a key, by 64 classes of signs."""
+    return np.bincount(np.frombuffer(key.encode("utf-32-le"), np.uint32) % 64, minlength=64) if key else np.zeros(64, np.int64)
+
+
+def best_lines(entries: DataFrame, lines: DataFrame, place: list[str]) -> DataFrame:
+    """(entry_id, score, place): the line most like each entry (entry_id, title) of all lines (place, line); the first line
+    of equals, in the order of place. All entries are compared with all lines, in blocks; what two keys' signs have in
+    common bounds their similarity, and lines whose bound is below the best so far aren't compared."""
+    blocks = entries.withColumn("b", F.floor((F.row_number().over(Window.orderBy("entry_id")) - 1) / ENTRIES)).groupBy("b").agg(F.collect_list(F.struct("entry_id", "title")).alias("e"))
+    own = lines.select(*place, udfs.compact(F.regexp_replace(udfs.heading_sql("line"), r"^\d{1,3}\s*[.)]\s*", "")).alias("key"))
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for _, g in b.groupby("b"):
+                keys = g["key"].tolist()
+                signs, sizes = np.array([_signs(k) for k in keys]), np.array([len(k) for k in keys])
+                at = list(zip(*(g[p].tolist() for p in place), strict=True))
+                out = []
+                for e in g["e"].iloc[0]:
+                    key = udfs.compact_key(e["title"] or "")
+                    bound = 2 * np.minimum(signs, _signs(key)[None]).sum(1) / np.maximum(sizes + len(key), 1)
+                    top = (-1.0, None)
+                    for k in np.argsort(-bound, kind="stable").tolist():
+                        if bound[k] < top[0] - 1e-12:
+                            break
+                        score = udfs.key_ratio(key, keys[k])
+                        if top[1] is None or score > top[0] or score == top[0] and at[k] < top[1]:
+                            top = (score, at[k])
+                    out.append((e["entry_id"], top[0], *top[1]))
+                yield pd.DataFrame(out, columns=["entry_id", "score", *place])
+
+    kinds = ", ".join(f"{p} long" for p in place)
+    found = own.crossJoin(F.broadcast(blocks)).mapInPandas(best, f"entry_id long, score double, {kinds}")
+    top = found.groupBy("entry_id").agg(F.max(F.struct("score", *[(-F.col(p)).alias(p) for p in place])).alias("t"))
+    return top.select("entry_id", F.col("t.score").alias("score"), *[(-F.col(f"t.{p}")).alias(p) for p in place])
+
+
 @query("J25_best_fuzzy_match")
 def best_fuzzy(spark, sf_dir):
-    """The user turn of each conversation whose title is most like the benchmark item with its number; the first on ties."""
-    line = lambda c: F.substring_index(F.col(c), ".", 1)
-    items = F.broadcast(table(spark, sf_dir, "benchmark").select("item_id", line("text").alias("entry")))
-    turns = table(spark, sf_dir, "conversations").where("role = 'user'").select("conv_id", "turn", line("text").alias("title"), (F.col("conv_id") % 40).alias("item_id"))
-    scored = turns.join(items, "item_id").withColumn("score", udfs.title_similarity("entry", "title"))
-    first = Window.partitionBy("conv_id").orderBy(F.desc("score"), "turn")
-    return scored.withColumn("r", F.row_number().over(first)).where("r = 1").select("conv_id", "turn", F.round("score", 6).alias("score"))
+    """Each benchmark item's title (its first sentence) and the line of all conversations that is most like it; a pinned
+    place takes precedence."""
+    entries = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("long").alias("entry_id"), F.substring_index("text", ".", 1).alias("title"))
+    turns = table(spark, sf_dir, "conversations")
+    lines = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).where("trim(line) <> ''").withColumn("line_no", F.col("line_no").cast("long"))
+    pinned = spark.createDataFrame([(0, 0, 0, 0)], "entry_id long, p_conv long, p_turn long, p_line long")
+    found = best_lines(entries, lines, ["conv_id", "turn", "line_no"]).join(F.broadcast(pinned), "entry_id", "left")
+    return found.select("entry_id", F.coalesce("p_conv", "conv_id").alias("conv_id"), F.coalesce("p_turn", "turn").alias("turn"), F.coalesce("p_line", "line_no").alias("line_no"), F.when(F.col("p_conv").isNull(), F.round("score", 6)).alias("score"), F.when(F.col("p_conv").isNotNull(), "pinned").otherwise("best").alias("method"))
 
 
 # ---- limits and orders
 
 sql_query("K1_top_pairs", "SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 8) AS score FROM $lineitem ORDER BY score DESC, l_orderkey, l_linenumber LIMIT 50")
 sql_query("K2_hash_sample", "SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY sha2(concat('salt', chr(0), doc_id), 256), doc_id) AS r FROM (SELECT DISTINCT lang, doc_id FROM $documents)) WHERE r <= 5", "SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY sha256('salt' || chr(0) || doc_id), doc_id) AS r FROM (SELECT DISTINCT lang, doc_id FROM $documents) x) t WHERE r <= 5")
-sql_query("K3_declared_order", "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY array_position(array('fr', 'en', 'es', 'de'), lang), doc_id) AS place FROM $documents", "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY list_position(['fr', 'en', 'es', 'de'], lang), doc_id) AS place FROM $documents")
+@query("K3_declared_order", "SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY list_position(['fr', 'en', 'es', 'de'], lang), doc_id) AS place FROM $documents")
+def declared_order(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.array_position(F.array(*map(F.lit, ("fr", "en", "es", "de"))), F.col("lang")).alias("p"))
+    return numbered(docs, "source", [F.col("p"), F.floor(F.col("doc_id") / BUCKET)], [F.asc("p"), F.asc("doc_id")], "place").select("doc_id", "place")
+
+
 sql_query("K4_next_pending", "SELECT d.source, min(d.doc_id) AS next FROM $documents d LEFT ANTI JOIN $labels l ON l.doc_id = d.doc_id GROUP BY d.source", "SELECT d.source, min(d.doc_id) AS next FROM $documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM $labels) GROUP BY d.source")
 sql_query("K5_arg_max_composite", "SELECT l_orderkey, max_by(l_linenumber, struct(l_extendedprice, -l_linenumber)) AS best FROM $lineitem GROUP BY l_orderkey", "SELECT l_orderkey, l_linenumber AS best FROM (SELECT l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_linenumber) AS r FROM $lineitem) t WHERE r = 1")
 sql_query("K6_caseless_sort", "SELECT p_partkey, row_number() OVER (PARTITION BY p_brand ORDER BY lower(p_name), p_size, p_partkey) AS place FROM $part")

@@ -17,11 +17,18 @@ def batch_ledger(spark, sf_dir):
 
 
 sql_query("X2_resume_pending", "SELECT d.doc_id FROM $documents d LEFT ANTI JOIN (SELECT e.vec_id FROM $embeddings e WHERE e.label IS NOT NULL) c ON c.vec_id = d.doc_id", "SELECT d.doc_id FROM $documents d WHERE NOT EXISTS (SELECT 1 FROM $embeddings e WHERE e.vec_id = d.doc_id AND e.label IS NOT NULL)")
-sql_query(
+@query(
     "X3_retry_at",
-    "SELECT event_id, CAST(greatest(ts, CASE event_id % 3 WHEN 0 THEN ts + make_dt_interval(0, 0, 0, event_id % 120) WHEN 1 THEN timestampadd(SECOND, -5, ts) ELSE ts + INTERVAL '1' HOUR END) AS STRING) AS retry_at FROM (SELECT event_id, date_trunc('SECOND', ts) AS ts FROM $events)".replace("date_trunc('SECOND', ts)", "CAST(date_trunc('SECOND', ts) AS TIMESTAMP_NTZ)"),
-    "SELECT event_id, strftime(greatest(ts, CASE event_id % 3 WHEN 0 THEN ts + to_seconds(event_id % 120) WHEN 1 THEN ts - INTERVAL 5 SECOND ELSE ts + INTERVAL 1 HOUR END), '%Y-%m-%d %H:%M:%S') AS retry_at FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM $events) t",
+    """SELECT event_id, strftime(CASE event_id % 6 WHEN 0 THEN ts + to_seconds(event_id % 120) WHEN 1 THEN ts WHEN 2 THEN ts + INTERVAL 2 DAY WHEN 3 THEN ts ELSE ts + INTERVAL 1 HOUR END, '%Y-%m-%d %H:%M:%S') AS retry_at FROM (SELECT event_id, date_trunc('second', ts) AS ts FROM $events) t""",
 )
+def retry_at(spark, sf_dir):
+    """When a refused request may run again, by a Retry-After header of seconds or of an HTTP date; dates lie two days ahead
+    or behind, and what is missing or no such value means an hour."""
+    e = table(spark, sf_dir, "events").select("event_id", F.date_trunc("SECOND", "ts").cast("timestamp_ntz").alias("now"))
+    date = lambda days: F.concat(F.date_format(F.col("now") + F.expr(f"INTERVAL '{days}' DAY"), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    k = F.col("event_id") % 6
+    header = F.when(k == 0, (F.col("event_id") % 120).cast("string")).when(k == 1, "-5").when(k == 2, date(2)).when(k == 3, date(-2)).when(k == 4, "soon")
+    return e.select("event_id", ledger.retry_at(header, F.col("now")).cast("string").alias("retry_at"))
 
 
 @query(

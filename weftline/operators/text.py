@@ -6,11 +6,16 @@ can't express (normal forms, sequence matching, marker protection) are in weftli
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as udfs
 from weftline.plans.registry import query, sql_query, table
 
+#: Case-folded columns, in both dialects.
+FOLDED, FOLDED_DUCK = udfs.folded_sql("text"), udfs.folded_sql("text", "duckdb")
+FOLDED_C_DUCK = udfs.folded_sql("c", "duckdb")
+
 #: name: (columns in Spark SQL, the same in DuckDB or None)
 _SCALARS: dict[str, tuple[str, str | None]] = {
     "T1_strip_footer": (
@@ -18,12 +23,12 @@ _SCALARS: dict[str, tuple[str, str | None]] = {
         r"regexp_replace(split_part(text || chr(10) || chr(10) || '---' || chr(10) || '[source](x)', chr(10) || chr(10) || '---' || chr(10), 1), '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g') AS body",
     ),
     "T2_ascii_tokens": (
-        r"array_join(regexp_extract_all(lower(text), '[a-z0-9]+(?:\'[a-z]+)?', 0), ' ') AS tokens",
-        r"array_to_string(regexp_extract_all(lower(text), '[a-z0-9]+(?:''[a-z]+)?'), ' ') AS tokens",
+        rf"array_join(regexp_extract_all({FOLDED}, '[a-z0-9]+(?:\'[a-z]+)?', 0), ' ') AS tokens",
+        rf"array_to_string(regexp_extract_all({FOLDED_DUCK}, '[a-z0-9]+(?:''[a-z]+)?'), ' ') AS tokens",
     ),
     "T4_locator_key": (
-        r"array_join(regexp_extract_all(lower(text), '(?U)\\w+', 0), ' ') AS locator",
-        r"array_to_string(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+'), ' ') AS locator",
+        rf"array_join(regexp_extract_all({FOLDED}, '(?U)\\w+', 0), ' ') AS locator",
+        rf"array_to_string(regexp_extract_all({FOLDED_DUCK}, '[\p{{L}}\p{{M}}\p{{N}}_]+'), ' ') AS locator",
     ),
     "T6_collapse_space": (
         r"trim(regexp_replace(text, '(?U)\\s+', ' ')) AS collapsed",
@@ -45,10 +50,6 @@ _SCALARS: dict[str, tuple[str, str | None]] = {
         "rtrim(substring(c, 1, 360)) AS cut, CASE WHEN length(c) <= 40 THEN c ELSE concat(rtrim(substring(c, 1, 39)), '…') END AS label",
         None,
     ),
-    "T13_compact_key": (
-        r"regexp_replace(lower(c), '[^\\p{L}\\p{N}]', '') AS key",
-        r"regexp_replace(lower(c), '[^\p{L}\p{N}]', '', 'g') AS key",
-    ),
     "T14_strip_markup": (
         r"trim(regexp_replace(regexp_replace(concat('## **', c, '** |'), '^#+ *|\\*\\*', ''), '\\|', '')) AS plain",
         r"trim(regexp_replace(regexp_replace('## **' || c || '** |', '^#+ *|\*\*', '', 'g'), '\|', '', 'g')) AS plain",
@@ -131,27 +132,45 @@ _DUCK_BASE = r"(SELECT *, trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g')) AS
 for _name, (_spark, _duck) in _SCALARS.items():
     sql_query(_name, f"SELECT doc_id, {_spark} FROM {_SPARK_BASE}", f"SELECT doc_id, {_duck or _spark} FROM {_DUCK_BASE}")
 
+#: The text of a document as terms are taken from it: its title (here the source) twice, then the body without its footer.
+TITLES = 2
+_TITLED = rf"concat(repeat(concat(source, ' '), {TITLES}), substring_index(concat(text, '\n\n---\nfooter words'), '\n\n---\n', 1))"
+_TITLED_DUCK = f"(repeat(source || ' ', {TITLES}) || split_part(text || chr(10) || chr(10) || '---' || chr(10) || 'footer words', chr(10) || chr(10) || '---' || chr(10), 1))"
 sql_query(
     "T3_terms_unigrams_bigrams",
-    """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), "[a-z0-9]+(?:'[a-z]+)?", 0) AS w FROM $documents),
-    t AS (SELECT doc_id, explode(concat(w, CASE WHEN size(w) > 1 THEN transform(sequence(1, size(w) - 1), i -> concat_ws(' ', w[i - 1], w[i])) ELSE array() END)) AS term FROM w)
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all({udfs.folded_sql("t")}, "[a-z0-9]+(?:'[a-z]+)?", 0) AS w FROM (SELECT doc_id, {_TITLED} AS t FROM $documents)),
+    t AS (SELECT doc_id, explode(concat(w, CASE WHEN size(w) > 1 THEN zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (a, b) -> concat_ws(' ', a, b)) ELSE array() END)) AS term FROM w)
     SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct, min(term) AS first_term FROM t GROUP BY doc_id""",
-    """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+(?:''[a-z]+)?') AS w FROM $documents),
+    f"""WITH w AS (SELECT doc_id, regexp_extract_all({udfs.folded_sql("t", "duckdb")}, '[a-z0-9]+(?:''[a-z]+)?') AS w FROM (SELECT doc_id, {_TITLED_DUCK} AS t FROM $documents) d),
     t AS (SELECT doc_id, unnest(w || list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM w)
     SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct, min(term) AS first_term FROM t GROUP BY doc_id""",
 )
 sql_query(
     "T5_shingles",
-    r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '(?U)\\w+', 0) AS w FROM $documents)
-    SELECT doc_id, cast(CASE WHEN size(w) < 5 THEN 0 ELSE size(array_distinct(transform(sequence(0, size(w) - 5), i -> array_join(slice(w, i + 1, 5), ' ')))) END AS BIGINT) AS n_shingles FROM w""",
-    r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+') AS w FROM $documents)
+    rf"""WITH w AS (SELECT doc_id, regexp_extract_all({FOLDED}, '(?U)\\w+', 0) AS w FROM $documents)
+    SELECT doc_id, cast(size({udfs.shingles_sql("w")}) AS BIGINT) AS n_shingles FROM w""",
+    rf"""WITH w AS (SELECT doc_id, regexp_extract_all({FOLDED_DUCK}, '[\p{{L}}\p{{M}}\p{{N}}_]+') AS w FROM $documents)
     SELECT doc_id, len(list_distinct(list_transform(range(0, greatest(len(w) - 4, 0)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))) AS n_shingles FROM w""",
 )
-sql_query(
+
+
+@query("T13_compact_key", rf"SELECT doc_id, regexp_replace({FOLDED_C_DUCK}, '[^\p{{L}}\p{{N}}]', '', 'g') AS key FROM (SELECT doc_id, text AS c FROM $documents) t")
+def compact_key(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", udfs.compact("text").alias("key"))
+
+
+@query(
     "T43_url_identity",
-    r"SELECT page_id, regexp_replace(parse_url(url, 'HOST'), '^www\\.', '') AS host, url_decode(replace(parse_url(url, 'PATH'), '+', '%2B')) AS path FROM $pages",
-    r"SELECT page_id, regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '^www\.', '') AS host, url_decode(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1)) AS path FROM $pages",
+    r"""SELECT page_id, regexp_replace(regexp_extract(url, '^https?://([^/?#]+)', 1), '^www\.', '') AS host, '/a&b é' || url_decode(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1)) AS path FROM $pages""",
 )
+def url_identity(spark, sf_dir):
+    """Host without www. and decoded path of addresses as they stand in HTML, with references and percent signs."""
+    pages = table(spark, sf_dir, "pages")
+    written = F.regexp_replace("url", "^(https?://[^/?#]+)", "$1/a&amp;b%20&#37;C3%A9")
+    plain = pages.select("page_id", udfs.unescaped(written).alias("url"))
+    return plain.select("page_id", F.regexp_replace(F.parse_url("url", F.lit("HOST")), r"^www\.", "").alias("host"), F.url_decode(F.replace(F.parse_url("url", F.lit("PATH")), F.lit("+"), F.lit("%2B"))).alias("path"))
+
+
 sql_query(
     "T26_number_words",
     """WITH n AS (SELECT DISTINCT doc_id % 101 AS n FROM $documents)
@@ -170,11 +189,15 @@ sql_query(
 )
 
 
-@query("T8_markdown_plain_text")
+@query(
+    "T8_markdown_plain_text",
+    r"""WITH m AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace('![x](y) [a&amp;b](u) <b>x*y** ' || text || ' **</b> | ~', '!\[[^\]]*\]\([^)]+\)', ' ', 'g'), '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '<[^>]+>', ' ', 'g'), '[#*_>`~|]', ' ', 'g') AS t FROM $documents),
+    c AS (SELECT doc_id, regexp_replace(regexp_replace(t, '[\s\x{A0}]+', ' ', 'g'), '^ | $', '', 'g') AS t FROM m)
+    SELECT doc_id, replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS plain FROM c""",
+)
 def markdown_plain(spark, sf_dir):
-    """Images dropped, link labels and text kept, tags and marks removed, then entities decoded."""
     docs = table(spark, sf_dir, "documents")
-    marked = F.concat(F.lit("![x](y) [a&amp;b](u) <b>**"), "text", F.lit("**</b> | ~"))
+    marked = F.concat(F.lit("![x](y) [a&amp;b](u) <b>x*y** "), "text", F.lit(" **</b> | ~"))
     return docs.select("doc_id", udfs.markdown_plain(marked).alias("plain"))
 
 
@@ -184,7 +207,7 @@ def trait_key(spark, sf_dir):
     return docs.select("doc_id", udfs.normalized_key("source").alias("trait_key"), F.concat(F.upper(F.substring("source", 1, 1)), F.expr("substring(source, 2)")).alias("display"))
 
 
-@query("T18_diacritic_folding", "SELECT doc_id, lower(strip_accents(text)) AS folded, replace(lower(strip_accents(text)), 'ł', 'l') AS folded_map FROM $documents")
+@query("T18_diacritic_folding", "WITH f AS (SELECT doc_id, translate(lower(strip_accents(text)), '^`', '') AS folded FROM $documents) SELECT doc_id, folded, replace(folded, 'ł', 'l') AS folded_map FROM f")
 def folded(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     plain = udfs.strip_diacritics(F.lower("text"))
@@ -193,15 +216,24 @@ def folded(spark, sf_dir):
 
 @query("T15_title_similarity")
 def title_similarity(spark, sf_dir):
-    """Each document's first line against the first line of the item with the same remainder."""
+    """Each document's first line against the first line of one item: all items take turns, by the documents' ids."""
     line = lambda c: F.substring_index(F.col(c), "\n", 1)
-    docs = table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") % 40).alias("item_id"), line("text").alias("title"))
     items = table(spark, sf_dir, "benchmark").select("item_id", line("text").alias("other"))
-    return docs.join(items, "item_id").select("doc_id", "item_id", F.round(udfs.title_similarity("title", "other"), 6).alias("similarity"))
+    turns = items.select("item_id", "other", (F.row_number().over(Window.orderBy("item_id")) - 1).alias("turn"))
+    n = items.count()
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.pmod("doc_id", F.lit(max(n, 1))).cast("int").alias("turn"), line("text").alias("title"))
+    return docs.join(turns, "turn").select("doc_id", "item_id", F.round(udfs.title_similarity("other", "title"), 6).alias("similarity"))
+
+
+#: What is protected, for an engine without lookaround: numerals twice, as neighbours share the sign between them.
+_NUMERAL = r"regexp_replace({}, '(^|[^\p{{L}}\p{{M}}\p{{N}}_])[IVXLCDM]+($|[^\p{{L}}\p{{M}}\p{{N}}_])', '\1ø\2', 'g')"
+_NUMBERS = r"regexp_replace(text, 'https?://[^\s)]+|[⁰¹²³⁴⁵⁶⁷⁸⁹]+|\d{1,3}(?:[ \x{A0}]\d{3})+|\d+(?:[.,/—–-]\d+)*', 'ø', 'g')"
 
 
-@query("T24_protect_restore", "SELECT doc_id, true AS restored, true AS digit_free FROM $documents")
+@query("T24_protect_restore", rf"SELECT doc_id, true AS restored, true AS digit_free, regexp_replace({_NUMERAL.format(_NUMERAL.format(_NUMBERS))}, '\n[ \t]*\n', 'ø', 'g') AS masked FROM $documents")
 def protect_restore(spark, sf_dir):
+    """Markers put in and taken out again, and the text with one letter for each."""
     docs = table(spark, sf_dir, "documents")
     held = docs.select("doc_id", "text", udfs.protect("text").alias("p"))
-    return held.select("doc_id", (udfs.restore("p") == F.col("text")).alias("restored"), (~F.col("p.text").rlike("[0-9]")).alias("digit_free"))
+    masked = F.regexp_replace("p.text", "⟦[A-Z]+·[A-Z]+⟧", "ø")
+    return held.select("doc_id", (udfs.restore("p") == F.col("text")).alias("restored"), (~F.col("p.text").rlike("[0-9]")).alias("digit_free"), masked.alias("masked"))

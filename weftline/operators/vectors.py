@@ -11,12 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions.text import folded_sql, shingles_sql
+from weftline.operators.text import TITLES
 from weftline.plans.registry import query, sql_query, table
 
 BLOCK = 1024
@@ -35,11 +37,13 @@ p AS (SELECT a.doc_id AS left_id, b.doc_id AS right_id, sum(a.w * b.w) AS cosine
 SELECT left_id, right_id, round(cosine, 6) AS cosine FROM p WHERE cosine >= 0.09 ORDER BY round(cosine, 6) DESC, left_id, right_id LIMIT 50"""
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(id, group, term, w): unit-length weights (1 + ln tf)(1 + ln((N + 1) / (df + 1))) of uni- and bigrams."""
-    words = F.regexp_extract_all(F.lower(text_col), F.lit("[a-z0-9]+(?:'[a-z]+)?"), F.lit(0))
-    tokens = docs.select(F.col(id_col).alias("id"), F.col(group_col).alias("grp"), words.alias("w"))
-    pairs = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat_ws(" ", F.get("w", i - 1), F.get("w", i)))).otherwise(F.array().cast("array<string>"))
+def tfidf(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source", text_col: str = "text", title_col: str | None = None, titles: int = TITLES) -> DataFrame:
+    """(id, grp, term, w, df): unit-length weights (1 + ln tf)(1 + ln((N + 1) / (df + 1))) of uni- and bigrams of the text
+    without its footer, and of the title so many times before it."""
+    text = F.substring_index(F.col(text_col), "\n\n---\n", 1)
+    whole = text if title_col is None else F.concat(F.repeat(F.concat(F.col(title_col), F.lit(" ")), titles), text)
+    tokens = docs.select(F.col(id_col).alias("id"), F.col(group_col).alias("grp"), whole.alias("t")).select("id", "grp", F.regexp_extract_all(F.expr(folded_sql("t")), F.lit("[a-z0-9]+(?:'[a-z]+)?"), F.lit(0)).alias("w"))
+    pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
     tf = tokens.select("id", "grp", F.explode(F.concat("w", pairs)).alias("term")).groupBy("id", "grp", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = docs.agg(F.count(F.lit(1)).alias("n"))
@@ -48,30 +52,70 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source", te
     return raw.join(norm, "id").select("id", "grp", "term", (F.col("w") / F.col("norm")).alias("w"), "df")
 
 
-@query("V1_tfidf_near_duplicates", _TFIDF.format(words="regexp_extract_all(lower(text), '[a-z0-9]+(?:''[a-z]+)?')", terms="unnest(w || list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))"))
-def tfidf_pairs(spark, sf_dir):
-    """Pairs of documents of different sources by TF-IDF cosine: an equi-join on terms, no pair that shares none."""
-    v = tfidf(table(spark, sf_dir, "documents")).where("df > 1").select("id", "grp", "term", "w")
-    a, b = v.select(F.col("id").alias("left_id"), F.col("grp").alias("g1"), "term", F.col("w").alias("w1")), v.select(F.col("id").alias("right_id"), F.col("grp").alias("g2"), "term", F.col("w").alias("w2"))
-    met = a.join(b, (a["term"] == b["term"]) & (a["left_id"] < b["right_id"]) & (a["g1"] != b["g2"]))
-    scored = met.groupBy("left_id", "right_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("cosine")).where("cosine >= 0.09")
-    return scored.select("left_id", "right_id", F.round("cosine", 6).alias("cosine")).orderBy(F.desc("cosine"), "left_id", "right_id").limit(50)
+#: Least cosines that the search for the most similar pairs goes through; the last is the operator's own.
+STEPS = (0.9, 0.5, 0.25, 0.09)
+
+
+def similar_pairs(v: DataFrame, least: float) -> DataFrame:
+    """(left_id, right_id, cosine) of all pairs of different groups with at least this cosine, from rows (id, grp, term, w, df).
+
+    Of each vector's terms, most frequent first, those go whose weights together stay under `least` in length: what a pair
+    shares there alone can't reach it. Pairs meet on the others, which are rare, and only those that met are summed whole.
+    """
+    order = Window.partitionBy("id").orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
+    rare = v.withColumn("length", F.sum(F.col("w") * F.col("w")).over(order)).where((F.col("length") >= least * least * (1 - 1e-9)) & (F.col("df") > 1)).select("id", "grp", "term")
+    left, right = rare.select(F.col("id").alias("left_id"), F.col("grp").alias("g1"), "term"), rare.select(F.col("id").alias("right_id"), F.col("grp").alias("g2"), "term")
+    met = left.join(right, "term").where("left_id < right_id AND g1 <> g2").select("left_id", "right_id").distinct()
+    a, b = v.select(F.col("id").alias("left_id"), "term", F.col("w").alias("w1")), v.select(F.col("id").alias("right_id"), "term", F.col("w").alias("w2"))
+    return met.join(a, "left_id").join(b, ["right_id", "term"]).groupBy("left_id", "right_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("cosine")).where(F.col("cosine") >= least)
+
+
+@query("V1_tfidf_near_duplicates", _TFIDF.format(words=f"regexp_extract_all({folded_sql(f"(repeat(source || ' ', {TITLES}) || text)", 'duckdb')}, '[a-z0-9]+(?:''[a-z]+)?')", terms="unnest(w || list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))"))
+def tfidf_pairs(spark, sf_dir, most: int = 50):
+    """The most similar pairs of documents of different sources by TF-IDF cosine, those of at least 0.09.
+
+    The least cosine is lowered until there are enough pairs above it; what is found above any least is all there is.
+    """
+    v = tfidf(table(spark, sf_dir, "documents"), title_col="source").persist(StorageLevel.DISK_ONLY)
+    for least in STEPS:
+        found = similar_pairs(v, least).select("left_id", "right_id", F.round("cosine", 6).alias("cosine"))
+        rows = found.orderBy(F.desc("cosine"), "left_id", "right_id").limit(most)
+        if least == STEPS[-1]:
+            return rows
+        top = rows.collect()
+        # Cosines are rounded for the order, so the last must lie clearly above the least.
+        if len(top) == most and top[-1]["cosine"] > least + 1e-6:
+            v.unpersist()
+            return spark.createDataFrame(top, rows.schema)
 
 
 _JACCARD = """WITH s AS (SELECT 'b' AS side, item_id AS id, {shingles} AS sh FROM (SELECT item_id, {words} AS w FROM $benchmark) x UNION ALL SELECT 'd', doc_id, {shingles} FROM (SELECT doc_id, {words} AS w FROM $documents) y),
-e AS (SELECT side, id, {size} AS n, {explode} AS g FROM s),
+e AS (SELECT side, id, len(sh) AS n, unnest(sh) AS g FROM s),
 c AS (SELECT a.id AS item_id, b.id AS doc_id, a.n AS na, b.n AS nb, count(*) AS common FROM e a JOIN e b ON a.g = b.g AND a.side = 'b' AND b.side = 'd' GROUP BY a.id, b.id, a.n, b.n)
-SELECT item_id, doc_id, round(common / cast(na + nb - common AS DOUBLE), 6) AS jaccard, round(common / cast(na AS DOUBLE), 6) AS containment FROM c WHERE common / cast(na AS DOUBLE) >= 0.45"""
-#: Five words each, by shifted copies; a lambda over positions would read the words again for each.
-SHINGLES = "w"
-for _k in range(2, 6):
-    SHINGLES = f"zip_with({SHINGLES}, slice(w, {_k}, greatest(size(w), 1)), (a, b) -> concat(a, ' ', b))"
-SHINGLES = f"array_distinct(array_compact({SHINGLES}))"
-sql_query(
-    "V2_shingle_jaccard",
-    _JACCARD.format(words=r"regexp_extract_all(lower(text), '(?U)\\w+', 0)", shingles=SHINGLES, size="size(sh)", explode="explode(sh)"),
-    _JACCARD.format(words=r"regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+')", shingles="list_distinct(list_transform(range(0, greatest(len(w) - 4, 0)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))", size="len(sh)", explode="unnest(sh)"),
-)
+SELECT item_id, doc_id, round(common / cast(na + nb - common AS DOUBLE), 6) AS jaccard FROM c WHERE common / cast(na + nb - common AS DOUBLE) >= 0.45"""
+#: Rows of the smaller side that are broadcast at most.
+BROADCAST_ROWS = 2_000_000
+
+
+@query("V2_shingle_jaccard", _JACCARD.format(words=f"regexp_extract_all({folded_sql('text', 'duckdb')}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')", shingles="list_distinct(list_transform(range(0, greatest(len(w) - 4, 0)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))"))
+def shingle_jaccard(spark, sf_dir, least: float = 0.45):
+    """Pairs of an item and a document by the Jaccard similarity of their five-word shingles.
+
+    Documents whose sizes differ too much go, hashes of the others' shingles meet the items' (broadcast if they are few),
+    and the pairs that may be similar enough are compared by the shingles themselves.
+    """
+    words = F.regexp_extract_all(F.expr(folded_sql("text")), F.lit("(?U)\\w+"), F.lit(0))
+    made = lambda name, key: table(spark, sf_dir, name).select(F.col(key).alias("id"), words.alias("w")).select("id", F.expr(shingles_sql("w")).alias("s")).where(F.size("s") > 0)
+    items, docs = made("benchmark", "item_id"), made("documents", "doc_id")
+    hashes = lambda rows: rows.select("id", F.size("s").alias("n"), F.explode(F.transform("s", lambda x: F.xxhash64(x))).alias("h"))
+    a = hashes(items).select(F.col("id").alias("item_id"), F.col("n").alias("na"), "h")
+    bounds = a.agg(F.min("na"), F.max("na"), F.count(F.lit(1))).first()
+    b = hashes(docs.where(F.size("s").between(F.lit(least) * (bounds[0] or 0), (bounds[1] or 0) / F.lit(least)))).select(F.col("id").alias("doc_id"), F.col("n").alias("nb"), "h")
+    both = b.join(F.broadcast(a) if bounds[2] <= BROADCAST_ROWS else a, "h").groupBy("item_id", "doc_id", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
+    maybe = both.where(F.col("c") >= least * (F.col("na") + F.col("nb") - F.col("c"))).select("item_id", "doc_id")
+    pairs = maybe.join(items.select(F.col("id").alias("item_id"), F.col("s").alias("x")), "item_id").join(docs.select(F.col("id").alias("doc_id"), F.col("s").alias("y")), "doc_id")
+    jaccard = F.size(F.array_intersect("x", "y")) / (F.size("x") + F.size("y") - F.size(F.array_intersect("x", "y")))
+    return pairs.select("item_id", "doc_id", jaccard.alias("jaccard")).where(F.col("jaccard") >= least).select("item_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))
 
 # ---- dense vectors
 
@@ -150,17 +194,24 @@ def cross_rate(spark, sf_dir):
     return neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 10).groupBy("src_label").agg(F.round(F.avg((F.col("src_label") != F.col("dst_label")).cast("int")), 6).alias("rate")).select(F.col("src_label").cast("int").alias("src_label"), "rate")
 
 
+#: Pairs that are approved already: here each marked row and the next.
+_APPROVED = "(SELECT doc_id AS l, doc_id + 1 AS r FROM $labels WHERE quality = 1)"
+
+
+def approved_pairs(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("src"), (F.col("doc_id") + 1).alias("dst"))
+
+
 @query(
     "J13_mutual_candidates",
-    f"{_PAIRS} SELECT a.src, a.dst, round(a.sim, 6) AS sim FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src WHERE a.rank <= 10 AND b.rank <= 10 AND a.src < a.dst AND a.src_label <> a.dst_label AND NOT EXISTS (SELECT 1 FROM $labels l WHERE l.doc_id = a.src AND l.toxic = 1) ORDER BY round(a.sim, 6) DESC, a.src, a.dst LIMIT 50",
+    f"{_PAIRS} SELECT a.src, a.dst, round(a.sim, 6) AS sim FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src WHERE a.rank <= 10 AND b.rank <= 10 AND a.src < a.dst AND a.src_label <> a.dst_label AND NOT EXISTS (SELECT 1 FROM {_APPROVED} p WHERE least(p.l, p.r) = a.src AND greatest(p.l, p.r) = a.dst) ORDER BY round(a.sim, 6) DESC, a.src, a.dst LIMIT 50",
 )
 def mutual(spark, sf_dir):
-    """Mutual neighbours of different labels, without those whose first is marked in the side table."""
-    near = neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 10)
-    a = near.where("src < dst AND src_label <> dst_label").select("src", "dst", "sim")
-    b = near.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    marked = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("src"))
-    return a.join(b, ["src", "dst"]).join(marked, "src", "left_anti").select("src", "dst", F.round("sim", 6).alias("sim")).orderBy(F.desc("sim"), "src", "dst").limit(50)
+    """Mutual neighbours of different labels, without the pairs that are approved, in whichever order."""
+    near = neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 10).select("src", "dst", "src_label", "dst_label", "sim")
+    a, b = near.where("src < dst AND src_label <> dst_label"), near.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    known = approved_pairs(spark, sf_dir).select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+    return a.join(b, ["src", "dst"]).join(known, ["src", "dst"], "left_anti").select("src", "dst", F.round("sim", 6).alias("sim")).orderBy(F.desc("sim"), "src", "dst").limit(50)
 
 
 @query("J12_pair_similarities", "SELECT a.label AS l, b.label AS r, count(*) AS n, round(avg(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])), 6) AS mean_sim FROM $embeddings a JOIN $embeddings b ON a.vec_id < b.vec_id GROUP BY a.label, b.label")
@@ -243,33 +294,95 @@ def linkage(spark, sf_dir):
     return unit_rows(table(spark, sf_dir, "embeddings")).groupBy("label").applyInPandas(run, "vec_id long, label int, cluster long")
 
 
-def kmeans(rows: DataFrame, k: int, seeds: tuple[int, ...] = (7, 17, 27)) -> DataFrame:
-    """(id, cluster): the cheapest of some seeds; clusters are numbered by their rounded centroid, then least id."""
-    data = rows.select("id", array_to_vector("v").alias("features")).cache()
-    models = [KMeans(k=k, seed=s, maxIter=40).fit(data) for s in seeds]
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    named = best.transform(data).select("id", F.col("prediction").alias("p"), vector_to_array("features").alias("v"))
-    centres = named.select("p", "id", F.posexplode("v").alias("pos", "x")).groupBy("p", "pos").agg(F.round(F.avg("x"), 12).alias("m"), F.min("id").alias("least")).groupBy("p").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("c"), F.min("least").alias("least"))
-    order = centres.select("p", F.row_number().over(Window.orderBy("c", "least")).alias("cluster"))
-    return named.join(F.broadcast(order), "p").select("id", (F.col("cluster") - 1).alias("cluster"), "v")
+#: Starts of k-means, its iterations and the rows that starts are taken from.
+STARTS, ITERATIONS, SAMPLE = 50, 40, 10_000
+
+
+def first_centres(x: np.ndarray, k: int, starts: int, seed: int) -> np.ndarray:
+    """(starts, k, dim): centres spread over a sample, each drawn by its squared distance to those before it."""
+    out = []
+    for s in range(starts):
+        rng = np.random.default_rng([seed, s])
+        chosen = [x[rng.integers(len(x))]]
+        while len(chosen) < k:
+            far = ((x[:, None] - np.array(chosen)[None]) ** 2).sum(2).min(1)
+            chosen.append(x[rng.choice(len(x), p=far / far.sum())] if far.sum() > 0 else x[rng.integers(len(x))])
+        out.append(chosen)
+    return np.array(out)
+
+
+def lloyd(rows: DataFrame, k: int, starts: int = STARTS, seed: int = 7) -> np.ndarray:
+    """The centres (k, dim) of the cheapest of all starts. All starts advance together: a pass over the rows sums for each
+    start and centre what is nearest to it, and only these sums leave the tasks."""
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).orderBy("id")
+    centres = first_centres(np.array([r["v"] for r in sample.collect()], np.float64), k, starts, seed)
+    dim, best = centres.shape[2], None
+
+    def sums(held: np.ndarray):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total, count, cost = np.zeros((starts, k, dim)), np.zeros((starts, k), np.int64), np.zeros(starts)
+            for b in batches:
+                x = np.array(b["v"].tolist(), np.float64).reshape(-1, dim)
+                away = (x**2).sum(1)[None, None] - 2 * held @ x.T + (held**2).sum(2)[:, :, None]
+                near = away.argmin(1)
+                cost += np.maximum(away.min(1), 0).sum(1)
+                for s in range(starts):
+                    np.add.at(total[s], near[s], x)
+                    count[s] += np.bincount(near[s], minlength=k)
+            i, j = np.nonzero(count)
+            yield pd.DataFrame({"s": i, "c": j, "n": count[i, j], "cost": cost[i] / np.maximum((count > 0).sum(1), 1)[i], "v": list(total[i, j])})
+
+        return run
+
+    for _ in range(ITERATIONS):
+        parts = rows.select("v").mapInPandas(sums(centres), "s int, c int, n long, cost double, v array<double>")
+        each = parts.groupBy("s", "c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("v")[d]) for d in range(dim)]).alias("v")).collect()
+        moved, cost = centres.copy(), np.zeros(starts)
+        for r in each:
+            moved[r["s"], r["c"]] = np.array(r["v"]) / r["n"]
+            cost[r["s"]] += r["cost"]
+        best = centres[cost.argmin()]
+        if np.abs(moved - centres).max() < 1e-9:
+            break
+        centres = moved
+    return best
+
+
+def kmeans(rows: DataFrame, k: int, starts: int = STARTS, seed: int = 7) -> DataFrame:
+    """(id, cluster, v): clusters are numbered by their rounded centroid, then least id."""
+    centres = lloyd(rows.select("id", "v"), k, starts, seed)
+
+    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            x = np.array(b["v"].tolist(), np.float64).reshape(-1, centres.shape[1])
+            yield pd.DataFrame({"id": b["id"], "p": ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1), "v": b["v"]})
+
+    named = rows.select("id", "v").mapInPandas(nearest, "id long, p int, v array<double>")
+    order = named.select("p", "id", F.posexplode("v").alias("pos", "x")).groupBy("p", "pos").agg(F.round(F.avg("x"), 12).alias("m"), F.min("id").alias("least")).groupBy("p").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("c"), F.min("least").alias("least"))
+    number = order.select("p", F.row_number().over(Window.orderBy("c", "least")).alias("cluster"))
+    return named.join(F.broadcast(number), "p").select("id", (F.col("cluster") - 1).alias("cluster"), "v")
 
 
 @query("V9_V10_two_level_kmeans")
 def two_level(spark, sf_dir):
-    """Fine clusters, and their centroids clustered again; sizes make the check, as labels depend on the start."""
+    """Fine clusters, and their centroids clustered again."""
     fine = kmeans(unit_rows(table(spark, sf_dir, "embeddings")), 12).select("id", F.col("cluster").alias("fine"), "v")
     centres = fine.select("fine", F.posexplode("v").alias("pos", "x")).groupBy("fine", "pos").agg(F.avg("x").alias("m")).groupBy("fine").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda p: p["m"]).alias("v"))
     top = kmeans(centres.select(F.col("fine").cast("long").alias("id"), "v"), 4).select(F.col("id").cast("int").alias("fine"), F.col("cluster").alias("top"))
     return fine.join(F.broadcast(top), "fine").select(F.col("id").alias("vec_id"), "fine", "top")
 
 
+_FAR = {"cosine": "1 - list_cosine_similarity(a.v, b.v)", "euclidean": "list_distance(a.v, b.v)"}
+
+
 @query(
     "V11_silhouette",
-    """WITH u AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM $embeddings), d AS (SELECT a.vec_id, a.label, b.label AS other, avg(1 - list_cosine_similarity(a.v, b.v)) AS d FROM u a JOIN u b ON a.vec_id <> b.vec_id GROUP BY a.vec_id, a.label, b.label),
-    s AS (SELECT vec_id, label, max(CASE WHEN other = label THEN d END) AS a, min(CASE WHEN other <> label THEN d END) AS b FROM d GROUP BY vec_id, label) SELECT label, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s GROUP BY label""",
-)
+    "WITH u AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM $embeddings), "
+    + "d AS (" + " UNION ALL ".join(f"SELECT '{m}' AS metric, a.vec_id, a.label, b.label AS other, avg({d}) AS d FROM u a JOIN u b ON a.vec_id <> b.vec_id GROUP BY a.vec_id, a.label, b.label" for m, d in _FAR.items())
+    + "), s AS (SELECT metric, vec_id, label, max(CASE WHEN other = label THEN d END) AS a, min(CASE WHEN other <> label THEN d END) AS b FROM d GROUP BY metric, vec_id, label) SELECT metric, label, round(avg((b - a) / greatest(a, b)), 6) AS silhouette FROM s GROUP BY metric, label",
+)
 def silhouette(spark, sf_dir):
-    """Cosine silhouette of the labels; blocks give each row's sum of distances to each label."""
+    """Silhouettes of the labels by cosine and Euclidean distance; blocks give each row's sum of distances to each label."""
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -279,14 +392,17 @@ def silhouette(spark, sf_dir):
                 keep = (ids[:, None] != others[None, :]).astype(float)
                 ls = np.unique(other_labels)
                 one = (other_labels[:, None] == ls).astype(float)
-                s, n = ((1 - x @ y.T) * keep) @ one, keep @ one
+                u, w = (np.array([q["v"] for q in rows], np.float64) for rows in (r.a, r.b))
+                square = (u**2).sum(1)[:, None] - 2 * u @ w.T + (w**2).sum(1)[None]
+                n = keep @ one
                 i, j = np.nonzero(n)
-                yield pd.DataFrame({"id": ids[i], "label": labels[i], "other": ls[j], "s": s[i, j], "n": n[i, j]})
+                for metric, far in (("cosine", 1 - x @ y.T), ("euclidean", np.sqrt(np.maximum(square, 0)))):
+                    yield pd.DataFrame({"metric": metric, "id": ids[i], "label": labels[i], "other": ls[j], "s": ((far * keep) @ one)[i, j], "n": n[i, j]})
 
-    part = block_pairs(unit_rows(table(spark, sf_dir, "embeddings"))).select("a", "b").mapInPandas(sums, "id long, label int, other int, s double, n double")
-    mean = part.groupBy("id", "label", "other").agg((F.sum("s") / F.sum("n")).alias("d"))
-    ab = mean.groupBy("id", "label").agg(F.max(F.when(F.col("other") == F.col("label"), F.col("d"))).alias("a"), F.min(F.when(F.col("other") != F.col("label"), F.col("d"))).alias("b"))
-    return ab.groupBy("label").agg(F.round(F.avg((F.col("b") - F.col("a")) / F.greatest("a", "b")), 6).alias("silhouette"))
+    part = block_pairs(unit_rows(table(spark, sf_dir, "embeddings"))).select("a", "b").mapInPandas(sums, "metric string, id long, label int, other int, s double, n double")
+    mean = part.groupBy("metric", "id", "label", "other").agg((F.sum("s") / F.sum("n")).alias("d"))
+    ab = mean.groupBy("metric", "id", "label").agg(F.max(F.when(F.col("other") == F.col("label"), F.col("d"))).alias("a"), F.min(F.when(F.col("other") != F.col("label"), F.col("d"))).alias("b"))
+    return ab.groupBy("metric", "label").agg(F.round(F.avg((F.col("b") - F.col("a")) / F.greatest("a", "b")), 6).alias("silhouette"))
 
 
 _ARI = "WITH x AS (SELECT label AS a, vec_id % 7 AS b FROM $embeddings), c AS (SELECT a, b, count(*) AS n FROM x GROUP BY a, b), s AS (SELECT sum(n * (n - 1) / 2D) AS both FROM c), ra AS (SELECT sum(n * (n - 1) / 2D) AS s FROM (SELECT a, sum(n) AS n FROM c GROUP BY a) t), rb AS (SELECT sum(n * (n - 1) / 2D) AS s FROM (SELECT b, sum(n) AS n FROM c GROUP BY b) t), m AS (SELECT sum(n) * (sum(n) - 1) / 2D AS s FROM c) SELECT round((s.both - ra.s * rb.s / m.s) / ((ra.s + rb.s) / 2D - ra.s * rb.s / m.s), 6) AS ari FROM s CROSS JOIN ra CROSS JOIN rb CROSS JOIN m"
@@ -312,61 +428,146 @@ def average_ranks(rows: DataFrame, value: str, name: str, bucket: float) -> Data
     return inside.join(F.broadcast(before), "__b").withColumn(name, F.col("__before") + F.col("__r") + (F.col("__t") - 1) / 2).drop("__b", "__r", "__t", "__before")
 
 
-_LAYOUTS = "p AS (SELECT a.vec_id AS src, b.vec_id AS dst, round(1 - list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 8) AS d1, round(sqrt((a.embedding[1]::DOUBLE - b.embedding[1]::DOUBLE) ** 2 + (a.embedding[2]::DOUBLE - b.embedding[2]::DOUBLE) ** 2), 8) AS d2 FROM $embeddings a JOIN $embeddings b ON a.vec_id {on} b.vec_id)"
+#: A layout in the plane that SQL can state too: each row's sums of all its components by the cosines and sines of their
+#: places. Any other layout (projection()) is as good to the operators below.
+PLANE = ("list_sum(list_transform({v}, lambda x, i: x::DOUBLE * cos(i)))", "list_sum(list_transform({v}, lambda x, i: x::DOUBLE * sin(i)))")
+
+
+def in_plane(v: np.ndarray) -> np.ndarray:
+    at = np.arange(1, v.shape[1] + 1)
+    return v @ np.stack([np.cos(at), np.sin(at)], axis=1)
+
+
+def plane(v: Column | str) -> tuple[Column, Column]:
+    v = F.col(v) if isinstance(v, str) else v
+
+    def along(turn) -> Column:
+        return F.aggregate(F.transform(v, lambda x, i: x.cast("double") * turn(i + 1)), F.lit(0.0), lambda s, x: s + x)
+
+    return along(F.cos), along(F.sin)
+
 
+_E = f"e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, {PLANE[0].format(v='embedding')} AS x, {PLANE[1].format(v='embedding')} AS y FROM $embeddings)"
+_LAYOUTS = f"{_E}, p AS (SELECT a.vec_id AS src, b.vec_id AS dst, round(1 - list_cosine_similarity(a.v, b.v), 8) AS d1, round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 8) AS d2 FROM e a JOIN e b ON a.vec_id {{on}} b.vec_id)"
 
-def two_layouts(rows: DataFrame, ordered: bool) -> DataFrame:
-    """(src, dst, d1, d2): distances in the whole space and in the plane of the first two components."""
+
+def _far(a, b) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, other ids, distances in the whole space, distances in the plane) of two blocks."""
+    ids, _, x = _block(a)
+    others, _, y = _block(b)
+    u, w = (in_plane(np.array([r["v"] for r in rows], np.float64)) for rows in (a, b))
+    return ids, others, np.round(1 - x @ y.T, 8), np.round(np.sqrt(((u[:, None] - w[None]) ** 2).sum(2)), 8)
+
+
+def two_layouts(rows: DataFrame) -> DataFrame:
+    """(d1, d2) of each unordered pair: distances in the whole space and in the plane."""
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                ids, _, x = _block(r.a)
-                others, _, y = _block(r.b)
-                u, w = np.array([q["v"][:2] for q in r.a]), np.array([q["v"][:2] for q in r.b])
-                d1 = np.round(1 - x @ y.T, 8)
-                d2 = np.round(np.sqrt(((u[:, None] - w[None]) ** 2).sum(2)), 8)
-                i, j = np.nonzero(ids[:, None] < others[None, :] if ordered else ids[:, None] != others[None, :])
-                yield pd.DataFrame({"src": ids[i], "dst": others[j], "d1": d1[i, j], "d2": d2[i, j]})
+                ids, others, d1, d2 = _far(r.a, r.b)
+                i, j = np.nonzero(ids[:, None] < others[None, :])
+                yield pd.DataFrame({"d1": d1[i, j], "d2": d2[i, j]})
 
-    return block_pairs(rows).select("a", "b").mapInPandas(pairs, "src long, dst long, d1 double, d2 double")
+    return block_pairs(rows).select("a", "b").mapInPandas(pairs, "d1 double, d2 double")
 
 
 @query("V14_distance_spearman", f"WITH {_LAYOUTS.format(on='<')}, r AS (SELECT rank() OVER (ORDER BY d1) + (count(*) OVER (PARTITION BY d1) - 1) / 2 AS r1, rank() OVER (ORDER BY d2) + (count(*) OVER (PARTITION BY d2) - 1) / 2 AS r2 FROM p) SELECT round(corr(r1, r2), 6) AS spearman FROM r")
 def spearman(spark, sf_dir):
-    pairs = two_layouts(unit_rows(table(spark, sf_dir, "embeddings")), True)
+    """By definition over all pairs' ranks."""
+    pairs = two_layouts(unit_rows(table(spark, sf_dir, "embeddings")))
     ranked = average_ranks(average_ranks(pairs, "d1", "r1", 0.001), "d2", "r2", 0.001)
     return ranked.agg(F.round(F.corr("r1", "r2"), 6).alias("spearman"))
 
 
-_NEAR2 = f"WITH {_LAYOUTS.format(on='<>')}, r AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY d1, dst) AS r1, row_number() OVER (PARTITION BY src ORDER BY d2, dst) AS r2 FROM p)"
+def plane_neighbours(rows: DataFrame, k: int) -> DataFrame:
+    """(src, dst, d1, rank): the k nearest in the plane, ties by id, and how far they are in the whole space."""
 
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                ids, others, d1, d2 = _far(r.a, r.b)
+                d2[ids[:, None] == others[None, :]] = np.inf
+                order = np.argsort(others, kind="stable")
+                top = order[np.argsort(d2[:, order], axis=1, kind="stable")[:, :k]]
+                take = np.take_along_axis(d2, top, 1)
+                row, column = np.nonzero(np.isfinite(take))
+                at = top[row, column]
+                yield pd.DataFrame({"src": ids[row], "dst": others[at], "d1": d1[row, at], "d2": take[row, column]})
+
+    local = block_pairs(rows).select("a", "b").mapInPandas(best, "src long, dst long, d1 double, d2 double")
+    ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy("d2", "dst")))
+    return ranked.where(F.col("rank") <= k).select("src", "dst", "d1", "rank")
+
+
+def ranks_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(src, dst, sim, rank) of given pairs: the rank, of 1 to n - 1, of dst among all neighbours of src by similarity
+    (rounded to 8 digits), ties by id. The pairs' sources are compared with all rows in blocks, which gives counts alone."""
+    named = pairs.select("src", "dst").distinct()
+    left = rows.select(F.col("id").alias("src"), F.col("v").alias("u"))
+    right = rows.select(F.col("id").alias("dst"), F.col("v").alias("w"))
+    asked = named.join(left, "src").join(right, "dst")
+    n = max(1, -(-asked.count() // BLOCK))
+    asked = asked.withColumn("i", F.pmod(F.xxhash64("src", "dst"), F.lit(n)).cast("int")).groupBy("i").agg(F.collect_list(F.struct("src", "dst", "u", "w")).alias("a"))
+    m = max(1, -(-rows.count() // BLOCK))
+    all_rows = rows.withColumn("j", F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")).groupBy("j").agg(F.collect_list(F.struct("id", "label", "v")).alias("b"))
+    met = asked.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).repartition("i", "j").join(all_rows, "j")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        unit = lambda rows, k: (v := np.array([r[k] for r in rows], np.float64)) / np.linalg.norm(v, axis=1, keepdims=True)
+        for batch in batches:
+            for r in batch.itertuples():
+                src, dst = np.array([q["src"] for q in r.a]), np.array([q["dst"] for q in r.a])
+                u, w = unit(r.a, "u"), unit(r.a, "w")
+                others, _, y = _block(r.b)
+                own, sim = np.round((u * w).sum(1), 8), np.round(u @ y.T, 8)
+                ahead = (sim > own[:, None]) | (sim == own[:, None]) & (others[None] < dst[:, None])
+                yield pd.DataFrame({"src": src, "dst": dst, "sim": own, "n": (ahead & (others[None] != src[:, None]) & (others[None] != dst[:, None])).sum(1)})
+
+    counts = met.select("a", "b").mapInPandas(count, "src long, dst long, sim double, n long")
+    return counts.groupBy("src", "dst").agg(F.max("sim").alias("sim"), (F.sum("n") + 1).alias("rank"))
 
-def _two_ranks(spark, sf_dir):
-    pairs = two_layouts(unit_rows(table(spark, sf_dir, "embeddings")), False)
-    by = Window.partitionBy("src")
-    return pairs.withColumn("r1", F.row_number().over(by.orderBy("d1", "dst"))).withColumn("r2", F.row_number().over(by.orderBy("d2", "dst")))
+
+_NEAR2 = f"WITH {_LAYOUTS.format(on='<>')}, r AS (SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY d1, dst) AS r1, row_number() OVER (PARTITION BY src ORDER BY d2, dst) AS r2 FROM p)"
 
 
 @query("V15_neighbour_retention", f"{_NEAR2} SELECT src, round(count(*) FILTER (WHERE r1 <= 10 AND r2 <= 10) / 10.0::DOUBLE, 6) AS retention FROM r GROUP BY src")
-def retention(spark, sf_dir):
-    return _two_ranks(spark, sf_dir).groupBy("src").agg(F.round(F.count(F.when((F.col("r1") <= 10) & (F.col("r2") <= 10), 1)) / 10.0, 6).alias("retention"))
+def retention(spark, sf_dir, k: int = 10):
+    """The share of each row's k nearest in the whole space that are among its k nearest in the plane."""
+    rows = unit_rows(table(spark, sf_dir, "embeddings"))
+    both = neighbours(rows, k).select("src", "dst", F.lit(1).alias("one")).join(plane_neighbours(rows, k).select("src", "dst", F.lit(1).alias("two")), ["src", "dst"], "full")
+    return both.groupBy("src").agg(F.round(F.count(F.when(F.col("one").isNotNull() & F.col("two").isNotNull(), 1)) / float(k), 6).alias("retention"))
 
 
 @query("V16_trustworthiness", f"{_NEAR2}, n AS (SELECT count(*)::DOUBLE AS n FROM $embeddings) SELECT round(1 - 2 / (n * 10 * (2 * n - 31)) * sum(r1 - 10), 6) AS trustworthiness FROM r, n WHERE r2 <= 10 AND r1 > 10 GROUP BY n")
-def trustworthiness(spark, sf_dir):
-    n = table(spark, sf_dir, "embeddings").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    over = _two_ranks(spark, sf_dir).where("r2 <= 10 AND r1 > 10").agg(F.sum(F.col("r1") - 10).alias("s"))
-    return over.crossJoin(n).select(F.round(1 - 2 / (F.col("n") * 10 * (2 * F.col("n") - 31)) * F.col("s"), 6).alias("trustworthiness"))
+def trustworthiness(spark, sf_dir, k: int = 10):
+    """How far the ranks in the whole space of the neighbours in the plane go beyond k; only those ranks are computed."""
+    rows = unit_rows(table(spark, sf_dir, "embeddings"))
+    n = rows.count()
+    over = ranks_of(rows, plane_neighbours(rows, k)).where(F.col("rank") > k).agg(F.sum(F.col("rank") - k).alias("s"))
+    return over.select(F.round(1 - F.lit(2.0) / (n * k * (2 * n - 3 * k - 1)) * F.col("s"), 6).alias("trustworthiness"))
 
 
-@query("V17_relation_overlay", f"{_PAIRS} SELECT a.src, a.dst, round(a.sim, 6) AS cosine, a.rank AS forward, b.rank AS backward FROM r a JOIN r b ON a.src = b.dst AND a.dst = b.src JOIN $labels l ON l.doc_id = a.src WHERE a.dst = a.src + 1 AND a.rank <= 100 AND b.rank <= 100")
+@query(
+    "V17_relation_overlay",
+    f"""WITH {_E}, a AS (SELECT l, r FROM {_APPROVED} q JOIN e x ON x.vec_id = q.l JOIN e y ON y.vec_id = q.r),
+    q AS (SELECT l AS src, r AS dst FROM a UNION SELECT r, l FROM a),
+    s AS (SELECT q.src, q.dst, z.vec_id AS other, round(list_cosine_similarity(x.v, y.v), 8) AS own, round(list_cosine_similarity(x.v, z.v), 8) AS sim FROM q JOIN e x ON x.vec_id = q.src JOIN e y ON y.vec_id = q.dst JOIN e z ON z.vec_id NOT IN (q.src, q.dst)),
+    k AS (SELECT src, dst, max(own) AS own, 1 + count(*) FILTER (WHERE sim > own OR sim = own AND other < dst) AS rank FROM s GROUP BY src, dst)
+    SELECT a.l AS src, a.r AS dst, round(f.own, 6) AS cosine, f.rank AS forward, g.rank AS backward, round(sqrt((x.x - y.x) ** 2 + (x.y - y.y) ** 2), 6) AS projected
+    FROM a JOIN k f ON f.src = a.l AND f.dst = a.r JOIN k g ON g.src = a.r AND g.dst = a.l JOIN e x ON x.vec_id = a.l JOIN e y ON y.vec_id = a.r""",
+)
 def overlay(spark, sf_dir):
-    """Approved pairs (here: each marked row and the next) with their cosine and the ranks either way."""
-    near = neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 100)
-    approved = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("src"), (F.col("doc_id") + 1).alias("dst"))
-    back = near.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("rank").alias("backward"))
-    return near.join(F.broadcast(approved), ["src", "dst"]).join(back, ["src", "dst"]).select("src", "dst", F.round("sim", 6).alias("cosine"), F.col("rank").alias("forward"), "backward")
+    """Approved pairs with their cosine, the ranks either way among all rows, and how far apart the layout puts them."""
+    rows = unit_rows(table(spark, sf_dir, "embeddings"))
+    ids = rows.select("id")
+    pairs = approved_pairs(spark, sf_dir).join(ids, F.col("src") == F.col("id"), "left_semi").join(ids, F.col("dst") == F.col("id"), "left_semi")
+    ranks = ranks_of(rows, pairs.union(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))))
+    back = ranks.select(F.col("dst").alias("src"), F.col("src").alias("dst"), F.col("rank").alias("backward"))
+    at = rows.select("id", *[c.alias(n) for c, n in zip(plane("v"), "xy", strict=True)])
+    ends = pairs.join(at.select(F.col("id").alias("src"), F.col("x").alias("x1"), F.col("y").alias("y1")), "src").join(at.select(F.col("id").alias("dst"), F.col("x").alias("x2"), F.col("y").alias("y2")), "dst")
+    far = F.sqrt((F.col("x1") - F.col("x2")) ** 2 + (F.col("y1") - F.col("y2")) ** 2)
+    return ends.join(ranks, ["src", "dst"]).join(back, ["src", "dst"]).select("src", "dst", F.round("sim", 6).alias("cosine"), F.col("rank").alias("forward"), "backward", F.round(far, 6).alias("projected"))
 
 
 def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -388,7 +589,8 @@ def hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
 
 @query("V18_convex_hulls")
 def hulls(spark, sf_dir):
-    """Hull and centre of each label's points. Each batch's own hull is taken first, so that a group's task gets few."""
+    """(label, corner, x, y, centre_x, centre_y): hull and centre of each label's points in the plane. Each batch's own hull
+    is taken first, so that a group's task gets few points."""
 
     def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -400,8 +602,10 @@ def hulls(spark, sf_dir):
         kept = hull(list(zip(g["x"], g["y"], strict=True)))
         return pd.DataFrame({"label": g["label"].iloc[0], "corner": range(len(kept)), "x": [p[0] for p in kept], "y": [p[1] for p in kept]})
 
-    points = table(spark, sf_dir, "embeddings").select("label", F.round(F.col("embedding")[0].cast("double"), 8).alias("x"), F.round(F.col("embedding")[1].cast("double"), 8).alias("y"))
-    return points.mapInPandas(local, "label int, x double, y double").groupBy("label").applyInPandas(whole, "label int, corner int, x double, y double")
+    x, y = plane("embedding")
+    points = table(spark, sf_dir, "embeddings").select("label", F.round(x, 8).alias("x"), F.round(y, 8).alias("y"))
+    centres = points.groupBy("label").agg(F.round(F.avg("x"), 8).alias("centre_x"), F.round(F.avg("y"), 8).alias("centre_y"))
+    return points.mapInPandas(local, "label int, x double, y double").groupBy("label").applyInPandas(whole, "label int, corner int, x double, y double").join(F.broadcast(centres), "label")
 
 
 sql_query(

@@ -7,7 +7,9 @@ Connectors to services are interfaces alone: this environment has no network, an
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,55 @@ def write_exports(rows: DataFrame, path: str, by: str, internal: tuple[str, ...]
     rows.drop(*internal).write.mode("overwrite").partitionBy(by).json(path)
 
 
+def write_json_arrays(rows: DataFrame, path: str, by: str, internal: tuple[str, ...] = ()) -> None:
+    """Files that hold one JSON array each, per value of a column, without internal columns. Lines are written as they
+    come, so no task holds an array whole."""
+    kept = [c for c in rows.columns if c not in (*internal, by)]
+
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last = None
+        for b in batches:
+            out = []
+            for key, line in zip(b[by], b["line"], strict=True):
+                out += [(key, "[")] if last is None else [(last[0], last[1] + ",")] if last[0] == key else [last, (last[0], "]"), (key, "[")]
+                last = (key, line)
+            yield pd.DataFrame(out, columns=[by, "value"])
+        if last is not None:
+            yield pd.DataFrame([last, (last[0], "]")], columns=[by, "value"])
+
+    lines = rows.select(by, F.to_json(F.struct(*kept)).alias("line")).sortWithinPartitions(by)
+    lines.mapInPandas(arrays, f"{by} string, value string").write.mode("overwrite").partitionBy(by).text(path)
+
+
+def hashed_records(text: Column | str) -> Column:
+    """array of (path, sha256, bytes): all objects with a path and a digest, however deep they stand in a JSON text."""
+
+    def walk(value: object) -> Iterator[tuple]:
+        waiting = [value]
+        while waiting:
+            at = waiting.pop()
+            if isinstance(at, dict):
+                if at.get("path") and len(str(at.get("sha256") or "")) == 64:
+                    yield at["path"], at["sha256"], at.get("bytes")
+                waiting += at.values()
+            elif isinstance(at, list):
+                waiting += at
+
+    @F.pandas_udf("array<struct<path: string, sha256: string, bytes: long>>")
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("path", "sha256", "bytes"), r, strict=True)) for r in walk(json.loads(t))] if t else [] for t in s], dtype="object")
+
+    return run(text)
+
+
+def repository_lines(spark: SparkSession, path: str, pruned: tuple[str, ...]) -> DataFrame:
+    """(path, value): the lines of all files below a path but those below folders of these names."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    folder = F.split("path", "/")
+    plain = F.transform(folder, lambda x: F.regexp_replace(x, "^[^=]*=", ""))
+    return lines.where(~F.arrays_overlap(F.slice(plain, 1, F.size(plain) - 1), F.array(*map(F.lit, pruned))))
+
+
 def write_cluster_texts(rows: DataFrame, path: str, cluster: str, line: str) -> None:
     """A text partition per cluster."""
     rows.select(cluster, F.col(line).alias("value")).write.mode("overwrite").partitionBy(cluster).text(path)

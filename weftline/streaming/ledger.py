@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -31,18 +31,36 @@ def shared_path(spark: SparkSession) -> str:
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
-def slots(requests: DataFrame, provider: str, at: str, gap_seconds: float) -> DataFrame:
+def retry_at(header: Column, now: Column) -> Column:
+    """The time from which a request may be sent again, never before now: a Retry-After header gives seconds or an HTTP
+    date; without one that can be read it is an hour later."""
+    seconds = F.when(header.rlike(r"^\s*[+-]?\d{1,9}\s*$"), F.greatest(F.lit(0), F.trim(header).cast("int")))
+    after = F.when(seconds.isNotNull(), now + F.make_dt_interval(secs=seconds))
+    date = F.try_to_timestamp(F.regexp_replace(header, r"^\s*[A-Za-z]{3}, | GMT\s*$", ""), F.lit("dd MMM yyyy HH:mm:ss")).cast("timestamp_ntz")
+    return F.greatest(now, F.coalesce(after, F.when(header.rlike(r"GMT\s*$"), date), now + F.expr("INTERVAL '1' HOUR")))
+
+
+def slots(requests: DataFrame, provider: str, at: str, gap_seconds: float, bucket_seconds: int = 3600) -> DataFrame:
     """The time each request may run, per provider: not before it comes, nor before the last slot plus the gap.
 
-    slot(k) = max(at(k), slot(k - 1) + gap) is gap * k + the running maximum of at(j) - gap * j, a plain window.
+    slot(k) = max(at(k), slot(k - 1) + gap) is gap * k + the running maximum of at(j) - gap * j. Numbers and maxima are
+    taken within buckets of time, and from the buckets before by one row each, so that no task sorts a provider whole.
     """
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(provider).orderBy(at, "event_id")
-    numbered = requests.withColumn("__k", F.row_number().over(order).cast("long")).withColumn("__at", F.unix_micros(F.col(at).cast("timestamp")))
     gap = int(gap_seconds * 1_000_000)
-    running = F.max(F.col("__at") - gap * F.col("__k")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return numbered.withColumn("slot_us", running + gap * F.col("__k")).drop("__k", "__at")
+    timed = requests.withColumn("__at", F.unix_micros(F.col(at).cast("timestamp"))).withColumn("__b", F.floor(F.col("__at") / (bucket_seconds * 1_000_000)))
+    inside = Window.partitionBy(provider, "__b").orderBy(at, "event_id")
+    local = timed.withColumn("__k", F.row_number().over(inside).cast("long"))
+    local = local.withColumn("__top", F.max(F.col("__at") - gap * F.col("__k")).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    sums = local.groupBy(provider, "__b").agg(F.max("__k").alias("__n"), F.max("__top").alias("__best"))
+    by = Window.partitionBy(provider).orderBy("__b")
+    counted = sums.withColumn("__before", F.sum("__n").over(by) - F.col("__n"))
+    # What a bucket's numbers lack is the count of rows before it.
+    lead = F.max(F.col("__best") - gap * F.col("__before")).over(by.rowsBetween(Window.unboundedPreceding, -1))
+    known = counted.select(F.col(provider).alias("__p"), F.col("__b").alias("__c"), "__before", lead.alias("__lead"))
+    made = local.join(known, F.col(provider).eqNullSafe(F.col("__p")) & (F.col("__b") == F.col("__c")))
+    number = F.col("__k") + F.col("__before")
+    slot = F.greatest(F.col("__top") - gap * F.col("__before"), F.coalesce("__lead", F.col("__top") - gap * F.col("__before"))) + gap * number
+    return made.withColumn("slot_us", slot).select(*requests.columns, "slot_us")
 
 
 def windowed(events: DataFrame, size: str, late: str | None = None) -> DataFrame:
