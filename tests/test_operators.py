@@ -250,11 +250,14 @@ def test_rdf_refuses_entities(spark):
     assert rows[0].r.creators == ["a", "b"] and rows[1].r is None
 
 
-def test_connector_pins_hosts():
-    c = files.Connector(("api.example.org",))
-    assert c.allowed("https://api.example.org/x") and not c.allowed("http://api.example.org/x")
-    with pytest.raises(ValueError):
-        c.open("https://other.example.org")
+def test_connector_pins_hosts_sizes_and_signatures():
+    answers = {"https://api.example.org/x": ("https://api.example.org/x", {}, [b"%PDF", b"-1.7 body"]), "https://api.example.org/moved": ("https://other.org/", {}, []), "https://api.example.org/long": ("https://api.example.org/long", {}, [b"%PDF-"] + [b"x" * 60] * 5), "https://api.example.org/said": ("https://api.example.org/said", {"content-length": "900"}, []), "https://api.example.org/odd": ("https://api.example.org/odd", {}, [b"MZ"])}
+    c = files.Connector(("api.example.org",), 100, "pdf", lambda url: answers[url])
+    assert c.allowed("https://api.example.org/x") and not c.allowed("http://api.example.org/x") and not c.allowed("https://x.api.example.org/")
+    assert c.open("https://api.example.org/x") == b"%PDF-1.7 body"
+    for url, why in (("https://other.example.org", "host"), ("https://api.example.org/moved", "redirect"), ("https://api.example.org/long", "size"), ("https://api.example.org/said", "size"), ("https://api.example.org/odd", "signature")):
+        with pytest.raises(files.Refused, match=why):
+            c.open(url)
 
 
 def test_rate_limit_slots_keep_the_gap(spark):

@@ -45,16 +45,18 @@ def signals(docs: DataFrame, patterns: list[tuple]) -> DataFrame:
 
     Patterns are constants of the plan: each is compiled once, and only those of a row's locale are tried.
     """
-    hit = lambda p: F.when((F.col("lang") == p[2]) & F.col("low").rlike(p[4]), F.struct(F.lit(p[0]).alias("dimension"), F.lit(p[1]).alias("value"), F.lit(p[3]).alias("pattern")))
+    hits = ", ".join(f"CASE WHEN lang = '{locale}' AND low RLIKE r'{pattern}' THEN named_struct('dimension', '{dimension}', 'value', '{value}', 'pattern', '{name}') END" for dimension, value, locale, name, pattern in patterns)
     # Not explode(): it would have Spark filter by all patterns before trying them.
-    found = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", F.explode_outer(F.array_compact(F.array(*map(hit, patterns)))).alias("p"))
+    found = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", F.explode_outer(F.expr(f"array_compact(array({hits}))")).alias("p"))
     return found.where("p IS NOT NULL").select("doc_id", "source", "lang", "p.*")
 
 
 def _twin(patterns: list[tuple]) -> str:
-    plain = lambda p: p.replace(r"(?<!\p{L})", r"(^|[^\p{L}])").replace(r"(?!\p{L})", r"([^\p{L}]|$)").replace("'", "''")  # noqa: E731  an engine without lookaround
-    values = ", ".join("(" + ", ".join(f"'{plain(x)}'" for x in p) + ")" for p in patterns)
-    return f"WITH p(dimension, value, locale, pattern, regex) AS (VALUES {values}), g AS (SELECT d.doc_id, d.source, d.lang, p.dimension, p.value, p.pattern FROM $documents d JOIN p ON p.locale = d.lang AND regexp_matches(d.text, '(?i)' || p.regex)), h AS (SELECT DISTINCT doc_id, source, lang, dimension, value FROM g), v AS (SELECT DISTINCT dimension, value FROM p), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE lang NOT IN (SELECT locale FROM p)) AS u FROM $documents)"
+    plain = lambda p: p.replace(r"(?<!\p{L})", r"(^|[^\p{L}])").replace(r"(?!\p{L})", r"([^\p{L}]|$)")  # noqa: E731  an engine without lookaround
+    hits = ", ".join(f"CASE WHEN lang = '{locale}' AND regexp_matches(low, '{plain(pattern)}') THEN {{'dimension': '{dimension}', 'value': '{value}', 'pattern': '{name}'}} END" for dimension, value, locale, name, pattern in patterns)
+    values = ", ".join(f"('{d}', '{v}')" for d, v in sorted({p[:2] for p in patterns}))
+    locales = ", ".join(sorted({f"'{p[2]}'" for p in patterns}))
+    return f"WITH v(dimension, value) AS (VALUES {values}), l AS (SELECT doc_id, source, lang, lower(text) AS low FROM $documents), u AS (SELECT doc_id, source, lang, unnest([{hits}]) AS x FROM l), g AS MATERIALIZED (SELECT doc_id, source, lang, x.dimension AS dimension, x.value AS value, x.pattern AS pattern FROM u WHERE x IS NOT NULL), h AS (SELECT DISTINCT doc_id, source, lang, dimension, value FROM g), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE lang NOT IN ({locales})) AS u FROM $documents)"
 
 
 _FACETS, _SCALES = _twin(FACETS), _twin([*SCALES, *NUMERIC])
@@ -109,7 +111,7 @@ def pattern_counts(spark, sf_dir):
 _SAMPLED = "SELECT dimension, value, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value ORDER BY sha256(dimension || ':' || value || chr(0) || doc_id), doc_id) AS r FROM {0}) t WHERE r <= {1}"
 
 
-@query("C1_pattern_samples", f"{_FACETS}, d AS (SELECT DISTINCT dimension FROM p), z AS (SELECT d.dimension, '(none)' AS value, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('h', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
+@query("C1_pattern_samples", f"{_FACETS}, d AS (SELECT DISTINCT dimension FROM v), z AS (SELECT d.dimension, '(none)' AS value, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('h', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
 def pattern_samples(spark, sf_dir):
     """Documents to look at, drawn by hash: three of each value, and six of each dimension that have none of its values."""
     docs = table(spark, sf_dir, "documents")

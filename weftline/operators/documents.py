@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -135,6 +136,35 @@ sql_query(
     r"SELECT doc_id, str_to_map(concat('Title: ', source, '\nPages: ', doc_id % 9 + 1), '\n', ': ')['Pages'] AS pages, CASE WHEN length(regexp_replace(text, '(?U)\\s', '')) >= greatest(1000, 20 * (doc_id % 9 + 1)) THEN 'text' ELSE 'ocr-needed' END AS kind FROM $documents",
     r"SELECT doc_id, (doc_id % 9 + 1)::VARCHAR AS pages, CASE WHEN length(regexp_replace(text, '[\s\x{A0}]', '', 'g')) >= greatest(1000, 20 * (doc_id % 9 + 1)) THEN 'text' ELSE 'ocr-needed' END AS kind FROM $documents",
 )
+#: Bytes that the pages' service may answer with.
+MOST_BYTES = 6000
+
+
+@query(
+    "S13_connectors",
+    f"""WITH u AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE regexp_replace(url, '^http:', 'https:') END AS url, html FROM $pages)
+    SELECT page_id, CASE WHEN NOT regexp_matches(url, '^https://([^/]*[.])?example[.]com(/|$)') THEN 'host' WHEN page_id % 5 = 0 THEN 'redirect' WHEN strlen(html) > {MOST_BYTES} THEN 'size' WHEN page_id % 7 = 0 THEN 'signature' ELSE sha256(html) END AS outcome FROM u""",
+)
+def connectors(spark, sf_dir):
+    """What a connector makes of the pages' addresses, with a service that answers from the table: it redirects some
+    requests to another host and puts something before some answers."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, url, body in zip(b["page_id"], b["url"], b["html"], strict=True):
+                answer = ("https://elsewhere.example.net/" if i % 5 == 0 else url, {}, iter([b"x" if i % 7 == 0 else b"", body.encode()]))
+                service = files.Connector(("example.com", ".example.com"), MOST_BYTES if i % 7 else MOST_BYTES + 1, "html", lambda _, answer=answer: answer)
+                try:
+                    out.append((i, hashlib.sha256(service.open(url)).hexdigest()))
+                except files.Refused as why:
+                    out.append((i, str(why)))
+            yield pd.DataFrame(out, columns=["page_id", "outcome"])
+
+    url = F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise(F.regexp_replace("url", "^http:", "https:"))
+    return table(spark, sf_dir, "pages").select("page_id", url.alias("url"), "html").mapInPandas(run, "page_id long, outcome string")
+
+
 sql_query("S14_index_import", "SELECT d.doc_id, concat('rec-', lpad(cast(d.doc_id AS STRING), 6, '0')) AS id, l.quality, sha2(trim(d.text), 256) AS body_hash FROM $documents d JOIN $labels l ON l.doc_id = d.doc_id", "SELECT d.doc_id, 'rec-' || lpad(d.doc_id::VARCHAR, 6, '0') AS id, l.quality, sha256(trim(d.text)) AS body_hash FROM $documents d JOIN $labels l ON l.doc_id = d.doc_id")
 sql_query("S15_manifest_selection", r"WITH m AS (SELECT conv_id, min(turn) AS first, max(turn) AS end_before FROM $conversations GROUP BY conv_id) SELECT m.conv_id, count(*) AS blocks, sha2(array_join(transform(array_sort(collect_list(struct(c.turn, c.text))), x -> x.text), '\n'), 256) AS body FROM m JOIN $conversations c ON c.conv_id = m.conv_id AND c.turn >= m.first AND c.turn < m.end_before GROUP BY m.conv_id", "WITH m AS (SELECT conv_id, min(turn) AS first, max(turn) AS end_before FROM $conversations GROUP BY conv_id) SELECT m.conv_id, count(*) AS blocks, sha256(string_agg(c.text, chr(10) ORDER BY c.turn)) AS body FROM m JOIN $conversations c ON c.conv_id = m.conv_id AND c.turn >= m.first AND c.turn < m.end_before GROUP BY m.conv_id")
 
