@@ -133,6 +133,37 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, number of each row's group) from batches sorted by keys: tables of whole groups, each of at least so many
+    rows if there are more."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def numbers(rows: pa.Table) -> np.ndarray:
+        changed = np.zeros(len(rows), bool)
+        for k in keys:
+            c = rows[k].to_numpy()
+            changed[1:] |= c[1:] != c[:-1]
+        return np.cumsum(changed)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            n += batch.num_rows
+        if n >= least:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            group = numbers(rows)
+            end = int(np.searchsorted(group, group[-1]))
+            if end:
+                yield rows.slice(0, end), group[:end]
+            held = rows.slice(end).to_batches()
+            # A group larger than this waits for its end without being numbered again and again.
+            n = 0 if not end else len(rows) - end
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, numbers(rows)
+
+
 def hot_split(rows: DataFrame, key: str, node: str, limit: int) -> DataFrame:
     """rows plus a column part. The homes of a key with more than limit of them are dealt into parts by node, and all its
     other rows go to each part, so that no task gathers a hot key; home and visitor still meet exactly once."""

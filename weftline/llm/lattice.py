@@ -18,7 +18,8 @@ fewer of the pairs near the threshold.
 Defined cases: null vectors and those that are zero, empty or hold null or non-finite components link with nothing and are their own
 component; vectors of different lengths don't link; rows with equal vectors link with each other; repeated ids are
 vectors of their own but share the component's naming; a null id keeps its row, and a component's id is its smallest
-non-null id; an empty table gives no rows.
+non-null id; ids are whole numbers (others are refused); an empty table gives no rows; other columns of rows are left out,
+and a result column that is called like id_col gets a trailing underscore.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from weftline.llm.common import components, cut, hot_split, joined_labels, runs, table, width
+from weftline.llm.common import components, cut, free, hot_split, joined_labels, table, whole_groups, width
 
 COSINE, TABLES, VISITS, SCALE, SEED, HOMES = 0.95, 5, 1, 0.85, 11, 8_000
 HALVES = 2
@@ -121,17 +124,56 @@ def meets(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, t: int) ->
 
 
 def usable_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(__id, __v) of all rows; __v is null where the vector can't link."""
-    v = F.col(vector_col) if dict(rows.dtypes)[vector_col] == "array<float>" else F.col(vector_col).cast("array<double>")
+    """(id, v) of all rows; v is null where the vector can't link."""
+    if not isinstance(rows.schema[id_col].dataType, IntegralType):
+        raise TypeError("ids must be whole numbers")
+    v = F.col(f"`{vector_col}`") if dict(rows.dtypes)[vector_col] == "array<float>" else F.col(f"`{vector_col}`").cast("array<double>")
     fine = F.coalesce(F.size(v) > 0, F.lit(False)) & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
-    return rows.select(F.col(id_col).cast("long").alias("__id"), F.when(fine, v).alias("__v"))
+    return rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.when(fine, v).alias("v"))
+
+
+#: Rows of the tables that a task compares at once; pairs whose products are gathered at once; comparisons from which a
+#: cell is one matrix product.
+ROWS, PAIRS, LARGE = 20_000, 60_000, 20_000
+
+
+def candidates(x: np.ndarray, group: np.ndarray, home: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the rows of one group, i at home, whose cosine is about the least or more: each home with the homes after
+    it and with all visitors. Rows are sorted by group, homes first."""
+    starts = np.flatnonzero(np.append(True, np.diff(group) != 0)) if len(group) else np.zeros(0, np.int64)
+    ends = np.append(starts[1:], len(group))
+    homes = np.add.reduceat(home, starts, dtype=np.int64) if len(starts) else starts
+    sizes = ends - starts
+    small = []
+    for s, e, h in zip(starts.tolist(), ends.tolist(), homes.tolist(), strict=True):
+        if h * (e - s) < LARGE:
+            continue
+        step = max(1, 1_000_000 // (e - s))
+        for at in range(s, s + h, step):
+            i, j = np.nonzero(x[at : min(at + step, s + h)] @ x[s:e].T >= cosine - 1e-9)
+            i, j = i + at, j + s
+            yield i[j > i], j[j > i]
+    small = homes * sizes < LARGE
+    rows = np.flatnonzero(home & np.repeat(small, sizes))
+    left = np.repeat(ends, sizes)[rows] - rows - 1
+    upto = np.cumsum(left)
+    thin = x.astype(np.float32)
+    at = 0
+    while at < len(rows):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS)))
+        n = left[at:end]
+        i = np.repeat(rows[at:end], n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        near = np.einsum("ij,ij->i", thin[i], thin[j]) >= cosine - 1e-4
+        yield i[near], j[near]
+        at = end
 
 
 def links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, visits: int = VISITS, scale: float = SCALE, homes: int = HOMES) -> DataFrame:
-    """(a, b, n) of distinct vectors (__node, __v, __copies): rows with b null give n linked copies of a; others are edges
+    """(a, b, n) of distinct vectors (node, v, copies): rows with b null give n linked copies of a; others are edges
     that connect what links connect."""
 
-    single = dict(vectors.dtypes)["__v"] == "array<float>"
+    single = dict(vectors.dtypes)["v"] == "array<float>"
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -144,77 +186,62 @@ def links(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, visi
                 starts = np.cumsum(sizes) - sizes
                 for dim in np.unique(sizes).tolist():
                     rows = np.flatnonzero(sizes == dim)
-                    x = flat[starts[rows][:, None] + np.arange(dim)]
-                    unit = normal(x.astype(np.float64))
-                    c = cells(unit, tables, visits, scale)
-                    packed = pa.array([r.tobytes() for r in c], pa.binary())
-                    raw = pa.array([r.tobytes() for r in x], pa.binary())
-                    for t in range(tables):
-                        seen: list[np.ndarray] = []
-                        for k in range(c.shape[2]):
-                            fresh = np.ones(len(rows), bool)
-                            for earlier in seen:
-                                fresh &= earlier != c[:, t, k]
-                            seen.append(c[:, t, k])
-                            take = np.flatnonzero(fresh)
-                            if not len(take):
-                                continue
-                            pick = pa.array(take)
-                            yield pa.RecordBatch.from_arrays([pa.array(c[take, t, k].view(np.int64) ^ dim), pa.array(np.full(len(take), t, np.int32)), pa.array(np.full(len(take), k == 0)), pa.array(node[rows][take]), pa.array(copies[rows][take]), raw.take(pick), packed.take(pick)], ["key", "t", "home", "node", "copies", "v", "cells"])
+                    x = np.ascontiguousarray(flat[starts[rows][:, None] + np.arange(dim)])
+                    c = cells(normal(x.astype(np.float64)), tables, visits, scale)
+                    n, wide = len(rows), 1 + HALVES * visits
+                    # Of one table's cells each counts once; all of a row's cells travel with it.
+                    fresh = np.ones((n, tables, wide), bool)
+                    for k in range(1, wide):
+                        fresh[:, :, k] = (c[:, :, :k] != c[:, :, k : k + 1]).all(axis=2)
+                    row, t, k = np.nonzero(fresh)
+                    pick = pa.array(row)
+                    raw = pa.Array.from_buffers(pa.binary(x.dtype.itemsize * dim), n, [None, pa.py_buffer(x)])
+                    packed = pa.Array.from_buffers(pa.binary(8 * tables * wide), n, [None, pa.py_buffer(np.ascontiguousarray(c))])
+                    yield pa.RecordBatch.from_arrays([pa.array(c[row, t, k].view(np.int64) ^ dim), pa.array(t.astype(np.int32)), pa.array(k == 0), pa.array(node[rows][row]), pa.array(copies[rows][row]), raw.take(pick).cast(pa.binary()), packed.take(pick).cast(pa.binary())], ["key", "t", "home", "node", "copies", "v", "cells"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in runs(batches, ["key", "part"]):
-            home = group["home"].to_numpy()
-            if not home.any() or len(home) < 2:
-                continue
-            order = np.argsort(~home, kind="stable")
-            group, home = group.take(pa.array(order)), home[order]
-            for t in np.unique(group["t"].to_numpy()).tolist():
-                mine = group.filter(pa.array(group["t"].to_numpy() == t))
-                first, count, edges = linked(mine, int(mine["home"].to_numpy().sum()), t)
+        for rows, group in whole_groups(batches, ["key", "part", "t"], ROWS):
+            size = pa.compute.binary_length(rows["v"]).to_numpy()
+            for s in np.unique(size).tolist():
+                mine = np.flatnonzero(size == s)
+                home = rows["home"].to_numpy()[mine]
+                order = np.lexsort((~home, group[mine]))
+                first, count, edges = linked(rows.take(pa.array(mine[order])).combine_chunks(), group[mine][order], home[order])
                 if len(first):
                     yield pa.RecordBatch.from_arrays([pa.array(first), pa.nulls(len(first), pa.int64()), pa.array(count)], ["a", "b", "n"])
                 if len(edges[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(edges[0]), pa.array(edges[1]), pa.array(np.zeros(len(edges[0]), np.int64))], ["a", "b", "n"])
 
-    def linked(rows: pa.Table, n_home: int, t: int):
-        node, copies = rows["node"].to_numpy(), rows["copies"].to_numpy()
-        raw = rows["v"].to_pylist()
-        n = len(raw)
-        x = normal(np.frombuffer(b"".join(raw), np.float32 if single else np.float64).reshape(n, -1).astype(np.float64))
-        c = np.frombuffer(b"".join(rows["cells"].to_pylist()), np.uint64).reshape(n, tables, -1)
+    def bits(column: pa.ChunkedArray, kind, n: int) -> np.ndarray:
+        """The values of binaries of one length, a row each."""
+        return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(n, -1)
+
+    def linked(rows: pa.Table, group: np.ndarray, home: np.ndarray):
+        node, copies, t = rows["node"].to_numpy(), rows["copies"].to_numpy(), rows["t"].to_numpy()
+        n = len(node)
+        x = normal(bits(rows["v"], np.float32 if single else np.float64, n).astype(np.float64))
+        c = bits(rows["cells"], np.uint64, n).reshape(n, tables, -1)
         labels, count = np.arange(n), np.zeros(n, np.int64)
-        any_link = False
-        step = max(1, 1_000_000 // n)
-        for at in range(0, n_home, step):
-            end = min(at + step, n_home)
-            # Homes pair with later homes and with all visitors, so that no pair comes twice.
-            i, j = np.nonzero(x[at:end] @ x.T >= cosine - 1e-9)
-            i += at
-            later = j > i
-            i, j = i[later], j[later]
-            if not len(i):
-                continue
+        for i, j in candidates(x, group, home, cosine):
             exact = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
             i, j = i[exact], j[exact]
+            if not len(i):
+                continue
             # A visitor's own home (or part of this one) may hold the other as a visitor: the pair counts where the
             # smaller node is at home.
-            mutual = (j >= n_home) & (c[j, t, :1] == c[i, t]).any(axis=1)
+            mutual = ~home[j] & (c[j, t[j], :1] == c[i, t[i]]).any(axis=1)
             own = ~mutual | (node[i] < node[j])
-            for s in range(t):
-                own &= ~meets(c, c, i, j, s)
+            for s in range(tables - 1):
+                own &= (t[i] <= s) | ~meets(c, c, i, j, s)
             np.add.at(count, i[own], copies[j[own]])
             np.add.at(count, j[own], copies[i[own]])
-            if len(i):
-                any_link = True
-                labels = joined_labels(labels, i, j)
-        some = np.flatnonzero(count)
-        moved = np.flatnonzero(labels != np.arange(n)) if any_link else np.zeros(0, np.int64)
+            labels = joined_labels(labels, i, j)
+        some, moved = np.flatnonzero(count), np.flatnonzero(labels != np.arange(n))
         return node[some], count[some], (node[moved], node[labels[moved]])
 
-    rows = vectors.select("__node", "__v", "__copies").mapInArrow(replicate, "key long, t int, home boolean, node long, copies long, v binary, cells binary")
+    rows = vectors.select("node", "v", "copies").mapInArrow(replicate, "key long, t int, home boolean, node long, copies long, v binary, cells binary")
     dealt = hot_split(rows, "key", "node", homes)
-    return dealt.repartition(width(vectors.sparkSession), "key", "part").sortWithinPartitions("key", "part").mapInArrow(compare, "a long, b long, n long")
+    return dealt.repartition(width(vectors.sparkSession), "key", "part").sortWithinPartitions("key", "part", "t").mapInArrow(compare, "a long, b long, n long")
 
 
 def normal(x: np.ndarray) -> np.ndarray:
@@ -226,19 +253,20 @@ def normal(x: np.ndarray) -> np.ndarray:
 def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", **how) -> DataFrame:
     """(id_col, n_links, component_id, kept) for each row."""
     own = usable_vectors(rows, id_col, vector_col)
-    usable = own.where("__v IS NOT NULL")
-    distinct = cut(usable.groupBy("__v").agg(F.count(F.lit(1)).alias("__copies"), F.min("__id").alias("__least")).withColumn("__node", F.monotonically_increasing_id()))
+    usable = own.where("v IS NOT NULL")
+    distinct = cut(usable.groupBy("v").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()))
     found = cut(links(distinct, **how).groupBy("a", "b").agg(F.sum("n").alias("n")))
-    counts = found.where("b IS NULL").select(F.col("a").alias("__a"), F.col("n").alias("__others"))
-    linked = components(found.where("b IS NOT NULL").select("a", "b"))
-    named = distinct.join(linked, distinct["__node"] == linked["node"], "left").select("__node", "__v", "__copies", "__least", "root")
-    firsts = named.where("root IS NOT NULL").groupBy("root").agg(F.min("__least").alias("__first"))
-    classes = named.join(firsts, "root", "left").join(counts, F.col("__node") == F.col("__a"), "left")
-    classes = classes.select(F.col("__v").alias("__of"), (F.col("__copies") - 1 + F.coalesce("__others", F.lit(0))).alias("__n"), F.coalesce("__first", "__least").alias("__component"))
+    counts = found.where("b IS NULL").select("a", F.col("n").alias("others"))
+    joined = components(found.where("b IS NOT NULL").select("a", "b")).select(F.col("node").alias("of"), "root")
+    named = distinct.join(joined, F.col("node") == F.col("of"), "left").select("node", "v", "copies", "least", "root")
+    firsts = named.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("first"))
+    classes = named.join(firsts, "root", "left").join(counts, F.col("node") == F.col("a"), "left")
+    classes = classes.select(F.col("v").alias("w"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n"), F.coalesce("first", "least").alias("component"))
     # AQE splits the partition of a vector that many rows share.
-    out = own.join(classes, own["__v"] == classes["__of"], "left")
-    component = F.coalesce("__component", "__id")
-    return out.select(F.col("__id").alias(id_col), F.coalesce("__n", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("__id") == component, F.lit(False)).alias("kept"))
+    out = own.join(classes, F.col("v") == F.col("w"), "left")
+    component = F.coalesce("component", "id")
+    made = (F.coalesce("n", F.lit(0)).cast("long"), component, F.coalesce(F.col("id") == component, F.lit(False)))
+    return out.select(F.col("id").alias(id_col), *[c.alias(free(n, [id_col])) for c, n in zip(made, ("n_links", "component_id", "kept"), strict=True)])
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
