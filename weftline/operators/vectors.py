@@ -93,6 +93,12 @@ _JACCARD = """WITH s AS (SELECT 'b' AS side, item_id AS id, {shingles} AS sh FRO
 e AS (SELECT side, id, len(sh) AS n, unnest(sh) AS g FROM s),
 c AS (SELECT a.id AS item_id, b.id AS doc_id, a.n AS na, b.n AS nb, count(*) AS common FROM e a JOIN e b ON a.g = b.g AND a.side = 'b' AND b.side = 'd' GROUP BY a.id, b.id, a.n, b.n)
 SELECT item_id, doc_id, round(common / cast(na + nb - common AS DOUBLE), 6) AS jaccard FROM c WHERE common / cast(na + nb - common AS DOUBLE) >= 0.45"""
+def shingled(rows: DataFrame, key: str, fine: Column | None = None) -> DataFrame:
+    """(id, s): the distinct five-word shingles of each text, of those whose words `w` are fine."""
+    words = rows.select(F.col(key).alias("id"), F.expr(folded_sql("text")).alias("t")).select("id", F.regexp_extract_all("t", F.lit("(?U)\\w+"), F.lit(0)).alias("w"))
+    return (words if fine is None else words.where(fine)).select("id", F.expr(shingles_sql("w")).alias("s"))
+
+
 #: Rows of the smaller side that are broadcast at most.
 BROADCAST_ROWS = 2_000_000
 
@@ -104,16 +110,18 @@ def shingle_jaccard(spark, sf_dir, least: float = 0.45):
     Documents whose sizes differ too much go, hashes of the others' shingles meet the items' (broadcast if they are few),
     and the pairs that may be similar enough are compared by the shingles themselves.
     """
-    words = F.regexp_extract_all(F.expr(folded_sql("text")), F.lit("(?U)\\w+"), F.lit(0))
-    made = lambda name, key: table(spark, sf_dir, name).select(F.col(key).alias("id"), words.alias("w")).select("id", F.expr(shingles_sql("w")).alias("s")).where(F.size("s") > 0)
-    items, docs = made("benchmark", "item_id"), made("documents", "doc_id")
+    items = shingled(table(spark, sf_dir, "benchmark"), "item_id").where(F.size("s") > 0)
+    docs = table(spark, sf_dir, "documents")
     hashes = lambda rows: rows.select("id", F.size("s").alias("n"), F.explode(F.transform("s", lambda x: F.xxhash64(x))).alias("h"))
     a = hashes(items).select(F.col("id").alias("item_id"), F.col("n").alias("na"), "h")
     bounds = a.agg(F.min("na"), F.max("na"), F.count(F.lit(1))).first()
-    b = hashes(docs.where(F.size("s").between(F.lit(least) * (bounds[0] or 0), (bounds[1] or 0) / F.lit(least)))).select(F.col("id").alias("doc_id"), F.col("n").alias("nb"), "h")
+    # The words' number bounds the shingles' from above, and repeats can only lower it further.
+    fine = F.size("w") - 4 >= F.lit(least * (bounds[0] or 0))
+    b = hashes(shingled(docs, "doc_id", fine)).where(F.col("n") <= F.lit((bounds[1] or 0) / least)).select(F.col("id").alias("doc_id"), F.col("n").alias("nb"), "h")
     both = b.join(F.broadcast(a) if bounds[2] <= BROADCAST_ROWS else a, "h").groupBy("item_id", "doc_id", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
     maybe = both.where(F.col("c") >= least * (F.col("na") + F.col("nb") - F.col("c"))).select("item_id", "doc_id")
-    pairs = maybe.join(items.select(F.col("id").alias("item_id"), F.col("s").alias("x")), "item_id").join(docs.select(F.col("id").alias("doc_id"), F.col("s").alias("y")), "doc_id")
+    few = shingled(docs.join(maybe.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
+    pairs = maybe.join(items.select(F.col("id").alias("item_id"), F.col("s").alias("x")), "item_id").join(few.select(F.col("id").alias("doc_id"), F.col("s").alias("y")), "doc_id")
     jaccard = F.size(F.array_intersect("x", "y")) / (F.size("x") + F.size("y") - F.size(F.array_intersect("x", "y")))
     return pairs.select("item_id", "doc_id", jaccard.alias("jaccard")).where(F.col("jaccard") >= least).select("item_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))
 
