@@ -105,6 +105,22 @@ def test_hull_drops_inner_and_collinear_points():
     assert vectors.hull([(1, 1), (1, 1)]) == [(1, 1)]
 
 
+def test_projection_keeps_the_most_variance(spark, sf_dir):
+    found = vectors.projection(spark, sf_dir).toPandas().sort_values("vec_id")
+    x = np.array([r.v for r in vectors.unit_rows(vectors.table(spark, sf_dir, "embeddings")).orderBy("id").collect()])
+    values = np.linalg.svd(x - x.mean(0), compute_uv=False)[:2] ** 2
+    got = found[["x", "y"]].to_numpy()
+    assert ((got - got.mean(0)) ** 2).sum(0) == pytest.approx(values, rel=1e-6)
+
+
+def test_linkage_of_a_label_is_that_of_its_rows_alone(spark, sf_dir):
+    found = vectors.linkage(spark, sf_dir).toPandas()
+    rows = vectors.unit_rows(vectors.table(spark, sf_dir, "embeddings")).toPandas().set_index("id")
+    for label, g in found.groupby("label"):
+        ids = g.vec_id.to_numpy()
+        assert vectors.agglomerate(ids, np.array(rows.v[ids].tolist()), 3).tolist() == g.cluster.tolist(), label
+
+
 def test_greedy_chunks():
     assert windows.greedy_chunks([4, 4, 4, 9, 1], 10) == [0, 0, 1, 2, 3]
     assert windows.greedy_chunks([], 10) == [] and windows.greedy_chunks([20, 1], 10) == [0, 1]
