@@ -155,6 +155,28 @@ def test_similar_pairs_are_those_of_brute_force(spark):
         assert {(r.left_id, r.right_id) for r in vectors.similar_pairs(v, least).collect()} == want
 
 
+def test_shingle_pairs_are_those_of_brute_force(spark, tmp_path):
+    import random
+    import re
+
+    rng = random.Random(5)
+    items = [" ".join(rng.choices(["Fox", "hen,", "Straße", "lake", "owl", "x"], k=rng.randint(3, 40))) for _ in range(12)]
+    docs = [" ".join(w if rng.random() > 0.06 else "new" for w in t.split()) + " " + " ".join(rng.choices("abcdef", k=rng.randint(0, 12))) for t in items * 4]
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+
+    def shingles(t):
+        w = re.findall(r"\w+", t.casefold())
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    want = {}
+    for i, a in enumerate(map(shingles, items)):
+        for k, b in enumerate(map(shingles, docs)):
+            if a and b and len(a & b) / len(a | b) >= 0.45:
+                want[i, k] = round(len(a & b) / len(a | b), 6)
+    assert want and {(r.item_id, r.doc_id): r.jaccard for r in vectors.shingle_jaccard(spark, str(tmp_path)).collect()} == want
+
+
 def test_title_counts_in_tfidf(spark):
     docs = spark.createDataFrame([(1, "a", "fox", "red hen\n\n---\nfoot"), (2, "b", "owl", "red hen")], "doc_id long, source string, title string, text string")
     terms = {r.term for r in vectors.tfidf(docs, title_col="title").where("id = 1").collect()}
