@@ -44,7 +44,7 @@ MODEL, LONGEST, SPACE = "piece_bpe_32k.model", 60, "▁"
 #: Words that are broadcast, characters of each at most, and documents from which they are taken.
 FREQUENT, SHORT, SAMPLE_DOCS = 200_000, 24, 8_000
 #: Characters of a text that are split at once, and bytes of a batch.
-SEGMENT, BATCH = 1 << 20, 4 << 20
+SEGMENT, BATCH = 1 << 20, 1 << 20
 #: What a unigram model charges for an unknown character below its worst piece; a fixed value.
 UNKNOWN_PENALTY = 10.0
 
