@@ -195,4 +195,12 @@ def kept(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.parquet(path)
+    found = spark.read.parquet(path)
+    found.kept_at = place
+    return found
+
+
+def gone(*tables: DataFrame) -> None:
+    """Deletes tables of kept() that nothing reads any more: what was made of them is kept itself."""
+    for t in tables:
+        t.kept_at.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(t.kept_at, True)
