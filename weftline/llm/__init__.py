@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from weftline.llm import chunks, langid, lattice, licenses, mainhtml, packing, pieces, secrets, shards, simhash
+from weftline.llm import chunks, langid, lattice, licenses, mainhtml, middles, packing, periods, pieces, secrets, shards, simhash, toxicity
 
-_MODULES = (chunks, langid, lattice, licenses, mainhtml, packing, pieces, secrets, shards, simhash)
+_MODULES = (chunks, langid, lattice, licenses, mainhtml, middles, packing, periods, pieces, secrets, shards, simhash, toxicity)
 
 
 def queries() -> dict:
