@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from weftline.functions import text
-from weftline.operators import relational, vectors, windows
+from weftline.operators import relational, sparse, vectors, windows
 from weftline.sources import files
 from weftline.sources.html import html_blocks
 from weftline.streaming import ledger
@@ -71,7 +71,7 @@ def test_markdown_plain_text():
 
 def test_tfidf_of_equal_and_disjoint_documents(spark):
     docs = spark.createDataFrame([(1, "a", "red fox runs"), (2, "b", "red fox runs"), (3, "c", "quiet lake")], "doc_id long, source string, text string")
-    v = vectors.tfidf(docs).toPandas()
+    v = sparse.tfidf(docs).toPandas()
     w = {i: dict(zip(g.term, g.w, strict=True)) for i, g in v.groupby("id")}
     cosine = lambda a, b: sum(w[a][t] * w[b].get(t, 0) for t in w[a])
     assert cosine(1, 2) == pytest.approx(1) and cosine(1, 3) == 0
@@ -148,11 +148,18 @@ def test_similar_pairs_are_those_of_brute_force(spark):
     texts = [" ".join(rng.choices(words, weights=range(1, 41), k=30)) for _ in range(60)]
     texts += [" ".join(w if rng.random() > 0.1 else "x" for w in t.split()) for t in texts[:20]]
     docs = spark.createDataFrame([(k, f"s{k % 3}", t) for k, t in enumerate(texts)], "doc_id long, source string, text string")
-    v = vectors.tfidf(docs).cache()
+    v = sparse.tfidf(docs).cache()
     held = {i: dict(zip(g.term, g.w, strict=True)) for i, g in v.toPandas().groupby("id")}
     for least in (0.8, 0.4, 0.2):
         want = {(i, j) for i in held for j in held if i < j and i % 3 != j % 3 and sum(w * held[j].get(t, 0) for t, w in held[i].items()) >= least}
-        assert {(r.left_id, r.right_id) for r in vectors.similar_pairs(v, least).collect()} == want
+        assert {(r.left_id, r.right_id) for r in sparse.rare_pairs(v, least).collect()} == want
+        for heavy, block in ((0, 64), (8, 7), (1000, 25)):
+            assert {(r.left_id, r.right_id) for r in sparse.all_pairs(v, least, heavy=heavy, block=block).collect()} == want
+    cosines = {(i, j): sum(w * held[j].get(t, 0) for t, w in held[i].items()) for i in held for j in held if i < j and i % 3 != j % 3}
+    top = sorted((-round(c, 6), i, j) for (i, j), c in cosines.items() if c >= 0.09)[:20]
+    found = sparse.all_pairs(v, 0.09, most=20, heavy=8, block=16).collect()
+    assert sorted((-round(r.cosine, 6), r.left_id, r.right_id) for r in found)[:20] == top and len(found) < len(cosines)
+    assert all({r.g1, r.g2} == {f"s{r.left_id % 3}", f"s{r.right_id % 3}"} and r.g1 == f"s{r.left_id % 3}" for r in found)
 
 
 def test_shingle_pairs_are_those_of_brute_force(spark, tmp_path):
@@ -174,13 +181,14 @@ def test_shingle_pairs_are_those_of_brute_force(spark, tmp_path):
         for k, b in enumerate(map(shingles, docs)):
             if a and b and len(a & b) / len(a | b) >= 0.45:
                 want[i, k] = round(len(a & b) / len(a | b), 6)
-    assert want and {(r.item_id, r.doc_id): r.jaccard for r in vectors.shingle_jaccard(spark, str(tmp_path)).collect()} == want
+    assert want and {(r.item_id, r.doc_id): r.jaccard for r in sparse.shingle_jaccard(spark, str(tmp_path)).collect()} == want
 
 
 def test_title_counts_in_tfidf(spark):
     docs = spark.createDataFrame([(1, "a", "fox", "red hen\n\n---\nfoot"), (2, "b", "owl", "red hen")], "doc_id long, source string, title string, text string")
-    terms = {r.term for r in vectors.tfidf(docs, title_col="title").where("id = 1").collect()}
-    assert {"fox", "fox fox", "fox red", "red hen"} <= terms and "foot" not in terms
+    terms = {r.term for r in sparse.tfidf(docs, title_col="title").where("id = 1").collect()}
+    hashed = lambda words: spark.createDataFrame([(words,)], "w string").selectExpr("transform(split(w, ' '), x -> xxhash64(x)) AS h").selectExpr("CASE WHEN size(h) = 1 THEN h[0] ELSE xxhash64(h[0], h[1]) END AS t").first().t
+    assert {hashed(t) for t in ("fox", "fox fox", "fox red", "red hen")} <= terms and hashed("foot") not in terms
 
 
 def test_ranks_of_pairs_are_full_ranks(spark, sf_dir):

@@ -13,118 +13,13 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.text import folded_sql, shingles_sql
-from weftline.operators.text import TITLES
 from weftline.plans.registry import query, sql_query, table
 
 BLOCK = 1024
 
-# ---- sparse vectors
-
-_TFIDF = """WITH w AS (SELECT doc_id, source, {words} AS w FROM $documents),
-t AS (SELECT doc_id, source, {terms} AS term FROM w),
-tf AS (SELECT doc_id, source, term, count(*) AS tf FROM t GROUP BY doc_id, source, term),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-n AS (SELECT count(*) AS n FROM $documents),
-raw AS (SELECT tf.doc_id, tf.source, tf.term, (1 + ln(tf.tf)) * (1 + ln((n.n + 1) / cast(df.df + 1 AS DOUBLE))) AS w FROM tf JOIN df ON df.term = tf.term CROSS JOIN n),
-norm AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM raw GROUP BY doc_id),
-v AS (SELECT r.doc_id, r.source, r.term, r.w / m.norm AS w FROM raw r JOIN norm m ON m.doc_id = r.doc_id),
-p AS (SELECT a.doc_id AS left_id, b.doc_id AS right_id, sum(a.w * b.w) AS cosine FROM v a JOIN v b ON a.term = b.term AND a.doc_id < b.doc_id AND a.source <> b.source GROUP BY a.doc_id, b.doc_id)
-SELECT left_id, right_id, round(cosine, 6) AS cosine FROM p WHERE cosine >= 0.09 ORDER BY round(cosine, 6) DESC, left_id, right_id LIMIT 50"""
-
-
-def tfidf(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source", text_col: str = "text", title_col: str | None = None, titles: int = TITLES) -> DataFrame:
-    """(id, grp, term, w, df): unit-length weights (1 + ln tf)(1 + ln((N + 1) / (df + 1))) of uni- and bigrams of the text
-    without its footer, and of the title so many times before it."""
-    text = F.substring_index(F.col(text_col), "\n\n---\n", 1)
-    whole = text if title_col is None else F.concat(F.repeat(F.concat(F.col(title_col), F.lit(" ")), titles), text)
-    tokens = docs.select(F.col(id_col).alias("id"), F.col(group_col).alias("grp"), whole.alias("t")).select("id", "grp", F.regexp_extract_all(F.expr(folded_sql("t")), F.lit("[a-z0-9]+(?:'[a-z]+)?"), F.lit(0)).alias("w"))
-    pairs = F.when(F.size("w") > 1, F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
-    tf = tokens.select("id", "grp", F.explode(F.concat("w", pairs)).alias("term")).groupBy("id", "grp", "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    raw = tf.join(df, "term").crossJoin(F.broadcast(n)).select("id", "grp", "term", ((1 + F.log("tf")) * (1 + F.log((F.col("n") + 1) / (F.col("df") + 1)))).alias("w"), "df")
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "id").select("id", "grp", "term", (F.col("w") / F.col("norm")).alias("w"), "df")
-
-
-#: Least cosines that the search for the most similar pairs goes through; the last is the operator's own.
-STEPS = (0.9, 0.5, 0.25, 0.09)
-
-
-def similar_pairs(v: DataFrame, least: float) -> DataFrame:
-    """(left_id, right_id, cosine) of all pairs of different groups with at least this cosine, from rows (id, grp, term, w, df).
-
-    Of each vector's terms, most frequent first, those go whose weights together stay under `least` in length: what a pair
-    shares there alone can't reach it. Pairs meet on the others, which are rare, and only those that met are summed whole.
-    """
-    order = Window.partitionBy("id").orderBy(F.desc("df"), "term").rowsBetween(Window.unboundedPreceding, 0)
-    rare = v.withColumn("length", F.sum(F.col("w") * F.col("w")).over(order)).where((F.col("length") >= least * least * (1 - 1e-9)) & (F.col("df") > 1)).select("id", "grp", "term")
-    left, right = rare.select(F.col("id").alias("left_id"), F.col("grp").alias("g1"), "term"), rare.select(F.col("id").alias("right_id"), F.col("grp").alias("g2"), "term")
-    met = left.join(right, "term").where("left_id < right_id AND g1 <> g2").select("left_id", "right_id").distinct()
-    a, b = v.select(F.col("id").alias("left_id"), "term", F.col("w").alias("w1")), v.select(F.col("id").alias("right_id"), "term", F.col("w").alias("w2"))
-    return met.join(a, "left_id").join(b, ["right_id", "term"]).groupBy("left_id", "right_id").agg(F.sum(F.col("w1") * F.col("w2")).alias("cosine")).where(F.col("cosine") >= least)
-
-
-@query("V1_tfidf_near_duplicates", _TFIDF.format(words=f"regexp_extract_all({folded_sql(f"(repeat(source || ' ', {TITLES}) || text)", 'duckdb')}, '[a-z0-9]+(?:''[a-z]+)?')", terms="unnest(w || list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))"))
-def tfidf_pairs(spark, sf_dir, most: int = 50):
-    """The most similar pairs of documents of different sources by TF-IDF cosine, those of at least 0.09.
-
-    The least cosine is lowered until there are enough pairs above it; what is found above any least is all there is.
-    """
-    v = tfidf(table(spark, sf_dir, "documents"), title_col="source").persist(StorageLevel.DISK_ONLY)
-    for least in STEPS:
-        found = similar_pairs(v, least).select("left_id", "right_id", F.round("cosine", 6).alias("cosine"))
-        rows = found.orderBy(F.desc("cosine"), "left_id", "right_id").limit(most)
-        if least == STEPS[-1]:
-            return rows
-        top = rows.collect()
-        # Cosines are rounded for the order, so the last must lie clearly above the least.
-        if len(top) == most and top[-1]["cosine"] > least + 1e-6:
-            v.unpersist()
-            return spark.createDataFrame(top, rows.schema)
-
-
-_JACCARD = """WITH s AS (SELECT 'b' AS side, item_id AS id, {shingles} AS sh FROM (SELECT item_id, {words} AS w FROM $benchmark) x UNION ALL SELECT 'd', doc_id, {shingles} FROM (SELECT doc_id, {words} AS w FROM $documents) y),
-e AS (SELECT side, id, len(sh) AS n, unnest(sh) AS g FROM s),
-c AS (SELECT a.id AS item_id, b.id AS doc_id, a.n AS na, b.n AS nb, count(*) AS common FROM e a JOIN e b ON a.g = b.g AND a.side = 'b' AND b.side = 'd' GROUP BY a.id, b.id, a.n, b.n)
-SELECT item_id, doc_id, round(common / cast(na + nb - common AS DOUBLE), 6) AS jaccard FROM c WHERE common / cast(na + nb - common AS DOUBLE) >= 0.45"""
-def shingled(rows: DataFrame, key: str, fine: Column | None = None) -> DataFrame:
-    """(id, s): the distinct five-word shingles of each text, of those whose words `w` are fine."""
-    words = rows.select(F.col(key).alias("id"), F.expr(folded_sql("text")).alias("t")).select("id", F.regexp_extract_all("t", F.lit("(?U)\\w+"), F.lit(0)).alias("w"))
-    return (words if fine is None else words.where(fine)).select("id", F.expr(shingles_sql("w")).alias("s"))
-
-
-#: Rows of the smaller side that are broadcast at most.
-BROADCAST_ROWS = 2_000_000
-
-
-@query("V2_shingle_jaccard", _JACCARD.format(words=f"regexp_extract_all({folded_sql('text', 'duckdb')}, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+')", shingles="list_distinct(list_transform(range(0, greatest(len(w) - 4, 0)), lambda i: array_to_string(w[i + 1 : i + 5], ' ')))"))
-def shingle_jaccard(spark, sf_dir, least: float = 0.45):
-    """Pairs of an item and a document by the Jaccard similarity of their five-word shingles.
-
-    Documents whose sizes differ too much go, hashes of the others' shingles meet the items' (broadcast if they are few),
-    and the pairs that may be similar enough are compared by the shingles themselves.
-    """
-    items = shingled(table(spark, sf_dir, "benchmark"), "item_id").where(F.size("s") > 0)
-    docs = table(spark, sf_dir, "documents")
-    hashes = lambda rows: rows.select("id", F.size("s").alias("n"), F.explode(F.transform("s", lambda x: F.xxhash64(x))).alias("h"))
-    a = hashes(items).select(F.col("id").alias("item_id"), F.col("n").alias("na"), "h")
-    bounds = a.agg(F.min("na"), F.max("na"), F.count(F.lit(1))).first()
-    # The words' number bounds the shingles' from above, and repeats can only lower it further.
-    fine = F.size("w") - 4 >= F.lit(least * (bounds[0] or 0))
-    b = hashes(shingled(docs, "doc_id", fine)).where(F.col("n") <= F.lit((bounds[1] or 0) / least)).select(F.col("id").alias("doc_id"), F.col("n").alias("nb"), "h")
-    both = b.join(F.broadcast(a) if bounds[2] <= BROADCAST_ROWS else a, "h").groupBy("item_id", "doc_id", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
-    maybe = both.where(F.col("c") >= least * (F.col("na") + F.col("nb") - F.col("c"))).select("item_id", "doc_id")
-    few = shingled(docs.join(maybe.select("doc_id").distinct(), "doc_id", "left_semi"), "doc_id")
-    pairs = maybe.join(items.select(F.col("id").alias("item_id"), F.col("s").alias("x")), "item_id").join(few.select(F.col("id").alias("doc_id"), F.col("s").alias("y")), "doc_id")
-    jaccard = F.size(F.array_intersect("x", "y")) / (F.size("x") + F.size("y") - F.size(F.array_intersect("x", "y")))
-    return pairs.select("item_id", "doc_id", jaccard.alias("jaccard")).where(F.col("jaccard") >= least).select("item_id", "doc_id", F.round("jaccard", 6).alias("jaccard"))
-
 # ---- dense vectors
 
 
