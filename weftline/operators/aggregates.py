@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.quantiles import exact_quantiles
 from weftline.plans.registry import query, sql_query, table
 
 #: Members of a block of ordered_digest().
@@ -42,7 +43,14 @@ sql_query(
 sql_query("A9_exact_duplicates", "SELECT sha2(text, 256) AS hash, count(*) AS n, min(doc_id) AS first, array_join(transform(array_sort(collect_list(doc_id)), x -> cast(x AS STRING)), ',') AS members FROM $documents GROUP BY sha2(text, 256) HAVING count(*) > 1", "SELECT sha256(text) AS hash, count(*) AS n, min(doc_id) AS first, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS members FROM $documents GROUP BY sha256(text) HAVING count(*) > 1")
 sql_query("A10_keep_first", "SELECT doc_id, key FROM (SELECT doc_id, sha2(lower(regexp_replace(text, '[^\\\\p{L}]', '')), 256) AS key, row_number() OVER (PARTITION BY sha2(lower(regexp_replace(text, '[^\\\\p{L}]', '')), 256) ORDER BY doc_id) AS r FROM $documents) WHERE r = 1", "SELECT doc_id, key FROM (SELECT doc_id, sha256(lower(regexp_replace(text, '[^\\p{L}]', '', 'g'))) AS key, row_number() OVER (PARTITION BY sha256(lower(regexp_replace(text, '[^\\p{L}]', '', 'g'))) ORDER BY doc_id) AS r FROM $documents) t WHERE r = 1")
 sql_query("A11_mode", "WITH n AS (SELECT source, lang, count(*) AS n FROM $documents GROUP BY source, lang) SELECT source, lang AS label FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lower(lang), lang) AS r FROM n) WHERE r = 1", "WITH n AS (SELECT source, lang, count(*) AS n FROM $documents GROUP BY source, lang) SELECT source, lang AS label FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lower(lang), lang) AS r FROM n) t WHERE r = 1")
-sql_query("A12_quantiles_iqr", "WITH q AS (SELECT lang, percentile(n_chars, 0.25) AS q1, percentile(n_chars, 0.75) AS q3 FROM $documents GROUP BY lang) SELECT lang, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS fence FROM q", "WITH q AS (SELECT lang, quantile_cont(n_chars::DOUBLE, 0.25) AS q1, quantile_cont(n_chars::DOUBLE, 0.75) AS q3 FROM $documents GROUP BY lang) SELECT lang, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS fence FROM q")
+
+@query("A12_quantiles_iqr", "WITH q AS (SELECT lang, quantile_cont(n_chars::DOUBLE, 0.25) AS q1, quantile_cont(n_chars::DOUBLE, 0.75) AS q3 FROM $documents GROUP BY lang) SELECT lang, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS fence FROM q")
+def quartiles(spark, sf_dir):
+    """Quartiles and the lower fence of each language's lengths; hot languages by selection."""
+    q = exact_quantiles(table(spark, sf_dir, "documents"), "lang", "n_chars", (0.25, 0.75)).select("lang", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
+    return q.select("lang", F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"), F.round(F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), 6).alias("fence"))
+
+
 sql_query("A13_centroid", "SELECT label, pos, round(avg(cast(x AS DOUBLE)), 6) AS mean, count(*) AS n FROM (SELECT label, posexplode(embedding) AS (pos, x) FROM $embeddings) GROUP BY label, pos", "SELECT label, pos - 1 AS pos, round(avg(x::DOUBLE), 6) AS mean, count(*) AS n FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM $embeddings) t GROUP BY label, pos")
 
 

@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions.quantiles import exact_quantiles
 from weftline.plans.registry import query, sql_query, table
 
 BLOCK = 1024
@@ -88,7 +89,7 @@ def reverse_rank(spark, sf_dir):
 )
 def connectivity(spark, sf_dir):
     mean = neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 5).groupBy("src").agg(F.avg("sim").alias("connectivity"))
-    q = mean.agg(F.percentile("connectivity", 0.25).alias("q1"), F.percentile("connectivity", 0.75).alias("q3"))
+    q = exact_quantiles(mean.withColumn("all", F.lit(1)), "all", "connectivity", (0.25, 0.75)).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     return mean.crossJoin(F.broadcast(q)).select("src", F.round("connectivity", 6).alias("connectivity"), (F.col("connectivity") < F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("outlier"))
 
 
@@ -314,23 +315,13 @@ sql_query("V12_adjusted_rand", _ARI, _ARI.replace("2D", "2::DOUBLE"))
 
 @query("V13_projection_pca")
 def projection(spark, sf_dir):
-    """A linear projection to the plane, in place of a manifold method that no library here offers."""
+    """The linear projection to the plane; layout.manifold_layout() follows the neighbours instead."""
     data = unit_rows(table(spark, sf_dir, "embeddings")).select("id", array_to_vector("v").alias("features"))
     made = PCA(k=2, inputCol="features", outputCol="plane").fit(data).transform(data)
     xy = vector_to_array("plane")
     return made.select(F.col("id").alias("vec_id"), F.round(xy[0], 8).alias("x"), F.round(xy[1], 8).alias("y"))
 
 
-def average_ranks(rows: DataFrame, value: str, name: str, bucket: float) -> DataFrame:
-    """rows plus name: ranks by value, equal values sharing their mean rank; no window over all rows."""
-    placed = rows.withColumn("__b", F.floor(F.col(value) / bucket))
-    sizes = placed.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per bucket of value, far fewer than rows.
-    before = sizes.select("__b", (F.sum("__n").over(Window.orderBy("__b")) - F.col("__n")).alias("__before"))
-    inside = placed.withColumn("__r", F.rank().over(Window.partitionBy("__b").orderBy(value))).withColumn("__t", F.count(F.lit(1)).over(Window.partitionBy("__b", value)))
-    return inside.join(F.broadcast(before), "__b").withColumn(name, F.col("__before") + F.col("__r") + (F.col("__t") - 1) / 2).drop("__b", "__r", "__t", "__before")
-
-
 #: A layout in the plane that SQL can state too: each row's sums of all its components by the cosines and sines of their
 #: places. Any other layout (projection()) is as good to the operators below.
 PLANE = ("list_sum(list_transform({v}, lambda x, i: x::DOUBLE * cos(i)))", "list_sum(list_transform({v}, lambda x, i: x::DOUBLE * sin(i)))")
@@ -362,27 +353,6 @@ def _far(a, b) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return ids, others, np.round(1 - x @ y.T, 8), np.round(np.sqrt(((u[:, None] - w[None]) ** 2).sum(2)), 8)
 
 
-def two_layouts(rows: DataFrame) -> DataFrame:
-    """(d1, d2) of each unordered pair: distances in the whole space and in the plane."""
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                ids, others, d1, d2 = _far(r.a, r.b)
-                i, j = np.nonzero(ids[:, None] < others[None, :])
-                yield pd.DataFrame({"d1": d1[i, j], "d2": d2[i, j]})
-
-    return block_pairs(rows).select("a", "b").mapInPandas(pairs, "d1 double, d2 double")
-
-
-@query("V14_distance_spearman", f"WITH {_LAYOUTS.format(on='<')}, r AS (SELECT rank() OVER (ORDER BY d1) + (count(*) OVER (PARTITION BY d1) - 1) / 2 AS r1, rank() OVER (ORDER BY d2) + (count(*) OVER (PARTITION BY d2) - 1) / 2 AS r2 FROM p) SELECT round(corr(r1, r2), 6) AS spearman FROM r")
-def spearman(spark, sf_dir):
-    """By definition over all pairs' ranks."""
-    pairs = two_layouts(unit_rows(table(spark, sf_dir, "embeddings")))
-    ranked = average_ranks(average_ranks(pairs, "d1", "r1", 0.001), "d2", "r2", 0.001)
-    return ranked.agg(F.round(F.corr("r1", "r2"), 6).alias("spearman"))
-
-
 def plane_neighbours(rows: DataFrame, k: int) -> DataFrame:
     """(src, dst, d1, rank): the k nearest in the plane, ties by id, and how far they are in the whole space."""
 

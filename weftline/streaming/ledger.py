@@ -6,6 +6,8 @@ failure replaces itself and a restart reads what is there.
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,9 +28,17 @@ def run_ledger(spark: SparkSession, folder: str, name: str, schema: str, ledger:
 
 
 def shared_path(spark: SparkSession) -> str:
-    """A fresh folder that all executors reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    """A fresh folder that the driver and all executors reach, below spark.checkpoint.dir; it goes when the application ends.
+    Only in one process, where that setting is missing, is it a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="weftline-")
+    path = f"{base}/stream-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def retry_at(header: Column, now: Column) -> Column:
