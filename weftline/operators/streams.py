@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftline.plans.registry import query, sql_query, table
-from weftline.streaming import ledger
+from weftline.streaming import ledger, state
 
 
 @query("X1_batch_ledger", "SELECT event_type, count(*) AS requests, round(sum(value), 4) AS tokens FROM $events GROUP BY event_type")
@@ -39,6 +39,32 @@ def rate_limit(spark, sf_dir):
     return ledger.slots(table(spark, sf_dir, "events"), "event_type", "ts", 30).select("event_id", "slot_us")
 
 
+@query(
+    "X4_keyed_slots",
+    "WITH k AS (SELECT event_id, event_type, epoch_us(ts) AS us, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS k FROM $events) SELECT event_id, max(us - 30000000 * k) OVER (PARTITION BY event_type ORDER BY k ROWS UNBOUNDED PRECEDING) + 30000000 * k AS slot_us FROM k",
+)
+def keyed_slots(spark, sf_dir):
+    """The same slots from a stream, whose state is each provider's next free time."""
+    base = ledger.shared_path(spark)
+    state.run_slots(spark, sf_dir, "events.parquet", ledger.EVENTS, f"{base}/slots", f"{base}/state", 30_000_000)
+    return spark.read.parquet(f"{base}/slots").select("event_id", "slot_us")
+
+
+@query(
+    "X5_keyed_progress",
+    f"""WITH a AS (SELECT (event_id // 4) % 50 AS unit, event_id // 4 AS item, epoch_us(ts) AS us, event_type <> 'error' AS ok, value FROM $events),
+    i AS (SELECT unit, item, bool_or(ok) AS done, max(us) AS last, sum(CASE WHEN ok THEN value ELSE 0 END) AS used, sum(CASE WHEN ok THEN 0 ELSE value END) AS failed, count(*) AS n FROM a GROUP BY unit, item),
+    w AS (SELECT max(us) // 1000 * 1000 AS mark FROM a)
+    SELECT unit, coalesce(sha256(string_agg(item::VARCHAR, ',' ORDER BY item) FILTER (WHERE done)), sha256('')) AS completed_sha256, count(*) FILTER (WHERE done) AS n_completed, count(*) FILTER (WHERE NOT done AND last + {state.WAIT_US} > mark) AS n_retry, round(sum(used), 4) AS used, round(sum(failed), 4) AS failed, sum(n)::BIGINT AS attempts FROM i, w GROUP BY unit""",
+)
+def keyed_progress(spark, sf_dir):
+    """Units of declared items, advanced attempt by attempt; failed items wait for a timer."""
+    base = ledger.shared_path(spark)
+    state.run_progress(spark, sf_dir, "events.parquet", ledger.EVENTS, f"{base}/progress", f"{base}/state")
+    found = state.latest(spark, f"{base}/progress")
+    return found.select("unit", F.sha2("completed", 256).alias("completed_sha256"), "n_completed", "n_retry", F.round("used", 4).alias("used"), F.round("failed", 4).alias("failed"), "attempts")
+
+
 sql_query("X5_state_machine", "SELECT user_id, CASE WHEN count(*) FILTER (WHERE event_type = 'purchase') = 0 THEN 'pending' WHEN max(CASE WHEN event_type = 'error' THEN ts END) > max(CASE WHEN event_type = 'purchase' THEN ts END) THEN 'retry' ELSE 'completed' END AS state, count(*) AS steps, round(sum(value), 4) AS used FROM $events GROUP BY user_id")
 sql_query("X6_atomic_units", "SELECT d.source, bool_and(l.doc_id IS NOT NULL) AS complete FROM $documents d LEFT JOIN $labels l ON l.doc_id = d.doc_id GROUP BY d.source")
 
