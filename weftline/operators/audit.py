@@ -5,55 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.operators.packs import FACETS, NUMERIC, SCALES, Pattern
 from weftline.operators.windows import first_of
 from weftline.plans.registry import query, sql_query, table
 
-def between(*words: str) -> str:
-    """A pattern of any of these words, in small letters, with no letter on either side."""
-    return rf"(?<!\p{{L}})({'|'.join(words)})(?!\p{{L}})"
 
+def signals(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
+    """(doc_id, source, lang, dimension, value, pattern): the patterns of each document's own locale that its text shows.
 
-#: Words of the invented prose of the test tables that patterns are made of, by locale; French has none, as its texts are
-#: to be reported as unpatterned.
-_WORDS = {"en": "the and of to in that it for was on".split(), "de": "der die und das ein von mit ist den sch".split(), "es": "de la que el en los se por con una".split()}
-
-
-def pack(dimensions: dict[str, tuple[str, ...]]) -> list[tuple[str, str, str, str, str]]:
-    """(dimension, value, locale, id, pattern): two patterns for each value and locale, by turns of the locale's words."""
-    rows, turn = [], 0
-    for dimension, values in dimensions.items():
-        for value in values:
-            for locale, words in _WORDS.items():
-                pick = [words[(turn * k + 3 * k) % len(words)] for k in (1, 2, 3, 7)]
-                rows += [(dimension, value, locale, f"{locale}-{value}-pair", between(f"{pick[0]} +{pick[1]}", f"{pick[2]} +{pick[0]}")), (dimension, value, locale, f"{locale}-{value}-ending", f"{pick[3]}[,.] ")]
-            turn += 1
-    return rows
-
-
-#: This library's own packs: twelve dimensions of a text's facets, and the scales of those who take part.
-FACETS = pack({
-    "place": ("inside", "outside", "water"), "tempo": ("calm", "lively"), "mode": ("together", "against"), "means": ("none", "ball", "rope"), "season": ("summer", "winter"), "light": ("day", "night"),
-    "length": ("short", "long"), "sense": ("sight", "hearing"), "rules": ("few", "many"), "voice": ("song", "silence"), "skill": ("memory", "aim"), "risk": ("low", "high"),
-})
-SCALES = pack({"scale": ("individual", "pair", "small-group", "group", "team", "two-teams", "crowd", "everyone")})
-#: Counts of those who take part: digits or words before a word.
-NUMERIC = [("numeric", "count", locale, f"{locale}-{kind}", pattern) for locale, words in _WORDS.items() for kind, pattern in (("digits", rf"(?<!\p{{L}})[1-9][0-9]* +({'|'.join(words)})(?!\p{{L}})"), ("words", between(f"{words[0]} +{words[1]} +({'|'.join(words)})")))]
-
-
-def signals(docs: DataFrame, patterns: list[tuple]) -> DataFrame:
-    """(doc_id, source, lang, dimension, value, pattern): the patterns of each document's own locale that its text has.
-
-    Patterns are constants of the plan: each is compiled once, and only those of a row's locale are tried.
+    A text is cut into its distinct words once, and they meet the packs' words; the few patterns with a regex try it only
+    on texts that have one of their words.
     """
-    hits = ", ".join(f"CASE WHEN lang = '{locale}' AND low RLIKE r'{pattern}' THEN named_struct('dimension', '{dimension}', 'value', '{value}', 'pattern', '{name}') END" for dimension, value, locale, name, pattern in patterns)
-    # Not explode(): it would have Spark filter by all patterns before trying them.
-    found = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", F.explode_outer(F.expr(f"array_compact(array({hits}))")).alias("p"))
-    return found.where("p IS NOT NULL").select("doc_id", "source", "lang", "p.*")
-
-
-def _twin(patterns: list[tuple]) -> str:
-    plain = lambda p: p.replace(r"(?<!\p{L})", r"(^|[^\p{L}])").replace(r"(?!\p{L})", r"([^\p{L}]|$)")  # noqa: E731  an engine without lookaround
-    hits = ", ".join(f"CASE WHEN lang = '{locale}' AND regexp_matches(low, '{plain(pattern)}') THEN {{'dimension': '{dimension}', 'value': '{value}', 'pattern': '{name}'}} END" for dimension, value, locale, name, pattern in patterns)
+    spark = docs.sparkSession
+    plain, others = [p for p in patterns if p.regex is None], [p for p in patterns if p.regex is not None]
+    words = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", "low", F.array_distinct(F.regexp_extract_all("low", F.lit(r"\p{L}+"), F.lit(0))).alias("words"))
+    # As large as the pack, which is a parameter.
+    table_of = F.broadcast(spark.createDataFrame([(p.locale, w, p.dimension, p.value, p.id) for p in plain for w in p.words], "lang string, word string, dimension string, value string, pattern string"))
+    found = words.select("doc_id", "source", "lang", F.explode("words").alias("word")).join(table_of, ["lang", "word"]).select("doc_id", "source", "lang", "dimension", "value", "pattern").distinct()
+    if not others:
+        return found
+    tried = [F.when((F.col("lang") == p.locale) & F.arrays_overlap("words", F.array(*map(F.lit, p.words))), F.when(F.col("low").rlike(p.regex), F.struct(F.lit(p.dimension).alias("dimension"), F.lit(p.value).alias("value"), F.lit(p.id).alias("pattern")))) for p in others]
+    more = words.select("doc_id", "source", "lang", F.explode(F.array_compact(F.array(*tried))).alias("p")).select("doc_id", "source", "lang", "p.*")
+    return found.union(more)
+
+
+def _twin(patterns: list[Pattern]) -> str:
+    tests = {p: p.regex or rf"(^|[^\p{{L}}])({'|'.join(p.words)})([^\p{{L}}]|$)" for p in patterns}
+    hits = ", ".join(f"CASE WHEN lang = '{p.locale}' AND regexp_matches(low, '{test}') THEN {{'dimension': '{p.dimension}', 'value': '{p.value}', 'pattern': '{p.id}'}} END" for p, test in tests.items())
     values = ", ".join(f"('{d}', '{v}')" for d, v in sorted({p[:2] for p in patterns}))
     locales = ", ".join(sorted({f"'{p[2]}'" for p in patterns}))
     return f"WITH v(dimension, value) AS (VALUES {values}), l AS (SELECT doc_id, source, lang, lower(text) AS low FROM $documents), u AS (SELECT doc_id, source, lang, unnest([{hits}]) AS x FROM l), g AS MATERIALIZED (SELECT doc_id, source, lang, x.dimension AS dimension, x.value AS value, x.pattern AS pattern FROM u WHERE x IS NOT NULL), h AS (SELECT DISTINCT doc_id, source, lang, dimension, value FROM g), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE lang NOT IN ({locales})) AS u FROM $documents)"
@@ -62,7 +40,7 @@ def _twin(patterns: list[tuple]) -> str:
 _FACETS, _SCALES = _twin(FACETS), _twin([*SCALES, *NUMERIC])
 
 
-def covered(docs: DataFrame, patterns: list[tuple]) -> DataFrame:
+def covered(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
     """(dimension, value, hits, sources, share, unpatterned) of all values, those without a hit too."""
     known = sorted({p[2] for p in patterns})
     totals = docs.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("lang").isin(known)).alias("unpatterned"))
