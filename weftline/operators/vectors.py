@@ -7,10 +7,13 @@ nature and run per group; k-means and PCA are MLlib's.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -198,72 +201,27 @@ def linkage(spark, sf_dir):
     return unit_rows(table(spark, sf_dir, "embeddings")).groupBy("label").applyInPandas(run, "vec_id long, label int, cluster long")
 
 
-#: Starts of k-means, its iterations and the rows that starts are taken from.
-STARTS, ITERATIONS, SAMPLE = 50, 40, 10_000
-
-
-def first_centres(x: np.ndarray, k: int, starts: int, seed: int) -> np.ndarray:
-    """(starts, k, dim): centres spread over a sample, each drawn by its squared distance to those before it."""
-    out = []
-    for s in range(starts):
-        rng = np.random.default_rng([seed, s])
-        chosen = [x[rng.integers(len(x))]]
-        while len(chosen) < k:
-            far = ((x[:, None] - np.array(chosen)[None]) ** 2).sum(2).min(1)
-            chosen.append(x[rng.choice(len(x), p=far / far.sum())] if far.sum() > 0 else x[rng.integers(len(x))])
-        out.append(chosen)
-    return np.array(out)
-
-
-def lloyd(rows: DataFrame, k: int, starts: int = STARTS, seed: int = 7) -> np.ndarray:
-    """The centres (k, dim) of the cheapest of all starts. All starts advance together: a pass over the rows sums for each
-    start and centre what is nearest to it, and only these sums leave the tasks."""
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).orderBy("id")
-    centres = first_centres(np.array([r["v"] for r in sample.collect()], np.float64), k, starts, seed)
-    dim, best = centres.shape[2], None
-
-    def sums(held: np.ndarray):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total, count, cost = np.zeros((starts, k, dim)), np.zeros((starts, k), np.int64), np.zeros(starts)
-            for b in batches:
-                x = np.array(b["v"].tolist(), np.float64).reshape(-1, dim)
-                away = (x**2).sum(1)[None, None] - 2 * held @ x.T + (held**2).sum(2)[:, :, None]
-                near = away.argmin(1)
-                cost += np.maximum(away.min(1), 0).sum(1)
-                for s in range(starts):
-                    np.add.at(total[s], near[s], x)
-                    count[s] += np.bincount(near[s], minlength=k)
-            i, j = np.nonzero(count)
-            yield pd.DataFrame({"s": i, "c": j, "n": count[i, j], "cost": cost[i] / np.maximum((count > 0).sum(1), 1)[i], "v": list(total[i, j])})
-
-        return run
-
-    for _ in range(ITERATIONS):
-        parts = rows.select("v").mapInPandas(sums(centres), "s int, c int, n long, cost double, v array<double>")
-        each = parts.groupBy("s", "c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*[F.sum(F.col("v")[d]) for d in range(dim)]).alias("v")).collect()
-        moved, cost = centres.copy(), np.zeros(starts)
-        for r in each:
-            moved[r["s"], r["c"]] = np.array(r["v"]) / r["n"]
-            cost[r["s"]] += r["cost"]
-        best = centres[cost.argmin()]
-        if np.abs(moved - centres).max() < 1e-9:
-            break
-        centres = moved
-    return best
+#: Starts of k-means and its iterations.
+STARTS, ITERATIONS = 8, 200
 
 
 def kmeans(rows: DataFrame, k: int, starts: int = STARTS, seed: int = 7) -> DataFrame:
-    """(id, cluster, v): clusters are numbered by their rounded centroid, then least id."""
-    centres = lloyd(rows.select("id", "v"), k, starts, seed)
-
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            x = np.array(b["v"].tolist(), np.float64).reshape(-1, centres.shape[1])
-            yield pd.DataFrame({"id": b["id"], "p": ((x[:, None] - centres[None]) ** 2).sum(2).argmin(1), "v": b["v"]})
-
-    named = rows.select("id", "v").mapInPandas(nearest, "id long, p int, v array<double>")
+    """(id, cluster, v): the cheapest of some starts; clusters are numbered by their rounded centroid, then least id. A start
+    that hasn't converged is reported by a warning."""
+    held = rows.select("id", "v", array_to_vector("v").alias("features")).persist(StorageLevel.DISK_ONLY)
+    best, open_ones = None, 0
+    for s in range(starts):
+        model = KMeans(k=k, maxIter=ITERATIONS, tol=1e-9, seed=1000 * seed + s, predictionCol="p").fit(held)
+        open_ones += model.summary.numIter >= ITERATIONS
+        if best is None or model.summary.trainingCost < best.summary.trainingCost:
+            best = model
+    if open_ones:
+        warnings.warn(f"{open_ones} of {starts} starts of k-means haven't converged in {ITERATIONS} passes", stacklevel=2)
+    named = best.transform(rows.select("id", "v", array_to_vector("v").alias("features"))).select("id", "p", "v")
     order = named.select("p", "id", F.posexplode("v").alias("pos", "x")).groupBy("p", "pos").agg(F.round(F.avg("x"), 12).alias("m"), F.min("id").alias("least")).groupBy("p").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("c"), F.min("least").alias("least"))
+    # One row for each of k clusters.
     number = order.select("p", F.row_number().over(Window.orderBy("c", "least")).alias("cluster"))
+    held.unpersist()
     return named.join(F.broadcast(number), "p").select("id", (F.col("cluster") - 1).alias("cluster"), "v")
 
 
