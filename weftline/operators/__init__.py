@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("text", "relational", "aggregates", "windows", "sparse", "vectors", "layout", "audit", "constraints", "documents", "links", "contracts", "reviews", "streams")
+MODULES = ("text", "relational", "aggregates", "windows", "sparse", "vectors", "layout", "audit", "constraints", "documents", "links", "contracts", "reviews", "excerpts", "streams")
 
 
 def load() -> None:

@@ -101,12 +101,28 @@ def hashed_records(text: Column | str) -> Column:
     return run(text)
 
 
+def unpruned(spark: SparkSession, path: str, pruned: tuple[str, ...]) -> list[str]:
+    """The files below a path, without entering folders of these names (whatever stands before a `=` in them)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, folders = [], [root]
+    while folders:
+        for entry in fs.listStatus(folders.pop()):
+            name = entry.getPath().getName()
+            if entry.isDirectory():
+                if name.split("=", 1)[-1] not in pruned:
+                    folders.append(entry.getPath())
+            elif not name.startswith(("_", ".")):
+                files.append(entry.getPath().toString())
+    return sorted(files)
+
+
 def repository_lines(spark: SparkSession, path: str, pruned: tuple[str, ...]) -> DataFrame:
-    """(path, value): the lines of all files below a path but those below folders of these names."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    folder = F.split("path", "/")
-    plain = F.transform(folder, lambda x: F.regexp_replace(x, "^[^=]*=", ""))
-    return lines.where(~F.arrays_overlap(F.slice(plain, 1, F.size(plain) - 1), F.array(*map(F.lit, pruned))))
+    """(path, value): the lines of all files below a path but those below folders of these names, which aren't listed."""
+    found = unpruned(spark, path, pruned)
+    if not found:
+        return spark.createDataFrame([], "path string, value string")
+    return spark.read.text(found).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def write_cluster_texts(rows: DataFrame, path: str, cluster: str, line: str) -> None:
