@@ -89,6 +89,14 @@ def test_langid_learns_all_languages_alike_in_any_order(spark):
     assert langid.learn(frame.orderBy(F.desc("text")).repartition(5)) == model
 
 
+def test_marks_stay_with_their_letters(spark):
+    assert langid.letters("हिन्दी में लिखा 12!").decode() == "हिन्दी में लिखा" and langid.letters("ภาษาไทยที่นี่, ½").decode() == "ภาษาไทยที่นี่"
+    words = {"hi": "यह हिन्दी में लिखा गया है और किताब की भाषा है", "mr": "हे मराठीत लिहिले आहे आणि पुस्तकाची भाषा आहे", "th": "นี่คือภาษาไทยที่เขียนไว้ ในหนังสือเล่มนี้"}
+    rows = [(3 * k, " ".join(random.Random(k).choices(w.split(), k=12)), lang) for lang, w in words.items() for k in range(40)]
+    model = langid.Classifier(langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert all(model(w)[0] == lang for lang, w in words.items())
+
+
 def test_langid_defined_cases(spark, odd):
     model = langid.learn(odd)
     assert 0 < len(model) <= 3 and all(len(d) <= langid.DICTIONARY for d in model.values())
@@ -492,13 +500,58 @@ def test_form_around_the_page_and_comments_larger_than_the_article():
     assert "talk" not in page.text(None) and "words" in page.text(None)
 
 
-@pytest.mark.parametrize("source", ["<div>" * 50_000 + "text", "<ul><li>" * 30_000 + "text", "<a \"" * 50_000 + "text", "<a x='" * 50_000, "<!--" * 100_000, "</b>" * 100_000 + "text", "<p>" * 100_000 + "text", "<b>" * 50_000 + "</i>" * 50_000 + "text", "<script>" * 50_000])
+@pytest.mark.parametrize("source", ["<div>" * 50_000 + "text", "<ul><li>" * 30_000 + "text", "<a \"" * 50_000 + "text", "<a x='" * 50_000, "<!--" * 100_000, "</b>" * 100_000 + "text", "<p>" * 100_000 + "text", "<b>" * 50_000 + "</i>" * 50_000 + "text", "<script>" * 50_000, "<ul><li><div>" + "<h2>" * 100_000 + "<li>" * 100_000 + "text", "<b><div>" + "<i>" * 100_000 + "</b>" * 100_000 + "text", "<table><tr><td>" + "<div><td>" * 60_000 + "text"])
 def test_odd_pages_take_linear_time(source):
     began = time.time()
     assert mainhtml.Page(source).text(None) in ("text", "")
     assert time.time() - began < 10
 
 
+def test_formulas_and_objects_stay_in_their_block():
+    text = lambda inner: mainhtml.Page(f"<body><div>{PROSE}<p>{inner}</p></div></body>").text(None).split("\n")[3:]
+    assert text("Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><annotation>E=mc^2</annotation></math> here") == ["Energy is E=mc2 here"]
+    assert text("see <object data=x><param name=y>the figure</object> and <noscript>its text</noscript><svg><text>no</text></svg> now<script>no()</script>!") == ["see the figure and its text now!"]
+    assert text("code: <xmp><b>&amp;</b></xmp> end") == ["code:", "<b>&amp;</b>", "end"]
+    assert text("<ruby>字<rp>(</rp><rt>ji</rt><rp>)</rp></ruby>") == ["字(ji)"]
+    deep = mainhtml.Page("<body><p><a href=x><b><i><u><s>link</s></u></i></b></a> text</p></body>")
+    assert deep.blocks == [(deep.blocks[0][0], "link text", 4)]
+
+
+def test_closing_is_that_of_a_walk_over_all_open_elements():
+    """Against the plain rules, which look at each open element for every tag."""
+    rng = random.Random(8)
+    names = ["p", "div", "b", "i", "a", "li", "ul", "td", "tr", "table", "h2", "span", "article", "dt", "dl"]
+
+    def plain(source):
+        stack, seen = [], []
+        for closing, tag in re.findall(r"<(/?)(\w+)>", source):
+            if closing:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k] == tag:
+                        del stack[k:]
+                        break
+                    if tag in mainhtml.INLINE and stack[k] not in mainhtml.INLINE:
+                        break
+                continue
+            if tag not in mainhtml.INLINE:
+                more, stops = mainhtml.SIBLINGS.get(tag, ("", ()))
+                closed, k = ("p", *more.split()), len(stack) - 1
+                while k >= 0:
+                    if stack[k] in closed:
+                        del stack[k:]
+                    elif stack[k] in stops or stack[k] in mainhtml.CONTAINERS:
+                        break
+                    k -= 1
+            stack.append(tag)
+            seen.append("/" + "/".join(stack))
+        return seen
+
+    for _ in range(1500):
+        source = "".join(f"<{rng.choice(['', '', '/'])}{rng.choice(names)}>" for _ in range(rng.randint(1, 30)))
+        page = mainhtml.Page(source)
+        assert [page.path(k) for k in range(1, len(page.keys))] == plain(source), source
+
+
 def test_votes_are_counted(spark):
     page = lambda kind: f'<body><div class="{kind}">{PROSE}</div></body>'
     rows = [(k, "http://h/", page("a")) for k in range(3)] + [(k, "http://h/", page("b")) for k in range(2)] + [(9, "http://i/", page("b"))]

@@ -17,10 +17,10 @@ table gives no rows; docs may have columns of any names, and keep_identified() g
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,8 @@ SAMPLE_DOCS, SAMPLE_ROWS, DICTIONARY, DICTIONARIES = 48, 24_576, 65_536, 16 << 2
 #: Bytes of a block, zstandard's level, the relative margin under which a choice is rejected, and that of score 1.
 BLOCK, LEVEL, MARGIN, CERTAIN = 16_384, 6, 0.004, 0.1
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Marks belong to the letters that they stand on.
+_NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str) -> bytes:

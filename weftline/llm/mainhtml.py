@@ -6,7 +6,8 @@ candidate. The page votes for the candidate's generalised path: the tags and cla
 are summed per host and path in Spark, and each host's path with most votes wins. Second pass: each page's text is taken
 from all its elements with the host's winning path, or from its own candidate where it has none.
 
-Text is kept whole: character references are decoded, white space inside a block becomes one space, blocks are trimmed
+Formulas, objects and what stands for scripts are parts of the text around them; scripts, styles and drawings inside a
+block don't part it. Text is kept whole: character references are decoded, white space inside a block becomes one space, blocks are trimmed
 and joined by line feeds in page order. Left out inside the element are menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments, by tag or by a mark. A mark is a whole class, id or role that is made of MARKS
 alone, and words of layout before or after them ("site-footer", "comment-list"; not "has-sidebar" or "related-work"). It
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import Counter
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,9 +41,11 @@ from weftline.llm.common import cut, free, table
 #: links above which an ancestor's own text is; bytes of winners that are broadcast at most; salts otherwise.
 MOST_OF, HALF, LINKS, BROADCAST, SALTS = 0.8, 0.5, 0.5, 8 << 20, 16
 
-RAW = frozenset("script style textarea noscript template iframe svg math object xmp".split())
+#: Elements whose inside is no text, up to their end tag; they don't part the text around them.
+RAW = frozenset("script style textarea template iframe svg annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var".split())
+MATHS = frozenset("math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd".split())
+INLINE = MATHS | frozenset("a abbr acronym audio b bdi bdo big canvas cite code data del dfn em font i ins kbd label map mark nobr noscript object output picture q rb rp rt ruby s samp slot small span strike strong sub sup time tt u var video".split())
 CONTAINERS = frozenset("body article main section div td center form fieldset details blockquote".split())
 #: Containers that a candidate may be widened to, and where that ends.
 WIDENED, WIDEST = frozenset("article main section div".split()), frozenset("article main".split())
@@ -137,7 +140,9 @@ class Page:
 
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("", 0)]  # (tag, element)
-        open_tags: Counter[str] = Counter()
+        # Where in the stack the open elements of each tag are, and those that aren't inline.
+        places: dict[str, list[int]] = {}
+        outer: list[int] = [0]
         text: list[str] = []
         link: list[str] = []
         at, end = 0, len(source)
@@ -151,16 +156,21 @@ class Page:
                 link.clear()
 
         def close(depth: int) -> None:
-            if any(t not in INLINE for t, _ in stack[depth:]):
+            if outer[-1] >= depth:
                 flush()
-            for t, _ in stack[depth:]:
-                open_tags[t] -= 1
-            del stack[depth:]
+            while len(stack) > depth:
+                places[stack.pop()[0]].pop()
+            while outer[-1] >= depth:
+                outer.pop()
+
+        def top(tag: str) -> int:
+            """The place of the innermost open element of a tag; 0 where there is none."""
+            return places[tag][-1] if places.get(tag) else 0
 
         def add(piece: str) -> None:
             if piece:
                 text.append(piece)
-                if any(t == "a" for t, _ in stack[-4:]):
+                if places.get("a"):
                     link.append(piece)
 
         for start, stop, tag, closing, attributes in tags(source):
@@ -171,13 +181,10 @@ class Page:
             if not tag:
                 continue
             if closing:
-                if open_tags[tag]:
-                    for depth in range(len(stack) - 1, 0, -1):
-                        if stack[depth][0] == tag:
-                            close(depth)
-                            break
-                        if tag in INLINE and stack[depth][0] not in INLINE:
-                            break
+                depth = top(tag)
+                # An inline element ends within its block.
+                if depth and (tag not in INLINE or depth > outer[-1]):
+                    close(depth)
                 continue
             if tag in VOID:
                 if tag == "hr":
@@ -185,23 +192,24 @@ class Page:
                 else:
                     add(" ")
                 continue
+            if tag in RAW or tag == "xmp":
+                found = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
+                if tag == "xmp":
+                    flush()
+                    add(entities.escape(source[at : found.start() if found else end]))
+                    flush()
+                at = source.find(">", found.start()) + 1 or end if found else end
+                continue
             if tag not in INLINE:
                 flush()
                 names, stops = SIBLINGS.get(tag, ("", ()))
                 closed = ("p", *names.split())
-                if any(open_tags[n] for n in closed):
-                    for depth in range(len(stack) - 1, 0, -1):
-                        have = stack[depth][0]
-                        if have in closed:
-                            close(depth)
-                            if not any(open_tags[n] for n in closed):
-                                break
-                        elif have in stops or have in CONTAINERS:
-                            break
-            if tag in RAW:
-                found = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
-                at = source.find(">", found.start()) + 1 or end if found else end
-                continue
+                if any(places.get(n) for n in closed):
+                    # Elements that this one ends, outwards to the first that holds it.
+                    wall = max(top(t) for t in (*stops, *CONTAINERS) if t not in closed)
+                    inside = [places[n][bisect_right(places[n], wall)] for n in closed if top(n) > wall]
+                    if inside:
+                        close(min(inside))
             label, what = tag, "tag" if tag in DROPPED else None
             if attributes:
                 named = {k.lower(): a or b or c or "" for k, a, b, c in _ATTRIBUTE.findall(attributes)}
@@ -217,8 +225,10 @@ class Page:
             self.labels.append(label)
             self.depths.append(self.depths[parent] + 1)
             self.marks.append(what)
+            places.setdefault(tag, []).append(len(stack))
+            if tag not in INLINE:
+                outer.append(len(stack))
             stack.append((tag, len(self.keys) - 1))
-            open_tags[tag] += 1
         add(source[at:])
         flush()
 
