@@ -198,8 +198,15 @@ def test_gradients_are_slopes(monkeypatch):
     made = {"chars": rng.standard_normal((4, toxicity.CHAR)), "words": rng.standard_normal((3, toxicity.WORD_VECTOR)), **toxicity.Reader.made("char", toxicity.CHAR, toxicity.CHAR_STATE, toxicity.LOOK, rng), **toxicity.Reader.made("word", toxicity.WORD_VECTOR + 2 * toxicity.CHAR_STATE, toxicity.STATE, toxicity.LOOK, rng), "out": rng.standard_normal(2 * toxicity.STATE), "bias": np.full(1, -2.0)}
     net = toxicity.Network(list("abc"), ["aa", "c"], {k: v.astype(np.float64) for k, v in made.items()})
 
+    def logit(words):
+        w, words = net.weights, words or [""]
+        chars, _ = net.over_chars.read(net.over_chars.projected(w["chars"]), *net.spelled(words))
+        inputs = np.concatenate([w["words"][[net.words.get(x, 0) for x in words]], chars], 1)
+        pooled, _ = net.over_words.read(net.over_words.projected(inputs), np.arange(len(words))[None], np.array([len(words) if words != [""] else 0]))
+        return float(pooled[0] @ w["out"] + w["bias"][0])
+
     def loss():
-        at_window = [np.array([net.logits([t[s : s + toxicity.WINDOW]], {}, [np.zeros((1, 6 * toxicity.STATE))])[0] for s in toxicity.windows_of(len(t))], float) for t in texts]
+        at_window = [np.array([logit(t[s : s + toxicity.WINDOW]) for s in toxicity.windows_of(len(t))]) for t in texts]
         none = np.array([np.log1p(-1 / (1 + np.exp(-z))).sum() for z in at_window])
         return np.where(toxic == 1, -np.log(-np.expm1(none)), -none).mean()
 
@@ -215,6 +222,20 @@ def test_gradients_are_slopes(monkeypatch):
         assert slope == pytest.approx(g.reshape(-1)[k], rel=0.05, abs=2e-4), name
 
 
+def test_scoring_reads_as_training_does():
+    rng = np.random.default_rng(5)
+    weights = {k: v.astype(np.float32) for k, v in toxicity.Reader.made("word", 9, 6, 5, rng).items()}
+    weights |= {k: rng.standard_normal(v.shape).astype(np.float32) for k, v in weights.items() if not v.any()}
+    reader, inputs = toxicity.Reader(weights, "word"), rng.standard_normal((40, 9)).astype(np.float32)
+    at, lengths = rng.integers(40, size=(90, 11)), rng.integers(0, 12, size=90)
+    slow, _ = reader.read(reader.projected(inputs), at, lengths)
+    assert np.abs(reader.pooled(reader.halved(inputs), at, lengths) - slow).max() < 1e-3
+    x = np.linspace(-9, 9, 10_001).astype(np.float32)
+    y = x.copy()
+    toxicity._tanh(y)
+    assert np.abs(y - np.tanh(x)).max() < 1e-4
+
+
 def test_windows_cover_all_words():
     for n in range(0, 200):
         starts = toxicity.windows_of(n)
@@ -245,7 +266,7 @@ def test_held_out_toxic_texts(spark, network):
 
 
 def test_one_toxic_window_of_a_long_text_decides(network):
-    plain, table = ["the", "of", "and", "onea"] * 4000, [np.zeros((1, 6 * toxicity.STATE), np.float32)]
+    plain, table = ["the", "of", "and", "onea"] * 4000, [np.zeros((6, 1, toxicity.STATE), np.float32)]
     memory: dict[str, int] = {}
     base, high = network.logits([plain, plain[:9000] + ["idiot", "moron", "trash", "scum", "loser"] + plain[9000:]], memory, table)
     assert high > base + 1

@@ -71,6 +71,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _tanh(x: np.ndarray) -> None:
+    """Makes x its hyperbolic tangent, by a fraction that is off by less than 0.0001; several times as fast as numpy's."""
+    np.clip(x, -4.97, 4.97, out=x)
+    square = x * x
+    below = square * 28
+    for k in (3150, 62370):
+        below += k
+        below *= square
+    below += 135135
+    above = square + 378
+    for k in (17325, 135135):
+        above *= square
+        above += k
+    x *= above
+    x /= below
+
+
 def _summed(rows: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """n rows: the sums of those rows that go to each."""
     out = np.zeros((n, rows.shape[1]), rows.dtype)
@@ -129,6 +146,58 @@ class Reader:
         pooled = (share[:, None, :] @ states)[:, 0]
         return pooled, trace | {"states": states, "looked": looked, "share": share, "pooled": pooled}
 
+    def halved(self, inputs: np.ndarray) -> np.ndarray:
+        """(6, inputs, state): projected() as pooled() takes it, by direction and gate. The two sigmoids are hyperbolic
+        tangents of half their arguments."""
+        made = np.concatenate([rows.reshape(len(inputs), 3, -1) for rows in self.projected(inputs).values()], 1).transpose(1, 0, 2).copy()
+        made[[0, 1, 3, 4]] *= np.float32(0.5)
+        return made
+
+    def pooled(self, halved: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """What read() pools, without what back() needs: longer sequences first, so that each step takes the rows that are
+        still going on as they stand."""
+        order = np.argsort(-lengths, kind="stable")
+        at, lengths = np.ascontiguousarray(at[order].T), lengths[order]
+        steps, n = at.shape
+        state = halved.shape[2]
+        going = np.searchsorted(-lengths, -np.arange(steps), "left")
+        states = np.zeros((steps, n, 2 * state), np.float32)
+        half = np.array([0.5, 0.5, 1], np.float32)
+        for side, way in enumerate("><"):
+            u = (self.w[f"{self.name}U{way}"].reshape(state, 3, state) * half[:, None]).transpose(1, 0, 2).copy()
+            c, rows = (self.w[f"{self.name}c{way}"].reshape(3, 1, state) * half[:, None, None]), halved[3 * side : 3 * side + 3]
+            h = np.zeros((n, state), np.float32)
+            for t in range(steps) if way == ">" else range(steps - 1, -1, -1):
+                m = going[t]
+                if not m:
+                    continue
+                now, x = h[:m], np.take(rows, at[t, :m], axis=1)
+                y = np.matmul(now, u)
+                y += c
+                gates, new = y[:2], y[2]
+                gates += x[:2]
+                _tanh(gates)
+                gates += 1
+                gates *= 0.5
+                new *= gates[0]
+                new += x[2]
+                _tanh(new)
+                now -= new
+                now *= gates[1]
+                now += new
+                states[t, :m, side * state : (side + 1) * state] = now
+        looked = states.reshape(-1, 2 * state) @ self.w[f"{self.name}A"]
+        looked += self.w[f"{self.name}a"]
+        _tanh(looked)
+        share = (looked @ self.w[f"{self.name}v"]).reshape(steps, n)
+        share[np.arange(steps)[:, None] >= np.maximum(lengths, 1)[None]] = -np.inf
+        share = np.exp(share - share.max(0))
+        share /= share.sum(0)
+        states *= share[:, :, None]
+        found = np.empty((n, 2 * state), np.float32)
+        found[order] = states.sum(0)
+        return found
+
     def back(self, grad: np.ndarray, kept: dict, at: np.ndarray, inputs: np.ndarray, grads: dict[str, np.ndarray]) -> np.ndarray:
         """Adds the gradients of the weights to grads and returns that of inputs; grad is that of the pooled states."""
         states, looked, share, name = kept["states"], kept["looked"], kept["share"], self.name
@@ -180,30 +249,29 @@ class Network:
         return at, lengths
 
     def vectors(self, words: list[str]) -> np.ndarray:
-        """What each word adds to the gates over words, both directions beside each other."""
+        """(6, words, state): what each word adds to the gates over words."""
         rows = []
-        of_chars = self.over_chars.projected(self.weights["chars"])
+        of_chars = self.over_chars.halved(self.weights["chars"])
         order = sorted(range(len(words)), key=lambda k: len(words[k]))
         for k in range(0, len(order), AT_ONCE):
             some = [words[i] for i in order[k : k + AT_ONCE]]
-            pooled, _ = self.over_chars.read(of_chars, *self.spelled(some))
+            pooled = self.over_chars.pooled(of_chars, *self.spelled(some))
             own = self.weights["words"][[self.words.get(w, 0) for w in some]]
-            rows.append(np.concatenate(list(self.over_words.projected(np.concatenate([own, pooled], 1)).values()), 1))
-        found = np.zeros((len(words), 6 * STATE), np.float32)
+            rows.append(self.over_words.halved(np.concatenate([own, pooled], 1)))
+        found = np.zeros((6, len(words), STATE), np.float32)
         if words:
-            found[order] = np.concatenate(rows)
+            found[:, order] = np.concatenate(rows, 1)
         return found
 
     def logits(self, texts: list[list[str]], memory: dict[str, int], table: list[np.ndarray]) -> np.ndarray:
         """The logit of each text's highest window. memory and table hold the words met so far and their vectors."""
         if len(memory) > REMEMBERED:
             memory.clear()
-            table[:] = [table[0][:1]]
+            table[:] = [table[0][:, :1]]
         new = [w for w in dict.fromkeys(w for t in texts for w in t) if w not in memory]
         for k, w in enumerate(new):
-            memory[w] = sum(map(len, table)) + k if not k else memory[new[0]] + k
-        table[:] = [np.concatenate([*table, self.vectors(new)])]
-        rows = {">": table[0][:, : 3 * STATE], "<": table[0][:, 3 * STATE :]}
+            memory[w] = table[0].shape[1] + k
+        table[:] = [np.concatenate([*table, self.vectors(new)], 1)]
         flat = np.zeros(sum(map(len, texts)) + WINDOW, np.int64)
         flat[: len(flat) - WINDOW] = [memory[w] for t in texts for w in t]
         starts, lengths, owner, base = [], [], [], 0
@@ -217,7 +285,7 @@ class Network:
         out = np.full(len(texts), -np.inf, np.float32)
         for k in range(0, len(starts), AT_ONCE):
             part = slice(k, k + AT_ONCE)
-            pooled, _ = self.over_words.read(rows, flat[starts[part, None] + np.arange(WINDOW)], lengths[part])
+            pooled = self.over_words.pooled(table[0], flat[starts[part, None] + np.arange(WINDOW)], lengths[part])
             np.maximum.at(out, owner[part], pooled @ self.weights["out"] + self.weights["bias"][0])
         return out
 
@@ -267,7 +335,7 @@ def learn(texts: list[str], toxic: list[int], seed: int = 7, steps: int = STEPS)
 
 def _calibrate(net: Network, texts: list[list[str]], toxic: np.ndarray) -> None:
     """Stretches and shifts the logits so that the highest one of a text says how likely its label is 1."""
-    memory, table = {}, [np.zeros((1, 6 * STATE), np.float32)]
+    memory, table = {}, [np.zeros((6, 1, STATE), np.float32)]
     x = np.concatenate([net.logits(texts[k : k + 64], memory, table) for k in range(0, len(texts), 64)]).astype(np.float64)
     ones = toxic.sum()
     target = np.where(toxic == 1, (ones + 1) / (ones + 2), 1 / (len(toxic) - ones + 2))
@@ -351,7 +419,7 @@ def scored(docs: DataFrame, net: Network | None, text_col: str = "text", score_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Network(chars, words, weights)
         memory: dict[str, int] = {}
-        table = [np.zeros((1, 6 * STATE), np.float32)]
+        table = [np.zeros((6, 1, STATE), np.float32)]
 
         def score(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = _sigmoid(own.logits([words_of(t.as_py()) for t in batch.column("t")], memory, table).astype(np.float64))
