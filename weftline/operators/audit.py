@@ -21,11 +21,12 @@ def signals(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
     words = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", "low", F.array_distinct(F.regexp_extract_all("low", F.lit(r"\p{L}+"), F.lit(0))).alias("words"))
     # As large as the pack, which is a parameter.
     table_of = F.broadcast(spark.createDataFrame([(p.locale, w, p.dimension, p.value, p.id) for p in plain for w in p.words], "lang string, word string, dimension string, value string, pattern string"))
-    found = words.select("doc_id", "source", "lang", F.explode("words").alias("word")).join(table_of, ["lang", "word"]).select("doc_id", "source", "lang", "dimension", "value", "pattern").distinct()
+    # Not explode(): Spark would filter by the words' number first, and so cut the text twice.
+    found = words.select("doc_id", "source", "lang", F.explode_outer("words").alias("word")).join(table_of, ["lang", "word"]).select("doc_id", "source", "lang", "dimension", "value", "pattern").distinct()
     if not others:
         return found
     tried = [F.when((F.col("lang") == p.locale) & F.arrays_overlap("words", F.array(*map(F.lit, p.words))), F.when(F.col("low").rlike(p.regex), F.struct(F.lit(p.dimension).alias("dimension"), F.lit(p.value).alias("value"), F.lit(p.id).alias("pattern")))) for p in others]
-    more = words.select("doc_id", "source", "lang", F.explode(F.array_compact(F.array(*tried))).alias("p")).select("doc_id", "source", "lang", "p.*")
+    more = words.select("doc_id", "source", "lang", F.explode_outer(F.array_compact(F.array(*tried))).alias("p")).where("p IS NOT NULL").select("doc_id", "source", "lang", "p.*")
     return found.union(more)
 
 
