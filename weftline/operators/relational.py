@@ -262,7 +262,8 @@ def best_lines(entries: DataFrame, lines: DataFrame, place: list[str]) -> DataFr
     """(entry_id, score, place): the line most like each entry (entry_id, title) of all lines (place, line); the first line
     of equals, in the order of place. All entries are compared with all lines, in blocks; what two keys' signs have in
     common bounds their similarity, and lines whose bound is below the best so far aren't compared."""
-    blocks = entries.withColumn("b", F.floor((F.row_number().over(Window.orderBy("entry_id")) - 1) / ENTRIES)).groupBy("b").agg(F.collect_list(F.struct("entry_id", "title")).alias("e"))
+    n = max(1, -(-entries.count() // ENTRIES))
+    blocks = entries.withColumn("b", F.pmod(F.xxhash64("entry_id", "title"), F.lit(n)).cast("int")).groupBy("b").agg(F.collect_list(F.struct("entry_id", "title")).alias("e"))
     own = lines.select(*place, udfs.compact(F.regexp_replace(udfs.heading_sql("line"), r"^\d{1,3}\s*[.)]\s*", "")).alias("key"))
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -286,7 +287,9 @@ def best_lines(entries: DataFrame, lines: DataFrame, place: list[str]) -> DataFr
                 yield pd.DataFrame(out, columns=["entry_id", "score", *place])
 
     kinds = ", ".join(f"{p} long" for p in place)
-    found = own.crossJoin(F.broadcast(blocks)).mapInPandas(best, f"entry_id long, score double, {kinds}")
+    # Each line meets each block; Spark broadcasts the blocks if they are small.
+    met = own.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(blocks, "b")
+    found = met.mapInPandas(best, f"entry_id long, score double, {kinds}")
     top = found.groupBy("entry_id").agg(F.max(F.struct("score", *[(-F.col(p)).alias(p) for p in place])).alias("t"))
     return top.select("entry_id", F.col("t.score").alias("score"), *[(-F.col(f"t.{p}")).alias(p) for p in place])
 

@@ -6,10 +6,10 @@ can't express (normal forms, sequence matching, marker protection) are in weftli
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from weftline.functions import text as udfs
+from weftline.operators.windows import BUCKET, numbered
 from weftline.plans.registry import query, sql_query, table
 
 #: Case-folded columns, in both dialects.
@@ -219,7 +219,8 @@ def title_similarity(spark, sf_dir):
     """Each document's first line against the first line of one item: all items take turns, by the documents' ids."""
     line = lambda c: F.substring_index(F.col(c), "\n", 1)
     items = table(spark, sf_dir, "benchmark").select("item_id", line("text").alias("other"))
-    turns = items.select("item_id", "other", (F.row_number().over(Window.orderBy("item_id")) - 1).alias("turn"))
+    placed = numbered(items.withColumn("all", F.lit(1)), "all", [F.floor(F.col("item_id") / BUCKET)], [F.asc("item_id")], "place")
+    turns = placed.select("item_id", "other", (F.col("place") - 1).alias("turn"))
     n = items.count()
     docs = table(spark, sf_dir, "documents").select("doc_id", F.pmod("doc_id", F.lit(max(n, 1))).cast("int").alias("turn"), line("text").alias("title"))
     return docs.join(turns, "turn").select("doc_id", "item_id", F.round(udfs.title_similarity("other", "title"), 6).alias("similarity"))
