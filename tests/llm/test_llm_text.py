@@ -7,7 +7,6 @@ import zlib
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from weftline import llm
 from weftline.llm import common, middles, periods, toxicity

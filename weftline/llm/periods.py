@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from weftline.llm.common import batched, beside, free, table
+from weftline.llm.common import batched, free, table
 
 #: A run has at least LEAST words and at least TIMES periods.
 LEAST, TIMES = 6, 4
