@@ -1,7 +1,6 @@
 """Keyed state on streams: several micro-batches, and a restart in between, give what one batch gives."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from weftline.streaming import ledger, state
 
