@@ -152,6 +152,16 @@ def excerpts(spark, sf_dir):
 _OPTIONS = r"o AS (SELECT DISTINCT facet, value FROM (SELECT lang AS facet, regexp_extract(text, '^\s*(\p{L}+)', 1) AS value FROM $documents UNION ALL SELECT lang, unnest(['łan', 'lan', 'lbn', 'maß', 'mass', 'mast', 'ça', 'cb', 'ezé', 'eze']) FROM $documents) t WHERE value <> '')"
 
 
+#: Letters at which lists are cut into buckets, of three scripts; any letters cut right, these cut evenly.
+LETTERS = "aąbcćdeęfghijklłmnńoópqrsśtuvwxyzźżαβγδεζηθικλμνξοπρστυφχψωабвгдежзийклмнопрстуфхцчшщыэюя"
+
+
+def letters_before(value: Column, locale: str) -> Column:
+    """How many of LETTERS don't come after the value in the order of a locale: compared in that order itself, so the number
+    rises with it for letters that stand for two (ß) too."""
+    return F.size(F.filter(F.array(*map(F.lit, LETTERS)), lambda x: F.collate(x, locale) <= F.collate(value, locale)))
+
+
 @query("A16_options_by_locale", f"WITH {_OPTIONS} SELECT facet, value, row_number() OVER (PARTITION BY facet ORDER BY value COLLATE pl, value) AS place FROM o")
 def options_by_locale(spark, sf_dir):
     """Distinct values of each facet in the order of a locale, where Polish ł follows l."""
@@ -159,8 +169,7 @@ def options_by_locale(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     first = docs.select(F.col("lang").alias("facet"), F.regexp_extract("text", r"^\s*(\p{L}+)", 1).alias("value"))
     options = first.union(docs.select("lang", F.explode(more))).where("value <> ''").distinct()
-    # Dealt by first letters, whatever their case and accents: these come after all letters in the order.
-    return numbered(options, "facet", [F.collate(F.substring("value", 1, 1), "pl_CI_AI")], [F.collate("value", "pl").asc(), F.asc("value")], "place")
+    return numbered(options, "facet", [letters_before(F.col("value"), "pl")], [F.collate("value", "pl").asc(), F.asc("value")], "place")
 
 
 @query("K6_folded_multi_key", "WITH d AS (SELECT doc_id, source, lower(regexp_extract(text, '^\\s*(\\p{L}+)', 1)) AS author, length(text) AS size FROM $documents) SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY author, size DESC, doc_id) AS place FROM d")
