@@ -73,7 +73,7 @@ _SCALARS: dict[str, tuple[str, str | None]] = {
         r"sha256(trim(source) || chr(10) || regexp_replace(text, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g') || chr(10)) AS content_hash, sha256(to_json({'id': doc_id, 'lang': lang})::VARCHAR) AS object_hash, sha256(source || chr(0) || lang || chr(0) || sha256(text)) AS tree_hash",
     ),
     "T23_alphabetic_index": (
-        "CASE WHEN doc_id < 26 THEN chr(65 + doc_id) WHEN doc_id < 702 THEN concat(chr(64 + doc_id div 26), chr(65 + doc_id % 26)) ELSE concat(chr(64 + (doc_id - 26) div 676), chr(65 + ((doc_id - 26) div 26) % 26), chr(65 + doc_id % 26)) END AS letters",
+        "CASE WHEN doc_id < 26 THEN chr(65 + doc_id) WHEN doc_id < 702 THEN concat(chr(64 + doc_id div 26), chr(65 + doc_id % 26)) ELSE concat(decode(unhex(lpad(hex(64 + (doc_id - 26) div 676), 8, '0')), 'UTF-32'), chr(65 + ((doc_id - 26) div 26) % 26), chr(65 + doc_id % 26)) END AS letters",
         "CASE WHEN doc_id < 26 THEN chr((65 + doc_id)::INT) WHEN doc_id < 702 THEN chr((64 + doc_id // 26)::INT) || chr((65 + doc_id % 26)::INT) ELSE chr((64 + (doc_id - 26) // 676)::INT) || chr((65 + ((doc_id - 26) // 26) % 26)::INT) || chr((65 + doc_id % 26)::INT) END AS letters",
     ),
     "T25_numeric_multiset": (
