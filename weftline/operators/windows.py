@@ -72,7 +72,14 @@ def sequence_numbers(spark, sf_dir):
 
 sql_query("W7_carry_forward", "SELECT conv_id, turn, last(CASE WHEN turn % 3 = 0 THEN turn END, true) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS page FROM $conversations", "SELECT conv_id, turn, last_value(CASE WHEN turn % 3 = 0 THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS page FROM $conversations")
 sql_query("W8_next_start_boundary", "SELECT conv_id, turn AS first, coalesce(lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) - 1, turn) AS last FROM $conversations WHERE role = 'user'")
-sql_query("W10_running_budget", "SELECT event_id, user_id, round(spent, 4) AS spent FROM (SELECT event_id, user_id, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS spent FROM $events) WHERE spent <= 2000", "SELECT event_id, user_id, round(spent, 4) AS spent FROM (SELECT event_id, user_id, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS spent FROM $events) t WHERE spent <= 2000")
+# Doubles would miss a budget that is spent to the last cent; decimals add the values as they are written. What decimals
+# don't hold stays a sum of doubles.
+sql_query(
+    "W10_running_budget",
+    """WITH s AS (SELECT event_id, user_id, sum(value) OVER w AS rough, cast(try_sum(try_cast(value AS DECIMAL(38, 18))) OVER w AS DOUBLE) AS exact FROM $events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+    c AS (SELECT event_id, user_id, CASE WHEN abs(rough) < 1e15D AND exact IS NOT NULL THEN exact ELSE rough END AS spent FROM s) SELECT event_id, user_id, round(spent, 4) AS spent FROM c WHERE spent <= 2000""",
+    "SELECT event_id, user_id, round(spent, 4) AS spent FROM (SELECT event_id, user_id, sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS spent FROM $events) t WHERE spent <= 2000",
+)
 sql_query("W11_latest_batch", "WITH l AS (SELECT user_id, max_by(event_id, struct(ts, event_id)) AS latest FROM $events GROUP BY user_id) SELECT e.event_id, e.user_id, e.event_id <=> l.latest AS is_latest FROM $events e JOIN l ON l.user_id = e.user_id", "WITH l AS (SELECT user_id, event_id AS latest FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM $events) t WHERE r = 1) SELECT e.event_id, e.user_id, e.event_id IS NOT DISTINCT FROM l.latest AS is_latest FROM $events e JOIN l ON l.user_id = e.user_id")
 
 
