@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.packs import FACETS, NUMERIC, SCALES, Pattern
+from weftline.operators.packs import FACETS, NUMERIC, SCALES, Pattern, phrases
 from weftline.operators.windows import first_of
 from weftline.plans.registry import query, sql_query, table
 
@@ -13,16 +13,23 @@ from weftline.plans.registry import query, sql_query, table
 def signals(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
     """(doc_id, source, lang, dimension, value, pattern): the patterns of each document's own locale that its text shows.
 
-    A text is cut into its distinct words once, and they meet the packs' words; the few patterns with a regex try it only
-    on texts that have one of their words.
+    A text is cut into its distinct words once, and into pairs and endings if the packs ask for them; they meet the packs'
+    words and keys. The few patterns with a regex and no keys try it only on texts that have one of their words.
     """
     spark = docs.sparkSession
-    plain, others = [p for p in patterns if p.regex is None], [p for p in patterns if p.regex is not None]
+    plain, others = [p for p in patterns if p.regex is None or p.keys], [p for p in patterns if p.regex is not None and not p.keys]
     words = docs.select("doc_id", "source", "lang", F.lower("text").alias("low")).select("doc_id", "source", "lang", "low", F.array_distinct(F.regexp_extract_all("low", F.lit(r"\p{L}+"), F.lit(0))).alias("words"))
+    shown = "words"
+    if any(p.keys for p in plain):
+        # Whatever isn't a letter or a space parts words.
+        side = words.withColumn("run", F.split(F.regexp_replace("low", r"[^\p{L} ]+", " | "), " +"))
+        pairs = F.zip_with(F.slice("run", 1, F.greatest(F.size("run") - 1, F.lit(0))), F.slice("run", 2, F.greatest(F.size("run") - 1, F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+        endings = F.transform(F.array_distinct(F.regexp_extract_all("low", F.lit(r"(\p{L}++)[,.] "), F.lit(1))), lambda w: F.concat(w, F.lit(".")))
+        words, shown = side.select("doc_id", "source", "lang", "low", "words", F.concat("words", F.array_distinct(pairs), endings).alias("shown")), "shown"
     # As large as the pack, which is a parameter.
-    table_of = F.broadcast(spark.createDataFrame([(p.locale, w, p.dimension, p.value, p.id) for p in plain for w in p.words], "lang string, word string, dimension string, value string, pattern string"))
+    table_of = F.broadcast(spark.createDataFrame([(p.locale, w, p.dimension, p.value, p.id) for p in plain for w in p.keys or p.words], "lang string, word string, dimension string, value string, pattern string").distinct())
     # Not explode(): Spark would filter by the words' number first, and so cut the text twice.
-    found = words.select("doc_id", "source", "lang", F.explode_outer("words").alias("word")).join(table_of, ["lang", "word"]).select("doc_id", "source", "lang", "dimension", "value", "pattern").distinct()
+    found = words.select("doc_id", "source", "lang", F.explode_outer(shown).alias("word")).join(table_of, ["lang", "word"]).select("doc_id", "source", "lang", "dimension", "value", "pattern").distinct()
     if not others:
         return found
     tried = [F.when((F.col("lang") == p.locale) & F.arrays_overlap("words", F.array(*map(F.lit, p.words))), F.when(F.col("low").rlike(p.regex), F.struct(F.lit(p.dimension).alias("dimension"), F.lit(p.value).alias("value"), F.lit(p.id).alias("pattern")))) for p in others]
@@ -38,7 +45,9 @@ def _twin(patterns: list[Pattern]) -> str:
     return f"WITH v(dimension, value) AS (VALUES {values}), l AS (SELECT doc_id, source, lang, lower(text) AS low FROM $documents), u AS (SELECT doc_id, source, lang, unnest([{hits}]) AS x FROM l), g AS MATERIALIZED (SELECT doc_id, source, lang, x.dimension AS dimension, x.value AS value, x.pattern AS pattern FROM u WHERE x IS NOT NULL), h AS (SELECT DISTINCT doc_id, source, lang, dimension, value FROM g), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE lang NOT IN ({locales})) AS u FROM $documents)"
 
 
-_FACETS, _SCALES = _twin(FACETS), _twin([*SCALES, *NUMERIC])
+#: Words and phrases; the balance of dimensions goes by words alone, which decide what a text shows.
+FACET_PATTERNS, SCALE_PATTERNS = [*FACETS, *phrases(FACETS)], [*SCALES, *phrases(SCALES)]
+_FACETS, _ALL_FACETS, _SCALES = _twin(FACETS), _twin(FACET_PATTERNS), _twin([*SCALE_PATTERNS, *NUMERIC])
 
 
 def covered(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
@@ -54,9 +63,9 @@ def covered(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
 _COVERED = "SELECT v.dimension, v.value, count(h.doc_id) AS hits, count(DISTINCT h.source) AS sources, round(count(h.doc_id) / any_value(n.n)::DOUBLE, 6) AS share, any_value(n.u) AS unpatterned FROM v CROSS JOIN n LEFT JOIN h ON h.dimension = v.dimension AND h.value = v.value GROUP BY v.dimension, v.value"
 
 
-@query("C1_facet_coverage", f"{_FACETS} {_COVERED}")
+@query("C1_facet_coverage", f"{_ALL_FACETS} {_COVERED}")
 def coverage(spark, sf_dir):
-    return covered(table(spark, sf_dir, "documents"), FACETS)
+    return covered(table(spark, sf_dir, "documents"), FACET_PATTERNS)
 
 
 @query(
@@ -81,20 +90,20 @@ def balance(spark, sf_dir):
     return whole.select("dimension", F.round(F.coalesce(entropy, F.lit(0.0)), 6).alias("entropy"), F.round(F.coalesce(F.col("most") / F.col("t"), F.lit(0.0)), 6).alias("dominance"), "any_signal", "multi_value", (F.col("all") - F.col("any_signal")).alias("no_signal"))
 
 
-@query("C1_pattern_counts", f"{_FACETS} SELECT dimension, value, pattern, lang, source, count(*) AS docs FROM g GROUP BY dimension, value, pattern, lang, source")
+@query("C1_pattern_counts", f"{_ALL_FACETS} SELECT dimension, value, pattern, lang, source, count(*) AS docs FROM g GROUP BY dimension, value, pattern, lang, source")
 def pattern_counts(spark, sf_dir):
     """Documents by pattern, language and source."""
-    return signals(table(spark, sf_dir, "documents"), FACETS).groupBy("dimension", "value", "pattern", "lang", "source").agg(F.count(F.lit(1)).alias("docs"))
+    return signals(table(spark, sf_dir, "documents"), FACET_PATTERNS).groupBy("dimension", "value", "pattern", "lang", "source").agg(F.count(F.lit(1)).alias("docs"))
 
 
 _SAMPLED = "SELECT dimension, value, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value ORDER BY sha256(dimension || ':' || value || chr(0) || doc_id), doc_id) AS r FROM {0}) t WHERE r <= {1}"
 
 
-@query("C1_pattern_samples", f"{_FACETS}, d AS (SELECT DISTINCT dimension FROM v), z AS (SELECT d.dimension, '(none)' AS value, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('h', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
+@query("C1_pattern_samples", f"{_ALL_FACETS}, d AS (SELECT DISTINCT dimension FROM v), z AS (SELECT d.dimension, '(none)' AS value, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('h', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
 def pattern_samples(spark, sf_dir):
     """Documents to look at, drawn by hash: three of each value, and six of each dimension that have none of its values."""
     docs = table(spark, sf_dir, "documents")
-    hits = signals(docs, FACETS).select("doc_id", "dimension", "value").distinct()
+    hits = signals(docs, FACET_PATTERNS).select("doc_id", "dimension", "value").distinct()
     dimensions = sorted({p[0] for p in FACETS})
     none = docs.join(hits.groupBy("doc_id").agg(F.collect_set("dimension").alias("have")), "doc_id", "left").select("doc_id", F.explode(F.array_except(F.array(*map(F.lit, dimensions)), F.coalesce("have", F.array().cast("array<string>")))).alias("dimension"))
     drawn = lambda rows, most: first_of(rows.withColumn("drawn", F.sha2(F.concat("dimension", F.lit(":"), "value", F.lit("\0"), F.col("doc_id").cast("string")), 256)), ["dimension", "value"], [F.asc("drawn"), F.asc("doc_id")], most, "r").select("dimension", "value", "doc_id")
@@ -108,9 +117,9 @@ def pattern_samples(spark, sf_dir):
 def scales(spark, sf_dir):
     """Coverage of the eight scales and of counts of those who take part, and documents with one, several or no scales."""
     docs = table(spark, sf_dir, "documents")
-    by_doc = signals(docs, SCALES).groupBy("doc_id").agg(F.count_distinct("value").alias("v")).agg(F.count(F.lit(1)).alias("any_signal"), F.count_if(F.col("v") > 1).alias("multiple_signals"))
+    by_doc = signals(docs, SCALE_PATTERNS).groupBy("doc_id").agg(F.count_distinct("value").alias("v")).agg(F.count(F.lit(1)).alias("any_signal"), F.count_if(F.col("v") > 1).alias("multiple_signals"))
     totals = by_doc.crossJoin(docs.agg(F.count(F.lit(1)).alias("n")))
-    return covered(docs, [*SCALES, *NUMERIC]).crossJoin(F.broadcast(totals)).withColumn("no_signal", F.col("n") - F.col("any_signal")).drop("n")
+    return covered(docs, [*SCALE_PATTERNS, *NUMERIC]).crossJoin(F.broadcast(totals)).withColumn("no_signal", F.col("n") - F.col("any_signal")).drop("n")
 
 
 _RULES = "WITH section(source, category) AS (VALUES ('src1', 'a'), ('src1', 'b'), ('src4', 'c')), legacy(trait, category) AS (VALUES ('en', 'b'), ('de', 'd'))"

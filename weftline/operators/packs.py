@@ -14,7 +14,8 @@ import regex
 
 class Pattern(NamedTuple):
     """A text of the locale that has one of the words, as a word of its own in small letters, shows the value; with a regex
-    only if that matches too."""
+    only if that matches too. Keys say the same as a regex: two words with a space, which stand side by side, or a word with
+    a point, which stands before a comma or full stop and a space."""
 
     dimension: str
     value: str
@@ -22,6 +23,7 @@ class Pattern(NamedTuple):
     id: str
     words: tuple[str, ...]
     regex: str | None = None
+    keys: tuple[str, ...] = ()
 
 
 def checked(patterns: list[Pattern]) -> list[Pattern]:
@@ -70,3 +72,19 @@ SCALES = pack({"scale": {
 _COUNTED = {"en": ("people players men participants", "two three four five six seven eight nine ten several"), "de": ("leute spieler personen teilnehmer", "zwei drei vier fünf sechs sieben acht neun zehn mehrere"), "es": ("personas jugadores participantes", "dos tres cuatro cinco seis siete ocho nueve diez varios")}
 #: Numbers of those who take part: digits, or words, before a word for them.
 NUMERIC = checked([Pattern("numeric", kind, locale, f"{locale}-numeric-{kind}", tuple(nouns.split()), rf"(?:^|[^\p{{L}}\p{{N}}]){number} +(?:{'|'.join(nouns.split())})(?:[^\p{{L}}]|$)") for locale, (nouns, words) in _COUNTED.items() for kind, number in (("digits", "[1-9][0-9]*"), ("words", f"(?:{'|'.join(words.split())})"))])
+
+#: Function words of each locale, as they stand beside other words.
+_BESIDE = {"en": "the and of to in that it for was on", "de": "der die und das ein von mit ist den zu", "es": "de la que el en los se por con una"}
+
+
+def phrases(patterns: list[Pattern]) -> list[Pattern]:
+    """Two more patterns for each: one of its words right before or after a function word, and one of its words before a
+    comma or full stop. They mean the same value, and tell where in a clause it is shown."""
+    made = []
+    for p in patterns:
+        own, near = "|".join(p.words), _BESIDE[p.locale].split()
+        beside = "|".join(near)
+        pairs = tuple(k for w in p.words for n in near for k in (f"{w} {n}", f"{n} {w}"))
+        made.append(Pattern(p.dimension, p.value, p.locale, f"{p.id}-pair", p.words, rf"(?:^|[^\p{{L}}])(?:(?:{own}) +(?:{beside})|(?:{beside}) +(?:{own}))(?:[^\p{{L}}]|$)", pairs))
+        made.append(Pattern(p.dimension, p.value, p.locale, f"{p.id}-ending", p.words, rf"(?:^|[^\p{{L}}])(?:{own})[,.] ", tuple(f"{w}." for w in p.words)))
+    return checked(made)
