@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.vectors import _LAYOUTS, _far, block_pairs, neighbours, unit_rows
+from weftline.operators.vectors import _LAYOUTS, Rows, compared, neighbours, packed, plane_distances, unit_rows
 from weftline.plans.registry import query, table
 from weftline.streaming.ledger import shared_path
 
@@ -129,30 +129,37 @@ def manifold(spark, sf_dir):
 GRAIN, SHARES, FIRST, SPLIT = 1e-8, 1 << 14, 1 << 12, 64
 
 
-def _counts(pairs: DataFrame, edges: list[np.ndarray]) -> list[np.ndarray]:
+Halves = Callable[[Callable, str], DataFrame]
+
+
+def _counts(halves: Halves, edges: list[np.ndarray]) -> list[np.ndarray]:
     """How many pairs' distances lie from each edge to the next, for both distances."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
         sums = [np.zeros(len(e), np.int64) for e in edges]
-        for batch in batches:
-            for r in batch.itertuples():
-                for s, e, d in zip(sums, edges, _whole(r), strict=True):
-                    s += np.bincount(np.searchsorted(e, d, "right") - 1, minlength=len(e))
+        for whole in _whole(lefts, rights):
+            for s, e, d in zip(sums, edges, whole, strict=True):
+                s += np.bincount(np.searchsorted(e, d, "right") - 1, minlength=len(e))
         for axis, s in enumerate(sums):
             at = np.flatnonzero(s)
             yield pd.DataFrame({"axis": axis, "at": at, "n": s[at]})
 
     out = [np.zeros(len(e), np.int64) for e in edges]
-    for r in pairs.mapInPandas(run, "axis int, at int, n long").groupBy("axis", "at").agg(F.sum("n").alias("n")).collect():
+    for r in halves(run, "axis int, at int, n long").groupBy("axis", "at").agg(F.sum("n").alias("n")).collect():
         out[r["axis"]][r["at"]] = r["n"]
     return out
 
 
-def _whole(r) -> tuple[np.ndarray, np.ndarray]:
-    """Both distances of each unordered pair that a pair of blocks holds, in whole grains."""
-    ids, others, d1, d2 = _far(r.a, r.b)
-    keep = ids[:, None] < others[None, :]
-    return np.rint(d1[keep] / GRAIN).astype(np.int64), np.rint(d2[keep] / GRAIN).astype(np.int64)
+def _whole(lefts: list[Rows], rights: list[Rows]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Both distances of each unordered pair that two parts hold, in whole grains; a part with itself gives each pair once."""
+    own = {a.block for a in lefts} == {b.block for b in rights}
+    for a in lefts:
+        for b in rights:
+            if own and a.block > b.block:
+                continue
+            d1, d2 = np.round(1 - a.unit @ b.unit.T, 8), np.round(plane_distances(a, b), 8)
+            keep = a.ids[:, None] < b.ids[None, :] if a.block == b.block else slice(None)
+            yield np.rint(d1[keep].ravel() / GRAIN).astype(np.int64), np.rint(d2[keep].ravel() / GRAIN).astype(np.int64)
 
 
 def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
@@ -162,11 +169,17 @@ def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
     In a bucket of one distance, or of one pair, ranks are exact; in others they are spread by the distance, so that a rank is off
     by a small part of 1 / shares of all.
     """
-    pairs = block_pairs(rows).select("a", "b")
-    top = _extent(pairs)
+    blocks, size = packed(rows)
+    # Read once for each pass; cut, so that rows aren't packed again.
+    blocks = cut(blocks)
+
+    def halves(run: Callable, schema: str) -> DataFrame:
+        return compared(blocks, blocks, size, run, schema, half=True)
+
+    top = _extent(halves)
     edges = [np.unique(np.linspace(-1, t, FIRST).astype(np.int64)) for t in top]
     while True:
-        counts = _counts(pairs, edges)
+        counts = _counts(halves, edges)
         total = int(counts[0].sum())
         finer = []
         for e, n, t in zip(edges, counts, top, strict=True):
@@ -182,15 +195,14 @@ def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
     before = [np.cumsum(n) - n for n in counts]
     wide = [np.append(e[1:], t + 1) - e for e, t in zip(edges, top, strict=True)]
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sums(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
         held = np.zeros(6)
-        for batch in batches:
-            for r in batch.itertuples():
-                u, w = (_ranks(d, *x) / total - 0.5 for d, x in zip(_whole(r), zip(edges, counts, before, wide, strict=True), strict=True))
-                held += [len(u), u.sum(), w.sum(), (u * u).sum(), (w * w).sum(), (u * w).sum()]
+        for whole in _whole(lefts, rights):
+            u, w = (_ranks(d, *x) / total - 0.5 for d, x in zip(whole, zip(edges, counts, before, wide, strict=True), strict=True))
+            held += [len(u), u.sum(), w.sum(), (u * u).sum(), (w * w).sum(), (u * w).sum()]
         yield pd.DataFrame([held], columns=list("nabcde"))
 
-    n, a, b, c, d, e = pairs.mapInPandas(sums, ", ".join(f"{x} double" for x in "nabcde")).agg(*[F.sum(x) for x in "nabcde"]).first()
+    n, a, b, c, d, e = halves(sums, ", ".join(f"{x} double" for x in "nabcde")).agg(*[F.sum(x) for x in "nabcde"]).first()
     spread = ((c - a * a / n) * (d - b * b / n)) ** 0.5
     return rows.sparkSession.createDataFrame([(float((e - a * b / n) / spread) if spread > 0 else None,)], "spearman double")
 
@@ -201,15 +213,14 @@ def _ranks(d: np.ndarray, edges: np.ndarray, n: np.ndarray, before: np.ndarray,
     return before[at] + share * n[at] + 0.5
 
 
-def _extent(pairs: DataFrame) -> list[int]:
-    def most(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _extent(halves: Halves) -> list[int]:
+    def most(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
         top = [0, 0]
-        for batch in batches:
-            for r in batch.itertuples():
-                top = [max(t, int(d.max(initial=0))) for t, d in zip(top, _whole(r), strict=True)]
+        for whole in _whole(lefts, rights):
+            top = [max(t, int(d.max(initial=0))) for t, d in zip(top, whole, strict=True)]
         yield pd.DataFrame([top], columns=["one", "two"])
 
-    return list(pairs.mapInPandas(most, "one long, two long").agg(F.max("one"), F.max("two")).first())
+    return [t or 0 for t in halves(most, "one long, two long").agg(F.max("one"), F.max("two")).first()]
 
 
 @query("V14_distance_spearman", f"WITH {_LAYOUTS.format(on='<')}, r AS (SELECT rank() OVER (ORDER BY d1) + (count(*) OVER (PARTITION BY d1) - 1) / 2 AS r1, rank() OVER (ORDER BY d2) + (count(*) OVER (PARTITION BY d2) - 1) / 2 AS r2 FROM p) SELECT round(corr(r1, r2), 6) AS spearman FROM r")

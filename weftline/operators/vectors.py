@@ -1,14 +1,15 @@
 """Similarity, vector, cluster and geometry operators (V, with W1, W2, J12, J13).
 
-Dense comparisons run as blocks: rows are dealt to blocks of a bounded size, each pair of blocks is one matrix product in
-an Arrow batch, and only its best neighbours or its sums leave the task. Agglomeration and hulls are sequential by
+Dense comparisons run as blocks: rows are packed into blocks of a bounded size, blocks are dealt to a grid of parts, and a
+task compares all blocks of one part with all of another, one matrix product at a time. Only its best neighbours or its sums
+leave it. Each row goes to as many tasks as the grid has columns and rows, however many blocks there are. Agglomeration and hulls are sequential by
 nature and run per group; k-means and PCA are MLlib's.
 """
 
 from __future__ import annotations
 
 import warnings
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,23 +23,83 @@ from pyspark.sql import functions as F
 from weftline.functions.quantiles import exact_quantiles
 from weftline.plans.registry import query, sql_query, table
 
-BLOCK = 1024
+#: Rows of a block that is one side of a product; columns and rows of the grid, and rows of a part beyond which it gets more.
+BLOCK, GRID, HELD = 1024, 16, 1 << 16
 
 # ---- dense vectors
 
 
-def block_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows (i, j, a, b): each block of rows (structs of id, label, v) with each other one, one row per pair of blocks."""
-    n = max(1, -(-rows.count() // block))
-    dealt = rows.withColumn("i", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).groupBy("i").agg(F.collect_list(F.struct("id", "label", "v")).alias("rows"))
-    left = dealt.select("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"), F.col("rows").alias("a"))
-    right = dealt.select(F.col("i").alias("j"), F.col("rows").alias("b"))
-    return left.repartition("i", "j").join(right, "j")
+class Rows:
+    """A block: ids, labels (null: NaN) and vectors, in the order of ids."""
 
+    def __init__(self, r):
+        self.block = r.block
+        self.ids, self.labels = np.frombuffer(r.ids, np.int64), np.frombuffer(r.labels, np.float64)
+        self.v = np.frombuffer(r.v, np.float64).reshape(len(self.ids), -1)
+        self.unit = self.v / np.linalg.norm(self.v, axis=1, keepdims=True)
 
-def _block(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    v = np.array([r["v"] for r in rows], np.float64)
-    return np.array([r["id"] for r in rows]), np.array([r["label"] for r in rows]), v / np.linalg.norm(v, axis=1, keepdims=True)
+
+def packed(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, int]:
+    """One row for each block of rows (id, label, v), and the number of rows."""
+    n = rows.count()
+    dealt = rows.select(F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // block)))).cast("int").alias("block"), "id", F.col("label").cast("double").alias("label"), "v")
+
+    def pack(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("id")
+        parts = g["id"].to_numpy(np.int64), g["label"].to_numpy(np.float64), np.array(g["v"].tolist(), np.float64)
+        return pd.DataFrame([(g["block"].iloc[0], *(p.tobytes() for p in parts))], columns=["block", "ids", "labels", "v"])
+
+    return dealt.groupBy("block").applyInPandas(pack, "block int, ids binary, labels binary, v binary"), n
+
+
+def compared(left: DataFrame, right: DataFrame, n: int, run: Callable[[list, list], Iterator[pd.DataFrame]], schema: str, kind=Rows, half: bool = False) -> DataFrame:
+    """What run yields for each pair of parts: of the blocks of left (read by kind) and of right (Rows), where the larger side
+    has n rows. With half, for tables compared with themselves, only parts i <= j."""
+    grid = max(1, min(max(GRID, -(-n // HELD)), -(-n // BLOCK)))
+    part, every = F.pmod(F.hash("block"), F.lit(grid)), F.sequence(F.lit(0), F.lit(grid - 1))
+    a, b = left.select("*", part.alias("i")).select("*", F.explode(every).alias("j")), right.select(*[F.col(c).alias(c) for c in right.columns], part.alias("j")).select("*", F.explode(every).alias("i"))
+    if half:
+        a, b = a.where("i <= j"), b.where("i <= j")
+    cells = grid * (grid + 1) // 2 if half else grid * grid
+    # As many partitions as cells, which AQE then doesn't join: there is much to do for few bytes.
+    a, b = a.repartition(cells, "i", "j"), b.repartition(cells, "i", "j")
+
+    def each(one: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        found = list(run([kind(r) for r in one.itertuples()], [Rows(r) for r in other.itertuples()])) if len(one) and len(other) else []
+        return pd.concat(found, ignore_index=True) if found else pd.DataFrame(columns=[c.split()[0] for c in schema.split(", ")])
+
+    return a.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(each, schema)
+
+
+def self_compared(rows: DataFrame, run: Callable[[list, list], Iterator[pd.DataFrame]], schema: str, block: int = BLOCK, half: bool = False) -> DataFrame:
+    blocks, n = packed(rows, block)
+    return compared(blocks, blocks, n, run, schema, half=half)
+
+
+class Best:
+    """The k best (least value, then id) others of each row of a block, as candidates come by."""
+
+    def __init__(self, rows: int, k: int):
+        self.k, self.cut = k, np.full(rows, np.inf)
+        self.row, self.dst, self.value, self.more = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
+
+    def add(self, rough: np.ndarray, others: np.ndarray, exact: Callable, more: Callable) -> None:
+        """rough values within 1e-8 of the exact ones of each row with all others; what is infinite is left out."""
+        if np.isinf(self.cut).any() and rough.shape[1] > self.k:
+            self.cut = np.minimum(self.cut, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + 1e-8)
+        row, at = np.nonzero((rough <= self.cut[:, None] + 1e-8) & (rough < np.inf))
+        if not len(row):
+            return
+        row, dst = np.concatenate([self.row, row]), np.concatenate([self.dst, others[at]])
+        value, extra = np.concatenate([self.value, exact(row[len(self.row) :], at)]), np.concatenate([self.more, more(row[len(self.row) :], at)])
+        order = np.lexsort((dst, value, row))
+        row, dst, value, extra = row[order], dst[order], value[order], extra[order]
+        first = np.searchsorted(row, row, "left")
+        place = np.arange(len(row)) - first
+        last = place == self.k - 1
+        self.cut[row[last]] = np.minimum(self.cut[row[last]], value[last])
+        keep = place < self.k
+        self.row, self.dst, self.value, self.more = row[keep], dst[keep], value[keep], extra[keep]
 
 
 def unit_rows(rows: DataFrame, id_col: str = "vec_id", label_col: str = "label", vector_col: str = "embedding") -> DataFrame:
@@ -51,22 +112,17 @@ def unit_rows(rows: DataFrame, id_col: str = "vec_id", label_col: str = "label",
 def neighbours(rows: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """(src, dst, src_label, dst_label, sim, rank) of the exact k nearest by cosine, rounded to 8 digits; ties by id."""
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                ids, labels, x = _block(r.a)
-                others, other_labels, y = _block(r.b)
-                sim = np.round(x @ y.T, 8)
-                sim[ids[:, None] == others[None, :]] = -np.inf
-                # Ties by id: candidates in the order of ids, sorted stably.
-                order = np.argsort(others, kind="stable")
-                top = order[np.argsort(-sim[:, order], axis=1, kind="stable")[:, :k]]
-                take = np.take_along_axis(sim, top, 1)
-                row, column = np.nonzero(np.isfinite(take))
-                at = top[row, column]
-                yield pd.DataFrame({"src": ids[row], "dst": others[at], "src_label": labels[row], "dst_label": other_labels[at], "sim": take[row, column]})
-
-    local = block_pairs(rows, block).select("a", "b").mapInPandas(best, "src long, dst long, src_label long, dst_label long, sim double")
+    def best(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        for a in lefts:
+            held = Best(len(a.ids), k)
+            for b in rights:
+                sim = a.unit @ b.unit.T
+                if a.block == b.block:
+                    sim[a.ids[:, None] == b.ids[None, :]] = -np.inf
+                held.add(-sim, b.ids, lambda i, j, sim=sim: np.round(-sim[i, j], 8), lambda i, j, b=b: b.labels[j])
+            yield pd.DataFrame({"src": a.ids[held.row], "dst": held.dst, "src_label": a.labels[held.row], "dst_label": held.more, "sim": -held.value})
+
+    local = self_compared(rows, best, "src long, dst long, src_label long, dst_label long, sim double", block)
     ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy(F.desc("sim"), "dst")))
     return ranked.where(F.col("rank") <= k)
 
@@ -125,21 +181,20 @@ def mutual(spark, sf_dir):
 def pair_similarities(spark, sf_dir):
     """All unordered pairs, summed by the labels of their ends inside each block."""
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                ids, labels, x = _block(r.a)
-                others, other_labels, y = _block(r.b)
-                keep = ids[:, None] < others[None, :]
-                sim = np.where(keep, x @ y.T, 0.0)
-                ls, rs = np.unique(labels), np.unique(other_labels)
-                one = (labels[:, None] == ls).astype(float)
-                two = (other_labels[:, None] == rs).astype(float)
-                s, n = one.T @ sim @ two, one.T @ keep.astype(float) @ two
-                i, j = np.nonzero(n)
-                yield pd.DataFrame({"l": ls[i], "r": rs[j], "n": n[i, j].astype("int64"), "s": s[i, j]})
-
-    part = block_pairs(unit_rows(table(spark, sf_dir, "embeddings"))).select("a", "b").mapInPandas(sums, "l int, r int, n long, s double")
+    def sums(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        ls, rs = (np.unique(np.concatenate([b.labels for b in side])) for side in (lefts, rights))
+        s, n = np.zeros((len(ls), len(rs))), np.zeros((len(ls), len(rs)))
+        for a in lefts:
+            one = (a.labels[:, None] == ls).astype(float)
+            for b in rights:
+                two = (b.labels[:, None] == rs).astype(float)
+                keep = (a.ids[:, None] < b.ids[None, :]).astype(float)
+                s += one.T @ (keep * (a.unit @ b.unit.T)) @ two
+                n += one.T @ keep @ two
+        i, j = np.nonzero(n)
+        yield pd.DataFrame({"l": ls[i], "r": rs[j], "n": n[i, j].astype("int64"), "s": s[i, j]})
+
+    part = self_compared(unit_rows(table(spark, sf_dir, "embeddings")), sums, "l int, r int, n long, s double")
     return part.groupBy("l", "r").agg(F.sum("n").alias("n"), F.round(F.sum("s") / F.sum("n"), 6).alias("mean_sim"))
 
 
@@ -246,22 +301,24 @@ _FAR = {"cosine": "1 - list_cosine_similarity(a.v, b.v)", "euclidean": "list_dis
 def silhouette(spark, sf_dir):
     """Silhouettes of the labels by cosine and Euclidean distance; blocks give each row's sum of distances to each label."""
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                ids, labels, x = _block(r.a)
-                others, other_labels, y = _block(r.b)
-                keep = (ids[:, None] != others[None, :]).astype(float)
-                ls = np.unique(other_labels)
-                one = (other_labels[:, None] == ls).astype(float)
-                u, w = (np.array([q["v"] for q in rows], np.float64) for rows in (r.a, r.b))
-                square = (u**2).sum(1)[:, None] - 2 * u @ w.T + (w**2).sum(1)[None]
-                n = keep @ one
-                i, j = np.nonzero(n)
-                for metric, far in (("cosine", 1 - x @ y.T), ("euclidean", np.sqrt(np.maximum(square, 0)))):
-                    yield pd.DataFrame({"metric": metric, "id": ids[i], "label": labels[i], "other": ls[j], "s": ((far * keep) @ one)[i, j], "n": n[i, j]})
-
-    part = block_pairs(unit_rows(table(spark, sf_dir, "embeddings"))).select("a", "b").mapInPandas(sums, "metric string, id long, label int, other int, s double, n double")
+    def sums(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        ls = np.unique(np.concatenate([b.labels for b in rights]))
+        for a in lefts:
+            total = {"cosine": np.zeros((len(a.ids), len(ls))), "euclidean": np.zeros((len(a.ids), len(ls)))}
+            n = np.zeros((len(a.ids), len(ls)))
+            for b in rights:
+                one = (b.labels[:, None] == ls).astype(float)
+                square = (a.v**2).sum(1)[:, None] - 2 * a.v @ b.v.T + (b.v**2).sum(1)[None]
+                far = {"cosine": 1 - a.unit @ b.unit.T, "euclidean": np.sqrt(np.maximum(square, 0))}
+                keep = (a.ids[:, None] != b.ids[None, :]).astype(float) if a.block == b.block else 1.0
+                for metric, d in far.items():
+                    total[metric] += (d * keep) @ one
+                n += keep @ one if a.block == b.block else one.sum(0)
+            i, j = np.nonzero(n)
+            for metric, s in total.items():
+                yield pd.DataFrame({"metric": metric, "id": a.ids[i], "label": a.labels[i], "other": ls[j], "s": s[i, j], "n": n[i, j]})
+
+    part = self_compared(unit_rows(table(spark, sf_dir, "embeddings")), sums, "metric string, id long, label int, other int, s double, n double")
     mean = part.groupBy("metric", "id", "label", "other").agg((F.sum("s") / F.sum("n")).alias("d"))
     ab = mean.groupBy("metric", "id", "label").agg(F.max(F.when(F.col("other") == F.col("label"), F.col("d"))).alias("a"), F.min(F.when(F.col("other") != F.col("label"), F.col("d"))).alias("b"))
     return ab.groupBy("metric", "label").agg(F.round(F.avg((F.col("b") - F.col("a")) / F.greatest("a", "b")), 6).alias("silhouette"))
@@ -303,59 +360,74 @@ _E = f"e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v, {PLANE[0].format(v=
 _LAYOUTS = f"{_E}, p AS (SELECT a.vec_id AS src, b.vec_id AS dst, round(1 - list_cosine_similarity(a.v, b.v), 8) AS d1, round(sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2), 8) AS d2 FROM e a JOIN e b ON a.vec_id {{on}} b.vec_id)"
 
 
-def _far(a, b) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, other ids, distances in the whole space, distances in the plane) of two blocks."""
-    ids, _, x = _block(a)
-    others, _, y = _block(b)
-    u, w = (in_plane(np.array([r["v"] for r in rows], np.float64)) for rows in (a, b))
-    return ids, others, np.round(1 - x @ y.T, 8), np.round(np.sqrt(((u[:, None] - w[None]) ** 2).sum(2)), 8)
+def plane_distances(a: Rows, b: Rows) -> np.ndarray:
+    """Distances in the plane of all rows of two blocks, not rounded."""
+    p, q = in_plane(a.v), in_plane(b.v)
+    return np.sqrt((p[:, 0, None] - q[None, :, 0]) ** 2 + (p[:, 1, None] - q[None, :, 1]) ** 2)
 
 
 def plane_neighbours(rows: DataFrame, k: int) -> DataFrame:
     """(src, dst, d1, rank): the k nearest in the plane, ties by id, and how far they are in the whole space."""
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples():
-                ids, others, d1, d2 = _far(r.a, r.b)
-                d2[ids[:, None] == others[None, :]] = np.inf
-                order = np.argsort(others, kind="stable")
-                top = order[np.argsort(d2[:, order], axis=1, kind="stable")[:, :k]]
-                take = np.take_along_axis(d2, top, 1)
-                row, column = np.nonzero(np.isfinite(take))
-                at = top[row, column]
-                yield pd.DataFrame({"src": ids[row], "dst": others[at], "d1": d1[row, at], "d2": take[row, column]})
-
-    local = block_pairs(rows).select("a", "b").mapInPandas(best, "src long, dst long, d1 double, d2 double")
+    def best(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        for a in lefts:
+            held = Best(len(a.ids), k)
+            for b in rights:
+                d2 = plane_distances(a, b)
+                if a.block == b.block:
+                    d2[a.ids[:, None] == b.ids[None, :]] = np.inf
+                held.add(d2, b.ids, lambda i, j, d2=d2: np.round(d2[i, j], 8), lambda i, j, a=a, b=b: np.round(1 - (a.unit[i] * b.unit[j]).sum(1), 8))
+            yield pd.DataFrame({"src": a.ids[held.row], "dst": held.dst, "d1": held.more, "d2": held.value})
+
+    local = self_compared(rows, best, "src long, dst long, d1 double, d2 double")
     ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("src").orderBy("d2", "dst")))
     return ranked.where(F.col("rank") <= k).select("src", "dst", "d1", "rank")
 
 
+class Asked:
+    """A block of rows with the others whose ranks are asked."""
+
+    def __init__(self, r):
+        self.src, self.at, self.dst = (np.frombuffer(x, np.int64) for x in (r.src, r.at, r.dst))
+        self.own, self.u = np.frombuffer(r.own, np.float64), np.frombuffer(r.u, np.float64).reshape(len(self.src), -1)
+
+
 def ranks_of(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """(src, dst, sim, rank) of given pairs: the rank, of 1 to n - 1, of dst among all neighbours of src by similarity
     (rounded to 8 digits), ties by id. The pairs' sources are compared with all rows in blocks, which gives counts alone."""
     named = pairs.select("src", "dst").distinct()
     left = rows.select(F.col("id").alias("src"), F.col("v").alias("u"))
     right = rows.select(F.col("id").alias("dst"), F.col("v").alias("w"))
-    asked = named.join(left, "src").join(right, "dst")
-    n = max(1, -(-asked.count() // BLOCK))
-    asked = asked.withColumn("i", F.pmod(F.xxhash64("src", "dst"), F.lit(n)).cast("int")).groupBy("i").agg(F.collect_list(F.struct("src", "dst", "u", "w")).alias("a"))
-    m = max(1, -(-rows.count() // BLOCK))
-    all_rows = rows.withColumn("j", F.pmod(F.xxhash64("id"), F.lit(m)).cast("int")).groupBy("j").agg(F.collect_list(F.struct("id", "label", "v")).alias("b"))
-    met = asked.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).repartition("i", "j").join(all_rows, "j")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unit = lambda rows, k: (v := np.array([r[k] for r in rows], np.float64)) / np.linalg.norm(v, axis=1, keepdims=True)
-        for batch in batches:
-            for r in batch.itertuples():
-                src, dst = np.array([q["src"] for q in r.a]), np.array([q["dst"] for q in r.a])
-                u, w = unit(r.a, "u"), unit(r.a, "w")
-                others, _, y = _block(r.b)
-                own, sim = np.round((u * w).sum(1), 8), np.round(u @ y.T, 8)
-                ahead = (sim > own[:, None]) | (sim == own[:, None]) & (others[None] < dst[:, None])
-                yield pd.DataFrame({"src": src, "dst": dst, "sim": own, "n": (ahead & (others[None] != src[:, None]) & (others[None] != dst[:, None])).sum(1)})
-
-    counts = met.select("a", "b").mapInPandas(count, "src long, dst long, sim double, n long")
+    blocks, n = packed(rows)
+    # A row with what is asked of it, so that its similarities are computed once for all of that.
+    asked = named.join(right, "dst").groupBy("src").agg(F.collect_list(F.struct("dst", "w")).alias("of")).join(left, "src")
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("src"), F.lit(max(1, -(-n // BLOCK)))).cast("int"))
+
+    def pack(g: pd.DataFrame) -> pd.DataFrame:
+        unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+        u = unit(np.array(g["u"].tolist(), np.float64))
+        size = [len(of) for of in g["of"]]
+        at = np.repeat(np.arange(len(g)), size)
+        dst = np.array([q["dst"] for of in g["of"] for q in of], np.int64)
+        own = np.concatenate([np.round((unit(np.array([q["w"] for q in of], np.float64)) * x).sum(1), 8) for of, x in zip(g["of"], u, strict=True)])
+        parts = g["src"].to_numpy(np.int64), u, at.astype(np.int64), dst, own
+        return pd.DataFrame([(g["block"].iloc[0], *(p.tobytes() for p in parts))], columns=["block", "src", "u", "at", "dst", "own"])
+
+    asked = asked.groupBy("block").applyInPandas(pack, "block int, src binary, u binary, at binary, dst binary, own binary")
+
+    def count(lefts: list[Asked], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        for a in lefts:
+            ahead = np.zeros(len(a.dst), np.int64)
+            for b in rights:
+                sim = np.round(a.u @ b.unit.T, 8)
+                # A few rows at a time: each is compared with all that is asked of it.
+                for k in range(0, len(a.dst), BLOCK):
+                    part = slice(k, k + BLOCK)
+                    s, own, dst, src = sim[a.at[part]], a.own[part, None], a.dst[part, None], a.src[a.at[part], None]
+                    ahead[part] += (((s > own) | (s == own) & (b.ids[None] < dst)) & (b.ids[None] != src) & (b.ids[None] != dst)).sum(1)
+            yield pd.DataFrame({"src": a.src[a.at], "dst": a.dst, "sim": a.own, "n": ahead})
+
+    counts = compared(asked, blocks, n, count, "src long, dst long, sim double, n long", Asked)
     return counts.groupBy("src", "dst").agg(F.max("sim").alias("sim"), (F.sum("n") + 1).alias("rank"))
 
 
