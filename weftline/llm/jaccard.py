@@ -1,7 +1,8 @@
 """Near-duplicates by the Jaccard similarity of sets of word shingles.
 
 Two sets of m and n shingles are linked if they share at least the share LEAST of their union, that is at least
-LEAST / (1 + LEAST) of m + n. Candidates share a signature: BANDS signatures of a set are each made of ROWS of its minima
+LEAST / (1 + LEAST) of m + n. Pairs whose SimHash fingerprints are linked by anchors (simhash) are
+compared first and give the first labels. Four bits of 64 find few pairs at the least similarity, so other candidates share a signature: BANDS signatures of a set are each made of ROWS of its minima
 under different hashes. A pair at the least similarity of 0.8 shares none with a chance of (1 - 0.8 ** 5) ** 40, about one
 in eight million, and one of higher similarity with a lower one. All candidates are compared by their whole sets, so none
 is linked that isn't similar enough, up to collisions of 64-bit hashes of shingles and sets.
@@ -22,7 +23,7 @@ than a shingle make one shingle of them all; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -100,22 +101,30 @@ def signatures(found: np.ndarray) -> np.ndarray:
     return made
 
 
+def fingerprint(found: np.ndarray) -> int:
+    """The signed SimHash of a set: a bit is 1 if set in over half the hashes."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(found), 65_536):
+        ones += np.unpackbits(found[at : at + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(found), bitorder="little").view(np.int64)[0])
+
+
 def lists(made: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made).view(np.int64)))
 
 
 def signed(rows: DataFrame) -> DataFrame:
-    """(id, set, size, signatures) for each of rows (id, text)."""
+    """(id, set, size, fp, signatures) for each of rows (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 made = [shingles(t.as_py()) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([name(m) for m in made], pa.int64()), pa.array([len(m) for m in made], pa.int64()), lists([signatures(m) for m in made])], ["id", "set", "size", "signatures"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([name(m) for m in made], pa.int64()), pa.array([len(m) for m in made], pa.int64()), pa.array([fingerprint(m) for m in made], pa.int64()), lists([signatures(m) for m in made])], ["id", "set", "size", "fp", "signatures"])
 
-    return rows.mapInArrow(run, StructType([rows.schema["id"], StructField("set", LongType()), StructField("size", LongType()), StructField("signatures", ArrayType(LongType()))]))
+    return rows.mapInArrow(run, StructType([rows.schema["id"], StructField("set", LongType()), StructField("size", LongType()), StructField("fp", LongType()), StructField("signatures", ArrayType(LongType()))]))
 
 
 def members(sets: DataFrame) -> np.ndarray:
@@ -196,17 +205,29 @@ def labels(links: DataFrame) -> DataFrame:
     return one.join(two, "b").select(F.col("a").alias("set"), "c").withColumnRenamed("c", "root")
 
 
-def edges(met: DataFrame, rows: DataFrame) -> DataFrame:
-    """Edges (a, b) that connect the sets that links connect, from rows (signature, set, size) of the sets and the texts."""
+def anchored(distinct: DataFrame, fingerprint_edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b): pairs of sets (set, fp) whose fingerprints are equal or linked by anchors, that connect what these connect."""
+    heads = kept(distinct.groupBy("fp").agg(F.min("set").alias("head")))
+    near = fingerprint_edges(heads.select("fp"))
+    one, two = heads.select(F.col("fp").alias("a"), F.col("head").alias("set")), heads.select(F.col("fp").alias("b"), F.col("head").alias("set_b"))
+    equal = distinct.select("set", "fp").join(heads, "fp").select("set", F.col("head").alias("set_b"))
+    return kept(equal.union(near.join(one, "a").join(two, "b").select("set", "set_b")).where("set <> set_b").select(*pair()).distinct())
+
+
+def edges(met: DataFrame, rows: DataFrame, near_prints: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect the sets that links connect, from rows (signature, set, size) of the sets, the texts, and
+    pairs (a, b) that fingerprints find."""
     common = met.groupBy("signature").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("signature")
     live = kept(met.join(common, "signature"))
-    sets = kept(whole_sets(rows, live.select("set").distinct()))
+    named = near_prints.select(F.explode(F.array("a", "b")).alias("set"))
+    sets = kept(whole_sets(rows, live.select("set").union(named).distinct()))
+    close = measured(near_prints, sets).where("near").select("a", "b")
     counts = live.groupBy("set").agg(F.count(F.lit(1)).alias("n"))
     leaders = live.join(counts, "set").groupBy("signature").agg(F.max(F.struct("n", "set", "size")).alias("first"))
     first = leaders.select("signature", F.col("first.set").alias("set_b"))
     met = kept(live.join(first, "signature").select("signature", "set", "size", "set_b", *pair()))
     star = measured(met.where("a <> b").select("a", "b").distinct(), sets)
-    found = star.where("near").select("a", "b")
+    found = close.union(star.where("near").select("a", "b"))
     # How far each set is from its signature's leader.
     apart = met.join(star.select("a", "b", "far"), ["a", "b"], "left").select("signature", "set", "size", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")).alias("far"))
     rest = kept(apart.join(labels(found), "set", "left").select("signature", "set", "size", "far", F.coalesce("root", "set").alias("root")))
@@ -238,11 +259,11 @@ def edges(met: DataFrame, rows: DataFrame) -> DataFrame:
     return found
 
 
-def first_rows(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
-    """(first): the smallest id_col of each component of docs."""
+def first_rows(docs: DataFrame, id_col: str, fingerprint_edges: Callable[[DataFrame], DataFrame], text_col: str = "text") -> DataFrame:
+    """(first): the smallest id_col of each component of docs. fingerprint_edges links distinct fingerprints (column fp)."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    distinct = kept(signed(rows).groupBy("set").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("signatures").alias("signatures")))
+    distinct = kept(signed(rows).groupBy("set").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("signatures").alias("signatures")))
     met = distinct.select(F.explode("signatures").alias("signature"), "set", "size")
-    joined = components(edges(met, rows))
+    joined = components(edges(met, rows, anchored(distinct, fingerprint_edges)))
     named = distinct.join(joined, distinct["set"] == joined["node"], "left").select("least", F.coalesce("root", mixed(F.col("set"))).alias("root"))
     return named.groupBy("root").agg(F.min("least").alias("first")).select("first")

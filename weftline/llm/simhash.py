@@ -215,14 +215,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without near-duplicates, texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8: of
-    each component one row stays. Rows with an id are preferred, by id, then by hash of the text and of all columns; rows
+    """docs without near-duplicates, texts whose sets of five-word shingles have a Jaccard similarity of at least 0.8: links
+    of their fingerprints are checked by it, and what four bits don't find signatures do. Of each component one row stays. Rows with an id are preferred, by id, then by hash of the text and of all columns; rows
     that are equal in all these are equal."""
     text = F.col(f"`{text_col}`").cast("string")
     whole = F.xxhash64(*columns(docs), *[c.isNull() for c in columns(docs)])
     place = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").alias("id"), F.md5(F.coalesce(text, F.lit(""))).alias("text"), whole.alias("whole"))
     rows = beside(docs, place.alias("place"), text.alias("text"))
-    first = jaccard.first_rows(rows, "place").select(F.col("first.text").alias("t"), F.col("first.whole").alias("w")).distinct()
+    first = jaccard.first_rows(rows, "place", fingerprint_edges).select(F.col("first.text").alias("t"), F.col("first.whole").alias("w")).distinct()
     marked = rows.select("row", F.col("place.text").alias("text"), F.col("place.whole").alias("whole"))
     kept = marked.join(first, (marked["text"] == first["t"]) & (marked["whole"] == first["w"]), "left_semi")
     return kept.dropDuplicates(["text", "whole"]).select("row.*")
