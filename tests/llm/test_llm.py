@@ -959,3 +959,25 @@ def test_pipeline_writes_and_rereads_each_stage(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, stage) for n in "abc"])
     assert corpus_pipeline.run(spark, sf_dir).count() == 20
     assert len(read) == 3 and not read[0] & read[1] and not read[1] & read[2]
+
+
+def test_components_in_one_task_or_by_rounds_without_broadcasts(spark, monkeypatch):
+    """The driver's memory grew by each small table that was broadcast after its shuffle."""
+    import random
+
+    from weftline.llm import common
+
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)]
+    group = {k: k for e in edges for k in e}
+    for _ in range(400):
+        for a, b in edges:
+            group[a] = group[b] = min(group[a], group[b])
+    for few in (10_000, 0):
+        monkeypatch.setattr(common, "FEW", few)
+        found = common.components(spark.createDataFrame([(a, b) for a, b in edges], "a long, b long"))
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        roots = {r.node: r.root for r in found.collect()}
+        linked = {k for a, b in edges if a != b for k in (a, b)}
+        assert set(roots) == linked
+        assert len({(roots[k], group[k]) for k in linked}) == len({roots[k] for k in linked}) == len({group[k] for k in linked})

@@ -69,24 +69,46 @@ def mixed(x):
     return x
 
 
+#: Edges, each in both directions, that components() joins in one task at most.
+FEW = 10_000
+
+
+def merged(df: DataFrame) -> DataFrame:
+    """df for the right side of a join of tables that grow with the input and are shuffled in any case. Where one happens to
+    be small, Spark would broadcast it after its shuffle, and each broadcast costs the driver a thread and memory."""
+    return df.hint("merge")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the undirected edges (a, b); equal roots mean the same component.
 
     Each round hooks every node to the smallest neighbour of its smallest neighbour and contracts the edges, which keeps
     joins between narrow tables, never gathers a component in one task and ends after about log n rounds, as node order
-    is random.
+    is random. The last FEW edges are joined in one task: rounds of joins would cost more than they have to do.
     """
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        nodes, at = np.unique(np.concatenate([rows["a"].to_numpy(), rows["b"].to_numpy()]), return_inverse=True)
+        to = nodes[joined_labels(np.arange(len(nodes)), at[: len(rows)], at[len(rows) :])]
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(to)], ["from", "to"])
+
+    def moved(back: DataFrame, hooks: DataFrame) -> DataFrame:
+        return back.join(merged(hooks), back["root"] == hooks["from"], "left").select("node", F.coalesce("to", "root").alias("root"))
+
     edges = edges.where("a <> b").select(mixed(F.col("a")).alias("a"), mixed(F.col("b")).alias("b"), F.col("a").alias("x"), F.col("b").alias("y"))
     edges = cut(edges)
     live = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     back = edges.select(F.explode(F.array(F.struct(F.col("x").alias("node"), F.col("a").alias("root")), F.struct(F.col("y").alias("node"), F.col("b").alias("root")))).alias("e")).select("e.*").distinct()
-    while not live.isEmpty():
+    while n := live.count():
+        if n <= FEW:
+            return moved(back, live.repartition(1).mapInArrow(rest, "from long, to long"))
         one = live.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("b"))
         two = one.select(F.col("a").alias("b"), F.col("b").alias("to"))
-        hooks = cut(one.join(two, "b").select(F.col("a").alias("from"), "to"))
-        back = back.join(hooks, back["root"] == hooks["from"], "left").select("node", F.coalesce("to", "root").alias("root"))
-        left = live.join(hooks, live["a"] == hooks["from"]).select(F.col("to").alias("a"), "b")
-        both = left.join(hooks, left["b"] == hooks["from"]).select("a", F.col("to").alias("b"))
+        hooks = cut(one.join(merged(two), "b").select(F.col("a").alias("from"), "to"))
+        back = moved(back, hooks)
+        left = live.join(merged(hooks), live["a"] == hooks["from"]).select(F.col("to").alias("a"), "b")
+        both = left.join(merged(hooks), left["b"] == hooks["from"]).select("a", F.col("to").alias("b"))
         live = cut(both.where("a <> b").distinct())
     return back
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from weftline.llm.common import components, gone, kept, mixed
+from weftline.llm.common import components, gone, kept, merged, mixed
 
 SHINGLE, SEED = 5, 42
 #: The least similarity, as a fraction.
@@ -157,7 +157,7 @@ def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(list(fine), pa.int64()), lists(list(fine.values())), lists([sketch(m) for m in fine.values()])], ["set", "shingles", "bits"])
 
     made = rows.select("text").mapInArrow(run, "set long, shingles array<long>, bits array<long>")
-    return made.join(wanted, "set", "left_semi").dropDuplicates(["set"])
+    return made.join(merged(wanted), "set", "left_semi").dropDuplicates(["set"])
 
 
 def enough(shared: Column, m: Column, n: Column) -> Column:
@@ -170,7 +170,7 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     they are linked."""
     a = sets.select(F.col("set").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("set").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size("sa").alias("m"), F.size("sb").alias("n"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
+    both = pairs.join(merged(a), "a").join(merged(b), "b").select("a", "b", F.size("sa").alias("m"), F.size("sb").alias("n"), F.size(F.array_intersect("sa", "sb")).alias("shared"))
     return kept(both.select("a", "b", (1 - F.col("shared") / (F.col("m") + F.col("n") - F.col("shared"))).alias("far"), enough(F.col("shared"), F.col("m"), F.col("n")).alias("near")))
 
 
@@ -202,7 +202,7 @@ def labels(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
     one = both.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("b"))
     two = one.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    return one.join(two, "b").select(F.col("a").alias("set"), "c").withColumnRenamed("c", "root")
+    return one.join(merged(two), "b").select(F.col("a").alias("set"), "c").withColumnRenamed("c", "root")
 
 
 def anchored(distinct: DataFrame, fingerprint_edges: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -210,33 +210,33 @@ def anchored(distinct: DataFrame, fingerprint_edges: Callable[[DataFrame], DataF
     heads = kept(distinct.groupBy("fp").agg(F.min("set").alias("head")))
     near = fingerprint_edges(heads.select("fp"))
     one, two = heads.select(F.col("fp").alias("a"), F.col("head").alias("set")), heads.select(F.col("fp").alias("b"), F.col("head").alias("set_b"))
-    equal = distinct.select("set", "fp").join(heads, "fp").select("set", F.col("head").alias("set_b"))
-    return kept(equal.union(near.join(one, "a").join(two, "b").select("set", "set_b")).where("set <> set_b").select(*pair()).distinct())
+    equal = distinct.select("set", "fp").join(merged(heads), "fp").select("set", F.col("head").alias("set_b"))
+    return kept(equal.union(near.join(merged(one), "a").join(merged(two), "b").select("set", "set_b")).where("set <> set_b").select(*pair()).distinct())
 
 
 def edges(met: DataFrame, rows: DataFrame, near_prints: DataFrame) -> DataFrame:
     """Edges (a, b) that connect the sets that links connect, from rows (signature, set, size) of the sets, the texts, and
     pairs (a, b) that fingerprints find."""
     common = met.groupBy("signature").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("signature")
-    live = kept(met.join(common, "signature"))
+    live = kept(met.join(merged(common), "signature"))
     named = near_prints.select(F.explode(F.array("a", "b")).alias("set"))
     sets = kept(whole_sets(rows, live.select("set").union(named).distinct()))
     close = measured(near_prints, sets).where("near").select("a", "b")
     counts = live.groupBy("set").agg(F.count(F.lit(1)).alias("n"))
-    leaders = live.join(counts, "set").groupBy("signature").agg(F.max(F.struct("n", "set", "size")).alias("first"))
+    leaders = live.join(merged(counts), "set").groupBy("signature").agg(F.max(F.struct("n", "set", "size")).alias("first"))
     first = leaders.select("signature", F.col("first.set").alias("set_b"))
-    met = kept(live.join(first, "signature").select("signature", "set", "size", "set_b", *pair()))
+    met = kept(live.join(merged(first), "signature").select("signature", "set", "size", "set_b", *pair()))
     star = measured(met.where("a <> b").select("a", "b").distinct(), sets)
     found = close.union(star.where("near").select("a", "b"))
     # How far each set is from its signature's leader.
-    apart = met.join(star.select("a", "b", "far"), ["a", "b"], "left").select("signature", "set", "size", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")).alias("far"))
-    rest = kept(apart.join(labels(found), "set", "left").select("signature", "set", "size", "far", F.coalesce("root", "set").alias("root")))
+    apart = met.join(merged(star.select("a", "b", "far")), ["a", "b"], "left").select("signature", "set", "size", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.col("far")).alias("far"))
+    rest = kept(apart.join(merged(labels(found)), "set", "left").select("signature", "set", "size", "far", F.coalesce("root", "set").alias("root")))
     gone(live, met)
     for k in range(len(MET) + 1):
         roots = rest.groupBy("signature", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("signature").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
         # Signatures of one label are done with.
-        left = rest.join(roots.where("roots > 1").select("signature", F.col("most.root").alias("major")), "signature")
-        left = kept(left if k else left.join(sets.select("set", "bits"), "set"))
+        left = rest.join(merged(roots.where("roots > 1").select("signature", F.col("most.root").alias("major"))), "signature")
+        left = kept(left if k else left.join(merged(sets.select("set", "bits")), "set"))
         gone(rest)
         rest = left
         if left.isEmpty():
@@ -246,13 +246,13 @@ def edges(met: DataFrame, rows: DataFrame, near_prints: DataFrame) -> DataFrame:
             # Other members of the main label for each signature, so that a set meets many of them.
             one, slot = F.max_by(F.struct("set", "size", "far", "bits", "root"), F.xxhash64("signature", "set", F.lit(k))), F.pmod(F.xxhash64("set"), F.lit(MET[k]))
             met = left.where("root = major").groupBy("signature", slot).agg(one.alias("m")).select("signature", "m.*")
-        pairs = kept(minor.join(other(met), "signature").where((F.col("root") != F.col("root_b")) & near()).select(*pair(), *pair("root", "root_b", "x", "y")).distinct())
+        pairs = kept(minor.join(merged(other(met)), "signature").where((F.col("root") != F.col("root_b")) & near()).select(*pair(), *pair("root", "root_b", "x", "y")).distinct())
         new = measured(pairs.select("a", "b").distinct(), sets).where("near").select("a", "b")
         found = found.union(new)
         if k < len(MET):
             # Labels are linked where sets of theirs are.
-            joined = labels(pairs.join(new, ["a", "b"], "left_semi").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("set").alias("root"), F.col("root").alias("to"))
-            rest = kept(left.drop("major").join(joined, "root", "left").select("signature", "set", "size", "far", "bits", F.coalesce("to", "root").alias("root")))
+            joined = labels(pairs.join(merged(new), ["a", "b"], "left_semi").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()).select(F.col("set").alias("root"), F.col("root").alias("to"))
+            rest = kept(left.drop("major").join(merged(joined), "root", "left").select("signature", "set", "size", "far", "bits", F.coalesce("to", "root").alias("root")))
             gone(left)
         gone(pairs)
     gone(rest, sets)
@@ -265,5 +265,5 @@ def first_rows(docs: DataFrame, id_col: str, fingerprint_edges: Callable[[DataFr
     distinct = kept(signed(rows).groupBy("set").agg(F.min("id").alias("least"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("signatures").alias("signatures")))
     met = distinct.select(F.explode("signatures").alias("signature"), "set", "size")
     joined = components(edges(met, rows, anchored(distinct, fingerprint_edges)))
-    named = distinct.join(joined, distinct["set"] == joined["node"], "left").select("least", F.coalesce("root", mixed(F.col("set"))).alias("root"))
+    named = distinct.join(merged(joined), distinct["set"] == joined["node"], "left").select("least", F.coalesce("root", mixed(F.col("set"))).alias("root"))
     return named.groupBy("root").agg(F.min("least").alias("first")).select("first")
