@@ -136,15 +136,33 @@ for _name, (_spark, _duck) in _SCALARS.items():
 TITLES = 2
 _TITLED = rf"concat(repeat(concat(source, ' '), {TITLES}), substring_index(concat(text, '\n\n---\nfooter words'), '\n\n---\n', 1))"
 _TITLED_DUCK = f"(repeat(source || ' ', {TITLES}) || split_part(text || chr(10) || chr(10) || '---' || chr(10) || 'footer words', chr(10) || chr(10) || '---' || chr(10), 1))"
-sql_query(
+@query(
     "T3_terms_unigrams_bigrams",
-    f"""WITH w AS (SELECT doc_id, regexp_extract_all({udfs.folded_sql("t")}, "[a-z0-9]+(?:'[a-z]+)?", 0) AS w FROM (SELECT doc_id, {_TITLED} AS t FROM $documents)),
-    t AS (SELECT doc_id, explode(concat(w, CASE WHEN size(w) > 1 THEN zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (a, b) -> concat_ws(' ', a, b)) ELSE array() END)) AS term FROM w)
-    SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct, min(term) AS first_term FROM t GROUP BY doc_id""",
     f"""WITH w AS (SELECT doc_id, regexp_extract_all({udfs.folded_sql("t", "duckdb")}, '[a-z0-9]+(?:''[a-z]+)?') AS w FROM (SELECT doc_id, {_TITLED_DUCK} AS t FROM $documents) d),
     t AS (SELECT doc_id, unnest(w || list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM w)
     SELECT doc_id, count(*) AS n_terms, count(DISTINCT term) AS n_distinct, min(term) AS first_term FROM t GROUP BY doc_id""",
 )
+def terms(spark, sf_dir):
+    """Counts of each document's uni- and bigrams, inside its row; only ids that many rows share are counted by a shuffle of
+    their terms."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("doc_id").alias("id"))
+
+    def made(rows):
+        words = rows.select("doc_id", F.expr(_TITLED).alias("t")).select("doc_id", F.expr(f"""regexp_extract_all({udfs.folded_sql("t")}, "[a-z0-9]+(?:'[a-z]+)?", 0)""").alias("w"))
+        return words.select("doc_id", F.expr("concat(w, CASE WHEN size(w) > 1 THEN zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (a, b) -> concat_ws(' ', a, b)) ELSE array() END)").alias("terms"))
+
+    def inside(rows):
+        counted = made(rows).select("doc_id", F.size("terms").cast("long").alias("n_terms"), F.size(F.array_distinct("terms")).cast("long").alias("n_distinct"), F.array_min("terms").alias("first_term"))
+        return counted.where("n_terms > 0")
+
+    if repeated.isEmpty():
+        return inside(docs)
+    alike = F.col("doc_id").eqNullSafe(F.col("id"))
+    each = made(docs.join(repeated, alike, "left_semi")).select("doc_id", F.explode("terms").alias("term"))
+    return inside(docs.join(repeated, alike, "left_anti")).union(each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_terms"), F.count_distinct("term").alias("n_distinct"), F.min("term").alias("first_term")))
+
+
 sql_query(
     "T5_shingles",
     rf"""WITH w AS (SELECT doc_id, regexp_extract_all({FOLDED}, '(?U)\\w+', 0) AS w FROM $documents)
