@@ -1,5 +1,7 @@
 """Properties and literals of operators without an SQL twin, and of readers and writers."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
@@ -100,6 +102,24 @@ def test_linkage_does_not_depend_on_order():
     assert got.tolist() == turned.tolist() == [0, 0, 1, 1]
 
 
+def test_linkage_holds_no_square_of_its_rows():
+    """Over 4,000 rows all similarities would take 128 MB."""
+    v = np.random.default_rng(3).normal(size=(4000, 8))
+    v[2000:2100] = v[:100]
+    tracemalloc.start()
+    got = vectors.agglomerate(np.arange(4000), v, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+    assert set(got.tolist()) == {0, 1, 2} and got[2000:2100].tolist() == got[:100].tolist()
+
+
+def test_linkage_of_copies_goes_by_smaller_members():
+    v = np.array([[1.0, 0], [0, 1], [1, 0], [0, 1], [1, 0]])
+    assert vectors.agglomerate(np.arange(5), v, 3).tolist() == [0, 1, 0, 2, 0]
+    assert vectors.agglomerate(np.arange(5), v, 2).tolist() == [0, 1, 0, 1, 0]
+
+
 def test_hull_drops_inner_and_collinear_points():
     assert vectors.hull([(0, 0), (1, 0), (1, 1), (0, 1), (0.5, 0.5), (0.5, 0)]) == [(0, 0), (1, 0), (1, 1), (0, 1)]
     assert vectors.hull([(1, 1), (1, 1)]) == [(1, 1)]

@@ -220,35 +220,89 @@ def ambiguity(spark, sf_dir):
     return own.join(best, "id").select(F.col("id").alias("vec_id"), (F.col("n") == 1).alias("singleton"), F.round(margin, 6).alias("margin"), F.coalesce(margin < 0.03, F.lit(False)).alias("ambiguous"))
 
 
+#: Rows and columns of the similarities of clusters that are held at once.
+HEIGHT, WIDTH = 256, 4096
+
+
+def nearest(c: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, similarity) of the most similar other row of c for each of some rows; of equals the first."""
+    which, best = np.zeros(len(rows), np.int64), np.full(len(rows), -np.inf)
+    for i in range(0, len(rows), HEIGHT):
+        part = rows[i : i + HEIGHT]
+        for j in range(0, len(c), WIDTH):
+            sim = c[part] @ c[j : j + WIDTH].T
+            own = np.flatnonzero((part >= j) & (part < j + WIDTH))
+            sim[own, part[own] - j] = -np.inf
+            at = sim.argmax(axis=1)
+            value = sim[np.arange(len(part)), at]
+            better = value > best[i : i + HEIGHT]
+            which[i : i + HEIGHT][better], best[i : i + HEIGHT][better] = at[better] + j, value[better]
+    return which, best
+
+
+def merges(c: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pairs, similarity) of the merges of average linkage of distinct vectors c of so many rows each, until one is left; the
+    greater of a pair goes. The mean similarity of two clusters is the product of their means, so no similarities are kept,
+    and no merge brings a cluster nearer to others than the nearer of its parts was: all clusters that are each
+    other's nearest are merged at once, and only those whose nearest is gone look for another."""
+    c, size, ids = c.copy(), size.astype(float), np.arange(len(c))
+    height, pairs, found = np.full(len(c), np.inf), [], []
+    which, best = nearest(c, ids)
+    while len(c) > 1:
+        at = np.arange(len(c))
+        mutual = (which[which] == at) & (at < which)
+        if not mutual.any():  # equal ones in a ring, by rounding
+            mutual[min(best.argmax(), which[best.argmax()])] = True
+            which[np.flatnonzero(mutual)] = max(best.argmax(), which[best.argmax()])
+        a = np.flatnonzero(mutual)
+        b = which[a]
+        h = np.minimum(best[a], np.minimum(height[a], height[b]))
+        pairs.append(np.stack([ids[a], ids[b]], axis=1))
+        found.append(h)
+        both = size[a] + size[b]
+        c[a] = (size[a, None] * c[a] + size[b, None] * c[b]) / both[:, None]
+        size[a], height[a] = both, h
+        gone = np.zeros(len(c), bool)
+        gone[a] = gone[b] = True
+        stale = gone | gone[which]
+        gone[a] = False
+        to = np.cumsum(~gone) - 1
+        c, size, height, ids, which, best, stale = c[~gone], size[~gone], height[~gone], ids[~gone], to[which[~gone]], best[~gone], stale[~gone]
+        if len(c) > 1:
+            again = np.flatnonzero(stale)
+            which[again], best[again] = nearest(c, again)
+    return np.concatenate([np.zeros((0, 2), np.int64), *pairs]), np.concatenate([np.zeros(0), *found])
+
+
 def agglomerate(ids: np.ndarray, v: np.ndarray, clusters: int) -> np.ndarray:
-    """Average linkage on cosine until so many clusters are left; ties go to the clusters of smaller members; numbers
-    follow the clusters' least ids."""
+    """Average linkage on cosine until so many clusters are left; equal vectors go together first, those of smaller members
+    before others; numbers follow the clusters' least ids. Memory grows as the vectors do."""
     order = np.argsort(ids)
     x = v[order] / np.linalg.norm(v[order], axis=1, keepdims=True)
-    sim = x @ x.T
-    np.fill_diagonal(sim, -np.inf)
-    size, alive = np.ones(len(x)), np.ones(len(x), bool)
-    member = np.arange(len(x))
-    for _ in range(max(0, len(x) - clusters)):
-        live = np.flatnonzero(alive)
-        block = sim[np.ix_(live, live)]
-        i, j = np.argwhere(block >= block.max() - 1e-15)[0]
-        a, b = live[min(i, j)], live[max(i, j)]
-        merged = (size[a] * sim[a] + size[b] * sim[b]) / (size[a] + size[b])
-        sim[a, :], sim[:, a] = merged, merged
-        sim[a, a] = -np.inf
-        size[a] += size[b]
-        alive[b] = False
-        member[member == b] = a
-    numbers = {m: k for k, m in enumerate(sorted(set(member.tolist())))}
+    _, first, of = np.unique(x, axis=0, return_index=True, return_inverse=True)
+    # Distinct vectors in the order of their first rows.
+    place = np.argsort(np.argsort(first))[of.ravel()]
+    first = np.sort(first)
+    copies = np.flatnonzero(first[place] != np.arange(len(x)))
+    copies = copies[np.argsort(place[copies], kind="stable")]
+    left = max(0, len(x) - clusters)
+    root = np.arange(len(x))
+    root[copies[:left]] = first[place[copies[:left]]]
+    if left > len(copies):
+        pairs, similarity = merges(x[first], np.bincount(place))
+        for i, j in first[pairs[np.argsort(-similarity, kind="stable")[: left - len(copies)]]].tolist():
+            root[j] = i
+    for k in range(len(x)):
+        root[k] = root[root[k]]  # a root is no later than its rows
     out = np.empty(len(x), np.int64)
-    out[order] = [numbers[m] for m in member.tolist()]
+    out[order] = np.unique(root, return_inverse=True)[1]
     return out
 
 
 @query("V7_average_linkage")
 def linkage(spark, sf_dir):
-    """Three clusters within each label. A merge needs all similarities of its group, so each group is one task."""
+    """Three clusters within each label. Each merge depends on those before, so each group is one task, which holds its vectors
+    but not their similarities."""
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"vec_id": g["id"], "label": g["label"], "cluster": agglomerate(g["id"].to_numpy(), np.array(g["v"].tolist()), 3)})
