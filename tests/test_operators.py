@@ -1,8 +1,10 @@
 """Properties and literals of operators without an SQL twin, and of readers and writers."""
 
 import tracemalloc
+from difflib import SequenceMatcher
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -238,6 +240,48 @@ def test_best_line_of_all_lines(spark):
         assert found[entry][1] == max(text.matching_ratio(title, t) for t in bodies)
 
 
+def test_longest_common_subsequences_bound_matching_blocks():
+    rng = np.random.default_rng(2)
+    made = lambda n: "".join(rng.choice(list("abcdeß0é"), n))
+    keys = ["", *[made(n) for n in rng.integers(0, 200, 60)]]
+
+    def brute(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], before + 1 if x == y else max(row[j], row[j - 1])
+        return row[-1]
+
+    for key in ("", "a", "xyz", made(63), made(64), made(65), made(150)):
+        found = relational.Keys(keys).common(key).tolist()
+        assert found == [brute(key, k) for k in keys]
+        assert all(f == g if len(k) <= 100 else f >= g for f, g, k in zip(relational.Keys(keys).common(key, 100).tolist(), found, keys, strict=True))
+        assert all(text.key_ratio(key, k) <= 2 * f / max(1, len(key) + len(k)) + 1e-12 for k, f in zip(keys, found, strict=True))
+
+
+def test_a_similarity_is_given_up_only_below_the_least():
+    rng = np.random.default_rng(5)
+    made = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    for a, b in ((made(rng.integers(1, 80)), made(rng.integers(1, 260))) for _ in range(300)):
+        want = len(a) / len(b) if a in b else len(b) / len(a) if b in a else SequenceMatcher(None, a, b).ratio()
+        assert text.key_ratio(a, b) == text.key_ratio(a, b, want) == want
+        assert text.key_ratio(a, b, want + 0.01) in (want, -1.0)
+    assert text.key_ratio("xyxyabcd", "qabcdwwww", 0.6) == -1.0
+
+
+def test_few_lines_are_compared_by_matching_blocks(spark, monkeypatch):
+    """Letters alone, which bounded it before, tell none of these lines from the best."""
+    rng = np.random.default_rng(4)
+    keys = ["".join(rng.permutation(list("abcdefghijklmnopqrstuvwxyz"))) for _ in range(500)]
+    calls = []
+    monkeypatch.setattr(text, "key_ratio", lambda a, b, least, plain=text.key_ratio: calls.append(a) or plain(a, b, least))
+    group, asked = pd.DataFrame({"key": keys, "line_no": range(500)}), pd.DataFrame({"entry_id": [1], "title": [keys[7][:13] + keys[7][14:]], "floor": [-1.0]})
+    assert relational.best_of(group, asked, ["line_no"]).drop(columns="title").iloc[0].tolist() == [1, 50 / 51, 7]
+    assert relational.best_of(group, asked.assign(floor=0.99), ["line_no"]).empty
+    assert len(calls) < 10
+
+
 def test_located_items_follow_each_other():
     lines = [(1, 0, "first game"), (1, 1, "second game"), (1, 2, "first game"), (2, 3, "third"), (2, 4, "no")]
     items = [(1, 1, "Second game"), (2, 1, "First game"), (3, 2, "absent title"), (4, 2, "Third")]

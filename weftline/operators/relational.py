@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from urllib.parse import parse_qs
 
 import numpy as np
@@ -249,48 +248,104 @@ sql_query(
 )
 
 
-#: Entries that are compared together with a batch of lines.
-ENTRIES = 256
-
-
-def _signs(key: str) -> np.ndarray:
-    """How often each sign stands in a key, by 64 classes of signs."""
-    return np.bincount(np.frombuffer(key.encode("utf-32-le"), np.uint32) % 64, minlength=64) if key else np.zeros(64, np.int64)
+#: Entries and lines that are compared together; signs of a line beyond which its length alone bounds its similarity.
+ENTRIES, LINES, LONGEST = 256, 4096, 4096
+#: Lines of a block, those of the highest bounds, that show how similar the best are at least.
+TRIED = 16
+
+
+class Keys:
+    """Keys as numbers of their signs, place after place: at each place those that reach it, the longest first."""
+
+    def __init__(self, keys: list[str]):
+        self.size = np.array([len(k) for k in keys], np.int64)
+        self.order = np.argsort(-self.size, kind="stable")
+        self.order = self.order[self.size[self.order] <= LONGEST]
+        size = self.size[self.order]
+        joined = "".join(keys[k] for k in self.order.tolist()).encode("utf-32-le", "surrogatepass")
+        self.signs, number = np.unique(np.frombuffer(joined, np.uint32), return_inverse=True)
+        place = np.arange(len(number)) - np.repeat(np.cumsum(size) - size, size)
+        by_place, live = number[np.argsort(place, kind="stable")].astype(np.int32), np.bincount(place)
+        self.codes = np.split(by_place, np.cumsum(live)[:-1]) if len(live) else []
+
+    def common(self, key: str, longest: int = LONGEST) -> np.ndarray:
+        """The length of the longest common subsequence of key and each of the keys, or more for those over longest: bits of
+        words hold a row of its table, for all keys at once."""
+        words = -(-len(key) // 64)
+        stands = np.zeros((words, len(self.signs)), np.uint64)
+        number = {int(c): k for k, c in enumerate(self.signs)}
+        for i, c in enumerate(key):
+            if ord(c) in number:
+                stands[i >> 6, number[ord(c)]] |= np.uint64(1 << (i & 63))
+        v = np.full((words, len(self.order)), ~np.uint64(0))
+        for codes in self.codes[:longest]:
+            n = len(codes)
+            carry = np.zeros(n, bool)
+            for w in range(words):
+                old = v[w, :n]
+                met = old & stands[w, codes]
+                added = old + met
+                over = added < met
+                added += carry
+                carry = over | carry & (added == 0)
+                v[w, :n] = added | old ^ met
+        found = np.zeros(len(self.size), np.int64)
+        for w in range(words):
+            found[self.order] += np.bitwise_count(~v[w] & np.uint64((1 << min(64, len(key) - 64 * w)) - 1))
+        found[self.size > min(longest, LONGEST)] = len(key)
+        return found
+
+
+def best_of(lines: pd.DataFrame, entries: pd.DataFrame, place: list[str], most: int | None = None) -> pd.DataFrame:
+    """(entry_id, title, score, place): the best of lines (key, place) for each of entries (entry_id, title, floor), if it may reach
+    the floor; with most, of so many lines of the highest bounds."""
+    keys, at = lines["key"].tolist(), list(zip(*(lines[p].tolist() for p in place), strict=True))
+    made, out = Keys(keys), []
+    for entry, title, floor in entries[["entry_id", "title", "floor"]].itertuples(index=False, name=None) if len(lines) else ():
+        key = udfs.compact_key(title or "")
+        # Longer lines are below the floor by their length alone; where there is none yet, a few similar in length are tried.
+        longest = int(len(key) * (2 / floor - 1)) + 1 if floor > 0 else 2 * len(key) if most else LONGEST
+        bound = 2 * made.common(key, longest) / np.maximum(made.size + len(key), 1)
+        if most:
+            bound[made.size > longest] = 0
+        top = (-1.0, None)
+        for k in np.argsort(-bound, kind="stable")[:most].tolist():
+            if bound[k] < max(top[0], floor) - 1e-12:
+                break
+            score = udfs.key_ratio(key, keys[k], max(top[0], floor))
+            if score >= 0 and (top[1] is None or score > top[0] or score == top[0] and at[k] < top[1]):
+                top = (score, at[k])
+        if top[1] is not None:
+            out.append((entry, title, top[0], *top[1]))
+    return pd.DataFrame(out, columns=["entry_id", "title", "score", *place])
 
 
 def best_lines(entries: DataFrame, lines: DataFrame, place: list[str]) -> DataFrame:
     """(entry_id, score, place): the line most like each entry (entry_id, title) of all lines (place, line); the first line
-    of equals, in the order of place. All entries are compared with all lines, in blocks; what two keys' signs have in
-    common bounds their similarity, and lines whose bound is below the best so far aren't compared."""
-    n = max(1, -(-entries.count() // ENTRIES))
-    blocks = entries.withColumn("b", F.pmod(F.xxhash64("entry_id", "title"), F.lit(n)).cast("int")).groupBy("b").agg(F.collect_list(F.struct("entry_id", "title")).alias("e"))
+    of equals, in the order of place. All entries are compared with all lines, in blocks; matching blocks of two keys are a
+    common subsequence of theirs, so the longest one bounds their similarity, and lines whose bound is below the best so far
+    aren't compared."""
+    n, chunks = max(1, -(-entries.count() // ENTRIES)), max(1, -(-lines.count() // LINES))
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     own = lines.select(*place, udfs.compact(F.regexp_replace(udfs.heading_sql("line"), r"^\d{1,3}\s*[.)]\s*", "")).alias("key"))
+    own = own.withColumn("chunk", F.pmod(F.xxhash64(*place), F.lit(chunks)).cast("int")).withColumn("b", every(n))
+    asked = entries.select("entry_id", "title", F.pmod(F.xxhash64("entry_id", "title"), F.lit(n)).cast("int").alias("b"), every(chunks).alias("chunk"))
+    kinds = ", ".join(f"{p} long" for p in place)
 
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for _, g in b.groupby("b"):
-                keys = g["key"].tolist()
-                signs, sizes = np.array([_signs(k) for k in keys]), np.array([len(k) for k in keys])
-                at = list(zip(*(g[p].tolist() for p in place), strict=True))
-                out = []
-                for e in g["e"].iloc[0]:
-                    key = udfs.compact_key(e["title"] or "")
-                    bound = 2 * np.minimum(signs, _signs(key)[None]).sum(1) / np.maximum(sizes + len(key), 1)
-                    top = (-1.0, None)
-                    for k in np.argsort(-bound, kind="stable").tolist():
-                        if bound[k] < top[0] - 1e-12:
-                            break
-                        score = udfs.key_ratio(key, keys[k])
-                        if top[1] is None or score > top[0] or score == top[0] and at[k] < top[1]:
-                            top = (score, at[k])
-                    out.append((e["entry_id"], top[0], *top[1]))
-                yield pd.DataFrame(out, columns=["entry_id", "score", *place])
+    # As many partitions as there are comparisons of blocks, up to a bound, which AQE then doesn't join: there is much to do
+    # for few bytes.
+    width = min(n * chunks, 4096)
+    own = own.repartition(width, "chunk", "b").groupBy("chunk", "b")
 
-    kinds = ", ".join(f"{p} long" for p in place)
-    # Each line meets each block; Spark broadcasts the blocks if they are small.
-    met = own.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).join(blocks, "b")
-    found = met.mapInPandas(best, f"entry_id long, score double, {kinds}")
-    top = found.groupBy("entry_id").agg(F.max(F.struct("score", *[(-F.col(p)).alias(p) for p in place])).alias("t"))
+    def compared(entries: DataFrame, most: int | None) -> DataFrame:
+        met = own.cogroup(entries.repartition(width, "chunk", "b").groupBy("chunk", "b"))
+        return met.applyInPandas(lambda g, e: best_of(g, e, place, most), f"entry_id {dict(asked.dtypes)['entry_id']}, title string, score double, {kinds}")
+
+    # The best few of each block tell how similar the best of all are at least.
+    floors = compared(asked.withColumn("floor", F.lit(-1.0)), TRIED).groupBy("entry_id", "title").agg(F.max("score").alias("floor"))
+    floors = floors.select(F.col("entry_id").alias("e"), F.col("title").alias("t"), "floor")
+    known = asked.join(floors, F.col("entry_id").eqNullSafe(F.col("e")) & F.col("title").eqNullSafe(F.col("t"))).drop("e", "t")
+    top = compared(known, None).groupBy("entry_id").agg(F.max(F.struct("score", *[(-F.col(p)).alias(p) for p in place])).alias("t"))
     return top.select("entry_id", F.col("t.score").alias("score"), *[(-F.col(f"t.{p}")).alias(p) for p in place])
 
 
