@@ -845,6 +845,16 @@ def test_keep_first_joins_all_texts_with_shingle_similarity(spark, monkeypatch,
     assert sorted(r.doc_id for r in simhash.keep_first(frame).collect()) == want
 
 
+def test_a_bitmap_is_as_large_as_its_sets_ask(spark, monkeypatch):
+    """The driver holds it; it was of 8 MB for a handful of sets, too."""
+    sizes = []
+    monkeypatch.setattr(jaccard, "members", lambda sets, size, plain=jaccard.members: sizes.append(size) or plain(sets, size))
+    rows = spark.createDataFrame([(0, "a b c d e f"), (1, "b c d e f g")], "id long, text string")
+    wanted = jaccard.signed(rows.where("id = 1")).select("set")
+    assert [len(r.shingles) for r in jaccard.whole_sets(rows, wanted).collect()] == [2]
+    assert sizes == [1 << 15]
+
+
 # ---- 10 embeddings
 
 

@@ -14,7 +14,7 @@ that label, others for each signature, and labels that turn out linked become on
 signature's most frequent one meet all others of another label, which is every pair left that could connect
 anything. Pairs that can't be linked are never compared: their distances from the leader differ by more than a link allows, or the
 bits of one that the other lacks are too many.
-Whole sets are made once, of the sets that share a signature: a bitmap of BITS bits, whose size doesn't grow, tells them
+Whole sets are made once, of the sets that share a signature: a bitmap of EACH bits for one and BITS at most tells them
 from the others before the shuffle.
 
 Defined cases: words and letters as in simhash; null and wordless texts have the empty set and are equal; fewer words
@@ -39,7 +39,8 @@ SHINGLE, SEED = 5, 42
 LEAST = (4, 5)
 #: Signatures of a set, and minima that each is made of.
 BANDS, ROWS = 40, 5
-BITS = 1 << 26
+#: Bits of a bitmap of sets: so many for each, and at most.
+EACH, BITS = 32, 1 << 26
 #: Sets of a signature's main label that the others meet, by round.
 MET = (2, 8)
 #: Longs of the sketch of a set that bounds what it shares with another.
@@ -127,11 +128,11 @@ def signed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, StructType([rows.schema["id"], StructField("set", LongType()), StructField("size", LongType()), StructField("fp", LongType()), StructField("signatures", ArrayType(LongType()))]))
 
 
-def members(sets: DataFrame) -> np.ndarray:
-    """A bitmap of BITS bits of the sets in a column `set`; each of its few rows holds 4 KB."""
-    at = F.pmod("set", F.lit(BITS)) + 1  # these functions count from one
+def members(sets: DataFrame, size: int) -> np.ndarray:
+    """A bitmap of size bits of the sets in a column `set`; each of its few rows holds 4 KB."""
+    at = F.pmod("set", F.lit(size)) + 1  # these functions count from one
     rows = sets.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
-    found = np.zeros(BITS // 8, np.uint8)
+    found = np.zeros(size // 8, np.uint8)
     for bucket, bits in rows:
         found[(bucket - 1) * len(bits) : bucket * len(bits)] = np.frombuffer(bits, np.uint8)
     return found
@@ -144,20 +145,26 @@ def sketch(found: np.ndarray) -> np.ndarray:
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, shingles, bits) of the sets wanted, each once; bits has the bits set that the shingles' last bits say."""
-    shared = rows.sparkSession.sparkContext.broadcast(members(wanted).tobytes())
+    """(set, shingles, bits), kept, of the sets wanted, each once; bits has the bits set that the shingles' last bits say."""
+    wanted = kept(wanted)
+    size = min(BITS, max(1 << 15, 1 << (EACH * wanted.count()).bit_length()))
+    shared = rows.sparkSession.sparkContext.broadcast(members(wanted, size).tobytes())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 made = {name(m): m for m in (shingles(t.as_py()) for t in b.column(0)[at : at + 1000])}
-                fine = {k: m for k, m in made.items() if bits[k % BITS >> 3] >> (k % BITS & 7) & 1}
+                fine = {k: m for k, m in made.items() if bits[k % size >> 3] >> (k % size & 7) & 1}
                 if fine:
                     yield pa.RecordBatch.from_arrays([pa.array(list(fine), pa.int64()), lists(list(fine.values())), lists([sketch(m) for m in fine.values()])], ["set", "shingles", "bits"])
 
     made = rows.select("text").mapInArrow(run, "set long, shingles array<long>, bits array<long>")
-    return made.join(merged(wanted), "set", "left_semi").dropDuplicates(["set"])
+    found = kept(made.join(merged(wanted), "set", "left_semi").dropDuplicates(["set"]))
+    # Nothing reads the bitmap any more, which the driver would hold as long as the application runs.
+    shared.destroy()
+    gone(wanted)
+    return found
 
 
 def enough(shared: Column, m: Column, n: Column) -> Column:
@@ -220,7 +227,7 @@ def edges(met: DataFrame, rows: DataFrame, near_prints: DataFrame) -> DataFrame:
     common = met.groupBy("signature").agg(F.min("set").alias("least"), F.max("set").alias("most")).where("least <> most").select("signature")
     live = kept(met.join(merged(common), "signature"))
     named = near_prints.select(F.explode(F.array("a", "b")).alias("set"))
-    sets = kept(whole_sets(rows, live.select("set").union(named).distinct()))
+    sets = whole_sets(rows, live.select("set").union(named).distinct())
     close = measured(near_prints, sets).where("near").select("a", "b")
     counts = live.groupBy("set").agg(F.count(F.lit(1)).alias("n"))
     leaders = live.join(merged(counts), "set").groupBy("signature").agg(F.max(F.struct("n", "set", "size")).alias("first"))
