@@ -49,3 +49,55 @@ def test_progress_goes_on_after_a_restart(spark, sf_dir, parts, tmp_path):
         got = found[unit]
         assert got.completed == ",".join(map(str, done)) and got.n_retry == len(late) and got.attempts == len(mine)
         assert got.used == pytest.approx(sum(r.used for r in mine if r.ok)) and got.failed == pytest.approx(sum(r.used for r in mine if not r.ok))
+
+
+class Held(dict):
+    """A state that counts its calls."""
+
+    calls = 0
+
+    def __getattr__(self, name):
+        Held.calls += 1
+        at = lambda k=(0,): super(Held, self).get(k)
+        calls = {"getValue": at, "containsKey": self.__contains__, "updateValue": self.__setitem__, "removeKey": self.__delitem__, "iterator": lambda: iter(list(dict.items(self))), "values": lambda: iter(list(dict.values(self)))}
+        return calls[name]
+
+    def keys(self):
+        return iter(list(dict.keys(self)))
+
+    def get(self):
+        Held.calls += 1
+        return dict.get(self, (0,))
+
+    def update(self, value):
+        Held.calls += 1
+        self[(0,)] = value
+
+
+def test_state_is_called_by_chunks_and_timers_sweep_once(monkeypatch):
+    """F32: each item was some calls, and each timer listed all of a unit's items."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    states, timers = {}, set()
+    made = lambda name, *_: states.setdefault(name, Held())
+    handle = SimpleNamespace(getMapState=made, getValueState=made, registerTimer=timers.add)
+    unit = state.Progress()
+    unit.init(handle)
+    n = 5000
+    items = pd.Series(range(n)) * 50
+    ok = pd.Series(range(n)) % 10 != 0
+    Held.calls = 0
+    first = list(unit.handleInputRows((0,), iter([pd.DataFrame({"item": items, "us": items * 1000, "ok": ok, "used": 1.0})]), None))[-1]
+    assert first["n_completed"][0] == 4500 and first["n_retry"][0] == 500 and Held.calls < 1000
+    late = [k for k in range(0, n, 10) if k % 20 == 0]
+    again = pd.DataFrame({"item": [k * 50 for k in late] * 2, "us": [0, 10**9] * len(late), "ok": [True] * len(late) + [False] * len(late), "used": 2.0})
+    found = list(unit.handleInputRows((0,), iter([again, again[:0]]), None))[-1]
+    want = sorted(k * 50 for k in range(n) if k % 10 or k % 20 == 0)
+    assert found["completed"][0] == ",".join(map(str, want)) and found["n_retry"][0] == 250 and found["attempts"][0] == n + len(again)
+    assert found["used"][0] == 4500 + 2 * len(late) and found["failed"][0] == 500 + 2 * len(late)
+    now = max(timers)
+    wide = SimpleNamespace(getCurrentWatermarkInMs=lambda: now)
+    fired = [r for at in sorted(timers) for r in unit.handleExpiredTimer((0,), wide, SimpleNamespace(getExpiryTimeInMs=lambda at=at: at))]
+    assert len(fired) == 1 and fired[0]["n_retry"][0] == 0 and fired[0]["completed"][0] == found["completed"][0]

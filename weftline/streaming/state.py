@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: How long a failed attempt waits before its item is pending again.
 WAIT_US = 3_600_000_000
+#: Numbers of items whose completed ones are one value of the state.
+CHUNK = 1 << 16
 
 
 class Slots(StatefulProcessor):
@@ -40,46 +43,70 @@ class Slots(StatefulProcessor):
 
 class Progress(StatefulProcessor):
     """Attempts (item, us, ok, used) of a unit. An item is pending until an attempt succeeds; after one that fails it waits
-    for retry, and a timer makes it pending again. Completed items stay completed and are listed in declared order."""
+    for retry, and a timer makes it pending again. Completed items stay completed and are listed in declared order. They are
+    held by chunks of CHUNK numbers: each call to the state is a message, so there is none for each item."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.done = handle.getMapState("done", "item long", "used double")
+        self.done = handle.getMapState("done", "chunk long", "items binary, used binary")
         self.waiting = handle.getMapState("waiting", "item long", "until long")
         self.totals = handle.getValueState("totals", "used double, failed double, attempts long")
+        self.swept = handle.getValueState("swept", "at long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         used, failed, attempts = self.totals.get() or (0.0, 0.0, 0)
+        before = {k[0]: v[0] for k, v in self.waiting.iterator()}
+        waiting, chunks, changed = dict(before), {}, set()
         for batch in rows:
             attempts += len(batch)
             used += float(batch.loc[batch["ok"], "used"].sum())
             failed += float(batch.loc[~batch["ok"], "used"].sum())
-            for item, g in batch.groupby("item"):
-                k = (int(item),)
-                if g["ok"].any():
-                    before = self.done.getValue(k)[0] if self.done.containsKey(k) else 0.0
-                    self.done.updateValue(k, (before + float(g.loc[g["ok"], "used"].sum()),))
-                    if self.waiting.containsKey(k):
-                        self.waiting.removeKey(k)
-                elif not self.done.containsKey(k):
-                    until = int(g["us"].max()) + WAIT_US
-                    if self.waiting.containsKey(k):
-                        until = max(until, self.waiting.getValue(k)[0])
-                    self.waiting.updateValue(k, (until,))
-                    self.handle.registerTimer(-(-until // 1000))
+            for chunk, g in batch.groupby(batch["item"] // CHUNK):
+                held = chunks[chunk] if chunk in chunks else self._chunk(int(chunk))
+                done = g.loc[g["ok"]].groupby("item")["used"].sum()
+                if len(done):
+                    held = held.add(done, fill_value=0.0)
+                    changed.add(chunk)
+                chunks[chunk] = held
+                for item, us in g.loc[~g["ok"] & ~g["item"].isin(held.index)].groupby("item")["us"].max().items():
+                    waiting[item] = max(us + WAIT_US, waiting.get(item, us + WAIT_US))
+        for chunk in changed:
+            self.done.updateValue((int(chunk),), (chunks[chunk].index.to_numpy(np.int64).tobytes(), chunks[chunk].to_numpy(np.float64).tobytes()))
+        for item in [i for i in waiting if (i // CHUNK) in changed and i in chunks[i // CHUNK].index]:
+            del waiting[item]
+        for item in before.keys() - waiting.keys():
+            self.waiting.removeKey((int(item),))
+        late = [(item, until) for item, until in waiting.items() if before.get(item) != until]
+        for item, until in late:
+            self.waiting.updateValue((int(item),), (int(until),))
+        for at in {-(-int(until) // 1000) for _, until in late}:
+            self.handle.registerTimer(at)
+        if late:
+            self.swept.clear()
         self.totals.update((used, failed, attempts))
         yield self._row(key)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        for item, until in [(k[0], v[0]) for k, v in self.waiting.iterator()]:
-            if until <= now:
-                self.waiting.removeKey((item,))
-        yield self._row(key)
+        """The first of the timers that expire together ends the waiting of all items whose time has come."""
+        now = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        swept = self.swept.get()
+        if swept and swept[0] >= now:
+            return
+        self.swept.update((now,))
+        over = [k[0] for k, v in self.waiting.iterator() if v[0] <= now * 1000]
+        for item in over:
+            self.waiting.removeKey((item,))
+        if over:
+            yield self._row(key)
+
+    def _chunk(self, chunk: int) -> pd.Series:
+        """What the completed items of a chunk have used."""
+        held = self.done.getValue((chunk,)) if self.done.containsKey((chunk,)) else (b"", b"")
+        return pd.Series(np.frombuffer(held[1], np.float64), np.frombuffer(held[0], np.int64))
 
     def _row(self, key) -> pd.DataFrame:
         used, failed, attempts = self.totals.get()
-        done = sorted(k[0] for k in self.done.keys())
+        done = np.sort(np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(v[0], np.int64) for v in self.done.values())])).tolist()
         return pd.DataFrame({"unit": [key[0]], "completed": [",".join(map(str, done))], "n_completed": [len(done)], "n_retry": [sum(1 for _ in self.waiting.keys())], "used": [used], "failed": [failed], "attempts": [attempts]})
 
 
