@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.plans.registry import query, sql_query, table
@@ -73,6 +73,20 @@ sql_query("C10_label_approval", "SELECT n_regionkey AS level, lower(trim(n_name)
 sql_query("C11_staleness", "WITH stored AS (SELECT source, count(*) + CASE WHEN source = 'src7' THEN 1 ELSE 0 END AS n FROM $documents GROUP BY source), rebuilt AS (SELECT source, count(*) AS n FROM $documents GROUP BY source) SELECT 'stale' AS side, source, n FROM (SELECT * FROM stored EXCEPT ALL SELECT * FROM rebuilt) a UNION ALL SELECT 'missing', source, n FROM (SELECT * FROM rebuilt EXCEPT ALL SELECT * FROM stored) b")
 sql_query("C17_dense_sequences", "SELECT conv_id, count(*) = max(turn) + 1 AND min(turn) = 0 AND count(DISTINCT turn) = count(*) AS dense FROM $conversations GROUP BY conv_id")
 _EDGES = "WITH e AS (SELECT l_orderkey AS src, l_suppkey AS dst, round(l_discount, 6) AS sim, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS r FROM $lineitem), o AS (SELECT *, lag(sim) OVER (PARTITION BY src ORDER BY r) AS before FROM e)"
-sql_query("C20_neighbour_integrity", f"{_EDGES} SELECT src, count(*) AS n, count(DISTINCT dst) = count(*) AS distinct_ends, max(CASE WHEN src = dst THEN 1 ELSE 0 END) = 0 AS no_self, max(CASE WHEN before < sim THEN 1 ELSE 0 END) = 0 AS sorted, min(sim) >= -1 AND max(sim) <= 1 AS bounded FROM o GROUP BY src")
+#: Rows of a partition whose lists are looked at together.
+LISTED = 1 << 18
+
+
+@query("C20_neighbour_integrity", f"{_EDGES} SELECT src, count(*) AS n, count(DISTINCT dst) = count(*) AS distinct_ends, max(CASE WHEN src = dst THEN 1 ELSE 0 END) = 0 AS no_self, max(CASE WHEN before < sim THEN 1 ELSE 0 END) = 0 AS sorted, min(sim) >= -1 AND max(sim) <= 1 AS bounded FROM o GROUP BY src")
+def neighbour_integrity(spark, sf_dir):
+    """Order lines as neighbour lists: their ends, order and range. Partitions are as many as the rows ask, so that what a task
+    sorts and counts doesn't grow."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("src"), F.col("l_suppkey").alias("dst"), F.round("l_discount", 6).alias("sim"), "l_linenumber", "l_partkey", "l_extendedprice")
+    dealt = lines.repartition(max(1, -(-lines.count() // LISTED)), "src")
+    edges = dealt.withColumn("before", F.lag("sim").over(Window.partitionBy("src").orderBy("l_linenumber", "l_partkey", "dst", "l_extendedprice")))
+    none = lambda wrong: F.max(F.when(wrong, 1).otherwise(0)) == 0
+    return edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"), (F.count_distinct("dst") == F.count(F.lit(1))).alias("distinct_ends"), none(F.col("src") == F.col("dst")).alias("no_self"), none(F.col("before") < F.col("sim")).alias("sorted"), ((F.min("sim") >= -1) & (F.max("sim") <= 1)).alias("bounded"))
+
+
 sql_query("C21_reconciliation", "WITH d AS (SELECT l_orderkey, sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS detail FROM $lineitem GROUP BY l_orderkey) SELECT o.o_orderkey, CAST(CAST(o.o_totalprice AS DECIMAL(18, 4)) - coalesce(d.detail, 0) AS DOUBLE) AS gap FROM $orders o LEFT JOIN d ON d.l_orderkey = o.o_orderkey WHERE abs(o.o_totalprice - coalesce(d.detail, 0)) > 1")
 sql_query("C22_all_or_nothing", "SELECT d.source, count(l.doc_id) AS cached, count(*) AS n, count(l.doc_id) IN (0, count(*)) AS whole FROM $documents d LEFT JOIN $labels l ON l.doc_id = d.doc_id GROUP BY d.source")
