@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.vectors import _LAYOUTS, Rows, compared, neighbours, packed, plane_distances, unit_rows
+from weftline.operators.vectors import _LAYOUTS, Rows, compared, in_plane, neighbours, packed, unit_rows
 from weftline.plans.registry import query, table
 from weftline.streaming.ledger import shared_path
 
@@ -125,21 +125,52 @@ def manifold(spark, sf_dir):
     return found.select(F.col("id").alias("vec_id"), F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-#: Distances are whole numbers of GRAIN. A histogram's buckets hold at most one of SHARES of all pairs, or one distance.
-GRAIN, SHARES, FIRST, SPLIT = 1e-8, 1 << 14, 1 << 12, 64
+#: Distances are whole numbers of GRAIN. A histogram's buckets hold at most one of SHARES of all pairs, or one distance. It starts
+#: with CELLS at most, and STRIP rows of a block are compared at once.
+GRAIN, SHARES, CELLS, SPLIT, STRIP = 1e-8, 1 << 14, 1 << 18, 64, 32
 
 
 Halves = Callable[[Callable, str], DataFrame]
 
 
-def _counts(halves: Halves, edges: list[np.ndarray]) -> list[np.ndarray]:
+class _Places:
+    """The bucket of a distance among edges, which hold all multiples of a power of two: a shift tells the cell, and only those
+    in a cell with more edges are searched for."""
+
+    def __init__(self, edges: np.ndarray, shift: int):
+        self.edges, self.shift = edges, shift
+        cells = int(edges[-1] >> shift) + 1
+        self.start = np.searchsorted(edges, np.arange(cells) << shift)
+        self.split = np.append(self.start[1:], len(edges)) - self.start > 1
+        self.plain = not self.split.any()
+
+    def of(self, d: np.ndarray) -> np.ndarray:
+        cell = d >> self.shift
+        if self.plain:
+            return cell
+        at, more = self.start[cell], np.flatnonzero(self.split[cell])
+        at[more] = np.searchsorted(self.edges, d[more], "right") - 1
+        return at
+
+
+def _counts(halves: Halves, edges: list[np.ndarray], shifts: list[int]) -> list[np.ndarray]:
     """How many pairs' distances lie from each edge to the next, for both distances."""
 
     def run(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
-        sums = [np.zeros(len(e), np.int64) for e in edges]
+        places = [_Places(e, s) for e, s in zip(edges, shifts, strict=True)]
+        sums, held = [np.zeros(len(e), np.int64) for e in edges], [[], []]
+
+        def add(least: int) -> None:
+            if sum(map(len, held[0])) >= least:
+                for s, some in zip(sums, held, strict=True):
+                    s += np.bincount(np.concatenate(some), minlength=len(s))
+                    some.clear()
+
         for whole in _whole(lefts, rights):
-            for s, e, d in zip(sums, edges, whole, strict=True):
-                s += np.bincount(np.searchsorted(e, d, "right") - 1, minlength=len(e))
+            for some, place, d in zip(held, places, whole, strict=True):
+                some.append(place.of(d))
+            add(8 * max(map(len, edges)))
+        add(1)
         for axis, s in enumerate(sums):
             at = np.flatnonzero(s)
             yield pd.DataFrame({"axis": axis, "at": at, "n": s[at]})
@@ -151,15 +182,20 @@ def _counts(halves: Halves, edges: list[np.ndarray]) -> list[np.ndarray]:
 
 
 def _whole(lefts: list[Rows], rights: list[Rows]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Both distances of each unordered pair that two parts hold, in whole grains; a part with itself gives each pair once."""
+    """Both distances of each unordered pair that two parts hold, in whole grains; a part with itself gives each pair once. A
+    strip of rows comes at a time, so that what is made of it stays in the processor's cache."""
     own = {a.block for a in lefts} == {b.block for b in rights}
+    planes = {id(x): in_plane(x.v) for x in (*lefts, *rights)}
     for a in lefts:
         for b in rights:
             if own and a.block > b.block:
                 continue
-            d1, d2 = np.round(1 - a.unit @ b.unit.T, 8), np.round(plane_distances(a, b), 8)
-            keep = a.ids[:, None] < b.ids[None, :] if a.block == b.block else slice(None)
-            yield np.rint(d1[keep].ravel() / GRAIN).astype(np.int64), np.rint(d2[keep].ravel() / GRAIN).astype(np.int64)
+            p, q, columns = planes[id(a)], planes[id(b)].T.copy(), b.unit.T
+            for k in range(0, len(a.ids), STRIP):
+                strip = slice(k, k + STRIP)
+                d1, d2 = 1 - a.unit[strip] @ columns, np.sqrt((p[strip, 0, None] - q[None, 0]) ** 2 + (p[strip, 1, None] - q[None, 1]) ** 2)
+                keep = a.ids[strip, None] < b.ids[None, :] if a.block == b.block else slice(None)
+                yield tuple(np.rint(d[keep].ravel() * 1e8).astype(np.int64) for d in (d1, d2))
 
 
 def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
@@ -176,10 +212,11 @@ def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
     def halves(run: Callable, schema: str) -> DataFrame:
         return compared(blocks, blocks, size, run, schema, half=True)
 
-    top = _extent(halves)
-    edges = [np.unique(np.linspace(-1, t, FIRST).astype(np.int64)) for t in top]
+    top = _extent(blocks)
+    shifts = [max(0, (t // CELLS).bit_length()) for t in top]
+    edges = [np.arange((t >> s) + 1) << s for t, s in zip(top, shifts, strict=True)]
     while True:
-        counts = _counts(halves, edges)
+        counts = _counts(halves, edges, shifts)
         total = int(counts[0].sum())
         finer = []
         for e, n, t in zip(edges, counts, top, strict=True):
@@ -195,11 +232,14 @@ def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
     before = [np.cumsum(n) - n for n in counts]
     wide = [np.append(e[1:], t + 1) - e for e, t in zip(edges, top, strict=True)]
 
+    lines = [_ranks(*x, total) for x in zip(edges, counts, before, wide, strict=True)]
+
     def sums(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        places = [_Places(e, s) for e, s in zip(edges, shifts, strict=True)]
         held = np.zeros(6)
         for whole in _whole(lefts, rights):
-            u, w = (_ranks(d, *x) / total - 0.5 for d, x in zip(whole, zip(edges, counts, before, wide, strict=True), strict=True))
-            held += [len(u), u.sum(), w.sum(), (u * u).sum(), (w * w).sum(), (u * w).sum()]
+            u, w = (flat[at] + slope[at] * d for d, at, (flat, slope) in zip(whole, [p.of(d) for p, d in zip(places, whole, strict=True)], lines, strict=True))
+            held += [len(u), u.sum(), w.sum(), u @ u, w @ w, u @ w]
         yield pd.DataFrame([held], columns=list("nabcde"))
 
     n, a, b, c, d, e = halves(sums, ", ".join(f"{x} double" for x in "nabcde")).agg(*[F.sum(x) for x in "nabcde"]).first()
@@ -207,20 +247,24 @@ def distance_spearman(rows: DataFrame, shares: int = SHARES) -> DataFrame:
     return rows.sparkSession.createDataFrame([(float((e - a * b / n) / spread) if spread > 0 else None,)], "spearman double")
 
 
-def _ranks(d: np.ndarray, edges: np.ndarray, n: np.ndarray, before: np.ndarray, wide: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(edges, d, "right") - 1
-    share = np.where((wide[at] > 1) & (n[at] > 1), (d - edges[at] + 0.5) / wide[at], 0.5)
-    return before[at] + share * n[at] + 0.5
+def _ranks(edges: np.ndarray, n: np.ndarray, before: np.ndarray, wide: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(flat, slope) of each bucket: a distance's rank is flat plus slope times it, as a share of all, less a half."""
+    slope = np.where((wide > 1) & (n > 1), n / wide, 0.0)
+    flat = np.where(slope > 0, before + 0.5 - (edges - 0.5) * slope, before + 0.5 * n + 0.5)
+    return flat / total - 0.5, slope / total
 
 
-def _extent(halves: Halves) -> list[int]:
-    def most(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
-        top = [0, 0]
-        for whole in _whole(lefts, rights):
-            top = [max(t, int(d.max(initial=0))) for t, d in zip(top, whole, strict=True)]
-        yield pd.DataFrame([top], columns=["one", "two"])
+def _extent(blocks: DataFrame) -> list[int]:
+    """Whole grains that no distance exceeds: two for the cosine, the diagonal of what holds all rows for the plane."""
+
+    def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples():
+                p = in_plane(Rows(r).v)
+                yield pd.DataFrame([[*p.min(axis=0), *p.max(axis=0)]], columns=["x", "y", "z", "w"])
 
-    return [t or 0 for t in halves(most, "one long, two long").agg(F.max("one"), F.max("two")).first()]
+    r = blocks.mapInPandas(corners, "x double, y double, z double, w double").agg(F.min("x"), F.min("y"), F.max("z"), F.max("w")).first()
+    return [int(2 / GRAIN) + 1, 1 if r[0] is None else int(np.hypot(r[2] - r[0], r[3] - r[1]) / GRAIN) + 2]
 
 
 @query("V14_distance_spearman", f"WITH {_LAYOUTS.format(on='<')}, r AS (SELECT rank() OVER (ORDER BY d1) + (count(*) OVER (PARTITION BY d1) - 1) / 2 AS r1, rank() OVER (ORDER BY d2) + (count(*) OVER (PARTITION BY d2) - 1) / 2 AS r2 FROM p) SELECT round(corr(r1, r2), 6) AS spearman FROM r")
