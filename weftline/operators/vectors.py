@@ -83,11 +83,15 @@ class Best:
         self.k, self.cut = k, np.full(rows, np.inf)
         self.row, self.dst, self.value, self.more = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0)
 
-    def add(self, rough: np.ndarray, others: np.ndarray, exact: Callable, more: Callable) -> None:
-        """rough values within 1e-8 of the exact ones of each row with all others; what is infinite is left out."""
+    def add(self, rough: np.ndarray, others: np.ndarray, exact: Callable, more: Callable, off: float = 1e-8) -> None:
+        """rough values within off of the exact ones of each row with all others; what is infinite is left out."""
         if np.isinf(self.cut).any() and rough.shape[1] > self.k:
-            self.cut = np.minimum(self.cut, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1] + 1e-8)
-        row, at = np.nonzero((rough <= self.cut[:, None] + 1e-8) & (rough < np.inf))
+            self.cut = np.minimum(self.cut, np.partition(rough, self.k - 1, axis=1)[:, self.k - 1].astype(float) + off)
+        # Compared as short numbers if they are; rounded up, so that none is lost.
+        last = np.nextafter((self.cut + off).astype(rough.dtype), rough.dtype.type(np.inf))
+        row, at = np.divmod(np.flatnonzero(rough <= last[:, None]), rough.shape[1])
+        there = rough[row, at] < np.inf
+        row, at = row[there], at[there]
         if not len(row):
             return
         row, dst = np.concatenate([self.row, row]), np.concatenate([self.dst, others[at]])
@@ -110,16 +114,20 @@ def unit_rows(rows: DataFrame, id_col: str = "vec_id", label_col: str = "label",
 
 
 def neighbours(rows: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
-    """(src, dst, src_label, dst_label, sim, rank) of the exact k nearest by cosine, rounded to 8 digits; ties by id."""
+    """(src, dst, src_label, dst_label, sim, rank) of the exact k nearest by cosine, rounded to 8 digits; ties by id. Products
+    are short numbers first; those that may be among the k best are made again in doubles."""
 
     def best(lefts: list[Rows], rights: list[Rows]) -> Iterator[pd.DataFrame]:
+        short = [b.unit.T.astype(np.float32) for b in rights]
         for a in lefts:
-            held = Best(len(a.ids), k)
-            for b in rights:
-                sim = a.unit @ b.unit.T
+            held, own = Best(len(a.ids), k), -a.unit.astype(np.float32)
+            # Of unit vectors, short numbers' products are off by less, whatever the order of adding.
+            off = 1e-8 + (own.shape[1] + 8) * 2.0**-23
+            for b, other in zip(rights, short, strict=True):
+                rough = own @ other
                 if a.block == b.block:
-                    sim[a.ids[:, None] == b.ids[None, :]] = -np.inf
-                held.add(-sim, b.ids, lambda i, j, sim=sim: np.round(-sim[i, j], 8), lambda i, j, b=b: b.labels[j])
+                    rough[a.ids[:, None] == b.ids[None, :]] = np.inf
+                held.add(rough, b.ids, lambda i, j, a=a, b=b: np.round(-(a.unit[i] * b.unit[j]).sum(1), 8), lambda i, j, b=b: b.labels[j], off)
             yield pd.DataFrame({"src": a.ids[held.row], "dst": held.dst, "src_label": a.labels[held.row], "dst_label": held.more, "sim": -held.value})
 
     local = self_compared(rows, best, "src long, dst long, src_label long, dst_label long, sim double", block)
@@ -147,7 +155,8 @@ def reverse_rank(spark, sf_dir):
     f"{_PAIRS}, c AS (SELECT src, avg(sim) AS connectivity FROM r WHERE rank <= 5 GROUP BY src), q AS (SELECT quantile_cont(connectivity, 0.25) AS q1, quantile_cont(connectivity, 0.75) AS q3 FROM c) SELECT src, round(connectivity, 6) AS connectivity, connectivity < q1 - 1.5 * (q3 - q1) AS outlier FROM c, q",
 )
 def connectivity(spark, sf_dir):
-    mean = neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 5).groupBy("src").agg(F.avg("sim").alias("connectivity"))
+    # Read several times by the quantiles; kept, so that all pairs are compared once.
+    mean = neighbours(unit_rows(table(spark, sf_dir, "embeddings")), 5).groupBy("src").agg(F.avg("sim").alias("connectivity")).persist(StorageLevel.DISK_ONLY)
     q = exact_quantiles(mean.withColumn("all", F.lit(1)), "all", "connectivity", (0.25, 0.75)).select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     return mean.crossJoin(F.broadcast(q)).select("src", F.round("connectivity", 6).alias("connectivity"), (F.col("connectivity") < F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("outlier"))
 
