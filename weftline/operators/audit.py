@@ -45,22 +45,25 @@ def _twin(patterns: list[Pattern]) -> str:
     return f"WITH v(dimension, value) AS (VALUES {values}), l AS (SELECT doc_id, source, lang, lower(text) AS low FROM $documents), u AS (SELECT doc_id, source, lang, unnest([{hits}]) AS x FROM l), g AS MATERIALIZED (SELECT doc_id, source, lang, x.dimension AS dimension, x.value AS value, x.pattern AS pattern FROM u WHERE x IS NOT NULL), h AS (SELECT DISTINCT doc_id, source, lang, dimension, value FROM g), n AS (SELECT count(*) AS n, count(*) FILTER (WHERE lang NOT IN ({locales})) AS u FROM $documents)"
 
 
-#: Words and phrases; the balance of dimensions goes by words alone, which decide what a text shows.
+#: Words and phrases; the balance of dimensions goes by words alone, which decide what a text shows. Coverage, samples and scales
+#: tell what the phrases add: where in a clause it is shown.
 FACET_PATTERNS, SCALE_PATTERNS = [*FACETS, *phrases(FACETS)], [*SCALES, *phrases(SCALES)]
 _FACETS, _ALL_FACETS, _SCALES = _twin(FACETS), _twin(FACET_PATTERNS), _twin([*SCALE_PATTERNS, *NUMERIC])
 
 
 def covered(docs: DataFrame, patterns: list[Pattern]) -> DataFrame:
-    """(dimension, value, hits, sources, share, unpatterned) of all values, those without a hit too."""
+    """(dimension, value, hits, sources, share, unpatterned, beside, ending) of all values, those without a hit too: of the hits, beside
+    and ending have a word of the value next to a function word, and at a clause's end."""
     known = sorted({p[2] for p in patterns})
     totals = docs.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("lang").isin(known)).alias("unpatterned"))
-    found = signals(docs, patterns).dropDuplicates(["doc_id", "dimension", "value"]).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("source").alias("sources"))
+    each = signals(docs, patterns).groupBy("doc_id", "dimension", "value").agg(F.min("source").alias("source"), *[F.max(F.endswith("pattern", F.concat(F.lit("-"), "value", F.lit(f"-{kind}")))).alias(kind) for kind in ("pair", "ending")])
+    found = each.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("source").alias("sources"), F.count_if("pair").alias("beside"), F.count_if("ending").alias("ending"))
     values = docs.sparkSession.createDataFrame(sorted({p[:2] for p in patterns}), "dimension string, value string")
     whole = values.join(found, ["dimension", "value"], "left").crossJoin(F.broadcast(totals))
-    return whole.select("dimension", "value", F.coalesce("hits", F.lit(0)).alias("hits"), F.coalesce("sources", F.lit(0)).alias("sources"), F.round(F.coalesce("hits", F.lit(0)) / F.col("n"), 6).alias("share"), "unpatterned")
+    return whole.select("dimension", "value", F.coalesce("hits", F.lit(0)).alias("hits"), F.coalesce("sources", F.lit(0)).alias("sources"), F.round(F.coalesce("hits", F.lit(0)) / F.col("n"), 6).alias("share"), "unpatterned", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("beside", "ending")])
 
 
-_COVERED = "SELECT v.dimension, v.value, count(h.doc_id) AS hits, count(DISTINCT h.source) AS sources, round(count(h.doc_id) / any_value(n.n)::DOUBLE, 6) AS share, any_value(n.u) AS unpatterned FROM v CROSS JOIN n LEFT JOIN h ON h.dimension = v.dimension AND h.value = v.value GROUP BY v.dimension, v.value"
+_COVERED = "SELECT v.dimension, v.value, count(h.doc_id) AS hits, count(DISTINCT h.source) AS sources, round(count(h.doc_id) / any_value(n.n)::DOUBLE, 6) AS share, any_value(n.u) AS unpatterned, coalesce(any_value(k.beside), 0) AS beside, coalesce(any_value(k.ending), 0) AS ending FROM v CROSS JOIN n LEFT JOIN h ON h.dimension = v.dimension AND h.value = v.value LEFT JOIN (SELECT dimension, value, count(DISTINCT doc_id) FILTER (WHERE ends_with(pattern, '-' || value || '-pair')) AS beside, count(DISTINCT doc_id) FILTER (WHERE ends_with(pattern, '-' || value || '-ending')) AS ending FROM g GROUP BY dimension, value) k ON k.dimension = v.dimension AND k.value = v.value GROUP BY v.dimension, v.value"
 
 
 @query("C1_facet_coverage", f"{_ALL_FACETS} {_COVERED}")
@@ -96,23 +99,23 @@ def pattern_counts(spark, sf_dir):
     return signals(table(spark, sf_dir, "documents"), FACET_PATTERNS).groupBy("dimension", "value", "pattern", "lang", "source").agg(F.count(F.lit(1)).alias("docs"))
 
 
-_SAMPLED = "SELECT dimension, value, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value ORDER BY sha256(dimension || ':' || value || chr(0) || doc_id), doc_id) AS r FROM {0}) t WHERE r <= {1}"
+_SAMPLED = "SELECT dimension, value, pattern, doc_id FROM (SELECT *, row_number() OVER (PARTITION BY dimension, value, pattern ORDER BY sha256(dimension || ':' || value || chr(0) || doc_id), doc_id) AS r FROM {0}) t WHERE r <= {1}"
 
 
-@query("C1_pattern_samples", f"{_ALL_FACETS}, d AS (SELECT DISTINCT dimension FROM v), z AS (SELECT d.dimension, '(none)' AS value, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('h', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
+@query("C1_pattern_samples", f"{_ALL_FACETS}, d AS (SELECT DISTINCT dimension FROM v), y AS (SELECT DISTINCT dimension, value, pattern, doc_id FROM g), z AS (SELECT d.dimension, '(none)' AS value, '(none)' AS pattern, x.doc_id FROM d CROSS JOIN $documents x WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.dimension = d.dimension AND h.doc_id = x.doc_id)) {_SAMPLED.format('y', 3)} UNION ALL {_SAMPLED.format('z', 6)}")
 def pattern_samples(spark, sf_dir):
-    """Documents to look at, drawn by hash: three of each value, and six of each dimension that have none of its values."""
+    """Documents to look at, drawn by hash: three of each pattern of each value, and six of each dimension that have none of its values."""
     docs = table(spark, sf_dir, "documents")
-    hits = signals(docs, FACET_PATTERNS).select("doc_id", "dimension", "value").distinct()
+    hits = signals(docs, FACET_PATTERNS).select("doc_id", "dimension", "value", "pattern").distinct()
     dimensions = sorted({p[0] for p in FACETS})
     none = docs.join(hits.groupBy("doc_id").agg(F.collect_set("dimension").alias("have")), "doc_id", "left").select("doc_id", F.explode(F.array_except(F.array(*map(F.lit, dimensions)), F.coalesce("have", F.array().cast("array<string>")))).alias("dimension"))
-    drawn = lambda rows, most: first_of(rows.withColumn("drawn", F.sha2(F.concat("dimension", F.lit(":"), "value", F.lit("\0"), F.col("doc_id").cast("string")), 256)), ["dimension", "value"], [F.asc("drawn"), F.asc("doc_id")], most, "r").select("dimension", "value", "doc_id")
-    return drawn(hits, 3).union(drawn(none.withColumn("value", F.lit("(none)")).select("doc_id", "dimension", "value"), 6))
+    drawn = lambda rows, most: first_of(rows.withColumn("drawn", F.sha2(F.concat("dimension", F.lit(":"), "value", F.lit("\0"), F.col("doc_id").cast("string")), 256)), ["dimension", "value", "pattern"], [F.asc("drawn"), F.asc("doc_id")], most, "r").select("dimension", "value", "pattern", "doc_id")
+    return drawn(hits, 3).union(drawn(none.withColumns({"value": F.lit("(none)"), "pattern": F.lit("(none)")}).select("doc_id", "dimension", "value", "pattern"), 6))
 
 
 @query(
     "C2_participant_scales",
-    f"{_SCALES}, c AS ({_COVERED}), m AS (SELECT doc_id, count(*) FILTER (WHERE dimension = 'scale') AS v FROM h GROUP BY doc_id), s AS (SELECT count(*) FILTER (WHERE v > 0) AS some, count(*) FILTER (WHERE v > 1) AS several FROM m) SELECT c.dimension, c.value, c.hits, c.sources, c.share, c.unpatterned, s.some AS any_signal, s.several AS multiple_signals, n.n - s.some AS no_signal FROM c CROSS JOIN s CROSS JOIN n",
+    f"{_SCALES}, c AS ({_COVERED}), m AS (SELECT doc_id, count(*) FILTER (WHERE dimension = 'scale') AS v FROM h GROUP BY doc_id), s AS (SELECT count(*) FILTER (WHERE v > 0) AS some, count(*) FILTER (WHERE v > 1) AS several FROM m) SELECT c.dimension, c.value, c.hits, c.sources, c.share, c.unpatterned, c.beside, c.ending, s.some AS any_signal, s.several AS multiple_signals, n.n - s.some AS no_signal FROM c CROSS JOIN s CROSS JOIN n",
 )
 def scales(spark, sf_dir):
     """Coverage of the eight scales and of counts of those who take part, and documents with one, several or no scales."""
